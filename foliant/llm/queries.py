@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, warc
+from . import chat, decontaminate, syncmers, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": lambda s, d: warc.op1(s, table(s, d, "pages")),
+    "op2_syncmers": lambda s, d: syncmers.op2(s, table(s, d, "documents")),
+    "op4_decontaminate": lambda s, d: decontaminate.op4(s, table(s, d, "documents"), table(s, d, "benchmark")),
     "op10_chat": lambda s, d: chat.op10(s, table(s, d, "conversations")),
 }
 
 ORACLES: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
+    "op4_decontaminate": decontaminate.OP4_SQL,
     "op10_chat": chat.OP10_SQL,
 }
