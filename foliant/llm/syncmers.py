@@ -98,7 +98,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce("doc_id", F.lit(-(2**63)))
     ids = docs.select(key.alias("key"))
-    n = parts * 8
+    n = parts * 24  # many ranges for a task, so that tasks come out alike
     bounds = ids.agg(F.percentile_approx("key", [i / n for i in range(1, n)], max(10_000, 10 * n))).first()[0]
     bounds = sorted(set(bounds or []))
     b = _count_up_to(bounds, F.col("key"))
