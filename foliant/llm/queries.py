@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, syncmers, toxicity, warc
+from . import chat, decontaminate, neardup, syncmers, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_syncmers": lambda s, d: syncmers.op2(s, table(s, d, "documents")),
     "op3_toxicity": lambda s, d: toxicity.op3(s, table(s, d, "documents"), table(s, d, "labels")),
     "op4_decontaminate": lambda s, d: decontaminate.op4(s, table(s, d, "documents"), table(s, d, "benchmark")),
+    "op5_neardup": lambda s, d: neardup.op5(s, table(s, d, "documents")),
     "op10_chat": lambda s, d: chat.op10(s, table(s, d, "conversations")),
 }
 
