@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, codec, decontaminate, neardup, syncmers, tokencount, toxicity, warc
+from . import chat, codec, decontaminate, htmltext, neardup, syncmers, tokencount, toxicity, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -15,8 +15,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": lambda s, d: toxicity.op3(s, table(s, d, "documents"), table(s, d, "labels")),
     "op4_decontaminate": lambda s, d: decontaminate.op4(s, table(s, d, "documents"), table(s, d, "benchmark")),
     "op5_neardup": lambda s, d: neardup.op5(s, table(s, d, "documents")),
+    "op6_url_filter": lambda s, d: urlfilter.op6(s, table(s, d, "pages")),
     "op7_token_counts": lambda s, d: tokencount.op7(s, table(s, d, "documents")),
     "op8_sentencepiece": lambda s, d: codec.op8(s, table(s, d, "documents")),
+    "op9_html": lambda s, d: htmltext.op9(s, table(s, d, "pages")),
     "op10_chat": lambda s, d: chat.op10(s, table(s, d, "conversations")),
 }
 
