@@ -11,6 +11,7 @@ Repeated rows repeat their result; no rows give no rows. Columns named like the
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,58 +20,79 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, parts_of, units_of
+from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, once, parts_of, units_of
 
-MEMO = 300_000
+MEMO = 200_000
 
 
 class Encoder(dict):
-    """Ids of units as int32 bytes, remembered."""
+    """Ids of units as int32 bytes. What was used in the last ``MEMO`` new units is remembered."""
 
     def __init__(self, pieces: Pieces):
         import ahocorasick
 
         super().__init__()
-        self.pieces, self.units = pieces, pieces.units
+        self.pieces, self.units, self.older = pieces, pieces.units, {}
+        self.lengths = [0] * len(pieces.raw)
         self.automaton = ahocorasick.Automaton()
         for p, (i, score) in pieces.scores.items():
-            self.automaton.add_word(p, (i, p, score))
+            self.lengths[i] = len(p)
+            self.automaton.add_word(p, (i, len(p), score))
         self.automaton.make_automaton()
         self.may = Junctions(pieces)
         self.space = [pieces.byte_ids[b] for b in SPACE.encode()]
+        self.last_pieces = self.by_score if pieces.kind == "unigram" else self.by_junction
 
     def __missing__(self, unit: str) -> bytes:
-        ids: list[int] = []
-        for part in parts_of(unit):
-            ids += self.space if part is None else self.best(part)
-        out = self[unit] = np.array(ids, np.int32).tobytes()
+        out = self.older.get(unit)
+        if out is None:
+            ids: list[int] = []
+            for part in parts_of(unit):
+                ids += self.space if part is None else self.best(part)
+            out = array("i", ids).tobytes()
+        self[unit] = out
         return out
 
-    def best(self, part: str) -> list[int]:
-        floor, n, may = self.pieces.floor, len(part), self.may
-        score, last, done = [0.0] * (n + 1), [None] * (n + 1), 0
-        for end, (_, p, s) in self.automaton.iter(part):
+    def by_junction(self, part: str) -> list[int]:
+        """Last piece of each prefix, -1 for bytes. Only one may stand there, so the first that may ends the search."""
+        may, count = self.may, self.may.count
+        last = [-1] * (len(part) + 1)
+        for end, (i, length, _) in self.automaton.iter(part):
+            end += 1
+            if last[end] < 0 and may[(last[end - length] + 1) * count + i]:
+                last[end] = i
+        return last
+
+    def by_score(self, part: str) -> list[int]:
+        """Last piece of the best segmentation of each prefix, -1 for bytes."""
+        floor, n, done = self.pieces.floor, len(part), 0
+        last, score = [-1] * (n + 1), [0.0] * (n + 1)
+        for end, (i, length, s) in self.automaton.iter(part):
             while done <= end:  # positions that are reached for the first time
                 done += 1
                 score[done] = score[done - 1] + floor
             end += 1
-            at = end - len(p)
-            if score[at] + s > score[end] and may[last[at], p]:
-                score[end], last[end] = score[at] + s, p
+            if score[end - length] + s > score[end]:
+                score[end], last[end] = score[end - length] + s, i
+        return last
+
+    def best(self, part: str) -> list[int]:
+        last, lengths, at = self.last_pieces(part), self.lengths, len(part)
         ids: list[int] = []
-        at = n
         while at:
-            p = last[at]
-            if p is not None:
-                ids.append(self.pieces.scores[p][0])
-                at -= len(p)
+            i = last[at]
+            if i >= 0:
+                ids.append(i)
+                at -= lengths[i]
             else:
                 at -= 1
                 ids += [self.pieces.byte_ids[b] for b in reversed(part[at].encode())]
-        return ids[::-1]
+        ids.reverse()
+        return ids
 
     def encode(self, text: str | None) -> bytes:
         if len(self) > MEMO:
+            self.older = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, units_of(text, self.units)))
 
@@ -96,7 +118,7 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "token_
     shared = df.sparkSession.sparkContext.broadcast(pieces)
 
     def make():
-        encoder = Encoder(shared.value)
+        encoder = once(Encoder, shared.value)
 
         def f(texts):
             ids = [encoder.encode(t) for t in texts.to_pylist()]
@@ -114,8 +136,18 @@ def decode(df: DataFrame, pieces: Pieces, ids: str = "token_ids", out: str = "de
     shared = df.sparkSession.sparkContext.broadcast(pieces.raw)
 
     def make():
-        raw = shared.value
-        return lambda column: pa.array([decode_ids(x or [], raw) for x in column.to_pylist()], pa.string())
+        raw = pa.array(shared.value, pa.binary())
+
+        def f(column):
+            """The bytes of all ids of a batch are taken at once, and cut at the documents' ends."""
+            ends = column.offsets.to_numpy().astype(np.int64)
+            taken = raw.take(column.values.slice(ends[0], ends[-1] - ends[0]))
+            at = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset : taken.offset + len(taken) + 1]
+            data, cuts = taken.buffers()[2], at[ends - ends[0]]
+            data = b"" if data is None else data.to_pybytes()
+            return pa.array([data[a:b].decode("utf-8", "replace")[1:] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.string())
+
+        return f
 
     return _with(df, out, T.StringType(), ids, make)
 

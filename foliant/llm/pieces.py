@@ -60,20 +60,26 @@ def load_pieces(path: str = MODEL, kind: str = "merges") -> Pieces:
 
 
 class Junctions(dict):
-    """Whether one piece may follow another (``None``: bytes, or the start); remembered by (piece, piece)."""
+    """Whether a piece may follow another, by (id of the first + 1) * number of pieces + id of the second; the first
+    is -1 after bytes and at the start. Remembered up to a bound."""
 
-    MOST = 2_000_000
+    MOST = 1_000_000
 
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.scores, self.free = pieces.scores, pieces.kind == "unigram"
-
-    def __missing__(self, pair: tuple[str | None, str]) -> bool:
-        a, b = pair
+        self.count = len(pieces.raw)
+        self.names: list[str | None] = [None] * self.count
+        for name, (i, _) in pieces.scores.items():
+            self.names[i] = name
+
+    def __missing__(self, key: int) -> bool:
+        first, second = divmod(key, self.count)
+        a, b = self.names[first - 1] if first else None, self.names[second]
         ok = self.free or a is None or self.merged(a + b) == [a, b]
         if len(self) > self.MOST:
             self.clear()
-        self[pair] = ok
+        self[key] = ok
         return ok
 
     def merged(self, text: str) -> list[str]:
@@ -103,3 +109,14 @@ def parts_of(unit: str) -> list[str | None]:
     for i, x in enumerate(unit.split(SPACE)):
         out += [None] * (i > 0) + [x.replace(" ", SPACE)] * bool(x)
     return out
+
+
+_kept: dict = {}
+
+
+def once(maker, pieces: Pieces):
+    """``maker(pieces)``, kept for the tasks that a worker process runs one after the other."""
+    made = _kept.get(maker)
+    if made is None or made[0] is not pieces:
+        made = _kept[maker] = (pieces, maker(pieces))
+    return made[1]

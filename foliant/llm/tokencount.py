@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, parts_of, units_of
+from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, once, parts_of, units_of
 
 STRETCH, MEMO = 200_000, 400_000
 
@@ -28,18 +28,19 @@ class CountingTrie:
     def __init__(self, pieces: Pieces):
         self.floor, self.may = pieces.floor, Junctions(pieces)
         self.root: dict = {}
-        for p, (_, score) in pieces.scores.items():
+        self.only_one = pieces.kind != "unigram"  # with junctions, one piece may end at a node
+        for p, (i, score) in pieces.scores.items():
             node = self.root
             for c in p:
                 node = node.setdefault(c, {})
-            node[None] = score
+            node[None] = (i, score)
 
     def counts(self, tokens: list[str]) -> dict[str, int]:
         """Best segmentation's length of each token; ``tokens`` are distinct and sorted."""
         out: dict[str, int] = {}
-        root, floor, may = self.root, self.floor, self.may
+        root, floor, may, pieces, only_one = self.root, self.floor, self.may, self.may.count, self.only_one
         # by depth on the path from the trie's root: score, count, last piece, and growing pieces (start, node)
-        score, count, last, grow = [0.0], [0], [None], [[]]
+        score, count, last, grow = [0.0], [0], [-1], [[]]
         before = ""
         for token in tokens:
             depth = 0
@@ -50,15 +51,18 @@ class CountingTrie:
             del score[depth + 1 :], count[depth + 1 :], last[depth + 1 :], grow[depth + 1 :]
             for at in range(depth, len(token)):
                 c = token[at]
-                best, n, piece = score[at] + floor, count[at] + len(c.encode()), None
+                best, n, piece = score[at] + floor, count[at] + (1 if c < "\x80" else len(c.encode())), -1
                 alive = []
                 for start, node in (*grow[at], (at, root)):
                     child = node.get(c)
                     if child is not None:
                         alive.append((start, child))
-                        s = child.get(None)
-                        if s is not None and score[start] + s > best and may[last[start], token[start : at + 1]]:
-                            best, n, piece = score[start] + s, count[start] + 1, token[start : at + 1]
+                        found = child.get(None)
+                        if found is None or only_one and piece >= 0:
+                            continue
+                        i, s = found
+                        if score[start] + s > best and may[(last[start] + 1) * pieces + i]:
+                            best, n, piece = score[start] + s, count[start] + 1, i
                 score.append(best)
                 count.append(n)
                 last.append(piece)
@@ -110,7 +114,7 @@ def token_counts(df: DataFrame, pieces: Pieces) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = once(Counter, shared.value)
         for b in batches:
             got = list(counter.counts(b.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
