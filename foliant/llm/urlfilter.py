@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,11 +52,29 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return (none, none) if rule is None else (rule, verdict)
 
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words of a stretch of pages; (word, count) goes out before it has too many words."""
+    tag, word = re.compile("<[^>]*>"), re.compile(f"(?<![a-z0-9_\x80-\U0010ffff])[a-z]{{1,{LONGEST}}}(?![a-z0-9_\x80-\U0010ffff])")
+    counts: Counter[str] = Counter()
+
+    def out() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+        counts.clear()
+        return batch
+
+    for b in batches:
+        for html in b.column("html").to_pylist():
+            if html:
+                counts.update(word.findall(tag.sub(" ", html).lower()))
+                if len(counts) > 50_000:
+                    yield out()
+    yield out()
+
+
 def word_counts(pages: DataFrame, size: int = LEXICON) -> dict[str, int]:
     """The most frequent words of ASCII letters in the text of all pages."""
-    text = F.regexp_replace(F.lower("html"), "<[^>]*>", " ")
-    words = pages.select(F.explode(F.regexp_extract_all(text, F.lit(f"\\b[a-z]{{1,{LONGEST}}}\\b"), F.lit(0))).alias("word"))
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(size)
+    words = pages.select("html").mapInArrow(_words, "word string, n long")
+    top = words.groupBy("word").agg(F.sum("n").alias("count")).orderBy(F.desc("count"), "word").limit(size)
     return {r["word"]: r["count"] for r in top.collect()}  # ``size`` rows at most
 
 
