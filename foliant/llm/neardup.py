@@ -157,6 +157,72 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _compare(percent: int):
+    """Each node with its hub: whether they are linked, the elements that only one of them has, and how many of
+    the rarest of these another member must share one of to be linked with the node.
+
+    Two sets are linked if they differ in at most c * (sum of their sizes) elements, c = (100 - percent) / (100 + percent).
+    What both differ from the hub in cancels out. So members that aren't both linked with the hub need
+    some of their differences in common: a node that isn't, at least its own number less c times the largest such sum
+    (by the triangle inequality); one that is, about half of its own.
+    """
+    c = (100 - percent) / (100 + percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            linked, only, prefix = [], [], []
+            for x, h in zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist(), strict=True):
+                x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
+                d = np.setxor1d(x, h, assume_unique=True)
+                common = (len(x) + len(h) - len(d)) // 2
+                ok = 100 * common >= percent * (len(x) + len(h) - common)
+                need = (len(d) + c * (len(h) - len(x))) / 2 if ok else len(d) - c * len(x) * (1 + 100 / percent)
+                linked.append(ok)
+                only.append(d.view(np.int64))
+                prefix.append(len(d) - max(1, int(np.ceil(need - 1e-6))) + 1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), b.column("n"), pa.array(linked, pa.bool_()), pa.array(prefix, pa.int32()), pa.array(only, pa.list_(pa.int64()))],
+                ["node", "hub", "n", "linked", "prefix", "only"],
+            )
+
+    return run
+
+
+def _crowds(region: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(key, node, done) of crowded regions, and all links between nodes that are done.
+
+    The hub of a crowded region is its most central node, the one that stands in the most crowded regions: copies of one
+    text may be near it without being near each other. Nodes of a size that allows a link with it are compared with
+    it, one pair for each. Links among these nodes are then found exactly from their differences to the hub: only
+    pairs that share one of the rarest of these are candidates.
+    """
+    crowd = region.where(F.col("count") > REGION)
+    central = region.groupBy("node").agg(F.sum("count").alias("central"))
+    hub = crowd.join(central, "node").groupBy("key").agg(F.max(F.struct("central", "node", "n")).alias("hub"))
+    hub = hub.select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
+    fits = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
+    crowd = keep(crowd.join(hub, "key").select("key", "node", "n", "hub", fits.alias("done")), "crowds")
+    star = crowd.where("done and node <> hub").select("node", "hub", "n").distinct()
+    a = sets.select("node", F.col("members").alias("set_a"))
+    b = sets.select(F.col("node").alias("hub"), F.col("members").alias("set_b"))
+    both = star.join(a, "node").join(b, "hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "n", "set_a", "set_b")
+    met = keep(both.mapInArrow(_compare(percent), "node binary, hub binary, n long, linked boolean, prefix int, only array<bigint>"), "hubs")
+    each = met.select("hub", "node", "n", "linked", "prefix", F.size("only").alias("d"), F.explode("only").alias("element"))
+    often = each.groupBy("hub", "element").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(W.partitionBy("hub", "node").orderBy("often", "element"))
+    rare = keep(each.join(often, ["hub", "element"]).withColumn("rank", rank).where("rank <= prefix"), "rare")
+    side = lambda c: [F.col(f).alias(f"{f}_{c}") for f in ("n", "d", "rank")]
+    x = rare.where("not linked").select("hub", "element", F.col("node").alias("x"), *side("x"))
+    y = rare.select("hub", "element", F.col("node").alias("y"), "linked", *side("y"))
+    fit = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
+    # what the two must have in common, against what they still can have from their first common element on
+    need = (F.col("d_x") + F.col("d_y") - (100 - percent) / (100 + percent) * (F.col("n_x") + F.col("n_y"))) / 2 - 1e-6
+    fit = fit & (F.least(F.col("d_x") - F.col("rank_x"), F.col("d_y") - F.col("rank_y")) + 1 >= need)
+    pairs = x.join(y, ["hub", "element"]).where(fit & (F.col("x") != F.col("y")) & (F.col("linked") | (F.col("x") < F.col("y")))).select(*_ordered("x", "y")).distinct()
+    links = met.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, sets, percent))
+    return crowd.select("key", "node", "done"), links
+
+
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, row, n_shingles, component_id, kept): ``row`` is xxhash64 of the text, to tell apart rows that share an id."""
     fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
@@ -179,22 +245,26 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     chains = region.where((F.col("count") <= REGION) | (F.pmod("key", F.lit(3)) == 0)).withColumn("deal", F.coalesce(deal, F.lit(0)))
     after = F.lead(F.struct("node", "n")).over(W.partitionBy("key", "deal").orderBy("tail", "node"))
     pairs = chains.withColumn("next", after).where(F.col("next").isNotNull() & fits(F.col("n"), F.col("next.n"))).withColumn("other", F.col("next.node"))
-    first = components(_confirmed(pairs.select(*_ordered("node", "other")).distinct(), sets, percent))
+    chained = _confirmed(pairs.select(*_ordered("node", "other")).distinct(), sets, percent)
+    crowd, starred = _crowds(region, sets, percent)
+    first = components(chained.unionByName(starred))
 
     # 2. pairs of different components at adaptive depth
-    member = region.join(first, "node", "left").select("key", "tail", "node", "n", F.coalesce("root", "node").alias("root"))
+    # (in crowded regions, only those with a node that was not compared with the hub)
+    member = region.join(first, "node", "left").join(crowd, ["key", "node"], "left")
+    member = member.select("key", "tail", "node", "n", F.coalesce("root", "node").alias("root"), F.coalesce("done", F.lit(False)).alias("done"))
     found = None
     for depth in range(BASE, DEPTH + 1):
         member = member.withColumn("cut", F.shiftrightunsigned("tail", 16 * (DEPTH - depth)) if depth > BASE else F.lit(0).cast("long"))
-        about = member.groupBy("key", "cut").agg(F.count("*").alias("count"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        about = member.groupBy("key", "cut").agg(F.count("*").alias("count"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("done").alias("all_done")).where("low < high and not all_done")
         member = keep(member.join(about.select("key", "cut", "count"), ["key", "cut"]), "members")
         ready = member if depth == DEPTH else member.where(F.col("count") <= REGION)
-        x = ready.select("key", "cut", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-        y = ready.select("key", "cut", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-        got = x.join(y, ["key", "cut"]).where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & fits(F.col("nx"), F.col("ny")))
+        x = ready.select("key", "cut", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("done").alias("dx"))
+        y = ready.select("key", "cut", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("done").alias("dy"))
+        got = x.join(y, ["key", "cut"]).where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & ~(F.col("dx") & F.col("dy")) & fits(F.col("nx"), F.col("ny")))
         got = got.select(F.col("x").alias("a"), F.col("y").alias("b"))
         found = got if found is None else found.unionByName(got)
-        member = member.where(F.col("count") > REGION).select("key", "tail", "node", "n", "root")
+        member = member.where(F.col("count") > REGION).select("key", "tail", "node", "n", "root", "done")
         if depth < DEPTH and member.isEmpty():
             break
     found = keep(found.distinct(), "candidates")
