@@ -32,6 +32,13 @@ def error_of(kind: str, message: Column | str) -> Column:
     return F.struct(F.lit(kind).alias("type"), (F.lit(message) if isinstance(message, str) else message).alias("message"))
 
 
+def staged(df: DataFrame, **columns: Column) -> DataFrame:
+    """``withColumns`` whose results later steps see as plain columns. Expressions that refer to a result several
+    times, and filters on what follows from it, would otherwise be expanded again and again while planning."""
+    rest = [c for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def byte_mark(content: Column) -> Column:
     """Name of the character set of a leading byte order mark, or null."""
     head, out = F.hex(F.substring(content, 1, 4)), None
@@ -55,21 +62,23 @@ def after_mark(content: Column, name: Column) -> Column:
 def decode_envelope(df: DataFrame, content: str = "content") -> DataFrame:
     """Adds payload and error of the Base64 envelope in ``content``. Space, tab and line ends are ignored; padding
     is strict. The steps are columns of their own, so that each is computed once."""
-    df = df.withColumn("_mark", byte_mark(F.col(content))).withColumn("_body", after_mark(F.col(content), F.col("_mark")))
+    df = staged(df, _mark=byte_mark(F.col(content)))
+    df = staged(df, _body=after_mark(F.col(content), F.col("_mark")))
     # Base64 is ASCII: in a wide mark's text the other bytes of a valid envelope are zero
     text = F.decode("_body", "ISO-8859-1")
     wide = F.col("_mark").isin("UTF-16LE", "UTF-16BE", "UTF-32LE", "UTF-32BE")
     text = F.when(wide, F.replace(text, F.lit("\x00"), F.lit(""))).otherwise(text)
-    df = df.withColumn("_text", F.regexp_replace(text, "[ \\t\\r\\n]", ""))
+    df = staged(df, _text=F.regexp_replace(text, "[ \\t\\r\\n]", ""))
     valid = (F.length("_text") % 4 == 0) & F.col("_text").rlike("^[A-Za-z0-9+/]*={0,2}$")
-    df = df.withColumn("_valid", valid).withColumn("payload", F.when(F.col("_valid"), F.try_to_binary("_text", F.lit("base64"))))
+    df = staged(df, _valid=valid)
+    df = staged(df, payload=F.when(F.col("_valid"), F.try_to_binary("_text", F.lit("base64"))))
     error = (
         F.when(F.coalesce(F.octet_length(content), F.lit(0)) == 0, error_of(BASE64_ERROR, EMPTY_FILE))
         .when(~F.col("_valid") | F.col("payload").isNull(), error_of(BASE64_ERROR, NOT_BASE64))
         .when(F.octet_length("payload") == 0, error_of(BASE64_ERROR, EMPTY_PAYLOAD))
         .otherwise(F.expr(NO_ERROR))
     )
-    df = df.withColumn("error", error).withColumn("payload", F.when(F.col("error").isNull(), F.col("payload")))
+    df = staged(df, error=error, payload=F.when(F.octet_length("payload") > 0, F.col("payload")))
     return df.drop("_mark", "_body", "_text", "_valid")
 
 
@@ -121,8 +130,9 @@ def decode_text(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds text, encoding and text_error of the bytes in ``payload``: byte order mark, then declared
     charset, then strict UTF-8, then windows-1252. Bytes that are not UTF-8 are replaced after a mark, and
     an error after a declaration."""
-    df = df.withColumn("_mark", byte_mark(F.col(payload))).withColumn("_declared", F.when(F.col("_mark").isNull(), declared_charset(F.col(payload))))
-    df = df.withColumn("_valid8", F.is_valid_utf8(F.col(payload).cast("string"))).withColumn("_body", after_mark(F.col(payload), F.col("_mark")))
+    df = staged(df, _mark=byte_mark(F.col(payload)), _valid8=F.is_valid_utf8(F.col(payload).cast("string")))
+    declared = F.when(F.col("_mark").isNull(), declared_charset(F.col(payload)))
+    df = staged(df, _declared=declared, _body=after_mark(F.col(payload), F.col("_mark")))
     is8 = F.coalesce(F.col("_declared").isin(*UTF8), F.lit(False))
     native = F.coalesce(F.col("_declared").isin(*NATIVE), F.lit(False))
     # charset of the bytes that the UDF decodes: wide marks, rare names, and windows-1252 for what is no UTF-8
@@ -142,16 +152,16 @@ def decode_text(df: DataFrame, payload: str = "payload") -> DataFrame:
     used = used.otherwise(F.when(F.col("_valid8"), "UTF-8").otherwise("windows-1252"))
     bad = F.col("_mark").isNull() & is8 & ~F.col("_valid8")
     error = F.when(bad, error_of(DECODER_ERROR, NOT_UTF8)).otherwise(F.expr(NO_ERROR))
-    return df.withColumns({"text": text, "encoding": used, "text_error": error}).drop("_mark", "_declared", "_valid8", "_body", "_rare", "_1252")
+    return staged(df, text=text, encoding=used, text_error=error).drop("_mark", "_declared", "_valid8", "_body", "_rare", "_1252")
 
 
 def read_documents(df: DataFrame, content: str = "content") -> DataFrame:
     """Adds text, encoding, input_bytes (of the envelope) and error of each envelope in ``content``."""
     out = decode_envelope(df, content).withColumn("input_bytes", F.coalesce(F.octet_length(content), F.lit(0)).cast("long"))
     out = decode_text(out)
-    out = out.withColumn("error", F.coalesce("error", "text_error"))
+    out = staged(out, error=F.coalesce("error", "text_error"))
     good = F.col("error").isNull()
-    return out.withColumns({"text": F.when(good, F.col("text")), "encoding": F.when(good, F.col("encoding"))}).drop("payload", "text_error")
+    return staged(out, text=F.when(good, F.col("text")), encoding=F.when(good, F.col("encoding"))).drop("payload", "text_error")
 
 
 def base64_line(data: Column) -> Column:

@@ -170,9 +170,6 @@ def _hashed(rows: DataFrame, text) -> DataFrame:
     return rows.select("doc_id", text.alias("t")).select("doc_id", F.sha2("t", 256).alias("text_sha256"))
 
 
-TRIMMED_SQL = ESCAPED_SQL  # texts neither begin nor end with white space unless they are empty
-
-
 @query(_shape_sql('<html lang="x"><body xmlns:b="c"><p>', "{}", "</p></body></html>"))
 def remove_root_namespaces(s, d):
     rows = _shaped(s, d, "<html xmlns=\"http://www.w3.org/1999/xhtml\" lang=\"x\" xmlns:v='urn:v'><body xmlns:b=\"c\"><p>", "{}", "</p></body></html>")
@@ -463,7 +460,7 @@ def error_rates_by_batch(s, d):
 
 
 @query(TRACE_SQL + """, b AS (SELECT batch_id, max(e) AS t, count(*) AS n, count(*) FILTER (outcome = 'Succeeded') AS ok FROM trace GROUP BY 1)
-  SELECT batch_id, sum(n) OVER w::BIGINT AS done, sum(ok) OVER w::BIGINT AS succeeded, sum(n - ok) OVER w::BIGINT AS failed FROM b WINDOW w AS (ORDER BY t, batch_id)""".replace(" OVER w::BIGINT", " OVER w"))
+  SELECT batch_id, CAST(sum(n) OVER w AS BIGINT) AS done, CAST(sum(ok) OVER w AS BIGINT) AS succeeded, CAST(sum(n - ok) OVER w AS BIGINT) AS failed FROM b WINDOW w AS (ORDER BY t, batch_id)""")
 def batch_progress(s, d):
     return batches.batch_progress(line_trace(s, d)).drop("batch_end")
 
@@ -532,14 +529,13 @@ REASON_SQL = """CASE error_type WHEN 'TimeoutException' THEN 'Conversion exceede
 
 
 def event_errors(s, d) -> DataFrame:
-    k = F.col("event_id") % 9
+    """Events as an attempt log: by event_id % 9 a success or one of eight errors, one of them with a full disk; some messages name a licence."""
     names = ["IOException", "TimeoutException", "UnauthorizedAccessException", "FileNotFoundException", "IOException", "XmlException", "IOException", "OutOfMemoryException"]
-    kind = F.element_at(F.array(*[F.lit(n) for n in names]), k.cast("int"))
+    k = F.col("event_id") % 9
+    kind = F.when(k > 0, F.element_at(F.array(*[F.lit(n) for n in names]), F.greatest(k, F.lit(1)).cast("int")))
     message = F.when(F.col("event_id") % 90 == 7, "No LICENSE").otherwise(F.col("event_type"))
-    rows = table(s, d, "events").select("event_id", "user_id", "ts", F.when(k > 0, F.when(k == 0, None).otherwise(F.expr("1"))).alias("_f"), k.alias("_k"), message.alias("m"))
-    rows = rows.withColumn("error_type", F.when(F.col("_k") > 0, F.element_at(F.array(*[F.lit(n) for n in names]), F.greatest(F.col("_k"), F.lit(1)).cast("int"))))
-    category = outcomes.classify_error(F.col("error_type"), F.array("m"), F.when(F.col("_k") == 5, 112).otherwise(0))
-    return rows.withColumn("category", category).drop("_f", "_k", "m")
+    rows = table(s, d, "events").select("event_id", "user_id", "ts", kind.alias("error_type"), message.alias("m"), F.when(k == 5, 112).otherwise(0).alias("h"))
+    return rows.withColumn("category", outcomes.classify_error(F.col("error_type"), F.array("m"), F.col("h"))).drop("m", "h")
 
 
 @query(EVENT_ERROR_SQL + f" SELECT event_id, category, {REASON_SQL} AS reason FROM c WHERE error_type IS NOT NULL")
@@ -650,6 +646,4 @@ def scaling_test(s, d):
 @query(RUN_SQL + " SELECT run AS report, unnest(['found', 'succeeded', 'failed']) AS name, unnest([found, succeeded, failed])::VARCHAR AS value FROM t")
 def report_kv(s, d):
     rows = run_rows(s, d).select("run", "found", "succeeded", "failed")
-    cells = reports.report_kv(rows.drop("run"), "x")  # the general form, for one report
-    assert cells.columns == ["report", "name", "value"]
-    return rows.select(F.col("run").alias("report"), F.expr("stack(3, 'found', cast(found as string), 'succeeded', cast(succeeded as string), 'failed', cast(failed as string)) as (name, value)"))
+    return reports.report_kv(rows, "run")

@@ -79,7 +79,7 @@ def read_trace(spark: SparkSession, path: str) -> DataFrame:
 
 def report_lines(spark: SparkSession, path: str) -> DataFrame:
     """(report, pos, line) of each text report; reports are small, each is one row of the source."""
-    files = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_name").alias("report"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("report"), "value")
     return files.select("report", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("pos", "line"))
 
 
@@ -103,7 +103,7 @@ def read_phase_section(lines: DataFrame, phases: list[str]) -> DataFrame:
 
 def read_claims(spark: SparkSession, path: str) -> DataFrame:
     """(date_folder, state, instance) of the ``.done`` and ``.claim`` files, which hold ``key=value`` words."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_name").alias("f"), "value")
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_name").alias("f"), "value")
     files = files.where(F.col("f").rlike("\\.(done|claim)$"))
     return files.select(F.regexp_replace("f", "\\.(done|claim)$", "").alias("date_folder"), F.regexp_extract("f", "([a-z]+)$", 1).alias("state"), F.regexp_extract("value", "^instance=(\\S+)", 1).alias("instance"))
 
@@ -135,9 +135,9 @@ def write_documents(converted: DataFrame, path: str, base64: bool = False, overw
 
 
 def report_kv(totals: DataFrame, report: str) -> DataFrame:
-    """A row of totals as (report, name, value)."""
-    cells = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in totals.columns]
-    return totals.select(F.lit(report).alias("report"), F.explode(F.array(*cells)).alias("c")).select("report", "c.name", "c.value")
+    """Rows of totals as (report, name, value); ``report`` is the column that names a row's report."""
+    cells = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in totals.columns if c != report]
+    return totals.select(F.col(report).alias("report"), F.explode(F.array(*cells)).alias("c")).select("report", "c.name", "c.value")
 
 
 def summary_text(totals: DataFrame, sections: dict[str, DataFrame]) -> str:
