@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BITS = 18
+#: Large, so that long texts don't fill the bins of others by chance.
+BITS = 21
 BINS = 1 << BITS
 GRAMS = (3, 4, 5)
 #: Bounds of the sample that the classifier is fitted to.
@@ -58,12 +59,11 @@ class Model:
         self.weights, self.bias = weights.astype(np.float32), float(bias)
 
     def scores(self, texts: list[str | None]) -> list[float]:
-        seen, out = np.zeros(BINS, bool), []
+        out = []
         for t in texts:
             b = bins_of(t)
-            seen[b] = True
-            z = self.bias + float(self.weights[np.flatnonzero(seen)].sum(dtype=np.float64))
-            seen[b] = False
+            used = np.unique(b[self.weights[b] != 0])  # few bins have a weight
+            z = self.bias + float(self.weights[used].sum(dtype=np.float64))
             out.append(float(1 / (1 + np.exp(-np.clip(z, -30, 30)))))
         return out
 
