@@ -29,7 +29,7 @@ BITS = 21
 BINS = 1 << BITS
 GRAMS = (3, 4, 5)
 #: Bounds of the sample that the classifier is fitted to.
-PER_CLASS = 1500
+PER_CLASS = 1000
 TRAIN_CHARS = 20_000
 THRESHOLD = 0.7
 #: Logit of a text on the margin, where the fit aims at -1 and 1.
@@ -85,6 +85,7 @@ def fit_rows(rows: list[tuple[int, np.ndarray]], lasso: float = 5e-5, steps: int
     cols = [place[b] for _, b in rows]
     cols = [c[c >= 0] for c in cols]
     flat, row = np.concatenate(cols), np.repeat(np.arange(len(y), dtype=np.int32), [len(c) for c in cols])
+    del cols
     count = lambda m: np.bincount(flat, weights=m[row], minlength=len(used)) + 1.0
     p, q = count(y), count(1 - y)
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
@@ -131,7 +132,8 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, tra
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(bins, pa.binary())], ["doc_id", "toxic", "bins"])
 
     got = chosen.select("doc_id", "text", "toxic").mapInArrow(featured, "doc_id long, toxic int, bins binary").toArrow().sort_by("doc_id")
-    return fit_rows([(y, np.frombuffer(b, np.int32)) for y, b in zip(got["toxic"].to_pylist(), got["bins"].to_pylist(), strict=True)])
+    rows = [(y, np.frombuffer(b.as_buffer(), np.int32)) for y, b in zip(got["toxic"].to_pylist(), got["bins"], strict=True)]  # views, not copies
+    return fit_rows(rows)
 
 
 def score(documents: DataFrame, model: Model, out: str = "score") -> DataFrame:
