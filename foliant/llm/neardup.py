@@ -3,15 +3,15 @@
 A node is a distinct shingle set (128-bit digest); copies share their node. A forest of ``TREES`` sorted signature orders
 gives each node a key of its first ``BASE`` values and the next values as a tail to sort by.
 
-1. Every region (equal key) is a chain of longest-common-prefix neighbours in its sorted order; regions of over
-   ``REGION`` nodes are dealt into groups first, so no task holds a whole region. Confirmed links give components.
-2. Regions that still hold several components are searched again at an adaptive depth: at the least depth
-   at which a region has at most ``REGION`` nodes, all its pairs of different components are candidates;
-   what is larger even at the full depth gives all such pairs too. A signature estimate far below the threshold
-   ends a candidate; the others are confirmed on full sets.
+1. Every region (equal key) of at most ``REGION`` nodes is a chain of longest-common-prefix neighbours in its sorted
+   order. In a larger one, every pair whose sizes allow a link is found from what its nodes differ in from a common hub
+   (``_crowds``). Confirmed links give components.
+2. Regions of at most ``REGION`` nodes that still hold several components: all their pairs of different components are
+   candidates. A signature estimate far below the threshold ends a candidate; the others are confirmed on full sets.
 
-At similarity 0.8 a pair misses all 24 keys of depth 4 with probability below 1e-5; inside a region that is
-cut at the full depth 8 it is below 2e-2. Confirmed links are exact: 64-bit hashes of shingles are compared, all of them.
+So nodes that share a region are compared whatever the region's size, and a pair is missed only if it shares no key. The
+trees share no value of their keys, so at similarity 0.8 that has the probability (1 - 0.8**4)**24 = 3.2e-6. Confirmed
+links are exact: 64-bit hashes of shingles are compared, all of them.
 
 Cases: null text and texts without words have the empty set and are linked with nothing; fewer words than a
 shingle has are one shingle; a null id takes part, and has a component_id only if another id of its component has
@@ -40,7 +40,9 @@ ESTIMATE = 0.48
 _rng = np.random.RandomState(20240607)
 A = (_rng.randint(0, 2**63, POOL, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
 B = _rng.randint(0, 2**63, POOL, dtype=np.int64).astype(np.uint64)
-ORDERS = [_rng.permutation(POOL)[:DEPTH] for _ in range(TREES)]
+_dealt = _rng.permutation(POOL).reshape(TREES, BASE)
+#: Keys of different trees share no value; the values of a tail are any others.
+ORDERS = [np.concatenate((d, _rng.permutation(np.setdiff1d(np.arange(POOL), d))[: DEPTH - BASE])) for d in _dealt]
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -188,26 +190,29 @@ def _compare(percent: int):
     return run
 
 
-def _crowds(region: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(key, node, done) of crowded regions, and all links between nodes that are done.
+def _crowds(region: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links (a, b) within each crowded region.
 
-    The hub of a crowded region is its most central node, the one that stands in the most crowded regions: copies of one
-    text may be near it without being near each other. Nodes of a size that allows a link with it are compared with
-    it, one pair for each. Links among these nodes are then found exactly from their differences to the hub: only
-    pairs that share one of the rarest of these are candidates.
+    Sizes fall into bands, so wide that nodes whose sizes allow a link are in the same band or in neighbouring ones. Each band
+    of a crowded region has a hub, its most central node, which is the one that stands in the most crowded regions: copies of one
+    text may be near it without being near each other. A hub is compared with the nodes of its band and of the next one, so
+    that each two nodes whose sizes allow a link have a hub in common. Links are then found exactly from the differences to
+    the hub: only pairs that share one of the rarest of these are candidates.
     """
-    crowd = region.where(F.col("count") > REGION)
+    band = F.floor(F.log("n") / float(np.log(101 / percent)))  # a hundredth wider than sizes of a link differ
+    crowd = keep(region.where(F.col("count") > REGION).select("key", "node", "n", band.alias("band")), "crowds")
     central = region.groupBy("node").agg(F.sum("count").alias("central"))
-    hub = crowd.join(central, "node").groupBy("key").agg(F.max(F.struct("central", "node", "n")).alias("hub"))
-    hub = hub.select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
-    fits = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
-    crowd = keep(crowd.join(hub, "key").select("key", "node", "n", "hub", fits.alias("done")), "crowds")
-    star = crowd.where("done and node <> hub").select("node", "hub", "n").distinct()
+    hub = crowd.join(central, "node").groupBy("key", "band").agg(F.max(F.struct("central", "node")).alias("hub"))
+    hub = hub.select("key", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("hub.node").alias("hub"))
+    star = crowd.join(hub, ["key", "band"]).where("node <> hub").select("node", "hub", "n").distinct()
     a = sets.select("node", F.col("members").alias("set_a"))
     b = sets.select(F.col("node").alias("hub"), F.col("members").alias("set_b"))
     both = star.join(a, "node").join(b, "hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "n", "set_a", "set_b")
     met = keep(both.mapInArrow(_compare(percent), "node binary, hub binary, n long, linked boolean, prefix int, only array<bigint>"), "hubs")
-    each = met.select("hub", "node", "n", "linked", "prefix", F.size("only").alias("d"), F.explode("only").alias("element"))
+    # two nodes that are linked with the hub are connected; what fits no other node's size is in no further pair
+    apart = met.where("not linked").groupBy("hub").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    each = met.join(apart, "hub").where((100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high")))
+    each = each.select("hub", "node", "n", "linked", "prefix", F.size("only").alias("d"), F.explode("only").alias("element"))
     often = each.groupBy("hub", "element").agg(F.count("*").alias("often"))
     rank = F.row_number().over(W.partitionBy("hub", "node").orderBy("often", "element"))
     rare = keep(each.join(often, ["hub", "element"]).withColumn("rank", rank).where("rank <= prefix"), "rare")
@@ -219,8 +224,7 @@ def _crowds(region: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame
     need = (F.col("d_x") + F.col("d_y") - (100 - percent) / (100 + percent) * (F.col("n_x") + F.col("n_y"))) / 2 - 1e-6
     fit = fit & (F.least(F.col("d_x") - F.col("rank_x"), F.col("d_y") - F.col("rank_y")) + 1 >= need)
     pairs = x.join(y, ["hub", "element"]).where(fit & (F.col("x") != F.col("y")) & (F.col("linked") | (F.col("x") < F.col("y")))).select(*_ordered("x", "y")).distinct()
-    links = met.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, sets, percent))
-    return crowd.select("key", "node", "done"), links
+    return met.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, sets, percent))
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -240,33 +244,21 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     texts = docs.select("row", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text")
     sets = keep(texts.join(one, ["row", "id", "none"]).select("node", "text").mapInArrow(_sets(size), "node binary, members binary").dropDuplicates(["node"]), "sets", "none")
 
-    # 1. neighbours in sorted order; of crowded regions a third, which are eight orders for a node
-    deal = F.when(F.col("count") > REGION, F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("count") / REGION)))
-    chains = region.where((F.col("count") <= REGION) | (F.pmod("key", F.lit(3)) == 0)).withColumn("deal", F.coalesce(deal, F.lit(0)))
-    after = F.lead(F.struct("node", "n")).over(W.partitionBy("key", "deal").orderBy("tail", "node"))
-    pairs = chains.withColumn("next", after).where(F.col("next").isNotNull() & fits(F.col("n"), F.col("next.n"))).withColumn("other", F.col("next.node"))
+    # 1. neighbours in sorted order; all links of crowded regions
+    small = region.where(F.col("count") <= REGION)
+    after = F.lead(F.struct("node", "n")).over(W.partitionBy("key").orderBy("tail", "node"))
+    pairs = small.withColumn("next", after).where(F.col("next").isNotNull() & fits(F.col("n"), F.col("next.n"))).withColumn("other", F.col("next.node"))
     chained = _confirmed(pairs.select(*_ordered("node", "other")).distinct(), sets, percent)
-    crowd, starred = _crowds(region, sets, percent)
-    first = components(chained.unionByName(starred))
-
-    # 2. pairs of different components at adaptive depth
-    # (in crowded regions, only those with a node that was not compared with the hub)
-    member = region.join(first, "node", "left").join(crowd, ["key", "node"], "left")
-    member = member.select("key", "tail", "node", "n", F.coalesce("root", "node").alias("root"), F.coalesce("done", F.lit(False)).alias("done"))
-    found = None
-    for depth in range(BASE, DEPTH + 1):
-        member = member.withColumn("cut", F.shiftrightunsigned("tail", 16 * (DEPTH - depth)) if depth > BASE else F.lit(0).cast("long"))
-        about = member.groupBy("key", "cut").agg(F.count("*").alias("count"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("done").alias("all_done")).where("low < high and not all_done")
-        member = keep(member.join(about.select("key", "cut", "count"), ["key", "cut"]), "members")
-        ready = member if depth == DEPTH else member.where(F.col("count") <= REGION)
-        x = ready.select("key", "cut", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("done").alias("dx"))
-        y = ready.select("key", "cut", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("done").alias("dy"))
-        got = x.join(y, ["key", "cut"]).where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & ~(F.col("dx") & F.col("dy")) & fits(F.col("nx"), F.col("ny")))
-        got = got.select(F.col("x").alias("a"), F.col("y").alias("b"))
-        found = got if found is None else found.unionByName(got)
-        member = member.where(F.col("count") > REGION).select("key", "tail", "node", "n", "root", "done")
-        if depth < DEPTH and member.isEmpty():
-            break
+    first = components(chained.unionByName(_crowds(region, sets, percent)))
+
+    # 2. pairs of different components in the other regions
+    member = small.join(first, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    about = member.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    member = keep(member.join(about.select("key"), "key"), "members")
+    x = member.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+    y = member.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+    found = x.join(y, "key").where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & fits(F.col("nx"), F.col("ny")))
+    found = found.select(F.col("x").alias("a"), F.col("y").alias("b"))
     found = keep(found.distinct(), "candidates")
     short = keep(nodes.join(met, "node").select("node", "sig").mapInArrow(_short, "node binary, sig binary"), "short")
     side = lambda c: short.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"))

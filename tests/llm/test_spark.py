@@ -6,6 +6,7 @@ import random
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +169,29 @@ def test_near_duplicates_against_all_pairs(spark):
     assert neardup.op5(spark, df.where("false")).count() == 0
 
 
+def test_crowded_region_of_many_sizes(spark):
+    """One region round a shared passage; the pairs are of sizes that no node of another pair, or the hub, is linked with."""
+    passage = list(range(1, 101))
+    members = [passage + [1000 + i] for i in range(70)]
+    for k, size in enumerate([30, 60, 140, 200, 300, 450, 700]):
+        own = [10_000 * (k + 1) + i for i in range(size)]
+        members += [passage[: size // 2] + own, passage[: size // 2] + own[2:]]
+    rows = [(bytes([i]) * 16, sorted(m)) for i, m in enumerate(members)]
+    sets = spark.createDataFrame([(b, np.array(m, np.uint64).tobytes()) for b, m in rows], "node binary, members binary")
+    region = spark.createDataFrame([(7, b, len(m), len(rows)) for b, m in rows], "key long, node binary, n long, count long")
+    links = neardup._crowds(region, sets, 80)
+    got = {frozenset((r.node, r.root)) for r in neardup.components(links).collect() if r.node != r.root}
+    near = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    exact = {frozenset((a, b)) for a, x in rows for b, y in rows if a < b and near(set(x), set(y))}
+    assert {p for p in exact if min(p) >= rows[70][0]} == {p for p in got if min(p) >= rows[70][0]} and len(exact) == 70 * 69 // 2 + 7
+    assert len(got) == 69 + 7
+
+
+def test_trees_share_no_key_value():
+    assert sorted(c for order in neardup.ORDERS for c in order[: neardup.BASE]) == list(range(neardup.POOL))
+    assert all(len(set(order)) == neardup.DEPTH for order in neardup.ORDERS)
+
+
 def test_url_filter_cases(spark):
     urls = [None, "", "no scheme", "http://X.NET", "http://x.net/", "https://a.example.net/en/x?y", "http://example.com/de/1#z", "http://b.org/fr/", "http://evilnet/", "http://q.example.org/en/1?u=http://x.net/"]
     pages = spark.createDataFrame([(i, u, "<p>the of and the</p>", "r") for i, u in enumerate(urls)], "page_id long, url string, html string, rule string")
