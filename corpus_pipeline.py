@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from foliant.llm import codec, decontaminate, neardup, toxicity
@@ -21,15 +20,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of least id of each group: five-word shingles, similarity 0.8. Of rows that repeat that id one stays."""
-    rows = docs.select(*COLUMNS).withColumn("row", F.xxhash64("text"))
-    found = neardup.near_duplicates(rows)
-    same = W.partitionBy("component_id").orderBy("row")
+    """Keeps one row of each group, of the least id in it: five-word shingles, similarity 0.8. A null id counts only where a group has no other."""
+    # the written mark is unique and stays the same, so that rows that are repeated can be told apart
+    rows = keep(docs.select(*COLUMNS).withColumn("mark", F.monotonically_increasing_id()), "marked")
+    found = neardup.near_duplicates(rows, mark="mark")
+    one = found.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("root").agg(F.min(F.struct("node", "row")).alias("of")).select("of.row")
     # texts without words are in no group, so each of them stays
-    kept = found.where(F.col("kept") & (F.col("n_shingles") > 0)).withColumn("k", F.row_number().over(same)).where("k = 1 or component_id is null")
-    rest = found.where("n_shingles = 0").withColumn("k", F.lit(1))
-    ids = kept.unionByName(rest).select("doc_id", "row").distinct()
-    return rows.join(ids, (rows["row"] == ids["row"]) & rows["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select(*COLUMNS)
+    marks = one.unionByName(found.where("n_shingles = 0").select("row"))
+    return rows.join(marks, rows["mark"] == marks["row"], "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

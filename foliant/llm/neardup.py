@@ -227,10 +227,14 @@ def _crowds(region: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, sets, percent))
 
 
-def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, row, n_shingles, component_id, kept): ``row`` is xxhash64 of the text, to tell apart rows that share an id."""
+def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark: str | None = None) -> DataFrame:
+    """(doc_id, row, n_shingles, component_id, kept, node, root).
+
+    ``row`` tells apart rows that share an id: it is the column ``mark`` (long), or else xxhash64 of the text. ``root`` is the same for all
+    rows of a component, also of one without an id; it is null where the set is empty.
+    """
     fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    docs = documents.select("doc_id", "text", F.xxhash64("text").alias("row"))
+    docs = documents.select("doc_id", "text", (F.col(mark) if mark else F.xxhash64("text")).alias("row"))
     signed = keep(docs.mapInArrow(_signed(size), "doc_id long, row long, node binary, n long, sig binary"), "signed")
     nodes = keep(signed.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
     forest = nodes.mapInArrow(_forest, "key long, tail long, node binary, n long")
@@ -274,10 +278,10 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
 
     least = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
     whole = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = keep(least.join(whole, "root").select("node", "component_id"), "labels")
+    label = keep(least.join(whole, "root").select("node", "component_id", "root"), "labels")
     out = signed.select("doc_id", "row", "node", F.col("n").alias("n_shingles")).join(label, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "row", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "row", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node", "root")
 
 
 def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

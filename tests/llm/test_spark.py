@@ -240,6 +240,14 @@ def test_reply_trees(spark):
         chat.reply_paths(spark.createDataFrame([(1, 1, 2, 0.0), (1, 2, 1, 0.0)], "tree long, node long, parent long, score double"))
 
 
+def test_near_copies_leave_one_row_of_a_group(spark):
+    a, b = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    own = [(1, a), (1, a), (1, a), (1, f"{a} z"), (2, a), (None, a), (None, b), (None, b), (None, f"{b} z"), (5, "stands alone"), (5, "stands alone"), (6, ""), (6, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in own], DOCS).repartition(3)
+    got = [(r.doc_id, (r.text or "")[:2]) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(1, "a0"), (None, "b0"), (5, "st"), (6, ""), (6, ""), (None, "")], key=str)
+
+
 def test_pipeline_stages(spark):
     base = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
