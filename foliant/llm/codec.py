@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small
 from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, once, parts_of, units_of
 
 MEMO = 200_000
@@ -106,7 +107,7 @@ def _with(df: DataFrame, field: str, kind: T.DataType, column: str, make) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in plain), f(b.column(column))], [*plain, field])
 
     rows = df.select(*plain)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +17,13 @@ _own_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a local session) a temporary folder is made.
+    Where that is unset, a temporary folder is made, in local mode only: on a cluster each executor would write to its own disk.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="spark-foliant-")
@@ -29,19 +34,42 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/foliant/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def keep(df: DataFrame, name: str, compression: str = "zstd", path: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    This cuts the lineage so that a lost executor costs no recomputation of what was kept.
+    This cuts the lineage so that a lost executor costs no recomputation of what was kept. A result that is
+    still lazy reads such tables, so they stay until whoever runs the job deletes ``shared_dir/foliant``.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = path or new_path(spark, name)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Kept tables that are deleted at the end of the ``with`` block. What is used later must be kept outside of it."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.count = spark, new_path(spark, name), 0
+
+    def keep(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+        self.count += 1
+        return keep(df, name, compression, f"{self.path}/{self.count}-{name}")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete(self.spark, self.path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # whole texts: batches stay small
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,3 +84,10 @@ def ascii_lower(c: Column) -> Column:
 def text_of(c: Column | str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Parts of Spark's batches: what Python holds at a time stays small where rows are whole texts."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)

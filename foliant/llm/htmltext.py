@@ -27,6 +27,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import small
+
 #: Fixed values of HTML: elements that hold no text of the page, void elements, and inline elements.
 HIDDEN = frozenset("script style noscript template iframe object svg canvas math select textarea button head audio video".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
@@ -295,7 +297,7 @@ def main_text(html: str | None) -> str:
 
 
 def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in small(batches):
         texts = [main_text(h) for h in b.column("html").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 

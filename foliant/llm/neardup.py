@@ -3,11 +3,12 @@
 A node is a distinct shingle set (128-bit digest); copies share their node. A forest of ``TREES`` sorted signature orders
 gives each node a key of its first ``BASE`` values and the next values as a tail to sort by.
 
-1. Every region (equal key) of at most ``REGION`` nodes is a chain of longest-common-prefix neighbours in its sorted
-   order. In a larger one, every pair whose sizes allow a link is found from what its nodes differ in from a common hub
-   (``_crowds``). Confirmed links give components.
+1. In every region (equal key) the longest-common-prefix neighbours of its sorted order are candidates. Confirmed links
+   give components.
 2. Regions of at most ``REGION`` nodes that still hold several components: all their pairs of different components are
-   candidates. A signature estimate far below the threshold ends a candidate; the others are confirmed on full sets.
+   candidates, and are confirmed on full sets.
+3. Larger regions share hubs. All links between different components of a hub's nodes are found exactly from what these
+   differ in from the hub (``_apart``), so a large group of near copies never becomes a set of pairs.
 
 So nodes that share a region are compared whatever the region's size, and a pair is missed only if it shares no key. The
 trees share no value of their keys, so at similarity 0.8 that has the probability (1 - 0.8**4)**24 = 3.2e-6. Confirmed
@@ -30,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import keep
-from .components import components
+from .common import Scratch, keep, small
+from .components import joined
 
 POOL, TREES, BASE, DEPTH, REGION = 96, 24, 4, 8, 64
-#: A candidate goes on if this share of the signature agrees: eight standard errors below 0.8.
-ESTIMATE = 0.48
+#: A region of more nodes is sorted in parts of about so many; neighbours across parts aren't needed, since step 3 is exact.
+PART = 100_000
 
 _rng = np.random.RandomState(20240607)
 A = (_rng.randint(0, 2**63, POOL, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -87,7 +88,7 @@ def signature(s: np.ndarray) -> np.ndarray:
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
-        for b in batches:
+        for b in small(batches):
             nodes, counts, sigs = [], [], []
             for t in b.column("text").to_pylist():
                 s = shingles(t)
@@ -122,7 +123,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(size)
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([shingles(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())], ["node", "members"])
 
     return run
@@ -130,7 +131,7 @@ def _sets(size: int):
 
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             ok = []
             for x, y in zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -143,13 +144,6 @@ def _confirm(percent: int):
     return run
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if b.num_rows:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, POOL) for c in ("sig_a", "sig_b"))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= ESTIMATE))
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda c: sets.select(F.col("node").alias(c), F.col("members").alias(f"set_{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirm(percent), "a binary, b binary")
@@ -160,71 +154,80 @@ def _ordered(a: str, b: str) -> list:
 
 
 def _compare(percent: int):
-    """Each node with its hub: whether they are linked, the elements that only one of them has, and how many of
-    the rarest of these another member must share one of to be linked with the node.
-
-    Two sets are linked if they differ in at most c * (sum of their sizes) elements, c = (100 - percent) / (100 + percent).
-    What both differ from the hub in cancels out. So members that aren't both linked with the hub need
-    some of their differences in common: a node that isn't, at least its own number less c times the largest such sum
-    (by the triangle inequality); one that is, about half of its own.
-    """
-    c = (100 - percent) / (100 + percent)
+    """Each node with its hub: whether they are linked, and the elements that only one of them has, the node's own first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            linked, only, prefix = [], [], []
+        for b in small(batches):
+            linked, only = [], []
             for x, h in zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist(), strict=True):
                 x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
-                d = np.setxor1d(x, h, assume_unique=True)
-                common = (len(x) + len(h) - len(d)) // 2
-                ok = 100 * common >= percent * (len(x) + len(h) - common)
-                need = (len(d) + c * (len(h) - len(x))) / 2 if ok else len(d) - c * len(x) * (1 + 100 / percent)
-                linked.append(ok)
-                only.append(d.view(np.int64))
-                prefix.append(len(d) - max(1, int(np.ceil(need - 1e-6))) + 1)
+                own, missing = np.setdiff1d(x, h, assume_unique=True), np.setdiff1d(h, x, assume_unique=True)
+                common = len(x) - len(own)
+                linked.append(100 * common >= percent * (len(h) + len(own)))
+                only.append(np.concatenate((own, missing)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column("a"), b.column("b"), b.column("n"), pa.array(linked, pa.bool_()), pa.array(prefix, pa.int32()), pa.array(only, pa.list_(pa.int64()))],
-                ["node", "hub", "n", "linked", "prefix", "only"],
+                [b.column("a"), b.column("b"), b.column("n"), pa.array(linked, pa.bool_()), pa.array(only, pa.list_(pa.int64()))], ["node", "hub", "n", "linked", "only"]
             )
 
     return run
 
 
-def _crowds(region: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All links (a, b) within each crowded region.
+def _stars(region: DataFrame, root_of: DataFrame, sets: DataFrame, percent: int, keep) -> DataFrame:
+    """(node, hub, n, linked, only) for each node of a crowded region and the hub of that region.
 
-    Sizes fall into bands, so wide that nodes whose sizes allow a link are in the same band or in neighbouring ones. Each band
-    of a crowded region has a hub, its most central node, which is the one that stands in the most crowded regions: copies of one
-    text may be near it without being near each other. A hub is compared with the nodes of its band and of the next one, so
-    that each two nodes whose sizes allow a link have a hub in common. Links are then found exactly from the differences to
-    the hub: only pairs that share one of the rarest of these are candidates.
+    The hub is the most central node, which is the one that stands in the most crowded regions; regions whose central
+    nodes are of one component take the most central of these for their common hub.
     """
-    band = F.floor(F.log("n") / float(np.log(101 / percent)))  # a hundredth wider than sizes of a link differ
-    crowd = keep(region.where(F.col("count") > REGION).select("key", "node", "n", band.alias("band")), "crowds")
+    crowd = keep(region.where(F.col("count") > REGION).select("key", "node", "n"), "crowds")
     central = region.groupBy("node").agg(F.sum("count").alias("central"))
-    hub = crowd.join(central, "node").groupBy("key", "band").agg(F.max(F.struct("central", "node")).alias("hub"))
-    hub = hub.select("key", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("hub.node").alias("hub"))
-    star = crowd.join(hub, ["key", "band"]).where("node <> hub").select("node", "hub", "n").distinct()
+    named = crowd.select("key", "node").join(central, "node").join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    hub = keep(named.groupBy("key").agg(F.max(F.struct("central", "node", "root")).alias("hub")).select("key", "hub.*"), "hubs")
+    best = hub.groupBy("root").agg(F.max_by("node", F.struct("central", "node")).alias("hub"))
+    hub = keep(hub.join(best, "root").select("key", "hub"), "hubs")
+    star = crowd.join(hub, "key").where("node <> hub").select("node", "hub", "n").distinct()
     a = sets.select("node", F.col("members").alias("set_a"))
     b = sets.select(F.col("node").alias("hub"), F.col("members").alias("set_b"))
     both = star.join(a, "node").join(b, "hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "n", "set_a", "set_b")
-    met = keep(both.mapInArrow(_compare(percent), "node binary, hub binary, n long, linked boolean, prefix int, only array<bigint>"), "hubs")
-    # two nodes that are linked with the hub are connected; what fits no other node's size is in no further pair
-    apart = met.where("not linked").groupBy("hub").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    each = met.join(apart, "hub").where((100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high")))
-    each = each.select("hub", "node", "n", "linked", "prefix", F.size("only").alias("d"), F.explode("only").alias("element"))
-    often = each.groupBy("hub", "element").agg(F.count("*").alias("often"))
-    rank = F.row_number().over(W.partitionBy("hub", "node").orderBy("often", "element"))
-    rare = keep(each.join(often, ["hub", "element"]).withColumn("rank", rank).where("rank <= prefix"), "rare")
-    side = lambda c: [F.col(f).alias(f"{f}_{c}") for f in ("n", "d", "rank")]
-    x = rare.where("not linked").select("hub", "element", F.col("node").alias("x"), *side("x"))
-    y = rare.select("hub", "element", F.col("node").alias("y"), "linked", *side("y"))
+    return keep(both.mapInArrow(_compare(percent), "node binary, hub binary, n long, linked boolean, only array<bigint>"), "stars")
+
+
+def _apart(stars: DataFrame, root_of: DataFrame, percent: int, keep) -> DataFrame:
+    """All links (a, b) between nodes of one hub that are of different components; exact.
+
+    Two sets are linked if they differ in at most c * (sum of their sizes) elements, c = (100 - percent) / (100 + percent).
+    What both differ from the hub in cancels out, so they must have (d + e - c * (sum of sizes)) / 2 of their d and e
+    differences from the hub in common. Of two components one at least isn't the hub's, and the nodes of such a
+    component, the far ones, aren't linked with the hub. The least that a far node can add to that number bounds how
+    many of its differences a node may miss, so each goes by a prefix of its differences, in an order that puts what the hub
+    lacks first, since that is rare. Elements that only one component has are dropped; of the others, the join itself
+    counts what two nodes have in common, so that only links leave it.
+    """
+    c = (100 - percent) / (100 + percent)
+    root = lambda col: root_of.select(F.col("node").alias(col), F.col("root").alias(f"root_{col}"))
+    rooted = stars.select("node", "hub", "n", "linked", F.size("only").alias("d")).join(root("node"), "node", "left").join(root("hub"), "hub", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root_node", "node")).withColumn("far", F.col("root") != F.coalesce("root_hub", "hub"))
+    rooted = keep(rooted.select("node", "hub", "n", "d", "root", "far").withColumn("over", F.col("d") - c * F.col("n")), "rooted")
+    when_far = lambda x: F.when(F.col("far"), F.col(x))
+    known = rooted.groupBy("hub").agg(F.min(when_far("n")).alias("low"), F.max(when_far("n")).alias("high"), F.min(when_far("over")).alias("far_over"), F.min("over").alias("any_over"))
+    known = keep(known.where("low is not null"), "known")  # else all nodes are of the hub's component
+    each = rooted.join(known, "hub").where((100 * F.col("n") >= percent * F.col("low")) & (percent * F.col("n") <= 100 * F.col("high")))
+    # of a far node and any other: by the triangle inequality, the other differs from the hub in at least d - c * (sum of sizes)
+    need = F.when(F.col("far"), F.greatest(F.col("over") - c * F.col("n") * (100 / percent), (F.col("over") + F.col("any_over")) / 2)).otherwise((F.col("over") + F.col("far_over")) / 2)
+    prefix = F.col("d") - F.greatest(F.lit(1), F.ceil(need - 1e-6)) + 1
+    each = each.withColumn("prefix", prefix.cast("int")).where("prefix > 0").select("node", "hub", "n", "d", "root", "far", "prefix")
+    first = each.join(stars.select("node", "hub", "only"), ["node", "hub"]).select("node", "hub", "n", "d", "root", "far", F.posexplode(F.slice("only", F.lit(1), F.col("prefix"))).alias("place", "element"))
+    first = keep(first, "prefixes")
+    met = first.groupBy("hub", "element").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("hub", "element")
+    rare = first.join(keep(met, "elements"), ["hub", "element"]).join(stars.select("node", "hub", "only"), ["node", "hub"])
+    rare = keep(rare, "rare")
+    side = lambda x: rare.select("hub", "element", F.col("node").alias(x), *[F.col(f).alias(f"{f}_{x}") for f in ("n", "d", "root", "far", "place", "only")])
+    sizes = F.col("n_x") + F.col("n_y")
     fit = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
-    # what the two must have in common, against what they still can have from their first common element on
-    need = (F.col("d_x") + F.col("d_y") - (100 - percent) / (100 + percent) * (F.col("n_x") + F.col("n_y"))) / 2 - 1e-6
-    fit = fit & (F.least(F.col("d_x") - F.col("rank_x"), F.col("d_y") - F.col("rank_y")) + 1 >= need)
-    pairs = x.join(y, ["hub", "element"]).where(fit & (F.col("x") != F.col("y")) & (F.col("linked") | (F.col("x") < F.col("y")))).select(*_ordered("x", "y")).distinct()
-    return met.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")).unionByName(_confirmed(pairs, sets, percent))
+    fit = fit & (F.least(F.col("d_x") - F.col("place_x"), F.col("d_y") - F.col("place_y")) >= (F.col("d_x") + F.col("d_y") - c * sizes) / 2 - 1e-6)
+    differ = F.col("d_x") + F.col("d_y") - 2 * F.size(F.array_intersect("only_x", "only_y"))
+    fit = fit & (100 * (sizes - differ) >= percent * (sizes + differ))
+    pairs = side("x").where("far_x").join(side("y"), ["hub", "element"]).where((F.col("root_x") != F.col("root_y")) & (~F.col("far_y") | (F.col("x") < F.col("y"))) & fit)
+    return pairs.select(*_ordered("x", "y")).distinct()
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark: str | None = None) -> DataFrame:
@@ -236,60 +239,50 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark
     fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     docs = documents.select("doc_id", "text", (F.col(mark) if mark else F.xxhash64("text")).alias("row"))
     signed = keep(docs.mapInArrow(_signed(size), "doc_id long, row long, node binary, n long, sig binary"), "signed")
-    nodes = keep(signed.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
-    forest = nodes.mapInArrow(_forest, "key long, tail long, node binary, n long")
-    crowded = forest.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
-    region = keep(forest.join(crowded, "key"), "regions")
-
-    # full sets of the nodes that have a neighbour; each from one of its rows
-    met = region.select("node").distinct()
-    one = signed.join(met, "node").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("of"))
-    one = one.select("node", F.col("of.row").alias("row"), F.coalesce("of.doc_id", F.lit(0)).alias("id"), F.col("of.none").alias("none"))
-    texts = docs.select("row", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text")
-    sets = keep(texts.join(one, ["row", "id", "none"]).select("node", "text").mapInArrow(_sets(size), "node binary, members binary").dropDuplicates(["node"]), "sets", "none")
-
-    # 1. neighbours in sorted order; all links of crowded regions
-    small = region.where(F.col("count") <= REGION)
-    after = F.lead(F.struct("node", "n")).over(W.partitionBy("key").orderBy("tail", "node"))
-    pairs = small.withColumn("next", after).where(F.col("next").isNotNull() & fits(F.col("n"), F.col("next.n"))).withColumn("other", F.col("next.node"))
-    chained = _confirmed(pairs.select(*_ordered("node", "other")).distinct(), sets, percent)
-    first = components(chained.unionByName(_crowds(region, sets, percent)))
-
-    # 2. pairs of different components in the other regions
-    member = small.join(first, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    about = member.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    member = keep(member.join(about.select("key"), "key"), "members")
-    x = member.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    y = member.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-    found = x.join(y, "key").where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & fits(F.col("nx"), F.col("ny")))
-    found = found.select(F.col("x").alias("a"), F.col("y").alias("b"))
-    found = keep(found.distinct(), "candidates")
-    short = keep(nodes.join(met, "node").select("node", "sig").mapInArrow(_short, "node binary, sig binary"), "short")
-    side = lambda c: short.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"))
-    likely = found.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_likely, "a binary, b binary")
-    second = keep(_confirmed(likely, sets, percent), "confirmed")
-    root = lambda c: first.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    lifted = second.join(root("a"), "a", "left").join(root("b"), "b", "left")
-    more = components(lifted.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
-    # nodes of the second graph are roots of the first, or nodes without links there
-    of_first = first.join(more.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    alone = more.join(first.select("node"), "node", "left_anti")
-    root_of = keep(of_first.unionByName(alone), "roots")
-
-    least = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    whole = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = keep(least.join(whole, "root").select("node", "component_id", "root"), "labels")
+    with Scratch(documents.sparkSession, "neardup") as scratch:
+        keep_ = scratch.keep
+        # one row of each distinct set, before anything is joined
+        one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+        nodes = signed.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), one.alias("of"))
+        nodes = keep_(nodes.select("node", "n", "sig", F.col("of.row").alias("row"), F.coalesce("of.doc_id", F.lit(0)).alias("id"), F.col("of.none").alias("none")), "nodes")
+        forest = nodes.select("node", "n", "sig").mapInArrow(_forest, "key long, tail long, node binary, n long")
+        crowded = keep_(forest.groupBy("key").agg(F.count("*").alias("count")).where("count > 1"), "keys")
+        region = keep_(forest.join(crowded, "key"), "regions")
+
+        # full sets of the nodes that have a neighbour; each from one of its rows
+        of = nodes.join(region.select("node").distinct(), "node", "left_semi").select("node", "row", "id", "none")
+        texts = docs.select("row", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text")
+        sets = keep_(texts.join(of, ["row", "id", "none"]).select("node", "text").mapInArrow(_sets(size), "node binary, members binary").dropDuplicates(["node"]), "sets", "none")
+
+        # 1. neighbours in sorted order
+        part = F.when(F.col("count") > PART, F.pmod(F.xxhash64("node"), F.ceil(F.col("count") / PART))).otherwise(0)
+        after = F.lead(F.struct("node", "n")).over(W.partitionBy("key", "part").orderBy("tail", "node"))
+        pairs = region.withColumn("part", part).withColumn("next", after).where(F.col("next").isNotNull() & fits(F.col("n"), F.col("next.n"))).withColumn("other", F.col("next.node"))
+        root_of = joined(None, _confirmed(pairs.select(*_ordered("node", "other")).distinct(), sets, percent), keep_)
+
+        # 2. pairs of different components in the other regions
+        small = region.where(F.col("count") <= REGION).join(root_of, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+        about = small.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        small = keep_(small.join(about.select("key"), "key"), "members")
+        x = small.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+        y = small.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+        found = x.join(y, "key").where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & fits(F.col("nx"), F.col("ny")))
+        found = keep_(found.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "candidates")
+        links = _confirmed(found, sets, percent)
+
+        # 3. crowded regions
+        stars = _stars(region, root_of, sets, percent, keep_)
+        root_of = joined(root_of, links.unionByName(stars.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))), keep_)
+        root_of = joined(root_of, _apart(stars, root_of, percent, keep_), keep_)
+
+        least = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        least = keep_(least, "least")
+        whole = keep_(least.groupBy("root").agg(F.min("least").alias("component_id")), "whole")
+        label = keep(least.join(whole, "root").select("node", "component_id", "root"), "labels")
     out = signed.select("doc_id", "row", "node", F.col("n").alias("n_shingles")).join(label, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "row", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node", "root")
 
 
-def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A byte of each signature value."""
-    for b in batches:
-        sigs = [(np.frombuffer(x, np.uint32) & np.uint32(255)).astype(np.uint8).tobytes() for x in b.column("sig").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sigs, pa.binary())], ["node", "sig"])
-
-
 def op5(spark: SparkSession, documents: DataFrame) -> DataFrame:
     return near_duplicates(documents.select("doc_id", "text"), size=2).select("doc_id", "n_shingles", "component_id", "kept")

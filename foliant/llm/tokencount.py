@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import small
 from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, once, parts_of, units_of
 
 STRETCH, MEMO = 200_000, 400_000
@@ -115,7 +116,7 @@ def token_counts(df: DataFrame, pieces: Pieces) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = once(Counter, shared.value)
-        for b in batches:
+        for b in small(batches):
             got = list(counter.counts(b.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([x for x, _ in got], pa.int64()), pa.array([y for _, y in got], pa.int64())], ["doc_id", "n_pretokens", "n_tokens"]

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small
+
 #: Large, so that long texts don't fill the bins of others by chance.
 BITS = 21
 BINS = 1 << BITS
@@ -127,7 +129,7 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, tra
     chosen = documents.where("doc_id is not null").select("doc_id", "text").join(F.broadcast(few), "doc_id").where(F.char_length(F.coalesce("text", F.lit(""))) <= train_chars)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             bins = [np.unique(bins_of(t)).astype(np.int32).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(bins, pa.binary())], ["doc_id", "toxic", "bins"])
 
@@ -144,7 +146,7 @@ def score(documents: DataFrame, model: Model, out: str = "score") -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
         m = Model(np.frombuffer(weights, np.float32), bias)
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in plain), pa.array(m.scores(b.column("text").to_pylist()), pa.float64())], [*plain, out])
 
     rows = documents.select(*plain)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keep
+from .common import ascii_lower, keep, small
 
 LEXICON, LONGEST, BINS = 50_000, 20, 1 << 16
 #: The rules of the contract: verdict, host, path.
@@ -62,7 +62,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts.clear()
         return batch
 
-    for b in batches:
+    for b in small(batches):
         for html in b.column("html").to_pylist():
             if html:
                 counts.update(word.findall(tag.sub(" ", html).lower()))
@@ -149,7 +149,7 @@ def op6(spark: SparkSession, pages: DataFrame, rules: list[tuple[str, str, str]]
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Segmenter(counts.value)
-        for b in batches:
+        for b in small(batches):
             bins = [words.bins(h, p) for h, p in zip(b.column("host").to_pylist(), b.column("path").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("verdict"), pa.array(bins, pa.list_(pa.int32()))], ["verdict", "bins"])
 
@@ -162,7 +162,7 @@ def op6(spark: SparkSession, pages: DataFrame, rules: list[tuple[str, str, str]]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, bayes = Segmenter(counts.value), model.value
-        for b in batches:
+        for b in small(batches):
             out = [
                 v or ("block" if bayes.blocks(words.bins(h, p)) else "allow")
                 for h, p, v in zip(b.column("host").to_pylist(), b.column("path").to_pylist(), b.column("verdict").to_pylist(), strict=True)

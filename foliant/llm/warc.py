@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import new_path
+from .common import new_path, small
 
 #: Digits of base 32 as ``conv`` writes them, and RFC 4648's alphabet.
 CONV32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -93,7 +93,7 @@ def plan_records(pages: DataFrame, min_revisit_bytes: int = 0, date: str = "1970
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """html to (sha256, n, gzip member)."""
-    for b in batches:
+    for b in small(batches):
         raw = [x.encode() if isinstance(x, str) else (x or b"") for x in b.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
@@ -116,7 +116,7 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0) -> No
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Decompress and verify; (sha256, header, payload)."""
-    for b in batches:
+    for b in small(batches):
         out = []
         for sha, n, member in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
             if member is None:

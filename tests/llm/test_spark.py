@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from foliant.llm.common import keep
 from foliant.llm import chat, codec, decontaminate, htmltext, neardup, queries, syncmers, tokencount, toxicity, urlfilter, warc
 
 SF = "/root/testdata/sf0.001"
@@ -179,12 +180,40 @@ def test_crowded_region_of_many_sizes(spark):
     rows = [(bytes([i]) * 16, sorted(m)) for i, m in enumerate(members)]
     sets = spark.createDataFrame([(b, np.array(m, np.uint64).tobytes()) for b, m in rows], "node binary, members binary")
     region = spark.createDataFrame([(7, b, len(m), len(rows)) for b, m in rows], "key long, node binary, n long, count long")
-    links = neardup._crowds(region, sets, 80)
-    got = {frozenset((r.node, r.root)) for r in neardup.components(links).collect() if r.node != r.root}
+    none = spark.createDataFrame([], "node binary, root binary")
+    stars = neardup._stars(region, none, sets, 80, keep)
+    root_of = neardup.joined(none, stars.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    links = neardup._apart(stars, root_of, 80, keep)
+    root = {r.node: r.root for r in neardup.joined(root_of, links).collect()}
     near = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
-    exact = {frozenset((a, b)) for a, x in rows for b, y in rows if a < b and near(set(x), set(y))}
-    assert {p for p in exact if min(p) >= rows[70][0]} == {p for p in got if min(p) >= rows[70][0]} and len(exact) == 70 * 69 // 2 + 7
-    assert len(got) == 69 + 7
+    want = {b: b for b, _ in rows}
+    for a, x in rows:
+        for b, y in rows:
+            if a < b and near(set(x), set(y)) and want[a] != want[b]:
+                old, new = want[b], want[a]
+                want = {k: new if v == old else v for k, v in want.items()}
+    classes = lambda of: {frozenset(k for k in want if of(k) == r) for r in {of(k) for k in want}}
+    assert classes(lambda k: root.get(k, k)) == classes(want.get) and len(set(want.values())) == 1 + 7
+
+
+def test_one_hub_against_all_pairs(spark):
+    """Sets that stray from one text by edits of a small stock, so that differences are shared and few pairs are linked with the hub."""
+    rnd = random.Random(4)
+    rows = []
+    for i in range(150):
+        gone, new = rnd.sample(range(100), rnd.randint(2, 22)), rnd.sample(range(200, 230), rnd.randint(0, 18))
+        rows.append((bytes([i]) * 16, sorted(set(range(100)).difference(gone).union(new))))
+    sets = spark.createDataFrame([(b, np.array(m, np.uint64).tobytes()) for b, m in rows], "node binary, members binary")
+    region = spark.createDataFrame([(7, b, len(m), len(rows)) for b, m in rows], "key long, node binary, n long, count long")
+    none = spark.createDataFrame([], "node binary, root binary")
+    stars = neardup._stars(region, none, sets, 80, keep)
+    root_of = neardup.joined(none, stars.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    root = {r.node: r.root for r in root_of.collect()}
+    got = {(r.a, r.b) for r in neardup._apart(stars, root_of, 80, keep).collect()}
+    near = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    want = {(a, b) for a, x in rows for b, y in rows if a < b and near(set(x), set(y)) and root.get(a, a) != root.get(b, b)}
+    hub = stars.first().hub
+    assert got == {p for p in want if hub not in p} and len(got) > 100
 
 
 def test_trees_share_no_key_value():
