@@ -3,8 +3,8 @@
 Files of type BPE hold merge ranks for scores. Summing those isn't a likelihood, and its best segmentation is about
 a third longer than the model's own. So for such files a segmentation may only have junctions
 that merging leaves: a piece may follow another if merging the characters of both ends in just these
-two. Then each prefix of a text has one last piece, the dynamic programs stay as they are, and their
-result equals that of the file's own encoder. For files of type unigram (``kind="unigram"``) the scores alone decide.
+two. The dynamic programs relax the best score among all pieces that may follow, and their
+result equals that of the file's own encoder. For files of type unigram (``kind="unigram"``) every piece may follow every other.
 
 A character that no piece holds is written as its UTF-8 bytes. A text is normalised as the file's model does
 it: one space is put in front, and spaces are written as U+2581. No piece holds U+2581 after
@@ -55,29 +55,33 @@ def load_pieces(path: str = MODEL, kind: str = "merges") -> Pieces:
             raw.append(p.replace(SPACE, " ").encode())
     if any(SPACE in p.lstrip(SPACE) for p in scores):
         raise ValueError("a piece holds a space after another character, so texts can't be cut at spaces")
-    floor = least - 10.0 if kind == "unigram" else -1e15  # with merges, only for characters that no piece holds
+    # with merges, bytes are only for characters that no piece holds: worse than any pieces over a piece's length
+    floor = least - 10.0 if kind == "unigram" else (max(map(len, scores), default=0) + 2) * least - 10.0
     return Pieces(scores, byte_ids, raw, floor, not any("\n" in p for p in scores), kind)
 
 
 class Junctions(dict):
     """Whether a piece may follow another, by (id of the first + 1) * number of pieces + id of the second; the first
-    is -1 after bytes and at the start. Remembered up to a bound."""
+    is -1 after bytes and at the start. Those of the last ``MOST`` new ones are remembered (about 100 bytes each, twice)."""
 
-    MOST = 1_000_000
+    MOST = 300_000
 
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.scores, self.free = pieces.scores, pieces.kind == "unigram"
-        self.count = len(pieces.raw)
+        self.count, self.older = len(pieces.raw), {}
         self.names: list[str | None] = [None] * self.count
         for name, (i, _) in pieces.scores.items():
             self.names[i] = name
 
     def __missing__(self, key: int) -> bool:
-        first, second = divmod(key, self.count)
-        a, b = self.names[first - 1] if first else None, self.names[second]
-        ok = self.free or a is None or self.merged(a + b) == [a, b]
-        if len(self) > self.MOST:
+        ok = self.older.get(key)
+        if ok is None:
+            first, second = divmod(key, self.count)
+            a, b = self.names[first - 1] if first else None, self.names[second]
+            ok = self.free or a is None or self.merged(a + b) == [a, b]
+        if len(self) >= self.MOST:
+            self.older = dict(self)
             self.clear()
         self[key] = ok
         return ok

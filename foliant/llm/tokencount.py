@@ -2,8 +2,8 @@
 
 The distinct pre-tokens of a stretch of documents are inserted in a trie in sorted order. A node holds the
 best forward score of its prefix, the tokens of that segmentation, its last piece, and the pieces
-that may still grow; so each shared prefix is computed once. Which piece may follow which is
-told by ``pieces.Junctions``. A branch that is complete is dropped after the counts of its
+that may still grow; so each shared prefix is computed once. Every piece that ends at a node, and may follow the last piece
+where it starts (``pieces.Junctions``), relaxes the node's score. A branch that is complete is dropped after the counts of its
 terminal nodes are stored. Ties and unknown characters are as in ``codec``, so counts equal the lengths of its ids.
 
 Nothing is shuffled: a task has its own trie, with a bound on what it remembers.
@@ -22,14 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import small
 from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, once, parts_of, units_of
 
-STRETCH, MEMO = 200_000, 400_000
+#: Units of a stretch; what a task remembers of units, in bytes, of those of at most ``SHORT`` characters.
+STRETCH, MEMO_BYTES, SHORT = 100_000, 32 << 20, 64
+#: About what a remembered unit takes besides its characters.
+ENTRY = 150
 
 
 class CountingTrie:
     def __init__(self, pieces: Pieces):
         self.floor, self.may = pieces.floor, Junctions(pieces)
         self.root: dict = {}
-        self.only_one = pieces.kind != "unigram"  # with junctions, one piece may end at a node
         for p, (i, score) in pieces.scores.items():
             node = self.root
             for c in p:
@@ -39,7 +41,7 @@ class CountingTrie:
     def counts(self, tokens: list[str]) -> dict[str, int]:
         """Best segmentation's length of each token; ``tokens`` are distinct and sorted."""
         out: dict[str, int] = {}
-        root, floor, may, pieces, only_one = self.root, self.floor, self.may, self.may.count, self.only_one
+        root, floor, may, pieces = self.root, self.floor, self.may, self.may.count
         # by depth on the path from the trie's root: score, count, last piece, and growing pieces (start, node)
         score, count, last, grow = [0.0], [0], [-1], [[]]
         before = ""
@@ -59,7 +61,7 @@ class CountingTrie:
                     if child is not None:
                         alive.append((start, child))
                         found = child.get(None)
-                        if found is None or only_one and piece >= 0:
+                        if found is None:
                             continue
                         i, s = found
                         if score[start] + s > best and may[(last[start] + 1) * pieces + i]:
@@ -77,18 +79,28 @@ class Counter:
     """Counts of whole texts, a stretch of texts at a time."""
 
     def __init__(self, pieces: Pieces):
-        self.trie, self.units, self.known = CountingTrie(pieces), pieces.units, {}
+        self.trie, self.units = CountingTrie(pieces), pieces.units
+        self.known: dict[str, int] = {}
+        self.held = 0
 
-    def learn(self, units: set[str]) -> None:
+    def learn(self, units: set[str]) -> dict[str, int]:
+        """Remembers the counts of short ``units``; returns those of the others."""
         plain = sorted(x.replace(" ", SPACE) for x in units if SPACE not in x)
         got = self.trie.counts(plain)
+        long: dict[str, int] = {}
         for u in units:
             if SPACE not in u:
-                self.known[u] = got[u.replace(" ", SPACE)]
+                n = got[u.replace(" ", SPACE)]
             else:
                 parts = parts_of(u)
                 own = self.trie.counts(sorted({p for p in parts if p is not None}))
-                self.known[u] = sum(len(SPACE.encode()) if p is None else own[p] for p in parts)
+                n = sum(len(SPACE.encode()) if p is None else own[p] for p in parts)
+            if len(u) > SHORT:
+                long[u] = n
+            else:
+                self.known[u] = n
+                self.held += ENTRY + len(u)
+        return long
 
     def counts(self, texts: list[str | None]) -> Iterator[tuple[int, int]]:
         """(pre-tokens, tokens) of each text."""
@@ -98,15 +110,13 @@ class Counter:
             held.append(units_of(t, self.units))
             size += len(held[-1])
             if size >= STRETCH or i == len(texts) - 1:
-                new: set[str] = set()
-                if len(self.known) > MEMO:
-                    self.known.clear()
-                for us in held:
-                    new.update(us)
-                self.learn(new.difference(self.known))
-                get = self.known.__getitem__
+                units = set().union(*held)
+                if self.held > MEMO_BYTES:
+                    self.known, self.held = {}, 0
+                long = self.learn(units.difference(self.known))
+                get = self.known.get
                 for us in held:
-                    yield len(us), sum(map(get, us))
+                    yield len(us), sum([n if (n := get(u)) is not None else long[u] for u in us])
                 held, size = [], 0
 
 
