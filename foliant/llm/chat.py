@@ -5,7 +5,7 @@ the path of a leaf holds its nearest 2**k ancestors, so a tree of depth d takes
 rounds and never more rows than the paths themselves have.
 
 Template of a turn: ``### `` role ``: `` text ``</turn>`` newline. In roles and texts ``\\`` becomes ``\\b``,
-``<`` becomes ``\\l`` and ``#`` becomes ``\\h``; so neither marker can occur inside, and each text is
+``<`` becomes ``\\l`` and ``#`` becomes ``\\h``; in roles ``:`` becomes ``\\c`` too. So no marker can occur inside, and each role and text is
 found again exactly.
 
 Cases: null role or text is empty; a node whose parent does not exist, or is null, is a root; a
@@ -29,8 +29,14 @@ def escape(c: Column) -> Column:
     return F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\b")), F.lit("<"), F.lit("\\l")), F.lit("#"), F.lit("\\h"))
 
 
+def escape_role(c: Column) -> Column:
+    return F.replace(escape(c), F.lit(":"), F.lit("\\c"))
+
+
 def unescape(c: Column) -> Column:
-    return F.replace(F.replace(F.replace(c, F.lit("\\l"), F.lit("<")), F.lit("\\h"), F.lit("#")), F.lit("\\b"), F.lit("\\"))
+    for mark, sign in (("\\l", "<"), ("\\h", "#"), ("\\c", ":"), ("\\b", "\\")):
+        c = F.replace(c, F.lit(mark), F.lit(sign))
+    return c
 
 
 def reply_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
@@ -75,7 +81,7 @@ def format_chats(nodes: DataFrame, branches: int | None = 1, learn: tuple[str, .
 
     ``spans`` are (start, length) of the texts under the loss mask, in code points of ``formatted``.
     """
-    body = nodes.select("tree", "node", escape(text_of("role")).alias("role"), escape(text_of("text")).alias("text"), text_of("role").isin(*learn).alias("learn"))
+    body = nodes.select("tree", "node", escape_role(text_of("role")).alias("role"), escape(text_of("text")).alias("text"), text_of("role").isin(*learn).alias("learn"))
     turns = reply_paths(nodes, branches).join(body, ["tree", "node"])
     head = F.concat(F.lit(START), "role", F.lit(MIDDLE))
     turns = turns.withColumn("head", head).withColumn("line", F.concat("head", "text", F.lit(END)))
@@ -139,7 +145,7 @@ WITH c AS (
   UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
 ), e AS (
   SELECT *, length(text) + length(text) - length(replace(replace(replace(text, '\\', ''), '<', ''), '#', ''))
-    + length(role) + length(role) - length(replace(replace(replace(role, '\\', ''), '<', ''), '#', '')) + 4 + 2 + 8 AS n FROM c
+    + length(role) + length(role) - length(replace(replace(replace(replace(role, '\\', ''), '<', ''), '#', ''), ':', '')) + 4 + 2 + 8 AS n FROM c
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from foliant.llm.common import keep
+from foliant.llm.pieces import MODEL, load_pieces
 from foliant.llm import chat, codec, decontaminate, htmltext, neardup, queries, syncmers, tokencount, toxicity, urlfilter, warc
 
 SF = "/root/testdata/sf0.001"
@@ -239,6 +240,31 @@ def test_tokens_and_codec_cases(spark):
     assert codec.op8(spark, odd(spark).where("false")).count() == 0
 
 
+def test_tokens_of_a_whole_table_equal_the_library(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    coded = codec.op8(spark, docs).collect()
+    assert len(coded) == len(texts)
+    for r in coded:
+        assert r.token_ids == sp.encode(texts[r.doc_id]) and r.n_tokens == len(r.token_ids) and r.round_trip
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    assert {r.doc_id: r.n_tokens for r in tokencount.op7(spark, docs).collect()} == {r.doc_id: len(r.token_ids) for r in coded}
+
+
+def test_codec_columns_and_long_units(spark):
+    pieces = load_pieces()
+    df = spark.createDataFrame([("x" * 200_000, 1, 5), ("▁ a▁", 2, 5), (None, 3, 5)], "text string, doc_id long, token_ids int")
+    rows = codec.decode(codec.encode(df, pieces), pieces).orderBy("doc_id").collect()
+    assert [r.decoded for r in rows] == ["x" * 200_000, "▁ a▁", ""] and all(r.round_trip for r in codec.round_trip(df, pieces).collect())
+    over = codec.encode(df.select("text", "doc_id"), pieces, out="text").orderBy("doc_id").collect()
+    assert [r.text for r in over] == [r.token_ids for r in rows]
+    counts = tokencount.token_counts(df, pieces).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in counts] == [len(r.token_ids) for r in rows]
+
+
 def test_html_cases(spark):
     rows = spark.createDataFrame([(1, "u", "<article>é x</article>", 5), (2, None, None, 5), (None, "v", "", 5)], "page_id long, url string, html string, n_chars int")
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in htmltext.op9(spark, rows).collect()) == [("1", "é x", 3), ("2", "", 0), ("None", "", 0)]
@@ -255,6 +281,20 @@ def test_chat_cases(spark):
     assert {r.conv_id for r in chat.op10(spark, df.where("false")).collect()} == {-7}
 
 
+def test_chat_with_markers_in_roles_and_texts(spark):
+    """Every role and text comes back, by brute force over conversations of marks."""
+    rnd = random.Random(5)
+    bits = ["### ", ": ", "</turn>", "\n", "\\", "\\c", "\\b", ":", "#", "<", "\\l", "é", "a"]
+    mess = lambda: "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9)))
+    rows = [(c, t, rnd.choice(["assistant", "tool: search", mess()]), mess()) for c in range(40) for t in range(rnd.randint(1, 5))]
+    got = {r.conv_id: r for r in chat.op10(spark, spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    for c in range(40):
+        turns = [(r, x) for k, _, r, x in rows if k == c]
+        learned = "".join(x for r, x in turns if r == "assistant")
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest() and got[c].n_turns == len(turns)
+        assert got[c].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest() and got[c].loss_chars == len(learned)
+
+
 def test_reply_trees(spark):
     tree = [(1, 1, None, 0.0), (1, 2, 1, 1.0), (1, 3, 1, 5.0), (1, 4, 2, 9.0), (1, 5, 3, 2.0), (1, 6, 99, 1.0)] + [(2, i, i - 1 if i else None, 1.0) for i in range(40)]
     n = spark.createDataFrame([(*r, "user" if r[1] % 2 else "assistant", f"t{r[1]}") for r in tree], "tree long, node long, parent long, score double, role string, text string")
