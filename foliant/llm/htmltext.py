@@ -1,19 +1,25 @@
 """Main text of web pages by a minimum cut over their blocks.
 
 A page is cut into blocks (runs of text between block-level tags). A linear classifier over features of a block
-(its containers, names in class and id, link share, length, end marks) gives the cost of calling it content or
+(link share, length, end mark, heading, list of links, names in class and id) gives the cost of calling it content or
 boilerplate; these are the capacities to source and sink. Blocks that follow each other, and blocks of one parent,
 are joined by smoothness edges that are stronger the closer they are in the DOM. The maximum flow separates content
 from boilerplate.
 
-Elements that are never text (script, style, form controls, ...) are left out before; what lies inside nav, header,
-footer, aside or form, or in an element named as advert, menu, comments and the like, has a cost no
-smoothness can outweigh, unless the page has an article inside of it.
+The weights are fitted on pages that label their own blocks, those with a single ``article``: at most ``FIT_PAGES`` of them, of at
+most ``FIT_CHARS`` characters. The fit is a logistic regression that is drawn towards ``PRIOR``, so that features which the
+sample doesn't show keep a sensible weight.
 
-The weights are fixed values of this module: the tables hold no labelled blocks to learn them from.
+What is no text by definition isn't left to the weights: elements of scripts, styles and form controls are left out, and
+what lies in nav, header, footer, aside or form, or in an element named as advert, menu, sidebar, notice or reader comments, has a
+cost that no smoothness outweighs. On a page with an article its blocks are content and all others are not. Other
+names (related, discussion, tags, share, ...) only count as a feature, and hidden text is text.
+
+Parsing and cutting take time in proportion to the page.
 
 Cases: null html is empty; a page without content blocks has the empty text; tags that are not closed end with their parent, with
-``p`` and ``li`` as in HTML; broken references stay as they are. Repeated rows repeat their result; no rows give no rows.
+``p`` and ``li`` as in HTML; broken references stay as they are. Without pages to fit on the weights are ``PRIOR``. Repeated rows repeat
+their result; no rows give no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,19 +30,24 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import small
 
 #: Fixed values of HTML: elements that hold no text of the page, void elements, and inline elements.
-HIDDEN = frozenset("script style noscript template iframe object svg canvas math select textarea button head audio video".split())
+HIDDEN = frozenset("script style noscript template iframe canvas select textarea button head".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark math q rb rp rt ruby s samp small span strike strong sub sup svg time tt u var wbr".split()
 )
+FOREIGN = frozenset(("math", "svg"))
 HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ITEMS = frozenset("li dd dt".split())
+LISTS = frozenset("ul ol dl table".split())
 #: Elements that a start tag of the same group closes when they are open in the same container.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = frozenset(
@@ -44,18 +55,20 @@ ENDS_P = frozenset(
 )
 BOUNDS = frozenset("article section main div table ul ol dl body html nav aside header footer form blockquote td th".split())
 
+
 #: Containers that hold no article text.
-OUTSIDE = frozenset("nav header footer aside form menu dialog".split())
-#: Words in class, id or role that say so. Those of the second pattern also name states of a whole page; an
-#: article or a content name takes precedence over them.
+OUTSIDE = frozenset("nav header footer aside menu dialog".split())
+#: Words in class, id or role of what is never article text. Those of the second pattern also name states of a whole page; an
+#: article or a content name inside takes precedence over them. Those of the third are only a feature.
 NAMES_OUT = re.compile(
     r"(?:^|[\s_-])(?:ad(?:s|box|slot|unit|wrap|banner|space)?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|promotions?|sidebars?|side-?bar|breadcrumbs?|"
-    r"footer|copyright|comments?|commentlist|replies|respond|disqus|discussion|cookies?|consent|gdpr|notices?|notifications?|alerts?|popup|modal|newsletter|"
-    r"subscribe|subscription|signup|share|sharing|social|related|recommended|recommendations|widgets?|pagination|pager|complementary|contentinfo)\d*(?=$|[\s_-])",
+    r"footer|comments?|commentlist|replies|respond|disqus|cookies?|consent|gdpr|notices?|notifications?|popup|newsletter|"
+    r"subscribe|subscription|signup|pagination|pager|complementary|contentinfo)\d*(?=$|[\s_-])",
     re.I,
 )
-NAMES_WEAK = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menus?|header|masthead|topbar|banner|foot|legal|login|toolbar|overlay|skip-?link|search|tags?)\d*(?=$|[\s_-])", re.I
+NAMES_WEAK = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menus?|header|masthead|topbar|banner|foot|login|toolbar|skip-?link)\d*(?=$|[\s_-])", re.I)
+NAMES_SOFT = re.compile(
+    r"(?:^|[\s_-])(?:copyright|legal|discussion|alerts?|modal|overlay|search|tags?|share|sharing|social|related|recommended|recommendations|widgets?)\d*(?=$|[\s_-])", re.I
 )
 STATES = re.compile(r"(?:^|(?<=[\s_-]))(?:with|has|no|without|show|hide|is)-[\w-]+", re.I)
 #: Names of elements that hold the article where no article or main element does.
@@ -65,40 +78,63 @@ NAMES_IN = frozenset(
 FREE, HARD, HEADER, WEAK = 0, 1, 2, 3
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-ATTR = re.compile(r"(?:^|\s)(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-SPACES = re.compile(r"\s+")
+ATTR = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: HTML's white space; no-break spaces are text.
 WHITE = re.compile("[ \t\n\r\f]+")
 
+#: Bounds of the sample that the weights are fitted on.
+FIT_PAGES, FIT_CHARS = 300, 50_000
+#: Weights of ``features`` before any page is seen, and how many blocks they count for.
+PRIOR, PRIOR_BLOCKS = np.array([-0.6, 1.2, -4.0, 0.8, 1.0, -2.0, -1.5]), 50
+#: Costs that decide: of blocks inside and outside of the article, and of a container of boilerplate; of main or an element named as content.
+ARTICLE, BOILERPLATE, MAIN = 10.0, 100.0, 3.0
+
 
 @dataclass
 class Block:
     text: str
     parent: int  # number of the nearest block-level element
-    depth: int
-    path: tuple[int, ...]
+    depth: int  # of block-level elements
+    common: int  # of these, how many hold the block before too
     outside: bool  # in a container of boilerplate
     inside: int  # 2 in an article, 1 in main or an element named as content
     head: bool
     in_list: bool
+    soft: bool  # in an element with a name of NAMES_SOFT
     linked: int  # characters inside links
 
 
+class Element:
+    __slots__ = ("name", "number", "block", "hidden", "outside", "inside", "soft", "alive")
+
+    def __init__(self, name: str, number: int, block: bool, of: Element | None):
+        self.name, self.number, self.block, self.alive = name, number, block, True
+        self.hidden, self.outside, self.inside, self.soft = (of.hidden, of.outside, of.inside, of.soft) if of else (False, FREE, 0, False)
+
+
 class Page:
-    """Blocks of one page, from a single pass over its tags."""
+    """Blocks of one page, from a single pass over its tags. Each tag costs no more than what it opens and closes."""
 
     def __init__(self, html: str):
         self.blocks: list[Block] = []
-        # open elements: (name, number, hidden, outside, inside)
-        self.open: list[tuple[str, int, bool, int, int]] = [("#root", 0, False, FREE, 0)]
-        self.made = 0
+        root = Element("#root", 0, True, None)
+        self.open, self.made = [root], 0
+        # places in ``open``, in order: of all elements by name, of block-level ones, of those that end the search for a p or an item
+        self.at: dict[str, list[int]] = {"#root": [0]}
+        self.tops, self.bounds, self.lists = [0], [0], [0]
+        self.count = dict.fromkeys(("links", "heads", "items", "foreign"), 0)
+        self.low = 1
         self.parts: list[str] = []
         self.linked = 0
         at, n = 0, len(html)
+        last = html.rfind(">") + 1  # a "<" after it starts no tag
         while at < n:
-            m = TOKEN.search(html, at)
+            m = TOKEN.search(html, at, last) if at < last else None
             if not m:
-                self.text(html[at:])
+                if html.startswith("<!--", at) or (cut := html.find("<!--", max(at, last))) < 0:
+                    self.text(html[at:])
+                else:
+                    self.text(html[at:cut])
                 break
             if m.start() > at:
                 self.text(html[at : m.start()])
@@ -107,119 +143,175 @@ class Page:
             if not name:
                 if m[0].startswith("<![CDATA["):
                     self.text(m[0][9:-3])
+                elif m[0].startswith("<!--") and not m[0].endswith("-->"):
+                    break  # a comment that isn't closed
             elif m[1] or m[4]:
                 self.end(name)
             else:
-                attrs = m[3] if m[2] else m[6]
-                self.start(name, attrs or "")
-                if name in RAW and not (attrs or "").endswith("/"):
+                attrs = (m[3] if m[2] else m[6]) or ""
+                self.start(name, attrs)
+                if name in RAW and not attrs.endswith("/"):
                     close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-                    if name not in HIDDEN and name != "title":
-                        self.text(html[at : close.start() if close else n])
                     at = close.end() if close else n
                     self.end(name)
         self.flush()
 
     def text(self, raw: str) -> None:
-        if not self.open[-1][2]:
+        if not self.open[-1].hidden:
             self.parts.append(raw)
-            if any(e[0] == "a" for e in self.open):
+            if self.count["links"]:
                 self.linked += len(raw.strip())
 
     def flush(self) -> None:
-        text = WHITE.sub(" ", unescape("".join(self.parts))).strip(" \t\n\r\f")
-        if text.strip():
-            blocks = [e for e in self.open if e[0] not in INLINE]
-            top = blocks[-1]
-            head = any(e[0] in HEADS for e in blocks)
-            # of an article's own header, the headings are text
-            outside = top[3] in (HARD, WEAK) or top[3] == HEADER and not head
-            in_list = any(e[0] in ("li", "dd", "dt") for e in blocks)
-            self.blocks.append(Block(text, top[1], len(blocks), tuple(e[1] for e in blocks), outside, top[4], head, in_list, min(self.linked, len(text))))
-        self.parts, self.linked = [], 0
+        if self.parts:
+            text = WHITE.sub(" ", unescape("".join(self.parts))).strip(" \t\n\r\f")
+            if text.strip():
+                top, head = self.open[self.tops[-1]], self.count["heads"] > 0
+                # of an article's own header, the headings are text
+                outside = top.outside in (HARD, WEAK) or top.outside == HEADER and not head
+                self.blocks.append(Block(text, top.number, len(self.tops), self.low, outside, top.inside, head, self.count["items"] > 0, top.soft, min(self.linked, len(text))))
+                self.low = len(self.tops)
+            self.parts, self.linked = [], 0
+
+    def counted(self, name: str, by: int) -> None:
+        if name == "a":
+            self.count["links"] += by
+        elif name in HEADS:
+            self.count["heads"] += by
+        elif name in ITEMS:
+            self.count["items"] += by
+        elif name in FOREIGN:
+            self.count["foreign"] += by
+
+    def push(self, e: Element) -> None:
+        place = len(self.open)
+        self.open.append(e)
+        self.at.setdefault(e.name, []).append(place)
+        if e.block:
+            self.tops.append(place)
+        if e.name in BOUNDS:
+            self.bounds.append(place)
+        if e.name in LISTS:
+            self.lists.append(place)
+        self.counted(e.name, 1)
+
+    def cut(self, place: int) -> None:
+        """Close what is open from ``place`` on, and what was closed before and is on top then."""
+        while len(self.open) > place or not self.open[-1].alive:
+            e = self.open.pop()
+            if e.alive:
+                self.at[e.name].pop()
+                self.counted(e.name, -1)
+            for places in (self.tops, self.bounds, self.lists):
+                if places[-1] == len(self.open):
+                    places.pop()
+        self.low = min(self.low, len(self.tops))
 
     def start(self, name: str, attrs: str) -> None:
-        if name not in INLINE:
+        inline = name in INLINE or self.count["foreign"] > 0
+        if not inline:
             self.flush()
-        if name in VOID:
+        if name in VOID or self.count["foreign"] and attrs.endswith("/"):
             return
-        if name in ENDS_P:
-            self.close_within("p", BOUNDS)
-        for other in CLOSES.get(name, ()):
-            self.close_within(other, frozenset(("ul", "ol", "dl", "table", "#root")))
-        _, _, hidden, outside, inside = self.open[-1]
-        words, style = [], ""
-        if attrs:
-            for k, a, b, c in ATTR.findall(attrs):
-                value = a or b or c
-                k = k.lower()
-                if k == "style":
-                    style = value.lower().replace(" ", "")
-                elif k == "hidden" or k == "aria-hidden" and value.lower() == "true":
-                    hidden = True
-                else:
-                    words.append(value)
-            hidden = hidden or "display:none" in style or "visibility:hidden" in style
+        if not inline:
+            if (name in ENDS_P or name == "body") and self.at.get("head"):
+                self.cut(self.at["head"][-1])
+            if name in ENDS_P:
+                self.close_within("p", self.bounds)
+            for other in CLOSES.get(name, ()):
+                self.close_within(other, self.lists)
+        self.made += 1
+        e = Element(name, self.made, not inline, self.open[-1])
+        e.hidden = e.hidden or name in HIDDEN
+        if not inline:
+            self.judge(e, attrs)
+        self.push(e)
+
+    def judge(self, e: Element, attrs: str) -> None:
+        """What the element's name and attributes say of the text in it."""
+        name, names, content = e.name, "", False
+        words = [a or b or c for _, a, b, c in ATTR.findall(attrs)] if "=" in attrs else []
         if words:
             names = STATES.sub("", re.sub("([a-z])([A-Z])", r"\1-\2", " ".join(words)))
             content = not NAMES_IN.isdisjoint(" ".join(words).lower().split())
-        else:
-            names, content = "", False
-        body = name in ("html", "body")
-        if not body and names and NAMES_OUT.search(names):
-            outside = HARD
-        elif outside != HARD:
-            if name in ("article", "main") or content and name not in OUTSIDE:
-                inside, outside = 2 if name == "article" else max(inside, 1), FREE
-            elif name == "header" and inside:
-                outside = outside or HEADER
-            elif name in OUTSIDE:
-                outside = HARD
-            elif not body and names and NAMES_WEAK.search(names):
-                outside = outside or WEAK
-        self.made += 1
-        self.open.append((name, self.made, hidden or name in HIDDEN, outside, inside))
-
-    def close_within(self, name: str, bounds: frozenset[str]) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == name:
-                self.flush()
-                del self.open[i:]
-                return
-            if self.open[i][0] in bounds:
-                return
+        if name in ("html", "body"):
+            return
+        e.soft = e.soft or bool(names and NAMES_SOFT.search(names))
+        if names and NAMES_OUT.search(names):
+            e.outside = HARD
+        elif e.outside != HARD:
+            if name in ("article", "main") or content and name not in OUTSIDE and name != "form":
+                e.inside, e.outside = 2 if name == "article" else max(e.inside, 1), FREE
+            elif name == "header" and e.inside:
+                e.outside = e.outside or HEADER
+            elif name in OUTSIDE or name == "form" and e.inside:
+                e.outside = HARD
+            elif name == "form" or names and NAMES_WEAK.search(names):  # a form may hold the whole page
+                e.outside = e.outside or WEAK
+
+    def close_within(self, name: str, bounds: list[int]) -> None:
+        places = self.at.get(name)
+        if places and places[-1] >= bounds[-1] and places[-1] > 0:
+            self.flush()
+            self.cut(places[-1])
 
     def end(self, name: str) -> None:
-        if name not in INLINE:
+        places = self.at.get(name)
+        block = name not in INLINE and not self.count["foreign"]
+        if block:
             self.flush()
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i][0] == name:
-                if name in INLINE and any(e[0] not in INLINE for e in self.open[i + 1 :]):
-                    # an inline element that blocks were opened in: only the element goes
-                    del self.open[i]
-                else:
-                    if any(e[0] not in INLINE for e in self.open[i + 1 :]):
-                        self.flush()
-                    del self.open[i:]
-                return
+        if not places or name == "#root":
+            return
+        place = places[-1]
+        if not self.open[place].block and self.tops[-1] > place:
+            # an inline element that blocks were opened in: only the element goes
+            self.open[place].alive = False
+            places.pop()
+            self.counted(name, -1)
+        else:
+            if self.tops[-1] >= place:
+                self.flush()
+            self.cut(place)
 
 
-def costs(b: Block, level: int) -> tuple[float, float]:
+def features(b: Block) -> tuple[float, ...]:
+    link = b.linked / max(1, len(b.text))
+    return (1.0, min(len(b.text), 200) / 100, link, float(b.text[-1] in ".!?…。！？\"”»"), float(b.head), float(b.in_list and link > 0.5), float(b.soft))
+
+
+def own_labels(html: str | None) -> list[tuple[float, ...]]:
+    """(label, *features) of each block of a page with a single article, else nothing."""
+    if not html or len(re.findall("<article[\\s>]", html, re.I)) != 1:
+        return []
+    return [(float(b.inside == 2 and not b.outside), *features(b)) for b in Page(html).blocks]
+
+
+def fit_weights(rows: np.ndarray) -> np.ndarray:
+    """Logistic regression on (label, *features), both classes weighing the same, drawn towards ``PRIOR``; Newton's steps."""
+    if not len(rows) or rows[:, 0].min() == rows[:, 0].max():
+        return PRIOR
+    y, x = rows[:, 0], rows[:, 1:]
+    mass = np.where(y == 1, 1000 / y.sum(), 1000 / (1 - y).sum())
+    w = PRIOR.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (mass * (p - y)) + PRIOR_BLOCKS * (w - PRIOR)
+        step = np.linalg.solve((x * (mass * p * (1 - p))[:, None]).T @ x + PRIOR_BLOCKS * np.eye(len(w)), slope)
+        w = w - step * min(1.0, 2.0 / max(1e-9, float(np.abs(step).max())))
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def costs(b: Block, level: int, weights: tuple[float, ...]) -> tuple[float, float]:
     """(cost of calling the block boilerplate, cost of calling it content); ``level`` is the page's largest ``inside``."""
-    inside = 0 < level <= b.inside
-    z = -0.6
+    z = sum(w * f for w, f in zip(weights, features(b), strict=True))
+    if level == 2:
+        z = max(z, 0.0) + ARTICLE if b.inside == 2 else min(z, 0.0) - ARTICLE
+    elif level:
+        z += MAIN if b.inside else -MAIN
     if b.outside:
-        z -= 100.0
-    if level:
-        z += 6.0 if inside else -8.0
-    link = b.linked / max(1, len(b.text))
-    z += 1.2 * min(len(b.text), 200) / 100 - 4.0 * link * (0.3 if inside else 1.0)
-    if b.text[-1] in ".!?…。！？\"”»":
-        z += 0.8
-    if b.head:
-        z += 1.0
-    if b.in_list and link > 0.5 and not inside:
-        z -= 2.0
+        z = min(z, 0.0) - BOILERPLATE
     return (z, 0.0) if z > 0 else (0.0, -z)
 
 
@@ -228,79 +320,136 @@ def smoothness(a: Block, b: Block) -> float:
     the edge of a container of boilerplate."""
     if a.outside != b.outside:
         return 0.0
-    common = 0
-    for x, y in zip(a.path, b.path, strict=False):
-        if x != y:
-            break
-        common += 1
-    return 0.9 if a.parent == b.parent else 0.6 * common / max(len(a.path), len(b.path))
+    return 1.5 if a.parent == b.parent else 1.2 * b.common / max(a.depth, b.depth)
 
 
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Side of each node: True with the source. Augments along shortest residual paths until there is none."""
+    """Side of each node: True with the source.
+
+    A node whose own cost is at least the sum of its edges is on its own side in some minimum cut, so it is decided at once, and
+    its edges become costs of its neighbours. Among the others the maximum flow is sent by blocking flows along shortest paths.
+    """
     n = len(source)
     extra = [s - t for s, t in zip(source, sink, strict=True)]  # flow from source straight to sink is already sent
     to: list[list[list]] = [[] for _ in range(n)]
+    weight = [0.0] * n
     for i, j, c in edges:
-        x, y = [j, c, None], [i, c, None]
-        x[2], y[2] = y, x
-        to[i].append(x)
-        to[j].append(y)
-    while True:
-        came: list = [None] * n
-        seen = [e > 1e-9 for e in extra]
-        queue, found = deque(i for i in range(n) if seen[i]), -1
-        while queue and found < 0:
+        if c > 0:
+            x, y = [j, c, None], [i, c, None]
+            x[2], y[2] = y, x
+            to[i].append(x)
+            to[j].append(y)
+            weight[i] += c
+            weight[j] += c
+    side: list[bool | None] = [None] * n
+    ready = [i for i in range(n) if abs(extra[i]) >= weight[i]]
+    while ready:
+        i = ready.pop()
+        if side[i] is None:
+            side[i] = extra[i] > 0
+            for j, c, _ in to[i]:
+                if side[j] is None:
+                    weight[j] -= c
+                    extra[j] += c if side[i] else -c
+                    if abs(extra[j]) >= weight[j] - 1e-12:
+                        ready.append(j)
+    rest = [i for i in range(n) if side[i] is None]
+    for i in rest:
+        to[i] = [e for e in to[i] if side[e[0]] is None]
+    while rest:
+        level = {i: 0 for i in rest if extra[i] > 1e-9}
+        queue, end = deque(level), None
+        while queue:
             i = queue.popleft()
-            for e in to[i]:
-                j = e[0]
-                if e[1] > 1e-9 and not seen[j]:
-                    seen[j], came[j] = True, (i, e)
+            if end is not None and level[i] >= end:
+                break
+            for j, c, _ in to[i]:
+                if c > 1e-9 and j not in level:
+                    level[j] = level[i] + 1
                     if extra[j] < -1e-9:
-                        found = j
-                        break
+                        end = level[j]
                     queue.append(j)
-        if found < 0:
-            return seen
-        amount, j = -extra[found], found
-        while came[j]:
-            amount = min(amount, came[j][1][1])
-            j = came[j][0]
-        amount = min(amount, extra[j])
-        extra[j] -= amount
-        extra[found] += amount
-        j = found
-        while came[j]:
-            i, e = came[j]
-            e[1] -= amount
-            e[2][1] += amount
-            j = i
-
-
-def main_text(html: str | None) -> str:
-    if not html:
-        return ""
-    blocks = Page(html).blocks
+        if end is None:
+            for i in rest:
+                side[i] = i in level
+            break
+        used = dict.fromkeys(level, 0)  # edges of a node that lead nowhere any more
+        for start in [i for i, d in level.items() if d == 0]:
+            path: list[list] = []
+            at = start
+            while extra[start] > 1e-9:
+                if extra[at] < -1e-9 and path:
+                    amount = min(extra[start], -extra[at], *(e[1] for e in path))
+                    extra[start] -= amount
+                    extra[at] += amount
+                    for e in path:
+                        e[1] -= amount
+                        e[2][1] += amount
+                    path, at = [], start
+                    continue
+                while used[at] < len(to[at]):
+                    e = to[at][used[at]]
+                    if e[1] > 1e-9 and level.get(e[0], -1) == level[at] + 1:
+                        break
+                    used[at] += 1
+                else:
+                    if not path:
+                        break
+                    at = path.pop()[2][0]
+                    used[at] += 1
+                    continue
+                path.append(e)
+                at = e[0]
+    return [bool(x) for x in side]
+
+
+def main_text(html: str | None, weights: np.ndarray | None = None) -> str:
+    blocks = Page(html).blocks if html else []
     if not blocks:
         return ""
+    w = tuple(map(float, PRIOR if weights is None else weights))
     level = max((b.inside for b in blocks if not b.outside), default=0)
-    source, sink = map(list, zip(*(costs(b, level) for b in blocks), strict=True))
+    source, sink = map(list, zip(*(costs(b, level, w) for b in blocks), strict=True))
     edges = [(i, i + 1, smoothness(blocks[i], blocks[i + 1])) for i in range(len(blocks) - 1)]
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):  # the last block of the same parent, where it isn't the neighbour
         j = last.get(b.parent)
         if j is not None and j < i - 1 and blocks[j].outside == b.outside:
-            edges.append((j, i, 0.4))
+            edges.append((j, i, 0.8))
         last[b.parent] = i
     side = minimum_cut(source, sink, edges)
     return "\n".join(b.text for b, content in zip(blocks, side, strict=True) if content)
 
 
-def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in small(batches):
-        texts = [main_text(h) for h in b.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+def fit(pages: DataFrame, most: int = FIT_PAGES, chars: int = FIT_CHARS) -> np.ndarray:
+    """Weights from at most ``most`` pages, those of the smallest hash of their html. About four times as many are looked
+    at, so that what meets in one task doesn't grow with the table; copies count once."""
+    n = pages.count()
+    share = min(1.0, 4 * most / max(n, 1))
+    mark = F.xxhash64("html")
+    drawn = pages.where((mark <= int(-(2**63) + share * (2**64 - 1))) & (F.length("html") <= chars)).select(mark.alias("mark"), "html").dropDuplicates(["mark"]).orderBy("mark").limit(most)
+
+    def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            rows = np.array([r for h in b.column("html").to_pylist() for r in own_labels(h)]).reshape(-1, 1 + len(PRIOR))
+            if len(rows):
+                yield pa.RecordBatch.from_arrays([pa.array([rows.astype(np.float64).tobytes()], pa.binary())], ["rows"])
+
+    got = drawn.select("html").mapInArrow(labelled, "rows binary").toArrow()["rows"].to_pylist()
+    rows = np.frombuffer(b"".join(got), np.float64).reshape(-1, 1 + len(PRIOR))
+    return fit_weights(rows[np.lexsort(rows.T)])  # the order of sums stays the same
+
+
+def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:
+    """(page_id, url, text, n_chars) of each row of ``pages`` (page_id, url, html)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            texts = [main_text(h, weights) for h in b.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+
+    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 
 def op9(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", "url", "html").mapInArrow(extract, "page_id long, url string, text string, n_chars long")
+    return extract(pages, fit(pages))

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 import zlib
 
 import numpy as np
@@ -110,6 +111,49 @@ def test_main_text():
         assert htmltext.main_text(html) == want, html
 
 
+def test_names_and_hidden_text_inside_an_article():
+    page = '<article><section class="discussion"><p>Talk.</p></section><p class="related">Kin.</p><div class="tags-list"><p>Tag.</p></div><p hidden>Hid.</p><p style="display:none">None.</p>'
+    page += '<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><div aria-hidden="true">Aria.</div><object>Ob.</object><svg><path d="m"/><text>Draw.</text></svg></article>'
+    assert htmltext.main_text(page) == "Talk.\nKin.\nTag.\nHid.\nNone.\nLet x=1 be.\nAria.\nOb.\nDraw."
+    page = '<article><p>Text.</p><div class="ad">Buy.</div><section class="comments"><p>First!</p></section><form><p>Name</p></form><aside>Side.</aside><p class="cookie-notice">We.</p></article>'
+    assert htmltext.main_text(page) == "Text."
+    assert htmltext.main_text('<form id="all"><nav>n</nav><article><p>In a form.</p></article></form>') == "In a form."
+    assert htmltext.main_text("<head><title>T</title><body><p>No end of the head, and yet a text.</p>") == "No end of the head, and yet a text."
+
+
+@pytest.mark.parametrize("part", ["<tr><td>some cell text here and<td>more of it all.\n", "<div>x y z. ", "<b><div>a long enough text.", "<p>a<b>", "<b <b ", "<div><p>a text</p><ul><li><a href=x>link</a></ul></div>", "<!-- ", "<a '"])
+def test_time_grows_with_the_page(part):
+    def seconds(n):
+        page = part * n
+        began = time.process_time()
+        htmltext.main_text(page)
+        return time.process_time() - began
+
+    seconds(2_000)
+    assert seconds(80_000) < 8 * max(seconds(20_000), 0.05)
+
+
+def test_large_page():
+    page = "<article>" + "<p>A paragraph of <b>some</b> words, as they stand in long pages; and a bit more, so that it isn't short.</p>\n" * 48_000 + "</article>"
+    assert len(page) > 5_000_000
+    began = time.process_time()
+    assert htmltext.main_text(page).count("\n") == 47_999
+    assert time.process_time() - began < 5
+
+
+def test_fitted_weights_follow_the_sample():
+    page = "<nav><ul>" + '<li><a href="/x">some words</a>' * 5 + "</ul></nav><div>Short words here</div><article><p>" + "Words of a paragraph. " * 12 + "</p><p>" + "More of them, and on. " * 9 + "</p></article>"
+    rows = np.array([r for _ in range(40) for r in htmltext.own_labels(page)])
+    assert rows[:, 0].mean() == 2 / 8 and htmltext.own_labels(page + "<article>") == [] and htmltext.own_labels(None) == []
+    w = htmltext.fit_weights(rows)
+    right = ((rows[:, 1:] @ w > 0) == rows[:, 0]).mean()
+    assert right == 1.0 and not np.allclose(w, htmltext.PRIOR)
+    assert htmltext.fit_weights(rows[:0]) is htmltext.PRIOR
+    # without an article the cut decides: a short block between two of the text stays with them, one among links doesn't
+    text, link = "<p>" + "Words of a paragraph. " * 12 + "</p>", '<p><a href="/x">some words</a></p>'
+    assert htmltext.main_text(f"<body><div>{link * 3}<p>Ok then</p>{link * 3}</div><div>{text}<p>Ok then</p>{text}</div>", w).count("Ok then") == 1
+
+
 def test_segmentation_against_all_cuts():
     counts = {"the": 50, "of": 30, "and": 20, "an": 10, "do": 5, "fan": 2}
     s = urlfilter.Segmenter(counts)

@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import html.parser
 import random
+import re
 import zlib
 
 import duckdb
@@ -266,8 +268,46 @@ def test_codec_columns_and_long_units(spark):
 
 
 def test_html_cases(spark):
-    rows = spark.createDataFrame([(1, "u", "<article>é x</article>", 5), (2, None, None, 5), (None, "v", "", 5)], "page_id long, url string, html string, n_chars int")
-    assert sorted((str(r.page_id), r.text, r.n_chars) for r in htmltext.op9(spark, rows).collect()) == [("1", "é x", 3), ("2", "", 0), ("None", "", 0)]
+    rows = spark.createDataFrame([(1, "u", "<article>é x</article>", 5), (2, None, None, 5), (None, "v", "", 5), (None, "v", "", 5)], "page_id long, url string, html string, n_chars int")
+    assert sorted((str(r.page_id), r.text, r.n_chars) for r in htmltext.op9(spark, rows).collect()) == [("1", "é x", 3), ("2", "", 0), ("None", "", 0), ("None", "", 0)]
+    assert htmltext.op9(spark, rows.where("false")).count() == 0
+
+
+class ArticleText(html.parser.HTMLParser):
+    """The text of a page's article, apart from adverts: another parser than the operator's."""
+
+    ENDS = frozenset("h1 h2 h3 p div br ul ol li table tr td article".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.advert, self.blocks = False, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside = self.inside or tag == "article"
+        self.advert += tag == "div" and (self.advert > 0 or ("class", "ad") in attrs)
+        if tag in self.ENDS:
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside = self.inside and tag != "article"
+        self.advert -= tag == "div" and self.advert > 0
+        if tag in self.ENDS:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside and not self.advert:
+            self.blocks[-1] += data
+
+
+def test_html_of_a_whole_table_by_another_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in htmltext.op9(spark, pages).collect()}
+    for r in pages.collect():
+        p = ArticleText()
+        p.feed(r.html or "")
+        p.close()
+        want = "\n".join(t for b in p.blocks if (t := re.sub("[ \t\n\r\f]+", " ", b).strip(" ")))
+        assert (got[r.page_id].text, got[r.page_id].n_chars, got[r.page_id].url) == (want, len(want), r.url)
 
 
 def test_chat_cases(spark):
