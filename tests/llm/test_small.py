@@ -1,6 +1,7 @@
 """Operators that need no or little Spark, against brute force."""
 
 import itertools
+import math
 import random
 import time
 import zlib
@@ -155,19 +156,16 @@ def test_fitted_weights_follow_the_sample():
 
 
 def test_segmentation_against_all_cuts():
-    counts = {"the": 50, "of": 30, "and": 20, "an": 10, "do": 5, "fan": 2}
-    s = urlfilter.Segmenter(counts)
-    score = lambda ws: sum(s.known.get(w, s.unknown[len(w)]) for w in ws)
-    for name in ("theofand", "fandothe", "xofx", "a", "zzz"):
-        cuts = ("".join(c + ("|" if m else "") for c, m in zip(name, (*marks, 0), strict=True)).split("|") for marks in itertools.product((0, 1), repeat=len(name) - 1))
-        assert score(s[name]) == pytest.approx(max(map(score, cuts)))
-    assert s["theofand"] == ["the", "of", "and"] and s.bins("", "") == []
-
-
-def test_bayes_needs_both_classes():
-    assert not urlfilter.Bayes([], (0, 5)).blocks([1])
-    b = urlfilter.Bayes([(1, 9, 0), (2, 0, 9)], (5, 5))
-    assert b.blocks([1]) and not b.blocks([2]) and not b.blocks([])
+    counts, total = {"the": 50, "of": 30, "and": 20, "an": 10, "do": 5, "fan": 2, "é": 1}, 118
+    score = lambda ws: sum(round(math.log(counts[w] / total) * 1e9) if w in counts else round(math.log(10 / total) * 1e9) - len(w) * round(math.log(10) * 1e9) for w in ws)
+    for name in ("theofand", "fandothe", "xofx", "a", "zzz", "éan"):
+        cuts = ["".join(c + ("|" if m else "") for c, m in zip(name, (*marks, 0), strict=True)).split("|") for marks in itertools.product((0, 1), repeat=len(name) - 1)]
+        got = urlfilter.split_name(name, {w: c for w, c in counts.items() if w in name}, total)
+        assert score(got) == max(map(score, cuts)) and "".join(got) == name
+    assert urlfilter.split_name("theofand", counts, total) == ["the", "of", "and"]
+    began = time.process_time()
+    assert urlfilter.split_name("x" * 100_000, counts, total) == ["x" * 100_000]
+    assert time.process_time() - began < 5
 
 
 def test_toxicity_learns_words_and_not_labels():

@@ -1,8 +1,10 @@
 """Operators as Spark jobs: small fixtures with nulls, empty and repeated rows, and brute force over small tables."""
 
 import base64
+import collections
 import hashlib
 import html.parser
+import math
 import random
 import re
 import zlib
@@ -234,6 +236,70 @@ def test_url_filter_cases(spark):
     assert urlfilter.op6(spark, pages.where("false")).count() == 0
 
 
+def verdicts(pages, rules=urlfilter.RULES):
+    """All of op6 for (page_id, url, html), in plain Python."""
+    counts = collections.Counter()
+    for _, _, h in pages:
+        counts.update(re.findall(r"[^\W\d_]+", re.sub(r"<[^>]*>", " ", re.sub(r"(?is)<(script|style)\b.*?</\1\s*>", " ", h or "")).lower()))
+    total = sum(counts.values()) or 1
+    whole = lambda x: round(x * 1e9)
+
+    def split(name):
+        best = [(0, 0)]
+        for end in range(1, len(name) + 1):
+            options = []
+            for i in range(end):
+                w = name[i:end]
+                options.append((best[i][0] + (whole(math.log(counts[w] / total)) if w in counts else whole(math.log(10 / total)) - len(w) * whole(math.log(10))), -i))
+            best.append(max(options))
+        out, end = [], len(name)
+        while end:
+            out.append(name[-best[end][1] : end])
+            end = -best[end][1]
+        return out
+
+    rows, seen = [], {"block": collections.Counter(), "allow": collections.Counter()}
+    urls = collections.Counter()
+    for i, u, _ in pages:
+        m = re.search(r"://([^/?#]*)([^?#]*)", u or "")
+        host, path = (m[1].translate({c: c + 32 for c in range(65, 91)}), m[2]) if m else ("", "")
+        fits = [(len(h + p), v, h + p) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        words = [(k, w) for k, t in (("h", host.lower()), ("p", path.lower())) for n in re.findall(r"[^\W\d_]+", t) for w in split(n)]
+        _, v, rule = max(fits, default=(0, None, None))
+        if v:
+            seen[v].update(words)
+            urls[v] += 1
+        rows.append([i, host, path, rule, v, words])
+    x, y = seen["block"], seen["allow"]
+    v = len(set(x) | set(y))
+    base = math.log(sum(y.values()) + v + 1) - math.log(sum(x.values()) + v + 1)
+    for r in rows:
+        if r[4] is None:
+            ready = urls["block"] and urls["allow"]
+            z = (whole(math.log(urls["block"]) - math.log(urls["allow"])) + sum(whole(math.log(x[w] + 1) - math.log(y[w] + 1) + base) if w in x or w in y else whole(base) for w in r[5])) if ready else 0
+            r[4] = "block" if z > 0 else "allow"
+    return sorted(map(str, (tuple(r[:5]) for r in rows)))
+
+
+def test_url_filter_of_a_whole_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = [tuple(r) for r in urlfilter.op6(spark, pages).collect()]
+    assert sorted(map(str, got)) == verdicts([tuple(r) for r in pages.select("page_id", "url", "html").collect()])
+
+
+def test_url_filter_of_odd_pages(spark):
+    text = "<p>news sport shop money free the of</p><script>var secretword</script>"
+    urls = ["http://freemoney.net/shop", "http://money.net/free/", "http://news.org/fr/sport", "http://sportnews.org/fr/", "http://moneyshop.com/free", "http://newssport.com/sport", None, "", "x", "http://" + "freemoney" * 300 + ".com/", "http://secretword.com/é/ÉÀ", "http://newssport.com/sport", "HTTP://NEWSsport.com/Sport%20"]
+    rows = [(i, u, text if i % 3 else None) for i, u in enumerate(urls)] + [(None, "http://freemoney.com/", ""), (3, "http://money.net/free/", text)]
+    df = spark.createDataFrame([(*r, 1, "q", 2) for r in rows], "page_id long, url string, html string, n int, host string, id int")
+    got = sorted(str(tuple(r)) for r in urlfilter.op6(spark, df).collect())
+    assert got == verdicts(rows)
+    assert {eval(r)[4] for r in got if eval(r)[3] is None} == {"block", "allow"}
+    # a tie allows: as many of either class, and words that neither has
+    even = spark.createDataFrame([(1, "http://a.net/", None), (2, "http://b.org/fr/", None), (3, None, None)], "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in urlfilter.op6(spark, even).collect()}[3] == "allow"
+
+
 def test_tokens_and_codec_cases(spark):
     counts = sorted((str(r.doc_id), r.n_tokens) for r in tokencount.op7(spark, odd(spark)).collect())
     coded = codec.op8(spark, odd(spark)).collect()
