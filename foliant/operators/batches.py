@@ -59,15 +59,20 @@ def batch_count(documents: str, size: int):
     return F.greatest(F.lit(1), F.ceil(F.col(documents) / size)).cast("long")
 
 
-def batch_progress(trace: DataFrame) -> DataFrame:
-    """(batch_id, batch_end, done, succeeded, failed): running totals after each batch, in the order of their ends."""
-    by = trace.groupBy("batch_id").agg(
-        F.max("end_utc").alias("batch_end"), F.count("*").alias("n"), F.count_if(F.col("outcome") == "Succeeded").alias("ok")
-    )
-    so_far = W.orderBy("batch_end", "batch_id").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return by.select(
-        "batch_id", "batch_end", F.sum("n").over(so_far).alias("done"), F.sum("ok").over(so_far).alias("succeeded"), F.sum(F.col("n") - F.col("ok")).over(so_far).alias("failed")
-    )
+def batch_progress(trace: DataFrame, run: str | None = None) -> DataFrame:
+    """([run,] batch_id, batch_end, done, succeeded, failed, files_per_s): running totals of each run after each batch, in the order of their ends.
+
+    ``run`` is the column that tells runs apart; without it all batches are of one run. Done are documents that succeeded or failed;
+    the rate is of them, since the run's first start. A run has a row for each batch, so its window is small.
+    """
+    keys = [run] if run else []
+    ok, bad = F.count_if(F.col("outcome") == "Succeeded"), F.count_if(F.startswith("outcome", F.lit("Failed")))
+    by = trace.groupBy(*keys, "batch_id").agg(F.min("start_utc").alias("batch_start"), F.max("end_utc").alias("batch_end"), ok.alias("ok"), bad.alias("bad"))
+    part = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
+    so_far = part.orderBy("batch_end", "batch_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ok, bad = F.sum("ok").over(so_far), F.sum("bad").over(so_far)
+    seconds = (F.unix_micros("batch_end") - F.unix_micros(F.min("batch_start").over(part))) / 1e6
+    return by.select(*keys, "batch_id", "batch_end", (ok + bad).alias("done"), ok.alias("succeeded"), bad.alias("failed"), F.coalesce(F.try_divide((ok + bad).cast("double"), seconds), F.lit(0.0)).alias("files_per_s"))
 
 
 def batch_barrier_check(trace: DataFrame) -> DataFrame:

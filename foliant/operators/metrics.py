@@ -13,6 +13,15 @@ PHASES = [("read", "Disk"), ("decode", "CPU"), ("validate", "CPU"), ("import", "
 RTF_FACTOR, BASE64_FACTOR = 1.2, 4 / 3
 
 
+def succeeded() -> Column:
+    return F.count_if(F.col("outcome") == OK)
+
+
+def failed() -> Column:
+    """Documents that failed. A fatal error or a cancelled run leaves a document where it is: that one is abandoned, and neither failed nor processed."""
+    return F.count_if(F.startswith("outcome", F.lit("Failed")))
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, 0 where b is 0."""
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
@@ -36,33 +45,27 @@ def folder_shape(manifest: DataFrame, workers: int, folder: str = "date_folder")
 
 def folder_breakdown(trace: DataFrame) -> DataFrame:
     ms = (F.unix_micros(F.max("end_utc")) - F.unix_micros(F.min("start_utc"))) / 1000
-    ok = F.count_if(F.col("outcome") == OK)
-    return trace.groupBy("date_folder").agg(F.count("*").alias("total"), ok.alias("succeeded"), (F.count("*") - ok).alias("failed"), ms.alias("elapsed_ms"))
+    return trace.groupBy("date_folder").agg(F.count("*").alias("total"), succeeded().alias("succeeded"), failed().alias("failed"), ms.alias("elapsed_ms"))
 
 
 def run_totals(trace: DataFrame, found: int | Column) -> DataFrame:
-    ok = F.count_if(F.col("outcome") == OK)
-    n = F.count("*")
+    """One row: processed are those that succeeded or failed, bytes those of successes; what is neither remains."""
+    n = succeeded() + failed()
     return trace.agg(
         n.alias("processed"),
-        ok.alias("succeeded"),
-        (n - ok).alias("failed"),
+        succeeded().alias("succeeded"),
+        failed().alias("failed"),
         F.coalesce(F.sum(F.greatest(F.col("attempts") - 1, F.lit(0))), F.lit(0)).cast("long").alias("retries"),
-        F.coalesce(F.sum("bytes_in"), F.lit(0)).cast("long").alias("bytes_in"),
+        F.coalesce(F.sum(F.when(F.col("outcome") == OK, F.col("bytes_in"))), F.lit(0)).cast("long").alias("bytes_in"),
         F.greatest(F.lit(0), F.lit(found) - n).cast("long").alias("remaining"),
     )
 
 
 def worker_breakdown(trace: DataFrame, run_ms: float | None = None) -> DataFrame:
-    """Documents, busy time, and rates of each worker; ``run_ms`` is the length of the run, else first start to last end."""
-    busy = F.sum("duration_ms")
+    """Documents (abandoned ones too), busy time, and rates of each worker; ``run_ms`` is the length of the run, else first start to last end."""
     n = F.count("*")
     by = trace.groupBy("worker_slot").agg(
-        n.alias("processed"),
-        F.count_if(F.col("outcome") == OK).alias("succeeded"),
-        F.count_if(~F.col("outcome").isin(OK, "Abandoned")).alias("failed"),
-        F.count_if(F.col("outcome") == "Abandoned").alias("abandoned"),
-        busy.alias("busy_ms"),
+        n.alias("processed"), succeeded().alias("succeeded"), failed().alias("failed"), (n - succeeded() - failed()).alias("abandoned"), F.sum("duration_ms").alias("busy_ms")
     )
     span = trace.agg(((F.unix_micros(F.max("end_utc")) - F.unix_micros(F.min("start_utc"))) / 1000).alias("run_ms")) if run_ms is None else None
     by = by.crossJoin(F.broadcast(span)) if span is not None else by.withColumn("run_ms", F.lit(float(run_ms)))  # one row

@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.paths import matches_pattern, output_path_of
+from ..functions.times import iso_utc
+from .batches import number_rows
 
 TRANSIENT, PERMANENT, FATAL = "Transient", "Permanent", "Fatal"
 #: Which errors are of which class; all others are permanent.
@@ -14,7 +16,10 @@ FATAL_TYPES = ("UnauthorizedAccessException", "SecurityException", "DriveNotFoun
 PERMANENT_IO = ("PathTooLongException", "DirectoryNotFoundException", "FileNotFoundException")
 TRANSIENT_TYPES = ("IOException", "EndOfStreamException", "FileLoadException", "TimeoutException", "OutOfMemoryException", "OperationCanceledException", "TaskCanceledException")
 IO_TYPES = ("IOException", "EndOfStreamException", "FileLoadException", "DriveNotFoundException")
+CANCELLATIONS = ("OperationCanceledException", "TaskCanceledException")
 DISK_FULL = (0x27, 0x70)
+#: Outcomes are Succeeded, Failed:<category>, and these two, which leave a document where it is: it counts as abandoned, not as failed.
+ABANDONED = ("Fatal", "Cancelled")
 #: Reasons in plain words.
 REASONS = {
     "NotXhtmlContentException": "The file holds no XHTML document",
@@ -58,16 +63,19 @@ def resolve_attempts(log: DataFrame, key: str, most: int = 3, delay_ms: int = 50
     attempt, error_type (null: success) and category.
 
     An attempt counts while none before it was a success, permanent or fatal, and while there are at most
-    ``most`` in total. The wait before attempt k + 1 is k times the delay.
+    ``most`` in total. The wait before attempt k + 1 is k times the delay. Where the log has a column ``cancelled``, an attempt of a run that was
+    cancelled ends as Cancelled if its error is a cancellation, and is the last; otherwise that error is transient like any other.
     """
     order = W.partitionBy(key).orderBy("attempt")
     rank = F.row_number().over(order)
-    ends = F.col("error_type").isNull() | F.col("category").isin(PERMANENT, FATAL)
+    stopped = F.coalesce(F.col("cancelled"), F.lit(False)) & F.col("error_type").isin(*CANCELLATIONS) if "cancelled" in log.columns else F.lit(False)
+    log = log.withColumn("_stopped", F.coalesce(stopped, F.lit(False)))
+    ends = F.col("error_type").isNull() | F.col("category").isin(PERMANENT, FATAL) | F.col("_stopped")
     ended = F.coalesce(F.max(ends.cast("int")).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     used = log.withColumn("_n", rank).withColumn("_over", ended).where((F.col("_over") == 0) & (F.col("_n") <= most))
-    out = used.groupBy(key).agg(F.max("_n").cast("long").alias("attempts"), F.max_by(F.struct("category", "error_type"), "_n").alias("last"))
-    kind = F.when(F.col("last.error_type").isNull(), "Succeeded").when(F.col("last.category") == FATAL, "Fatal")
-    kind = kind.when(F.col("last.error_type").isin("OperationCanceledException", "TaskCanceledException"), "Cancelled").otherwise(F.concat(F.lit("Failed:"), "last.category"))
+    out = used.groupBy(key).agg(F.max("_n").cast("long").alias("attempts"), F.max_by(F.struct("category", "error_type", "_stopped"), "_n").alias("last"))
+    kind = F.when(F.col("last.error_type").isNull(), "Succeeded").when(F.col("last._stopped"), "Cancelled").when(F.col("last.category") == FATAL, "Fatal")
+    kind = kind.otherwise(F.concat(F.lit("Failed:"), "last.category"))
     retries = F.col("attempts") - 1
     return out.select(
         key,
@@ -122,40 +130,36 @@ def plan_disposition(outcomes: DataFrame, archive: bool = True, quarantine: bool
     """Adds ``destination``, where an input goes: the archive or error folder beside it, or null where it stays."""
     beside = lambda kind: F.concat_ws("/", "folder_path", F.lit(kind), F.when(F.col("sub_folder") != "", F.col("sub_folder")), "file_name")
     moved = F.when((F.col("outcome") == "Succeeded") & F.lit(archive), beside("archive"))
-    moved = moved.when(F.col("outcome").isin("Fatal", "Cancelled", "Abandoned"), None)
+    moved = moved.when(F.col("outcome").isin(*ABANDONED), None)
     return outcomes.withColumn("destination", moved.when((F.col("outcome") != "Succeeded") & F.lit(quarantine), beside("error")))
 
 
 def resolve_collisions(moves: DataFrame, taken: DataFrame, destination: str = "destination", order: str = "path") -> DataFrame:
     """Adds ``final``: the destination, or the first free ``stem_k.ext``, ignoring case.
 
-    ``taken`` has a column ``destination`` of names in use. The k-th newcomer of a name (by ``order``) gets the k-th
-    free number; free numbers are those that no taken name and no other newcomer's own name uses. All is
-    done by name, in joins and windows over one name's rows.
+    ``taken`` has a column ``destination`` of names in use. The k-th newcomer of a name (by ``order``, which is unique) gets the k-th
+    free number; free numbers are those that no taken name and no other newcomer's own name uses. The b-th number in use
+    lies after (number - b) free ones, so the k-th free number is k and as many as lie after fewer than k: that is
+    a place in one order of both. All numbering is by ``number_rows``, so a name of very many newcomers is on no single task.
     """
-    parts = lambda c: (F.lower(F.regexp_replace(c, "\\.[^./]*$", "")), F.lower(F.regexp_extract(c, "(\\.[^./]*)$", 1)))
-    stem, ext = parts(F.col(destination))
-    new = moves.withColumns({"_stem": stem, "_ext": ext})
-    own = F.row_number().over(W.partitionBy("_stem", "_ext").orderBy(order))
-    new = new.withColumn("_k", own)
-    used = taken.select(F.lower("destination").alias("name"))
-    first = used.select("name").distinct().withColumn("_used", F.lit(1))
-    new = new.join(first, F.concat("_stem", "_ext") == F.col("name"), "left").drop("name")
-    # how many numbered names a newcomer of this name needs
-    need = F.when(F.col("_used").isNull(), F.col("_k") - 1).otherwise(F.col("_k"))
-    new = new.withColumn("_need", need)
-    # numbers in use, by any taken name or by a newcomer's own name
     base = lambda c: F.regexp_replace(c, "_([1-9][0-9]{0,8})(\\.[^./]*)?$", "$2")
     number = lambda c: F.regexp_extract(c, "_([1-9][0-9]{0,8})(?:\\.[^./]*)?$", 1)
-    names = used.unionByName(moves.select(F.lower(destination).alias("name"))).distinct().where(number(F.col("name")) != "")
-    blocked = names.groupBy(base(F.col("name")).alias("base")).agg(F.sort_array(F.collect_set(number(F.col("name")).cast("long"))).alias("blocked"))
-    new = new.join(blocked, F.concat("_stem", "_ext") == F.col("base"), "left").drop("base")
-    # the n-th free number: n plus the blocked numbers at or below it
-    free = F.aggregate(F.coalesce("blocked", F.array().cast("array<bigint>")), F.col("_need").cast("long"), lambda n, b: F.when(b <= n, n + 1).otherwise(n))
+    used = taken.select(F.lower("destination").alias("_name")).distinct()
+    new = number_rows(moves.withColumn("_name", F.lower(destination)), [order], within="_name", out="_k")
+    new = new.join(used.withColumn("_used", F.lit(1)), "_name", "left")
+    # how many numbered names a newcomer of this name needs: the first may have the name itself if it is free
+    new = new.withColumn("_need", F.when(F.col("_used").isNull(), F.col("_k") - 1).otherwise(F.col("_k")))
+    names = used.unionByName(moves.select(F.lower(destination).alias("_name"))).distinct().where(number(F.col("_name")) != "")
+    blocked = names.select(base(F.col("_name")).alias("_name"), number(F.col("_name")).cast("long").alias("_b")).distinct().join(new.select("_name").distinct(), "_name", "left_semi")
+    blocked = number_rows(blocked, ["_b"], within="_name", out="_rank").select("_name", (F.col("_b") - F.col("_rank")).alias("_at"), F.lit(1).alias("_kind"), F.col("_b").alias("_own"))
+    wanted = new.where("_need > 0").select("_name", F.col("_need").alias("_at"), F.lit(0).alias("_kind"), F.col("_need").alias("_own"))
+    placed = number_rows(wanted.unionByName(blocked), ["_at", "_kind", "_own"], within="_name", out="_place").where("_kind = 0")
+    # a newcomer of need k is the k-th of its name, so its place says how many numbers in use come before it
+    free = placed.select("_name", F.col("_own").alias("_need"), F.col("_place").alias("_free"))
     stem_as_is = F.regexp_replace(F.col(destination), "\\.[^./]*$", "")
     ext_as_is = F.regexp_extract(F.col(destination), "(\\.[^./]*)$", 1)
-    final = F.when(F.col("_need") == 0, F.col(destination)).otherwise(F.concat(stem_as_is, F.lit("_"), free.cast("string"), ext_as_is))
-    return new.withColumn("final", final).drop("_stem", "_ext", "_k", "_used", "_need", "blocked")
+    final = F.when(F.col("_need") == 0, F.col(destination)).otherwise(F.concat(stem_as_is, F.lit("_"), F.col("_free").cast("string"), ext_as_is))
+    return new.join(free, ["_name", "_need"], "left").withColumn("final", final).select(*moves.columns, "final")
 
 
 def output_name_clashes(manifest: DataFrame) -> DataFrame:
@@ -171,7 +175,8 @@ def to_trace(converted: DataFrame) -> DataFrame:
 
 
 def error_rates_by_batch(trace: DataFrame) -> DataFrame:
-    return trace.groupBy("batch_id").agg(F.count("*").alias("documents"), F.count_if(F.col("outcome") != "Succeeded").alias("errors"))
+    """Documents and failures of each batch; abandoned documents are no failures."""
+    return trace.groupBy("batch_id").agg(F.count("*").alias("documents"), F.count_if(F.startswith("outcome", F.lit("Failed"))).alias("errors"))
 
 
 def skip_completed_folders(manifest: DataFrame, completed: DataFrame) -> DataFrame:
@@ -190,11 +195,17 @@ def skip_already_converted(manifest: DataFrame, outputs: DataFrame, resume: bool
 
 
 def error_log_text(failures: DataFrame, most: int = 1000) -> DataFrame:
-    """Adds ``log_text``, a block of labelled lines, to the first ``most`` failures by ``row`` (0: to all)."""
+    """Adds ``log_text``, a block of labelled lines, to the first ``most`` failures by ``row`` (0: to all).
+
+    A line for the place stands only where a move failed.
+    """
+    text = lambda c, none="": F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(none)) if c in failures.columns else F.lit(none)
     fields = [
-        ("File", "file_name"), ("Path", "input_file_path"), ("Date Folder", "date_folder"), ("Sub Folder", "sub_folder"), ("Batch Id", "batch_id"), ("Size", "file_size_bytes"),
-        ("Source", "source"), ("Category", "error_category"), ("Reason", "reason"), ("Attempts", "attempts"), ("Error Type", "error_type"), ("Error Message", "error_message"),
+        ("File", F.when(text("actual_file_name") != "", text("actual_file_name")).otherwise(text("file_name"))), ("Original File", text("file_name")), ("Date Folder", text("date_folder")),
+        ("Sub Folder", text("sub_folder", "(none)")), ("Batch", text("batch_id")), ("Error Time", F.coalesce(iso_utc(F.col("error_time_utc")), F.lit(""))), ("Source", text("source")),
+        ("Category", text("error_category")), ("Reason", text("reason")), ("Attempts", text("attempts")), ("Last Error", F.concat(text("error_type"), F.lit(": "), text("error_message"))),
     ]
-    lines = [F.concat(F.lit(f"{label:<14}: "), F.coalesce(F.col(c).cast("string"), F.lit(""))) for label, c in fields if c in failures.columns]
-    text = F.concat_ws("\n", *lines)
-    return failures.withColumn("log_text", text if most == 0 else F.when(F.col("row") <= most, text))
+    lines = [F.concat(F.lit(f"{label}: "), value) for label, value in fields]
+    moved = F.when(text("move_error") != "", F.concat(F.lit("File Location: left in the input folder - move failed: "), text("move_error")))
+    block = F.concat_ws("\n", *lines, moved, F.concat(F.lit("Stack Trace: "), text("stack_trace", "(none)")))
+    return failures.withColumn("log_text", block if most == 0 else F.when(F.col("row") <= most, block))

@@ -5,32 +5,14 @@ The tables play the parts of manifests, traces and reports; each query says how.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import decode, gate, markup, markup_tree, rtf
 from ..functions.paths import classify_location, matches_pattern, split_path
 from ..operators import batches, convert, metrics, outcomes, verify
 from ..sources import corpus, reports
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return register
-
-
-def table(s: SparkSession, d: str, name: str) -> DataFrame:
-    return s.read.parquet(f"{d}/{name}.parquet")
+from .registry import ORACLES, QUERIES, query, table
 
 
 # --- pages as a corpus -------------------------------------------------------------------------------------------
@@ -111,29 +93,29 @@ def envelope_faults(s, d):
     return decode.read_documents(rows).select("page_id", F.col("error.message").alias("message"), F.sha2("text", 256).alias("text_sha256"))
 
 
-@query("""SELECT doc_id, sha256(CASE WHEN doc_id % 5 = 3 THEN '<meta charset="utf-8">' || text ELSE text END) AS text_sha256,
-  CASE doc_id % 5 WHEN 1 THEN 'UTF-8' WHEN 2 THEN 'UTF-16LE' WHEN 3 THEN 'UTF-8' WHEN 4 THEN CASE WHEN regexp_matches(text, '[^\\x00-\\x7F]') THEN 'windows-1252' ELSE 'UTF-8' END ELSE 'UTF-8' END AS encoding
-  FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F\\x{A0}-\\x{FF}]') AND text <> ''""")
+@query("""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, doc_id % 5 AS k, regexp_matches(coalesce(text, ''), '[^\\x00-\\x7F\\x{A0}-\\x{FF}]') AS wide FROM documents)
+  SELECT doc_id, sha256(CASE WHEN k = 3 THEN '<meta charset="utf-8">' || text ELSE text END) AS text_sha256,
+  CASE WHEN k = 2 THEN 'UTF-16LE' WHEN k = 4 AND NOT wide AND regexp_matches(text, '[^\\x00-\\x7F]') THEN 'windows-1252' ELSE 'UTF-8' END AS encoding FROM t""")
 def decode_charsets(s, d):
-    """Texts of Latin letters, by doc_id % 5: plain UTF-8, with a mark, UTF-16 with a mark, declared in a meta tag, Latin-1 undeclared."""
-    k = F.col("doc_id") % 5
-    data = F.when(k == 1, F.concat(F.lit(b"\xef\xbb\xbf"), F.encode("text", "UTF-8"))).when(k == 2, F.concat(F.lit(b"\xff\xfe"), F.encode("text", "UTF-16LE")))
-    data = data.when(k == 3, F.encode(F.concat(F.lit('<meta charset="utf-8">'), "text"), "UTF-8")).when(k == 4, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
-    rows = table(s, d, "documents").where("text <> ''").where(~F.col("text").rlike("[^\\x00-\\x7F\\xA0-\\xFF]"))
-    out = decode.decode_text(rows.select("doc_id", data.alias("payload")))
+    """Texts by doc_id % 5: plain UTF-8, with a mark, UTF-16 with a mark, declared in a meta tag, Latin-1 undeclared where it holds the text (else UTF-8)."""
+    k, t = F.col("doc_id") % 5, F.coalesce("text", F.lit(""))
+    latin = (k == 4) & ~t.rlike("[^\\x00-\\x7F\\xA0-\\xFF]")
+    data = F.when(k == 1, F.concat(F.lit(b"\xef\xbb\xbf"), F.encode(t, "UTF-8"))).when(k == 2, F.concat(F.lit(b"\xff\xfe"), F.encode(t, "UTF-16LE")))
+    data = data.when(k == 3, F.encode(F.concat(F.lit('<meta charset="utf-8">'), t), "UTF-8")).when(latin, F.encode(F.when(latin, t).otherwise(""), "ISO-8859-1")).otherwise(F.encode(t, "UTF-8"))
+    out = decode.decode_text(table(s, d, "documents").select("doc_id", data.alias("payload")))
     return out.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "encoding")
 
 
 @query("""SELECT kind, id, CASE WHEN NOT regexp_matches(t, '[^\\s]') THEN 'empty' WHEN kind = 'binary' THEN 'binary' WHEN NOT regexp_matches(t, '<\\s*[a-zA-Z][a-zA-Z0-9:._-]*(\\s|/|>)') THEN 'no element' ELSE 'ok' END AS verdict
   FROM (SELECT 'page' AS kind, page_id AS id, html AS t FROM pages UNION ALL SELECT 'document', doc_id, text FROM documents
-  UNION ALL SELECT 'blank', page_id, '  ' FROM pages UNION ALL SELECT 'binary', page_id, '<p>' || repeat(chr(1), 50) || left(html, 100) FROM pages)""")
+  UNION ALL SELECT 'blank', page_id, '  ' FROM pages UNION ALL SELECT 'binary', page_id, '<p>' || repeat(chr(1), 50) || html FROM pages)""")
 def content_gate(s, d):
     """Pages pass, documents hold no markup; blank and binary texts are planted."""
     p = table(s, d, "pages")
     rows = p.select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("t"))
     rows = rows.unionByName(table(s, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("t")))
     rows = rows.unionByName(p.select(F.lit("blank").alias("kind"), F.col("page_id").alias("id"), F.lit("  ").alias("t")))
-    planted = F.concat(F.lit("<p>"), F.lit("\x01" * 50), F.substring("html", 1, 100))
+    planted = F.concat(F.lit("<p>"), F.lit("\x01" * 50), "html")
     rows = rows.unionByName(p.select(F.lit("binary").alias("kind"), F.col("page_id").alias("id"), planted.alias("t")))
     said = F.col("e.message")
     short = F.when(said.isNull(), "ok").when(F.contains(said, F.lit("empty")), "empty").when(F.contains(said, F.lit("binary")), "binary").otherwise("no element")
@@ -244,11 +226,32 @@ def markup_profile(s, d):
     return markup.markup_profile(_tokens(s, d), "page_id")
 
 
-@query(f"SELECT 'remove_scripts' AS pass, count(*) AS documents FROM pages WHERE {SCRIPT_SQL} <> html")
+SEVEN_SQL = """WITH n AS (SELECT doc_id % 8 AS k, count(*) AS n FROM documents GROUP BY 1), p AS (SELECT unnest(range(7)) AS k,
+  unnest(['remove_scripts', 'remove_styled_elements', 'remove_root_namespaces', 'remove_empty_anchors', 'keep_ancestor_strike', 'bullet_tables_to_paragraphs', 'lists_to_paragraphs']) AS pass)"""
+
+
+def faulty_documents(s, d) -> DataFrame:
+    """Documents as markup, each with something for one of the seven passes by doc_id % 8; the eighth has nothing."""
+    found = ["<script>x()</script>", '<div style="display: none">h</div>', "", '<a name="q"></a>', '<i style="text-decoration: line-through"><b style="text-decoration: underline">u</b></i>']
+    found += ["<table><tr><td>&#8226;</td><td> </td><td>t</td></tr></table>", "<ul><li>i</li></ul>", ""]
+    k = (F.col("doc_id") % 8).cast("int")
+    rows = _shaped(s, d, "{}")
+    part = F.element_at(F.array(*[F.lit(x) for x in found]), k + 1)
+    return rows.select("doc_id", F.concat(F.when(k == 2, '<html xmlns="urn:x">').otherwise("<html>"), F.lit("<p>"), "text", part, F.lit("</p></html>")).alias("text"))
+
+
+@query(SEVEN_SQL + " SELECT pass, n AS documents FROM p JOIN n USING (k)")
 def changed_by_pass(s, d):
-    t = F.col("html")
-    passes = {"remove_scripts": markup.remove_scripts(t), "remove_root_namespaces": markup.remove_root_namespaces(t), "remove_empty_anchors": markup.remove_empty_anchors(t)}
-    return markup.changed_by_pass(table(s, d, "pages"), "page_id", "html", passes).groupBy("pass").agg(F.count("*").alias("documents"))
+    """Documents that each of the seven passes, applied alone, alters."""
+    rows = markup.changed_by_pass(faulty_documents(s, d), "doc_id", "text", markup_tree.all_passes(F.col("text"), "display:none"))
+    return rows.groupBy("pass").agg(F.count("*").alias("documents"))
+
+
+@query("""SELECT count(*) AS documents, count(*) FILTER (doc_id % 8 = 0) / count(*) AS scripts, count(*) FILTER (doc_id % 8 = 1) / count(*) AS hidden_blocks,
+  count(*) FILTER (doc_id % 8 = 3) / count(*) AS empty_anchors, count(*) FILTER (doc_id % 8 = 5) / count(*) AS bullet_tables FROM documents""")
+def markup_shares(s, d):
+    """Shares of documents with scripts, hidden blocks, empty anchors and bullet tables."""
+    return markup_tree.markup_shares(faulty_documents(s, d), "text", "display:none")
 
 
 @query("""SELECT page_id, sha256(regexp_replace(regexp_replace(html, '<!--[\\s\\S]*?-->|<![^>]*>|</?[A-Za-z][A-Za-z0-9:._-]*\\b(?:"[^"]*"|''[^'']*''|[^''">])*>', '', 'g'), '^\\s+|\\s+$', '', 'g')) AS text_sha256 FROM pages""")
@@ -256,6 +259,10 @@ def strip_tags(s, d):
     return table(s, d, "pages").select("page_id", F.sha2(markup.strip_tags(F.col("html")), 256).alias("text_sha256"))
 
 
+# ESCAPED and RTF forms of a text; characters beyond the 16-bit plane stand as two halves
+RTF_TEXT_SQL = r"""replace(replace(replace(t, '\', '\\'), '{', '\{'), '}', '\}')"""
+
+
 @query()
 def render_pages(s, d):
     """Pages as RTF (E15): size, and whether each byte is ASCII."""
@@ -384,16 +391,18 @@ def archived_vs_rtf(s, d):
 
 TRACE_SQL = """WITH trace AS (SELECT l_suppkey % 8 AS worker_slot, strftime(l_shipdate, '%Y-%m') AS date_folder, strftime(l_shipdate, '%Y-%m') || '#' || lpad((l_orderkey % 20)::VARCHAR, 4, '0') AS batch_id,
   l_orderkey::VARCHAR AS sub_folder, 'doc_' || l_partkey || '.xhtml' AS file_name, epoch_us(l_shipdate) + l_orderkey * 1000 AS s, epoch_us(l_shipdate) + l_orderkey * 1000 + l_quantity::BIGINT * 10000 AS e,
-  l_quantity * 10 AS duration_ms, l_linenumber AS attempts, CASE l_returnflag WHEN 'R' THEN 'Failed:Permanent' WHEN 'A' THEN CASE WHEN l_linenumber = 7 THEN 'Abandoned' ELSE 'Succeeded' END ELSE 'Succeeded' END AS outcome,
+  l_quantity * 10 AS duration_ms, l_linenumber AS attempts, CASE WHEN l_returnflag = 'R' THEN 'Failed:Permanent' WHEN l_returnflag = 'A' AND l_linenumber = 7 THEN 'Fatal' WHEN l_returnflag = 'A' AND l_linenumber = 6 THEN 'Cancelled' ELSE 'Succeeded' END AS outcome, l_linestatus AS run_id,
   l_linenumber * 1000 AS bytes_in, l_quantity AS read_ms, l_linenumber::DOUBLE AS decode_ms, 1.0::DOUBLE AS validate_ms, l_quantity * 2 AS import_ms, l_quantity * 3 AS export_ms, 2.0::DOUBLE AS write_ms, 1.0::DOUBLE AS archive_ms FROM lineitem) """
 
 
 def line_trace(s, d) -> DataFrame:
-    """Line items as a trace: folder by month of shipment, worker by supplier, outcome by return flag, phases of whole milliseconds."""
+    """Line items as a trace: run by line status, folder by month of shipment, worker by supplier, outcome by return flag (fatal and cancelled ones
+    among them), phases of whole milliseconds."""
     l = table(s, d, "lineitem")
     month = F.date_format("l_shipdate", "yyyy-MM")
     start = F.unix_micros(F.col("l_shipdate").cast("timestamp")) + F.col("l_orderkey") * 1000
-    outcome = F.when(F.col("l_returnflag") == "R", "Failed:Permanent").when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7), "Abandoned").otherwise("Succeeded")
+    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
+    outcome = F.when(flag == "R", "Failed:Permanent").when((flag == "A") & (line == 7), "Fatal").when((flag == "A") & (line == 6), "Cancelled").otherwise("Succeeded")
     rows = l.select(
         (F.col("l_suppkey") % 8).alias("worker_slot"),
         month.alias("date_folder"),
@@ -404,6 +413,7 @@ def line_trace(s, d) -> DataFrame:
         (F.col("l_quantity") * 10).alias("duration_ms"),
         F.col("l_linenumber").alias("attempts"),
         outcome.alias("outcome"),
+        F.col("l_linestatus").alias("run_id"),
         (F.col("l_linenumber") * 1000).cast("long").alias("bytes_in"),
         F.col("l_quantity").alias("read_ms"),
         F.col("l_linenumber").cast("double").alias("decode_ms"),
@@ -416,19 +426,19 @@ def line_trace(s, d) -> DataFrame:
     return rows.withColumn("end_utc", F.timestamp_micros(F.unix_micros("start_utc") + (F.col("duration_ms") * 1000).cast("long")))
 
 
-@query(TRACE_SQL + "SELECT date_folder, count(*) AS total, count(*) FILTER (outcome = 'Succeeded') AS succeeded, count(*) FILTER (outcome <> 'Succeeded') AS failed, (max(e) - min(s)) / 1000 AS elapsed_ms FROM trace GROUP BY 1")
+@query(TRACE_SQL + "SELECT date_folder, count(*) AS total, count(*) FILTER (outcome = 'Succeeded') AS succeeded, count(*) FILTER (outcome LIKE 'Failed%') AS failed, (max(e) - min(s)) / 1000 AS elapsed_ms FROM trace GROUP BY 1")
 def folder_breakdown(s, d):
     return metrics.folder_breakdown(line_trace(s, d))
 
 
-@query(TRACE_SQL + """SELECT count(*) AS processed, count(*) FILTER (outcome = 'Succeeded') AS succeeded, count(*) FILTER (outcome <> 'Succeeded') AS failed,
-  sum(attempts - 1)::BIGINT AS retries, sum(round(bytes_in))::BIGINT AS bytes_in, greatest(0, 1000000 - count(*))::BIGINT AS remaining FROM trace""".replace("round(bytes_in)", "bytes_in"))
+@query(TRACE_SQL + """SELECT count(*) FILTER (outcome = 'Succeeded' OR outcome LIKE 'Failed%') AS processed, count(*) FILTER (outcome = 'Succeeded') AS succeeded, count(*) FILTER (outcome LIKE 'Failed%') AS failed,
+  sum(attempts - 1)::BIGINT AS retries, sum(bytes_in) FILTER (outcome = 'Succeeded')::BIGINT AS bytes_in, greatest(0, 1000000 - count(*) FILTER (outcome = 'Succeeded' OR outcome LIKE 'Failed%'))::BIGINT AS remaining FROM trace""")
 def run_totals(s, d):
     return metrics.run_totals(line_trace(s, d), 1_000_000)
 
 
 @query(TRACE_SQL + """, r AS (SELECT (max(e) - min(s)) / 1000 AS run_ms FROM trace) SELECT worker_slot, count(*) AS processed, count(*) FILTER (outcome = 'Succeeded') AS succeeded,
-  count(*) FILTER (outcome NOT IN ('Succeeded', 'Abandoned')) AS failed, count(*) FILTER (outcome = 'Abandoned') AS abandoned, sum(duration_ms) AS busy_ms, sum(duration_ms) / any_value(run_ms) * 100 AS busy_pct,
+  count(*) FILTER (outcome LIKE 'Failed%') AS failed, count(*) FILTER (outcome IN ('Fatal', 'Cancelled')) AS abandoned, sum(duration_ms) AS busy_ms, sum(duration_ms) / any_value(run_ms) * 100 AS busy_pct,
   sum(duration_ms) / count(*) AS avg_ms, count(*) / (any_value(run_ms) / 1000) AS files_per_s FROM trace, r GROUP BY 1""")
 def worker_breakdown(s, d):
     return metrics.worker_breakdown(line_trace(s, d))
@@ -454,15 +464,16 @@ def average_concurrency(s, d):
     return metrics.average_concurrency(line_trace(s, d), 8)
 
 
-@query(TRACE_SQL + "SELECT batch_id, count(*) AS documents, count(*) FILTER (outcome <> 'Succeeded') AS errors FROM trace GROUP BY 1")
+@query(TRACE_SQL + "SELECT batch_id, count(*) AS documents, count(*) FILTER (outcome LIKE 'Failed%') AS errors FROM trace GROUP BY 1")
 def error_rates_by_batch(s, d):
     return outcomes.error_rates_by_batch(line_trace(s, d))
 
 
-@query(TRACE_SQL + """, b AS (SELECT batch_id, max(e) AS t, count(*) AS n, count(*) FILTER (outcome = 'Succeeded') AS ok FROM trace GROUP BY 1)
-  SELECT batch_id, CAST(sum(n) OVER w AS BIGINT) AS done, CAST(sum(ok) OVER w AS BIGINT) AS succeeded, CAST(sum(n - ok) OVER w AS BIGINT) AS failed FROM b WINDOW w AS (ORDER BY t, batch_id)""")
+@query(TRACE_SQL + """, b AS (SELECT run_id, batch_id, min(s) AS f, max(e) AS t, count(*) FILTER (outcome = 'Succeeded') AS ok, count(*) FILTER (outcome LIKE 'Failed%') AS bad FROM trace GROUP BY 1, 2)
+  SELECT run_id, batch_id, CAST(sum(ok + bad) OVER w AS BIGINT) AS done, CAST(sum(ok) OVER w AS BIGINT) AS succeeded, CAST(sum(bad) OVER w AS BIGINT) AS failed,
+  round(sum(ok + bad) OVER w / ((t - min(f) OVER (PARTITION BY run_id)) / 1000000.0::DOUBLE), 9) AS files_per_s FROM b WINDOW w AS (PARTITION BY run_id ORDER BY t, batch_id)""")
 def batch_progress(s, d):
-    return batches.batch_progress(line_trace(s, d)).drop("batch_end")
+    return batches.batch_progress(line_trace(s, d), "run_id").drop("batch_end").withColumn("files_per_s", F.round("files_per_s", 9))
 
 
 @query(TRACE_SQL + """, b AS (SELECT date_folder, batch_id, min(s) AS f, max(e) AS t FROM trace GROUP BY 1, 2)
@@ -520,21 +531,22 @@ def peak_concurrency(s, d):
 
 
 EVENT_ERROR_SQL = """WITH e AS (SELECT event_id, user_id, ts, CASE event_id % 9 WHEN 0 THEN NULL WHEN 1 THEN 'IOException' WHEN 2 THEN 'TimeoutException' WHEN 3 THEN 'UnauthorizedAccessException' WHEN 4 THEN 'FileNotFoundException'
-  WHEN 5 THEN 'IOException' WHEN 6 THEN 'XmlException' WHEN 7 THEN 'IOException' ELSE 'OutOfMemoryException' END AS error_type, CASE WHEN event_id % 9 = 5 THEN 112 ELSE 0 END AS h, CASE WHEN event_id % 90 = 7 THEN 'No LICENSE' ELSE event_type END AS m FROM events),
+  WHEN 5 THEN 'IOException' WHEN 6 THEN 'XmlException' WHEN 7 THEN 'IOException' ELSE CASE WHEN event_id % 27 = 8 THEN 'OperationCanceledException' ELSE 'OutOfMemoryException' END END AS error_type, event_id % 54 = 8 AS cancelled, CASE WHEN event_id % 9 = 5 THEN 112 ELSE 0 END AS h, CASE WHEN event_id % 90 = 7 THEN 'No LICENSE' ELSE event_type END AS m FROM events),
   c AS (SELECT *, CASE WHEN m ILIKE '%license%' THEN 'Fatal' WHEN error_type = 'UnauthorizedAccessException' THEN 'Fatal' WHEN error_type = 'IOException' AND h = 112 THEN 'Fatal'
-  WHEN error_type IN ('IOException', 'TimeoutException', 'OutOfMemoryException') THEN 'Transient' ELSE 'Permanent' END AS category FROM e)"""
+  WHEN error_type IN ('IOException', 'TimeoutException', 'OutOfMemoryException', 'OperationCanceledException') THEN 'Transient' ELSE 'Permanent' END AS category FROM e)"""
 REASON_SQL = """CASE error_type WHEN 'TimeoutException' THEN 'Conversion exceeded ConversionTimeoutSeconds' WHEN 'UnauthorizedAccessException' THEN 'Access denied to the file or the output folder'
-  WHEN 'FileNotFoundException' THEN 'The file disappeared before it could be read' WHEN 'OutOfMemoryException' THEN 'Not enough memory to convert the document'
+  WHEN 'FileNotFoundException' THEN 'The file disappeared before it could be read' WHEN 'OutOfMemoryException' THEN 'Not enough memory to convert the document' WHEN 'OperationCanceledException' THEN 'Stopped while the document was being converted'
   WHEN 'IOException' THEN CASE WHEN category = 'Fatal' THEN 'The output volume is full or unreachable' ELSE 'The file is locked or the volume is unavailable' END ELSE 'Conversion failed (' || error_type || ')' END"""
 
 
 def event_errors(s, d) -> DataFrame:
-    """Events as an attempt log: by event_id % 9 a success or one of eight errors, one of them with a full disk; some messages name a licence."""
+    """Events as an attempt log: by event_id % 9 a success or one of eight errors, one of them with a full disk; some messages name a licence, and some
+    attempts are cancelled with their run."""
     names = ["IOException", "TimeoutException", "UnauthorizedAccessException", "FileNotFoundException", "IOException", "XmlException", "IOException", "OutOfMemoryException"]
     k = F.col("event_id") % 9
-    kind = F.when(k > 0, F.element_at(F.array(*[F.lit(n) for n in names]), F.greatest(k, F.lit(1)).cast("int")))
+    kind = F.when(F.col("event_id") % 27 == 8, "OperationCanceledException").when(k > 0, F.element_at(F.array(*[F.lit(n) for n in names]), F.greatest(k, F.lit(1)).cast("int")))
     message = F.when(F.col("event_id") % 90 == 7, "No LICENSE").otherwise(F.col("event_type"))
-    rows = table(s, d, "events").select("event_id", "user_id", "ts", kind.alias("error_type"), message.alias("m"), F.when(k == 5, 112).otherwise(0).alias("h"))
+    rows = table(s, d, "events").select("event_id", "user_id", "ts", kind.alias("error_type"), message.alias("m"), F.when(k == 5, 112).otherwise(0).alias("h"), (F.col("event_id") % 54 == 8).alias("cancelled"))
     return rows.withColumn("category", outcomes.classify_error(F.col("error_type"), F.array("m"), F.col("h"))).drop("m", "h")
 
 
@@ -550,10 +562,10 @@ def failures_by_reason(s, d):
     return verify.failures_by_reason(rows.select(outcomes.describe_reason(F.col("error_type"), F.col("category")).alias("reason")))
 
 
-@query(EVENT_ERROR_SQL + """, r AS (SELECT *, row_number() OVER w AS n, coalesce(max(CASE WHEN error_type IS NULL OR category IN ('Permanent', 'Fatal') THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
-  FROM c WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), u AS (SELECT user_id, max(n) AS attempts, arg_max({'c': category, 't': error_type}, n) AS l FROM r WHERE o = 0 AND n <= 3 GROUP BY 1)
+@query(EVENT_ERROR_SQL + """, r AS (SELECT *, row_number() OVER w AS n, coalesce(max(CASE WHEN error_type IS NULL OR category IN ('Permanent', 'Fatal') OR (cancelled AND error_type = 'OperationCanceledException') THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
+  FROM c WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), u AS (SELECT user_id, max(n) AS attempts, arg_max({'c': category, 't': error_type, 's': cancelled AND error_type = 'OperationCanceledException'}, n) AS l FROM r WHERE o = 0 AND n <= 3 GROUP BY 1)
   SELECT user_id, attempts, attempts - 1 AS retries, (500 * (attempts - 1) * attempts // 2)::BIGINT AS backoff_ms, CASE WHEN l.t IS NOT NULL THEN l.c END AS category, l.t AS error_type,
-  CASE WHEN l.t IS NULL THEN 'Succeeded' WHEN l.c = 'Fatal' THEN 'Fatal' ELSE 'Failed:' || l.c END AS outcome FROM u""")
+  CASE WHEN l.t IS NULL THEN 'Succeeded' WHEN l.s THEN 'Cancelled' WHEN l.c = 'Fatal' THEN 'Fatal' ELSE 'Failed:' || l.c END AS outcome FROM u""")
 def resolve_attempts(s, d):
     rows = event_errors(s, d).withColumn("attempt", F.struct("ts", "event_id"))
     return outcomes.resolve_attempts(rows, "user_id")
@@ -647,3 +659,6 @@ def scaling_test(s, d):
 def report_kv(s, d):
     rows = run_rows(s, d).select("run", "found", "succeeded", "failed")
     return reports.report_kv(rows, "run")
+
+
+__all__ = ["ORACLES", "QUERIES"]

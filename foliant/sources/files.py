@@ -1,81 +1,168 @@
-"""Listing of document folders on any file system that Spark reads.
+"""Document folders on a file system: listing, reading and writing single files, all inside of tasks.
 
 Spark's own file source drops empty files and names that start with ``_`` or ``.``; an empty document must be
-reported, so folders are listed through Hadoop's file system, the folders of each level in parallel tasks only
-where the listing is large: the listing itself is metadata.
+reported, and a document of such a name has content like any other. So tasks list folders and read and write files themselves,
+by Arrow's file systems (local and mounted folders, HDFS, S3, ...). The driver sees no file.
+
+A listing goes down two levels one after the other, the folders of a level in parallel; below these each folder is one row of work.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import RESERVED, exclude_reserved, matches_pattern, split_path
 
-FILE_SCHEMA = "path string, length long, mtime timestamp"
+#: Bytes of content after which a task hands on what it has read.
+BATCH_BYTES = 16_000_000
+ENTRIES = pa.schema([("rel", pa.string()), ("is_folder", pa.bool_()), ("length", pa.int64()), ("mtime", pa.timestamp("us", "UTC"))])
+
+
+def _opened(root: str):
+    """(file system, path in it) of a folder."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+
 
+def _listed(root: str, deep: bool):
+    """Rows of what is in the folders ``rel`` below ``root``."""
 
-def _under(root: str, path: str) -> str:
-    plain = lambda p: p.split("://", 1)[-1].removeprefix("file:").rstrip("/")
-    return plain(path)[len(plain(root)) + 1 :]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        at, base = _opened(root)
+        base = base.rstrip("/")
+        for b in batches:
+            for rel in b.column("rel").to_pylist():
+                found = at.get_file_info(fs.FileSelector(f"{base}/{rel}".rstrip("/"), recursive=deep, allow_not_found=True))
+                for i in range(0, len(found), 10_000):
+                    part = found[i : i + 10_000]
+                    folder = [f.type == fs.FileType.Directory for f in part]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([f.path[len(base) + 1 :] for f in part], pa.string()),
+                            pa.array(folder, pa.bool_()),
+                            pa.array([0 if d else f.size for f, d in zip(part, folder, strict=True)], pa.int64()),
+                            pa.array([f.mtime for f in part], pa.timestamp("us", "UTC")),
+                        ],
+                        schema=ENTRIES,
+                    )
+
+    return run
+
+
+def list_entries(spark: SparkSession, root: str) -> DataFrame:
+    """(path, rel, is_folder, length, mtime) of all below ``root``, at any depth; empty files and folders and hidden names too."""
+    schema = "rel string, is_folder boolean, length long, mtime timestamp"
+    below = lambda folders, deep: folders.select("rel").repartition("rel").mapInArrow(_listed(root, deep), schema)
+    top = below(spark.createDataFrame([("",)], "rel string"), False)
+    second = below(top.where("is_folder"), False)
+    rest = below(second.where("is_folder"), True)
+    return top.unionByName(second).unionByName(rest).select(F.concat(F.lit(root.rstrip("/") + "/"), "rel").alias("path"), "rel", "is_folder", "length", "mtime")
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, rel, length, mtime) of all files below ``root``, at any depth, empty and hidden ones included."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    rows, files = [], fs.listFiles(base, True)
-    import datetime
+    """(path, rel, length, mtime) of all files below ``root``."""
+    return list_entries(spark, root).where("not is_folder").drop("is_folder")
 
-    while files.hasNext():
-        f = files.next()
-        path = f.getPath().toString()
-        rows.append((path, _under(root, path), f.getLen(), datetime.datetime.fromtimestamp(f.getModificationTime() / 1000, datetime.UTC)))
-    return spark.createDataFrame(rows, "path string, rel string, length long, mtime timestamp")
+
+def list_date_folders(spark: SparkSession, root: str, only: str | None = None, claim_folder: str = ".claims") -> DataFrame:
+    """(date_folder, folder_path): direct sub-folders of ``root``, also those without files, in ordinal order; ``root`` itself if there are none.
+
+    Reserved names and the claim folder are left out. ``only`` names the one folder to take, ignoring case.
+    """
+    top = spark.createDataFrame([("",)], "rel string").mapInArrow(_listed(root, False), "rel string, is_folder boolean, length long, mtime timestamp")
+    found = exclude_reserved(top.where("is_folder").select(F.col("rel").alias("date_folder")), "date_folder", claim_folder)
+    plain = root.rstrip("/")
+    if found.isEmpty():
+        found = spark.createDataFrame([(plain.rsplit("/", 1)[-1], plain)], "date_folder string, folder_path string")
+    else:
+        found = found.withColumn("folder_path", F.concat(F.lit(plain + "/"), "date_folder"))
+    if only is not None:
+        found = found.where(F.lower("date_folder") == only.lower())
+    return found.orderBy("date_folder")
 
 
 def list_documents(spark: SparkSession, root: str, only: str | None = None, claim_folder: str = ".claims") -> DataFrame:
     """(date_folder, folder_path, rel_path, sub_folder, file_name, stem, ext, path, length, mtime) of all documents.
 
-    Date folders are the direct sub-folders of ``root``; if there are none, ``root`` is one folder. Reserved folders are left out
+    Date folders are those of ``list_date_folders``. Reserved folders are left out
     beside date folders and directly inside of one, so a deeper folder named ``archive`` is input.
     """
+    folders = list_date_folders(spark, root, only, claim_folder)
     files = list_files(spark, root)
     parts = F.split("rel", "/")
-    nested = files.where(F.size(parts) > 1).withColumn("date_folder", parts[0])
-    nested = exclude_reserved(nested, "date_folder", claim_folder)
-    name = root.rstrip("/").rsplit("/", 1)[-1]
-    if nested.isEmpty():
-        flat = files.where(F.size(parts) == 1)
-        rows = flat.withColumn("date_folder", F.lit(name)).withColumn("rel_path", F.col("rel")).withColumn("folder_path", F.lit(root.rstrip("/")))
+    if folders.where(F.col("folder_path") == root.rstrip("/")).isEmpty():
+        nested = files.where(F.size(parts) > 1).withColumn("date_folder", parts[0])
+        rows = nested.withColumn("rel_path", F.regexp_replace("rel", "^[^/]*/", "")).withColumn("folder_path", F.concat(F.lit(root.rstrip("/") + "/"), "date_folder"))
+        rows = exclude_reserved(rows.where(~((F.size(parts) > 2) & F.lower(parts[1]).isin(*RESERVED))), "date_folder", claim_folder)
+        rows = rows if only is None else rows.where(F.lower("date_folder") == only.lower())
     else:
-        rows = nested.withColumn("rel_path", F.regexp_replace("rel", "^[^/]*/", "")).withColumn("folder_path", F.concat_ws("/", F.lit(root.rstrip("/")), "date_folder"))
-        rows = rows.where(~((F.size(parts) > 2) & F.lower(parts[1]).isin(*RESERVED)))
-    if only is not None:
-        rows = rows.where(F.lower("date_folder") == only.lower())
+        rows = files.where(F.size(parts) == 1).withColumns({"date_folder": F.lit(root.rstrip("/").rsplit("/", 1)[-1]), "rel_path": F.col("rel"), "folder_path": F.lit(root.rstrip("/"))})
     return split_path(rows.drop("rel"))
 
 
-def list_date_folders(documents: DataFrame) -> DataFrame:
-    return documents.select("date_folder", "folder_path").distinct().orderBy("date_folder")
-
-
 def stranded_files(spark: SparkSession, root: str, pattern: str = "*.xhtml") -> DataFrame:
-    """Files that match directly in ``root`` while there are date folders: no run will read them."""
-    files = list_files(spark, root)
-    here = files.where(~F.contains("rel", F.lit("/")) & matches_pattern(F.col("rel"), pattern))
-    folders = exclude_reserved(files.where(F.contains("rel", F.lit("/"))).withColumn("date_folder", F.split("rel", "/")[0]))
-    return here if not folders.isEmpty() else here.where("false")
+    """(path, rel, length, mtime) of files that match directly in ``root`` while there are date folders: no run will read them."""
+    top = spark.createDataFrame([("",)], "rel string").mapInArrow(_listed(root, False), "rel string, is_folder boolean, length long, mtime timestamp")
+    here = top.where(~F.col("is_folder") & matches_pattern(F.col("rel"), pattern)).select(F.concat(F.lit(root.rstrip("/") + "/"), "rel").alias("path"), "rel", "length", "mtime")
+    return here if not exclude_reserved(top.where("is_folder").withColumn("date_folder", F.col("rel")), claim_folder=".claims").isEmpty() else here.where("false")
 
 
 def read_envelopes(documents: DataFrame) -> DataFrame:
-    """Adds ``content``; empty files, which the file source leaves out, get empty content."""
-    spark = documents.sparkSession
-    folders = [r["folder_path"] for r in documents.select("folder_path").distinct().collect()]  # paths to read
-    if not folders:
-        return documents.withColumn("content", F.lit(None).cast("binary"))
-    plain = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*(?=/)", "")
-    bytes_of = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders).select(plain(F.col("path")).alias("_path"), "content")
-    out = documents.withColumn("_path", plain(F.col("path"))).join(bytes_of, "_path", "left").drop("_path")
-    return out.withColumn("content", F.when(F.col("length") == 0, F.lit(b"")).otherwise(F.col("content")))
+    """Adds ``content``, the bytes of the file ``path``; nothing is shuffled. A file that is gone by now has null content."""
+    rows = documents.drop("content")
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: dict[str, tuple] = {}
+        for b in batches:
+            first, content, size = 0, [], 0
+            paths = b.column("path").to_pylist()
+            for i, path in enumerate(paths):
+                folder = path.rsplit("/", 1)[0]
+                if folder not in opened:
+                    opened = {folder: _opened(folder)}
+                at, base = opened[folder]
+                try:
+                    with at.open_input_stream(f"{base.rstrip('/')}/{path[len(folder) + 1 :]}") as f:
+                        content.append(f.read())
+                except FileNotFoundError:
+                    content.append(None)
+                size += len(content[-1] or b"")
+                if size > BATCH_BYTES or i == len(paths) - 1:
+                    part = b.slice(first, i + 1 - first)
+                    yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(content, pa.binary())], [*names, "content"])
+                    first, content, size = i + 1, [], 0
+
+    from pyspark.sql import types as T
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("content", T.BinaryType())]))
+
+
+def write_files(df: DataFrame, root: str) -> int:
+    """Write ``content`` of each row to the file ``rel`` below ``root``, each under another name first; null content makes a folder.
+
+    Returns the number of files. A row that is written twice replaces itself.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, base = _opened(root)
+        for b in batches:
+            n = 0
+            for rel, content in zip(b.column("rel").to_pylist(), b.column("content").to_pylist(), strict=True):
+                path = f"{base.rstrip('/')}/{rel}"
+                at.create_dir(path if content is None else path.rsplit("/", 1)[0], recursive=True)
+                if content is not None:
+                    with at.open_output_stream(f"{path}.part") as f:
+                        f.write(content)
+                    at.move(f"{path}.part", path)
+                    n += 1
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    return df.select("rel", F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.times import ISO, hms
 from ..operators.batches import number_rows
+from ..operators.metrics import PHASES, cpu_disk_split, folder_breakdown, phase_breakdown, worker_breakdown
+from ..shared import exists
 
 #: Column names of the reports, in their order.
 ERROR_COLUMNS = (
@@ -16,7 +19,6 @@ TRACE_COLUMNS = (
     "Worker Slot|Thread Id|Date Folder|Batch Id|Sub Folder|File Name|Start Utc|End Utc|Duration Ms|Attempts|Outcome|Read Ms|Decode Ms|Validate Ms|Import Ms|Export Ms|Write Ms|Archive Ms"
 ).split("|")
 PART_ROWS = 250_000
-ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 CSV = {"header": "true", "escape": '"', "quote": '"', "emptyValue": "", "nullValue": ""}
 
 
@@ -24,11 +26,22 @@ def snake(name: str) -> str:
     return name.lower().replace(" ", "_")
 
 
-def rolling_csv(df: DataFrame, path: str, rows: int = PART_ROWS) -> bool:
-    """Write parts of ``rows`` rows (0: no limit), each with a header; nothing where there are no rows."""
+def rolling_csv(df: DataFrame, path: str, rows: int = PART_ROWS, number: str | None = None, order: list[str] | None = None) -> bool:
+    """Write parts of exactly ``rows`` rows, the last one apart, each a file with a header in a folder of its own; nothing where there are no rows.
+
+    Rows go by the column ``number`` (1, 2, ...), else they are numbered by ``order``. With ``rows`` 0, or neither, parts are
+    as large as tasks make them: a report of any size is never put through one task.
+    """
     if df.isEmpty():
         return False
-    df.write.options(**CSV, maxRecordsPerFile=rows, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").mode("append").csv(path)
+    out = {**CSV, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    if not rows or not (number or order):
+        df.write.options(**out).mode("append").csv(path)
+        return True
+    numbered = df.withColumn("_n", F.col(f"`{number}`").cast("long")) if number else number_rows(df, order, out="_n")
+    part = F.format_string("%04d", F.floor((F.col("_n") - 1) / rows) + 1)
+    parts = numbered.withColumn("part", part).repartition("part").sortWithinPartitions("part", "_n").drop("_n")
+    parts.write.options(**out).mode("append").partitionBy("part").csv(path)
     return True
 
 
@@ -55,11 +68,11 @@ def trace_report(trace: DataFrame) -> DataFrame:
 
 
 def write_error_report(failures: DataFrame, path: str, rows: int = PART_ROWS) -> bool:
-    return rolling_csv(error_report(failures), path, rows)
+    return rolling_csv(error_report(failures), path, rows, number="Row")
 
 
 def write_trace(trace: DataFrame, path: str, rows: int = PART_ROWS) -> bool:
-    return rolling_csv(trace_report(trace), path, rows)
+    return rolling_csv(trace_report(trace), path, rows, order=["Start Utc", "Worker Slot", "Date Folder", "Sub Folder", "File Name"])
 
 
 def read_report(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -109,29 +122,80 @@ def read_claims(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_completed(spark: SparkSession, path: str) -> DataFrame:
-    """Completed folders of a checkpoint; none where it is missing or unreadable."""
-    empty = spark.createDataFrame([], "date_folder string")
-    try:
-        df = spark.read.schema("CompletedFolders array<string>, _corrupt_record string").option("multiLine", "true").json(path)
-        names = [r["f"] for r in df.select(F.explode("CompletedFolders").alias("f")).distinct().collect()]  # folder names
-    except Exception:  # a lost or broken checkpoint means that nothing is known to be done
-        return empty
-    return spark.createDataFrame([(n,) for n in names if n], "date_folder string")
+    """Completed folders of a checkpoint file; none where it is missing or no checkpoint. A store that can't be reached is an error."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "date_folder string")
+    df = spark.read.schema("CompletedFolders array<string>, _corrupt_record string").option("multiLine", "true").json(path)
+    return df.select(F.explode("CompletedFolders").alias("date_folder")).where("date_folder <> ''").distinct()
+
+
+def checkpoint_json(checkpoints: DataFrame, completed: DataFrame) -> DataFrame:
+    """(run_id, value): the checkpoint file of each run, from rows of ``checkpoint_rows`` and (run_id, date_folder)."""
+    done = completed.groupBy("run_id").agg(F.sort_array(F.collect_set("date_folder")).alias("done"))
+    names = {"LastProcessedFolder": "last_folder", "LastProcessedFile": "last_file", "TotalProcessed": "total_processed", "TotalSucceeded": "total_succeeded", "TotalFailed": "total_failed"}
+    fields = [*(F.col(c).alias(n) for n, c in names.items()), F.coalesce("done", F.array().cast("array<string>")).alias("CompletedFolders")]
+    return checkpoints.join(done, "run_id", "left").select("run_id", F.to_json(F.struct(*fields)).alias("value"))
+
+
+def checkpoint_rows(trace: DataFrame, baselines: DataFrame | None = None) -> DataFrame:
+    """(run_id, last_folder, last_file, total_succeeded, total_failed, total_processed) of each run of ``trace``.
+
+    ``baselines`` (run_id, total_succeeded, total_failed) has what a resumed run starts from. Abandoned documents count as neither.
+    The last document is that of the last end, at equal ends the last by folder and name.
+    """
+    last = F.max(F.struct("end_utc", "date_folder", "file_name"))
+    ok, bad = F.count_if(F.col("outcome") == "Succeeded"), F.count_if(F.startswith("outcome", F.lit("Failed")))
+    own = trace.groupBy("run_id").agg(ok.alias("ok"), bad.alias("bad"), last.alias("last"))
+    if baselines is None:
+        base = own.select("run_id", F.lit(0).alias("ok0"), F.lit(0).alias("bad0"))
+    else:
+        base = baselines.select("run_id", F.col("total_succeeded").alias("ok0"), F.col("total_failed").alias("bad0"))
+    rows = own.join(base, "run_id", "left").fillna(0, ["ok0", "bad0"])
+    ok, bad = F.col("ok") + F.col("ok0"), F.col("bad") + F.col("bad0")
+    return rows.select("run_id", F.col("last.date_folder").alias("last_folder"), F.col("last.file_name").alias("last_file"), ok.alias("total_succeeded"), bad.alias("total_failed"), (ok + bad).alias("total_processed"))
+
 
+def save_checkpoint(checkpoints: DataFrame, completed: DataFrame, path: str) -> None:
+    """Append checkpoints (``checkpoint_rows``) and completed folders (run_id, date_folder, instance); earlier rows stay, so the history is the table."""
+    now = F.current_timestamp()
+    checkpoints.withColumn("saved_at", now).write.mode("append").parquet(f"{path}/checkpoints")
+    completed.select("run_id", "date_folder", "instance", now.alias("completed_at")).write.mode("append").parquet(f"{path}/completed_folders")
 
-def save_checkpoint(run_id: str, done: DataFrame, path: str) -> None:
-    """Append a run's completed folders; earlier rows stay, so the history is the table."""
-    done.select(F.lit(run_id).alias("run_id"), "date_folder", "instance", F.current_timestamp().alias("completed_at")).write.mode("append").parquet(path)
+
+def last_checkpoints(spark: SparkSession, path: str) -> DataFrame:
+    """The last checkpoint of each run: the baselines of a resumed one."""
+    rows = spark.read.parquet(f"{path}/checkpoints")
+    kept = [c for c in rows.columns if c != "run_id"]
+    return rows.groupBy("run_id").agg(F.max_by(F.struct(*kept), F.struct("saved_at", "total_processed")).alias("last")).select("run_id", "last.*")
 
 
 def write_documents(converted: DataFrame, path: str, base64: bool = False, overwrite: bool = True) -> None:
-    """Rendered documents as a table by date folder; the writer's commit makes each run's output appear as a whole."""
+    """Rendered documents as a table by date folder and batch (``all`` without batch_id).
+
+    With ``overwrite`` the batches written replace what they held before, and all others stay; without, documents that are
+    there already are skipped. The writer's commit makes a batch appear as a whole.
+    """
     from ..functions.decode import base64_line
 
+    spark = converted.sparkSession
     rtf = base64_line(F.encode("rtf", "US-ASCII")) if base64 else F.col("rtf")
     name = F.concat(F.col("stem"), F.lit(".rtf"))
-    rows = converted.where("rtf is not null").select("date_folder", "sub_folder", name.alias("file_name"), rtf.alias("rtf"))
-    rows.write.mode("overwrite" if overwrite else "errorifexists").partitionBy("date_folder").parquet(path)
+    batch = F.col("batch_id") if "batch_id" in converted.columns else F.lit("all")
+    rows = converted.where("rtf is not null").select("date_folder", batch.alias("batch_id"), "sub_folder", name.alias("file_name"), rtf.alias("rtf"))
+    if overwrite:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_folder", "batch_id").parquet(path)
+        return
+    if exists(spark, path):
+        key = lambda c: F.lower(F.concat_ws("/", *c))
+        keys = ("date_folder", "sub_folder", "file_name")
+        there = read_documents_table(spark, path).select(key(keys).alias("_there")).distinct()
+        rows = rows.join(there, key(keys) == F.col("_there"), "left_anti")
+    rows.write.mode("append").partitionBy("date_folder", "batch_id").parquet(path)
+
+
+def read_documents_table(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_documents`` wrote."""
+    return spark.read.schema("sub_folder string, file_name string, rtf string, date_folder string, batch_id string").parquet(path)
 
 
 def report_kv(totals: DataFrame, report: str) -> DataFrame:
@@ -140,15 +204,94 @@ def report_kv(totals: DataFrame, report: str) -> DataFrame:
     return totals.select(F.col(report).alias("report"), F.explode(F.array(*cells)).alias("c")).select("report", "c.name", "c.value")
 
 
-def summary_text(totals: DataFrame, sections: dict[str, DataFrame]) -> str:
-    """The summary report: a header of name and value, and a section for each breakdown (all are small)."""
-    cell = lambda v: "" if v is None else f'"{str(v).replace(chr(34), chr(34) * 2)}"' if any(x in str(v) for x in ',"\r\n') else str(v)
-    first = totals.first()
-    lines = ["Name,Value", *(f"{c},{cell(first[c])}" for c in totals.columns)]
-    for name, df in sections.items():
-        lines += ["", f"--- {name} ---", ",".join(df.columns), *(",".join(cell(v) for v in r) for r in df.toLocalIterator())]
+#: Names of the phases in the report, and the headers of its sections.
+PHASE_NAMES = {
+    "read": "Read input", "decode": "Decode Base64/charset", "validate": "Validate content", "import": "Import (XHTML)", "export": "Export (RTF)", "write": "Write output", "archive": "Archive input",
+}
+FOLDER_HEADER = "Date Folder,Total Files,Succeeded,Failed,Processing Time"
+WORKER_HEADER = "Worker Slot,Files Processed,Succeeded,Failed,Abandoned,Busy Time,Busy (% of run),Avg ms/File,Files Per Second"
+PHASE_HEADER = "Phase,Kind,Total Seconds,% of Measured,Avg ms/File"
+
+
+def csv_cell(c: Column) -> Column:
+    """A field of a report, quoted where it holds a comma, a quote or a line end."""
+    c = F.coalesce(c.cast("string"), F.lit(""))
+    return F.when(c.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+
+
+def _lines(df: DataFrame, section: str, title: str, header: str, order: list, *cells: Column) -> DataFrame:
+    """(section, place, line) of a section of the summary; ``order`` are columns."""
+    place = F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"o{i}") for i, c in enumerate(order)])
+    body = df.select(F.lit(1).alias("kind"), place.alias("place"), F.concat_ws(",", *[csv_cell(c) for c in cells]).alias("line"))
+    spark = df.sparkSession
+    head = spark.createDataFrame([(0, f"--- {title} ---\n{header}")], "kind int, line string")
+    blank = F.struct(*[F.lit("").alias(f"o{i}") for i in range(len(order))])
+    head = head.select("kind", blank.alias("place"), "line").join(body.limit(1).select(F.lit(1).alias("any")), F.lit(True), "left_semi")
+    return head.unionByName(body).select(F.lit(section).alias("section"), "kind", F.to_json("place").alias("place"), "line")
+
+
+def summary_header(trace: DataFrame, settings: dict, found: int | None = None) -> list[tuple[str, str]]:
+    """The summary's header as (name, value): ``settings`` first, then the totals of the run; one row of sums comes to the driver."""
+    from ..operators.metrics import average_concurrency, peak_concurrency, run_totals, throughput
+
+    wall = ((F.unix_micros(F.max("end_utc")) - F.unix_micros(F.min("start_utc"))) / 1000).alias("ms")
+    extra = trace.agg(wall, F.coalesce(F.sum("duration_ms"), F.lit(0.0)).alias("service_ms"), F.count("*").alias("worked"), F.coalesce(F.sum(F.when(F.col("outcome") == "Succeeded", F.col("bytes_out"))), F.lit(0)).alias("bytes_out")).first()
+    totals = run_totals(trace, extra["worked"] if found is None else found)
+    t = totals.first()
+    both = totals.withColumns({"elapsed_s": F.lit((extra["ms"] or 0) / 1000.0), "service_ms": F.lit(float(extra["service_ms"])), "bytes_out": F.lit(int(extra["bytes_out"]))})
+    rate = throughput(both).first()
+    use = average_concurrency(trace, int(settings.get("Threads", 1))).first()
+    spans = trace.select(F.unix_micros("start_utc").alias("start_us"), F.unix_micros("end_utc").alias("end_us"))
+    ms = int(extra["ms"] or 0)
+    time = f"{ms // 3_600_000 % 24:02d}:{ms // 60_000 % 60:02d}:{ms // 1000 % 60:02d}"
+    rows = [
+        ("Peak Concurrent Workers", peak_concurrency(spans).first()["peak"]), ("Average Concurrent Workers", f"{use['avg_workers']:.2f}"), ("Worker Utilisation (%)", f"{use['utilisation_pct']:.1f}"),
+        ("Average Worker Service Time (ms)", f"{extra['service_ms'] / max(1, extra['worked']):.1f}"), ("Total Files Found", t["processed"] + t["remaining"]), ("Total Files Processed", t["processed"]),
+        ("Total Files Succeeded", t["succeeded"]), ("Total Files Failed", t["failed"]), ("Total Retries", t["retries"]), ("Error Report Rows", t["failed"]), ("Total Processing Time", time),
+        ("Average Files Per Second", f"{rate['files_per_s']:.2f}"), ("Average Files Per Minute", f"{rate['files_per_min']:.0f}"), ("Average Files Per Hour", f"{rate['files_per_hour']:.0f}"),
+        ("Average File Size (MB)", f"{rate['avg_file_mb']:.2f}"), ("Total XHTML Read (GB)", f"{t['bytes_in'] / 1024**3:.2f}"), ("Total RTF Written (GB)", f"{extra['bytes_out'] / 1024**3:.2f}"),
+    ]
+    return [(k, str(v)) for k, v in [*settings.items(), *rows]]
+
+
+def summary_sections(trace: DataFrame) -> DataFrame:
+    """(section, kind, place, line) of the breakdowns by folder, worker and phase, and the totals of CPU and disk; sorted by these, they are the report's body."""
+    number = lambda c, places: F.format_string(f"%.{places}f", F.col(c))
+    folders = folder_breakdown(trace)
+    out = _lines(folders, "1", "Per-Folder Breakdown", FOLDER_HEADER, ["date_folder"], F.col("date_folder"), F.col("total"), F.col("succeeded"), F.col("failed"), hms(F.col("elapsed_ms")))
+    workers = worker_breakdown(trace).withColumns({"slot": F.lpad(F.col("worker_slot").cast("string"), 12, "0"), "rate": F.coalesce(F.try_divide(F.col("processed"), F.col("busy_ms") / 1000), F.lit(0.0))})
+    cells = [F.col("worker_slot"), F.col("processed"), F.col("succeeded"), F.col("failed"), F.col("abandoned"), hms(F.col("busy_ms")), number("busy_pct", 1), number("avg_ms", 1), number("rate", 2)]
+    out = out.unionByName(_lines(workers, "2", "Per-Worker Breakdown", WORKER_HEADER, ["slot"], *cells))
+    names, place = F.col("phase"), F.lit("9")
+    for i, (p, _) in enumerate(PHASES):
+        names, place = F.when(F.col("phase") == p, PHASE_NAMES[p]).otherwise(names), F.when(F.col("phase") == p, str(i)).otherwise(place)
+    phases = phase_breakdown(trace).select(names.alias("name"), "kind", "total_s", "pct", "avg_ms", place.alias("place"))
+    split = cpu_disk_split(trace)
+    measured = split.where("kind <> 'Overhead'").agg(F.sum("total_s").alias("all_s"))  # one row
+    kinds = split.crossJoin(F.broadcast(measured)).withColumn("pct", F.coalesce(F.try_divide("total_s", "all_s"), F.lit(0.0)) * 100)
+    name = F.when(F.col("kind") == "Overhead", "Unattributed").otherwise(F.concat("kind", F.lit(" total")))
+    kinds = kinds.select(name.alias("name"), "kind", "total_s", "pct", "avg_ms", F.when(F.col("kind") == "CPU", "a").when(F.col("kind") == "Disk", "b").otherwise("c").alias("place"))
+    rows = phases.unionByName(kinds)
+    return out.unionByName(_lines(rows, "3", "Phase Breakdown (successful conversions)", PHASE_HEADER, ["place"], F.col("name"), F.col("kind"), number("total_s", 1), number("pct", 1), number("avg_ms", 3)))
+
+
+def summary_text(header: list[tuple[str, str]], sections: DataFrame | None = None) -> str:
+    """The summary report. Its sections have a row for each folder, worker and phase, and are read part by part."""
+    cell = lambda v: f'"{v.replace(chr(34), chr(34) * 2)}"' if any(x in v for x in ',"\r\n') else v
+    lines = [f"{k},{cell(str(v))}" for k, v in header]
+    for r in sections.orderBy("section", "kind", "place").toLocalIterator() if sections is not None else ():
+        lines += ["", *r["line"].split("\n")] if r["kind"] == 0 else [r["line"]]
     return "\n".join(lines) + "\n"
 
 
+def newest_reports(runs: DataFrame, written: DataFrame) -> DataFrame:
+    """(run, report): the newest report written at or after each run's start, so that no earlier file is taken for it.
+
+    ``runs``: run, started_at; ``written``: run, report, written_at. Runs without such a report are left out; ties go to the last name.
+    """
+    since = runs.join(written, "run").where(F.col("written_at") >= F.col("started_at"))
+    return since.groupBy("run").agg(F.max_by("report", F.struct("written_at", "report")).alias("report"))
+
+
 def append_matrix(matrix: DataFrame, path: str) -> None:
     matrix.write.options(**CSV).mode("append").csv(path)

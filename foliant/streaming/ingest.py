@@ -1,7 +1,12 @@
-"""Incremental arrival of documents, as Structured Streaming over a folder of files."""
+"""Incremental arrival of documents, as Structured Streaming over a folder of files.
+
+The stream's file source skips empty files and names that begin with ``_`` or ``.``; ``sources.files`` lists and reads these,
+so a run that must report them lists the folder once more at its end.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +15,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def ingest_incremental(spark: SparkSession, path: str, files_per_batch: int = 1000, archive: str | None = None) -> DataFrame:
-    """A stream of files (path, length, mtime, content, date_folder); with ``archive``, files of finished batches move there."""
+    """A stream of files (path, length, mtime, content, date_folder); with ``archive``, files of finished batches move there.
+
+    The date folder is the first folder below ``path``, whatever folders lie in it; empty for a file directly in ``path``.
+    """
     reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     rows = reader.schema("path string, modificationTime timestamp, length long, content binary").load(path)
-    return rows.select("path", "length", F.col("modificationTime").alias("mtime"), "content", F.element_at(F.split("path", "/"), -2).alias("date_folder"))
+    plain = re.sub("^[a-z0-9]+:/*(?=/)", "", path).rstrip("/")
+    folder = F.regexp_extract("path", re.escape(plain) + "/([^/]+)/", 1)
+    return rows.select("path", "length", F.col("modificationTime").alias("mtime"), "content", folder.alias("date_folder"))
 
 
 def resume(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
@@ -35,6 +45,22 @@ def live_progress(stream: DataFrame) -> DataFrame:
     return stream.groupBy("date_folder", "outcome").agg(F.count("*").alias("documents"), F.sum("length").alias("bytes"))
 
 
+def publish(progress: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Write the rows that change in each batch of ``live_progress``, keyed by batch; ``published`` has the last of each."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return progress.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def published(spark: SparkSession, out: str) -> DataFrame:
+    """The progress as of the last batch."""
+    rows = spark.read.parquet(out)
+    last = rows.groupBy("date_folder", "outcome").agg(F.max_by(F.struct("documents", "bytes"), "batch").alias("last"))
+    return last.select("date_folder", "outcome", "last.*")
+
+
 def late_files(stream: DataFrame, completed: DataFrame) -> DataFrame:
     """Files that arrive in folders that are marked complete; a resumed run would not read them."""
     done = completed.select(F.lower("date_folder").alias("_done")).distinct()

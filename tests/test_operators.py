@@ -79,6 +79,62 @@ def test_attempts(spark):
     assert got == {"a": (3, 2, 1500, "Succeeded"), "b": (3, 2, 1500, "Failed:Transient"), "c": (1, 0, 0, "Failed:Permanent"), "d": (1, 0, 0, "Fatal")}
 
 
+def test_cancelled_attempts(spark):
+    """A cancellation is Cancelled only where the run was cancelled; else it is transient. Neither Fatal nor Cancelled is failed."""
+    log = [("a", 1, "TaskCanceledException", "Transient", True), ("a", 2, None, None, False), ("b", 1, "OperationCanceledException", "Transient", False), ("b", 2, "OperationCanceledException", "Transient", None), ("c", 1, "IOException", "Transient", True), ("c", 2, None, None, False)]
+    got = {r.k: (r.attempts, r.outcome) for r in outcomes.resolve_attempts(spark.createDataFrame(log, "k string, attempt int, error_type string, category string, cancelled boolean"), "k", most=2).collect()}
+    assert got == {"a": (1, "Cancelled"), "b": (2, "Failed:Transient"), "c": (2, "Succeeded")}
+    when = dt.datetime(2026, 8, 1)
+    rows = [("w", "f", "b", o, when, when + dt.timedelta(seconds=1), 1, 10, 1000.0) for o in ("Succeeded", "Failed:Permanent", "Failed:Transient", "Fatal", "Cancelled", "Cancelled")]
+    trace = spark.createDataFrame(rows, "worker_slot string, date_folder string, batch_id string, outcome string, start_utc timestamp, end_utc timestamp, attempts int, bytes_in long, duration_ms double")
+    folder, worker, totals = metrics.folder_breakdown(trace).first(), metrics.worker_breakdown(trace).first(), metrics.run_totals(trace, 6).first()
+    assert (folder.total, folder.succeeded, folder.failed) == (6, 1, 2) and (worker.processed, worker.succeeded, worker.failed, worker.abandoned) == (6, 1, 2, 3)
+    assert (totals.processed, totals.failed, totals.remaining, totals.bytes_in) == (3, 2, 3, 10)
+    assert outcomes.error_rates_by_batch(trace).first().errors == 2
+    moved = outcomes.plan_disposition(trace.select("outcome", F.lit("/in").alias("folder_path"), F.lit("").alias("sub_folder"), F.lit("n").alias("file_name")))
+    assert moved.where("outcome in ('Fatal', 'Cancelled') and destination is not null").count() == 0
+
+
+def test_progress_of_runs_apart(spark):
+    at = lambda x: dt.datetime(2026, 8, 1) + dt.timedelta(seconds=x)
+    rows = [("r1", "b1", "Succeeded", at(0), at(2)), ("r1", "b2", "Failed:Permanent", at(2), at(4)), ("r2", "b1", "Fatal", at(1), at(3)), ("r2", "b2", "Succeeded", at(3), at(6))]
+    trace = spark.createDataFrame(rows, "run_id string, batch_id string, outcome string, start_utc timestamp, end_utc timestamp")
+    got = {(r.run_id, r.batch_id): (r.done, r.succeeded, r.failed, r.files_per_s) for r in batches.batch_progress(trace, "run_id").collect()}
+    assert got == {("r1", "b1"): (1, 1, 0, 0.5), ("r1", "b2"): (2, 1, 1, 0.5), ("r2", "b1"): (0, 0, 0, 0.0), ("r2", "b2"): (1, 1, 0, 0.2)}
+    assert batches.batch_progress(trace.where("run_id = 'r1'")).count() == 2
+
+
+def test_collisions_against_a_walk(spark):
+    """Names given one after the other, as many as collide, against the joins."""
+    import random
+
+    rnd = random.Random(6)
+    for _ in range(3):
+        taken = {rnd.choice(["/a/d.x", "/a/D_1.x", "/a/d_3.x", "/a/d_4.x", "/a/e_2.x", "/a/e.x"]).lower() for _ in range(4)}
+        new = [(rnd.choice(["/a/d.x", "/a/D.X", "/a/e.x", "/a/d_3.x", "/a/f"]), f"p{i:02d}") for i in range(20)]
+        own = {n.lower() for n, _ in new}
+        want, used = [], set(taken)
+        for n, _ in sorted(new, key=lambda r: r[1]):
+            stem, ext = (n.rsplit(".", 1)[0], "." + n.rsplit(".", 1)[1]) if "." in n else (n, "")
+            k, out = 0, n
+            while out.lower() in used or k and out.lower() in own:
+                k += 1
+                out = f"{stem}_{k}{ext}"
+            used.add(out.lower())
+            want.append(out)
+        got = outcomes.resolve_collisions(spark.createDataFrame(new, "destination string, path string"), spark.createDataFrame([(t,) for t in taken], "destination string"))
+        assert [r.final for r in got.orderBy("path").collect()] == want
+
+
+def test_times(spark):
+    from foliant.functions import times
+
+    df = spark.createDataFrame([(90_061_999,), (0,), (None,)], "ms long")
+    assert [r[0] for r in df.select(times.hms(F.col("ms"))).collect()] == ["01:01:01", "00:00:00", None]
+    r = spark.sql("select timestamp'2026-08-01 02:03:04' t").select(times.run_stamp(F.col("t")).alias("a"), times.iso_utc(F.col("t")).alias("b")).first()
+    assert (r.a, r.b) == ("20260801_020304", "2026-08-01T02:03:04Z")
+
+
 def test_peak_concurrency_matches_a_sweep(spark):
     import random
 
@@ -104,7 +160,7 @@ def test_throughput_without_time_or_files(spark):
 def _failures(spark, n):
     when = dt.datetime(2026, 8, 1, 12)
     rows = [
-        (when + dt.timedelta(seconds=i), "f#0001", "f", "", f"d{i}.xhtml", f"d{i}.xhtml", 10, "Conversion", "Permanent", "why", 1, None, "Yes", "/e", f"/in/{i:03d}", "XmlException", 'Unexpected "tag"\r\non line 2', None)
+        (when + dt.timedelta(seconds=i), "f#0001", "f", "", f"d{i}.xhtml", f"d{i}.xhtml", 10, "Conversion", "Permanent", "why", 1, None, "Yes", "/e", f"/in/{i:03d}", "XmlException", 'A "b", c\r\nd', None)
         for i in range(n)
     ]
     names = [reports.snake(c) for c in reports.ERROR_COLUMNS[1:]]
@@ -115,11 +171,11 @@ def _failures(spark, n):
 def test_error_report_round_trip(spark, tmp_path):
     path = str(tmp_path / "errors")
     assert reports.write_error_report(_failures(spark, 5).coalesce(1), path, rows=2)
-    parts = list((tmp_path / "errors").glob("*.csv"))
-    assert len(parts) >= 3 and all(p.read_text().startswith("Row,Error Time Utc,Batch Id") for p in parts)
+    parts = sorted((tmp_path / "errors").glob("part=*/*.csv"))
+    assert [p.parent.name for p in parts] == ["part=0001", "part=0002", "part=0003"] and all(p.read_text().startswith("Row,Error Time Utc,Batch Id") for p in parts)
     back = sorted(reports.read_error_report(spark, path).collect(), key=lambda r: int(r.row))
     assert [r.row for r in back] == list("12345")
-    assert back[0].error_message == 'Unexpected "tag"\r\non line 2' and back[0].error_log_file == "(none)" and back[0].error_time_utc == "2026-08-01T12:00:00Z"
+    assert back[0].error_message == 'A "b", c\r\nd' and back[0].error_log_file == "(none)" and back[0].error_time_utc == "2026-08-01T12:00:00Z"
     assert not reports.write_error_report(_failures(spark, 1).where("false"), str(tmp_path / "none"))
     assert not (tmp_path / "none").exists()
 
@@ -132,16 +188,23 @@ def test_error_log_text_has_a_bound(spark):
 
 
 def test_summary_is_read_back(spark, tmp_path):
-    totals = spark.createDataFrame([(4, "COMPLETED, all", 1.5)], "Threads int, Status string, Rate double")
-    phases = spark.createDataFrame([("Read input", "Disk", "1.0", "0.250")], "Phase string, Kind string, s string, ms string")
-    (tmp_path / "run_1.csv").write_text(reports.summary_text(totals.withColumn("Status", F.lit("DONE")), {"Phases": phases}))
-    (tmp_path / "run_2.csv").write_text("Name,Value\r\nStatus,a,b\r\n\r\nStatus,no\r\n")
+    when = dt.datetime(2026, 8, 1)
+    rows = [(i % 2 + 1, "d,1" if i < 3 else "d2", "b", f"n{i}", "Succeeded" if i else "Failed:Permanent", when, when + dt.timedelta(seconds=2), 2000.0, 1, 1024, 2048, *[100.0] * 7) for i in range(6)]
+    phases = [f"{p}_ms" for p, _ in metrics.PHASES]
+    trace = spark.createDataFrame(rows, "worker_slot int, date_folder string, batch_id string, file_name string, outcome string, start_utc timestamp, end_utc timestamp, duration_ms double, attempts int, bytes_in long, bytes_out long, " + ", ".join(f"{p} double" for p in phases))
+    text = reports.summary_text(reports.summary_header(trace, {"Status": "DONE, all", "Threads": 6}), reports.summary_sections(trace))
+    (tmp_path / "run_1.csv").write_text(text)
+    assert '"d,1",3,2,1,00:00:02' in text and "1,3,2,1,0,00:00:06,300.0,2000.0,0.50" in text and "CPU total,CPU,2.0,57.1,400.000" in text and "Unattributed,Overhead,8.5," in text
+    assert text.index("Per-Folder") < text.index("Per-Worker") < text.index("Phase Breakdown") < text.index("Read input") < text.index("Archive input") < text.index("Disk total")
+    (tmp_path / "run_2.csv").write_text("Status,a,b\r\n\r\nStatus,no\r\n")
     lines = reports.report_lines(spark, str(tmp_path))
     head = {(r.report, r.name): r.value for r in reports.read_summary_header(lines).collect()}
-    assert head[("run_1.csv", "Status")] == "DONE" and head[("run_2.csv", "Status")] == "a,b" and ("run_1.csv", "Read input") not in head
-    assert [(r.report, r.value) for r in reports.read_phase_section(lines, ["Read input"]).collect()] == [("run_1.csv", "0.250")]
+    assert head[("run_1.csv", "Status")] == '"DONE, all"' and head[("run_1.csv", "Total Files Failed")] == "1" and head[("run_1.csv", "Peak Concurrent Workers")] == "6"
+    assert head[("run_2.csv", "Status")] == "a,b" and ("run_1.csv", "Read input") not in head
+    assert [(r.report, r.value) for r in reports.read_phase_section(lines, ["Read input"]).collect()] == [("run_1.csv", "100.000")]
     m = verify.thread_sweep_matrix(reports.read_summary_header(lines), ["Threads", "Status"])
-    assert {r.report: r.Threads for r in m.collect()} == {"run_1.csv": "4", "run_2.csv": ""}
+    assert {r.report: r.Threads for r in m.collect()} == {"run_1.csv": "6", "run_2.csv": ""}
+    assert reports.summary_sections(trace.where("false")).where("section <> '3'").count() == 0
 
 
 def test_claims_and_checkpoint(spark, tmp_path):
@@ -155,30 +218,51 @@ def test_claims_and_checkpoint(spark, tmp_path):
     (tmp_path / "bad.json").write_text("{nope")
     assert reports.read_completed(spark, str(tmp_path / "bad.json")).count() == 0
     assert reports.read_completed(spark, str(tmp_path / "missing.json")).count() == 0
-    done = spark.createDataFrame([("a", "i")], "date_folder string, instance string")
-    reports.save_checkpoint("r1", done, str(tmp_path / "t"))
-    reports.save_checkpoint("r2", done, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    when = dt.datetime(2026, 8, 1)
+    rows = [("r1", "d1", "a", "Succeeded", when), ("r1", "d1", "b", "Failed:Permanent", when), ("r1", "d2", "c", "Fatal", when)]
+    trace = spark.createDataFrame(rows, "run_id string, date_folder string, file_name string, outcome string, end_utc timestamp")
+    done = spark.createDataFrame([("r1", "d1", "i")], "run_id string, date_folder string, instance string")
+    for _ in range(2):
+        before = reports.last_checkpoints(spark, str(tmp_path / "t")) if (tmp_path / "t").exists() else None
+        reports.save_checkpoint(reports.checkpoint_rows(trace, before), done, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t/checkpoints")).count() == 2 and spark.read.parquet(str(tmp_path / "t/completed_folders")).count() == 2
+    last = reports.last_checkpoints(spark, str(tmp_path / "t")).first()
+    assert (last.last_folder, last.last_file, last.total_succeeded, last.total_failed, last.total_processed) == ("d2", "c", 2, 2, 4)
 
 
 def test_listing(spark, tmp_path):
     import base64
 
-    for rel, data in {"d1/a.XHTML": b"x", "d1/p/archive/b.xhtml": b"y", "d1/archive/c.xhtml": b"z", "d1/_u.xhtml": b"", "ARCHIVE/q.xhtml": b"q", ".claims/x.done": b"c", "top.xhtml": b"t", "d2/n.pdf": b"p"}.items():
+    for rel, data in {"d1/a.XHTML": b"x", "d1/p/archive/b.xhtml": b"y", "d1/archive/c.xhtml": b"z", "d1/_u.xhtml": b"", "d1/_v.xhtml": b"v", "d1/.h.xhtml": b"h", "ARCHIVE/q.xhtml": b"q", ".claims/x.done": b"c", "top.xhtml": b"t", "d2/n.pdf": b"p"}.items():
         p = tmp_path / "in" / rel
         p.parent.mkdir(parents=True, exist_ok=True)
         p.write_bytes(base64.b64encode(data))
+    (tmp_path / "in/d3").mkdir()
     root = str(tmp_path / "in")
     docs = files.list_documents(spark, root)
     got = sorted((r.date_folder, r.sub_folder, r.file_name) for r in docs.collect())
-    assert got == [("d1", "", "_u.xhtml"), ("d1", "", "a.XHTML"), ("d1", "p/archive", "b.xhtml"), ("d2", "", "n.pdf")]
-    assert [r.date_folder for r in files.list_date_folders(docs).collect()] == ["d1", "d2"]
+    assert got == [("d1", "", ".h.xhtml"), ("d1", "", "_u.xhtml"), ("d1", "", "_v.xhtml"), ("d1", "", "a.XHTML"), ("d1", "p/archive", "b.xhtml"), ("d2", "", "n.pdf")]
+    assert [r.date_folder for r in files.list_date_folders(spark, root).collect()] == ["d1", "d2", "d3"]
+    assert [r.date_folder for r in files.list_date_folders(spark, root, only="D2").collect()] == ["d2"]
+    assert [(r.date_folder, r.rel_path) for r in files.list_documents(spark, f"file://{root}/d2").collect()] == [("d2", "n.pdf")]
     assert [r.rel for r in files.stranded_files(spark, root).collect()] == ["top.xhtml"]
     assert files.list_documents(spark, root, only="D2").count() == 1
     content = {r.file_name: bytes(r.content or b"") for r in files.read_envelopes(docs).collect()}
+    assert base64.b64decode(content["_v.xhtml"]) == b"v" and base64.b64decode(content[".h.xhtml"]) == b"h"
     assert content["_u.xhtml"] == b"" and base64.b64decode(content["b.xhtml"]) == b"y"
 
 
+def test_documents_of_two_writes_stay(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = lambda *own: spark.createDataFrame(list(own), "date_folder string, sub_folder string, stem string, rtf string, batch_id string")
+    reports.write_documents(rows(("d1", "", "a", "1", "d1#0001")), path)
+    reports.write_documents(rows(("d2", "p", "b", "1", "d2#0001"), ("d1", "", "c", "1", "d1#0002")), path)
+    reports.write_documents(rows(("d1", "", "a", "2", "d1#0001")), path)
+    reports.write_documents(rows(("d1", "", "A", "3", "d1#0001"), ("d1", "", "e", "3", "d1#0001"), ("d3", "", "f", None, "d3#0001")), path, overwrite=False)
+    got = sorted((r.date_folder, r.sub_folder, r.file_name, r.rtf) for r in reports.read_documents_table(spark, path).collect())
+    assert got == [("d1", "", "a.rtf", "2"), ("d1", "", "c.rtf", "1"), ("d1", "", "e.rtf", "3"), ("d2", "p", "b.rtf", "1")]
+
+
 def test_whole_conversion_and_manifest(spark):
     good = "<p>Progress <b>note</b></p>"
     rows = spark.createDataFrame([(i, good if i else "no markup", f"d{i % 2}") for i in range(5)], "i int, t string, f string")
