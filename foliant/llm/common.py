@@ -2,43 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_dirs: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where that is unset, a temporary folder is made, in local mode only: on a cluster each executor would write to its own disk.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = tempfile.mkdtemp(prefix="spark-foliant-")
-    return _own_dirs[app]
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/foliant/{name}-{uuid.uuid4().hex}"
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a folder, in whatever store it is."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
+from ..shared import delete, new_path
 
 def keep(df: DataFrame, name: str, compression: str = "zstd", path: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.

@@ -1,15 +1,19 @@
 """Document fingerprints from closed syncmers. DataFrame functions only.
 
 The alphabet is the words of a text: a sign of a script without spaces is a word, and a run
-without white space is cut into words of 16 code points at most. A k-mer of ``k`` words is an anchor if the
+without white space is cut into words of 16 code points, which drops nothing. A k-mer of ``k`` words is an anchor if the
 smallest hash of its inner ``s``-mers is that of its first or its last one. This looks at nothing
 outside the k-mer, so equal passages have equal anchors wherever they stand.
 
+Two texts are compared by place: an anchor and the next one match where both stand in the other text too, in this order and
+as many words apart. So words that only happen to occur in both, far from what stands beside them, don't count, and what is moved as a
+whole does. The likeness is the share of matching steps among the distinct steps of both.
+
 Sliding minima and k-mer hashes are made by doubling, so the cost of a word grows with log2(k).
 
 Cases: a text of fewer than ``k`` words, or without an anchor, has the hashes of its words
 for anchors; a text of white space only has the hash of the text; an empty or null text has no
-anchor. Two texts without anchors have likeness 1, with one of them 0. The next document is the next row by
+anchor. A single anchor is a step by itself. Two texts without anchors have likeness 1, with one of them 0. The next document is the next row by
 (doc_id, text), nulls first, so repeated ids are documents of their own; a single document is its own next. Further
 columns are ignored.
 """
@@ -31,9 +35,9 @@ def shift(c: Column, by: int) -> Column:
     return F.slice(c, by + 1, F.greatest(F.size(c) - by, F.lit(0)))
 
 
-def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S, places: bool = False) -> DataFrame:
-    """Adds ``out``: the hashes of the anchors of ``text`` in their order; with ``places``, structs of word
-    number and hash. The steps are columns of their own, so that each is computed once."""
+def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
+    """Adds ``out``: the hashes of the anchors of ``text`` in their order, and ``out``_at: the number of the word where each begins.
+    The steps are columns of their own, so that each is computed once."""
     if not 1 <= s < k:
         raise ValueError("1 <= s < k is needed")
     name = lambda x: f"__{out}_{x}"
@@ -60,19 +64,29 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S, pla
     n = F.greatest(F.size(name("w")) - (k - 1), F.lit(0))
     first = lambda c: F.slice(F.col(c), 1, n)
     edge = both(first(smer), F.slice(shift(F.col(smer), width - 1), 1, n), lambda x, y: F.least(x, y))
-    closed = both(edge, first(low), lambda x, y: x == y)
-    value = (lambda h, i: F.struct(i.alias("place"), h.alias("hash"))) if places else (lambda h, i: h)
-    kept = F.transform(first(kmer), value) if places else first(kmer)
-    df = df.withColumn(name("a"), F.array_compact(both(closed, kept, lambda f, h: F.when(f, h))))
-    whole = F.struct(F.lit(0).alias("place"), F.hash(text).alias("hash")) if places else F.hash(text)
-    words = F.transform(name("h"), value) if places else F.col(name("h"))
-    rest = F.when(F.size(name("w")) > 0, words).when(F.col(text) != "", F.array(whole)).otherwise(F.slice(F.array(whole), 1, 0))
-    df = df.withColumn(out, F.when(F.size(name("a")) > 0, F.col(name("a"))).otherwise(rest))
+    df = df.withColumn(name("c"), both(edge, first(low), lambda x, y: x == y))
+    df = df.withColumn(name("a"), F.array_compact(both(F.col(name("c")), first(kmer), lambda f, h: F.when(f, h))))
+    df = df.withColumn(name("p"), F.array_compact(F.transform(name("c"), lambda f, i: F.when(f, i))))
+    found, words = F.size(name("a")) > 0, F.size(name("w")) > 0
+    whole = F.array(F.hash(text))
+    rest = F.when(words, F.col(name("h"))).when(F.col(text) != "", whole).otherwise(F.slice(whole, 1, 0))
+    places = F.when(words, F.transform(name("h"), lambda _, i: i)).when(F.col(text) != "", F.array(F.lit(0))).otherwise(F.slice(F.array(F.lit(0)), 1, 0))
+    df = df.withColumns({out: F.when(found, F.col(name("a"))).otherwise(rest), f"{out}_at": F.when(found, F.col(name("p"))).otherwise(places)})
     return df.drop(*[c for c in df.columns if c.startswith(f"__{out}_")])
 
 
+def with_steps(df: DataFrame, anchors: str, out: str) -> DataFrame:
+    """Adds ``out``: a hash of each anchor, the next one, and how many words apart they begin; of a single anchor, its own hash."""
+    n = F.greatest(F.size(anchors) - 1, F.lit(0))
+    here, after = (lambda c: F.slice(F.col(c), 1, n)), (lambda c: F.slice(F.col(c), 2, n))
+    df = df.withColumn(f"__{out}", F.zip_with(here(anchors), after(anchors), lambda x, y: F.xxhash64(x, y)))
+    gaps = F.zip_with(here(f"{anchors}_at"), after(f"{anchors}_at"), lambda p, q: q - p)
+    steps = F.zip_with(F.col(f"__{out}"), gaps, lambda h, g: F.xxhash64(h, g))
+    return df.withColumn(out, F.when(F.size(anchors) == 1, F.transform(anchors, lambda h: F.xxhash64(h))).otherwise(steps)).drop(f"__{out}")
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Share of common anchors among the distinct anchors of both."""
+    """Share of common steps among the distinct steps of both."""
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
 
 
@@ -89,7 +103,7 @@ def _count_up_to(values: list[int], c: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, anchors, next_text, next_anchors): each document beside the next by doc_id.
+    """(doc_id, text, anchors, steps, next_text, next_steps): each document beside the next by doc_id.
 
     Documents are shuffled once, into ranges of doc_id; the first of each range goes to the range
     before it too, so that no range needs to look into another.
@@ -113,10 +127,10 @@ def with_next(docs: DataFrame) -> DataFrame:
     at = lambda x, ghost: F.struct(x.alias("b"), F.lit(ghost).alias("ghost"))
     places = F.array_compact(F.array(at(F.col("b"), False), F.when(is_first, at(other, True))))
     rows = rows.select("doc_id", "text", "key", F.explode(places).alias("p")).select("doc_id", "text", "key", F.col("p.b").alias("b"), F.col("p.ghost").alias("ghost"))
-    rows = with_anchors(rows.repartition(parts, "b"), "text", "anchors")
+    rows = with_steps(with_anchors(rows.repartition(parts, "b"), "text", "anchors"), "anchors", "steps").drop("anchors_at")
     order = W.partitionBy("b").orderBy("ghost", "key", "text")
-    both = F.lead(F.struct("text", "anchors")).over(order)
-    return rows.withColumn("next", both).where(~F.col("ghost")).select("doc_id", "text", "anchors", F.col("next.text").alias("next_text"), F.col("next.anchors").alias("next_anchors"))
+    both = F.lead(F.struct("text", "steps")).over(order)
+    return rows.withColumn("next", both).where(~F.col("ghost")).select("doc_id", "text", "anchors", "steps", F.col("next.text").alias("next_text"), F.col("next.steps").alias("next_steps"))
 
 
 def op2(spark: SparkSession, documents: DataFrame) -> DataFrame:
@@ -124,7 +138,7 @@ def op2(spark: SparkSession, documents: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = with_anchors(rows.withColumn("edited", edited), "edited", "edited_anchors")
+    rows = with_steps(with_anchors(rows.withColumn("edited", edited), "edited", "edited_anchors"), "edited_anchors", "edited_steps")
     shown = lambda c: F.concat_ws(",", F.col(c).cast("array<string>"))
     return rows.select(
         "doc_id",
@@ -132,6 +146,6 @@ def op2(spark: SparkSession, documents: DataFrame) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         shown("anchors").alias("fingerprint"),
         shown("edited_anchors").alias("edited_fingerprint"),
-        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
-        likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
+        likeness(F.col("steps"), F.col("edited_steps")).alias("near_edited"),
+        likeness(F.col("steps"), F.col("next_steps")).alias("near_next"),
     )

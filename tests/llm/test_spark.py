@@ -69,38 +69,97 @@ def test_warc(spark, tmp_path):
         warc.read_archive(spark, path).collect()
 
 
-def test_syncmers_against_their_definition(spark):
-    k, s = 5, 2
-    docs = spark.createDataFrame([(1, " ".join(random.Random(3).choice("abcdefgh") for _ in range(200))), (2, "a b"), (3, ""), (4, "漢字 kana 漢")], "i int, t string")
-    out = syncmers.with_anchors(docs, "t", "a", k, s, places=True)
-    out = out.withColumn("w", F.regexp_extract_all("t", F.lit(syncmers.WORD), F.lit(0)))
-    out = out.withColumn("b", F.zip_with(F.transform("w", lambda w: F.hash(w)), F.slice(F.transform("w", lambda w: F.hash(w)), 2, 10**6), lambda x, y: F.hash(x, y)))
-    for r in out.collect():
-        n = len(r.w) - k + 1
-        want = [i for i in range(max(n, 0)) if min(r.b[i : i + k - s + 1]) in (r.b[i], r.b[i + k - s])]
-        if want:
-            assert [a.place for a in r.a] == want
+def murmur(values):
+    """Spark's ``hash`` of ints and strings."""
+    def mixed(h, k):
+        k = k * 0xCC9E2D51 & 0xFFFFFFFF
+        k = (k << 15 | k >> 17) & 0xFFFFFFFF
+        h ^= k * 0x1B873593 & 0xFFFFFFFF
+        h = (h << 13 | h >> 19) & 0xFFFFFFFF
+        return h * 5 + 0xE6546B64 & 0xFFFFFFFF
+
+    h = 42
+    for v in values:
+        if isinstance(v, str):
+            b = v.encode()
+            n, size = len(b) - len(b) % 4, len(b)
+            for i in range(0, n, 4):
+                h = mixed(h, int.from_bytes(b[i : i + 4], "little"))
+            for x in b[n:]:  # a byte is a signed word
+                h = mixed(h, (x - 256 if x > 127 else x) & 0xFFFFFFFF)
         else:
-            assert len(r.a) == len(r.w)
-    rows = {r.i: r for r in out.collect()}
-    assert rows[4].w == ["漢", "字", "kana", "漢"] and rows[3].a == []
+            h, size = mixed(h, v & 0xFFFFFFFF), 4
+        h ^= size
+        for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            h = (h ^ h >> shift) * by & 0xFFFFFFFF
+    return h - (1 << 32) if h >> 31 else h
 
 
-def test_op2_edits_and_neighbours(spark):
-    docs = [(10 * i, " ".join(random.Random(i).choice(["red", "green", "blue", "sun", "moon", "tree"]) for _ in range(i * 7))) for i in range(1, 30)] + [(5, None), (None, "n u l l"), (20, "twice")]
-    got = syncmers.op2(spark, spark.createDataFrame(docs, "doc_id long, text string")).collect()
+def anchors_of(text, k=syncmers.K, s=syncmers.S):
+    """(word number, hash) of each closed syncmer, by its definition."""
+    signs = re.compile("[\u2e80-\u2fdf\u3005\u3007\u3021-\u3029\u3038-\u303b\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fd-\u30ff\uac00-\ud7a3\u0e01-\u0e3a\u0e40-\u0e5b]")
+    words = []
+    for run in re.findall("[^ \t\n\x0b\f\r]+", text):
+        for part in re.split(f"({signs.pattern})", run):
+            words += [part] if signs.fullmatch(part) else [part[i : i + 16] for i in range(0, len(part), 16)]
+    h = [murmur([w]) for w in words]
+    pair = [murmur(x) for x in zip(h, h[1:], strict=False)]
+    four = [murmur(x) for x in zip(pair, pair[2:], strict=False)]
+    five = [murmur(x) for x in zip(four, four[1:], strict=False)]
+    found = [(i, five[i]) for i in range(max(0, len(words) - k + 1)) if min(pair[i : i + k - s + 1]) in (pair[i], pair[i + k - s])]
+    return found or list(enumerate(h)) or ([(0, murmur([text]))] if text else [])
+
+
+def steps_of(anchors):
+    return {(a, b, q - p) for (p, a), (q, b) in zip(anchors, anchors[1:], strict=False)} or {a for _, a in anchors}
+
+
+def share(x, y):
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def fingerprints(docs):
+    """All of op2 for (doc_id, text), in plain Python."""
     order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""))
-    want = []
+    out = []
     for (i, t), (_, u) in zip(order, order[1:] + order[:1], strict=True):
         t, u = t or "", u or ""
-        want.append((str(i), len(t), hashlib.sha256((t[: len(t) - len(t) // 2] + u[: len(t) // 2]).encode()).hexdigest()))
-    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got) == sorted(want)
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+        e = t[: len(t) - len(t) // 2] + u[: len(t) // 2]
+        a, b, c = anchors_of(t), anchors_of(e), anchors_of(u)
+        shown = lambda x: ",".join(str(h) for _, h in x)
+        out.append((str(i), len(t), hashlib.sha256(e.encode()).hexdigest(), shown(a), shown(b), round(share(steps_of(a), steps_of(b)), 9), round(share(steps_of(a), steps_of(c)), 9)))
+    return sorted(out)
+
+
+def test_op2_of_a_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = [(str(r.doc_id), r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in syncmers.op2(spark, docs).collect()]
+    assert sorted(got) == fingerprints([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_op2_edits_and_neighbours(spark):
+    docs = [(10 * i, " ".join(random.Random(i).choice(["red", "green", "blue", "sun", "moon", "tree"]) for _ in range(i * 7))) for i in range(1, 30)]
+    docs += [(5, None), (None, "n u l l"), (20, "twice"), (20, "twice"), (7, "漢字 kana 漢 x" * 3), (8, "x" * 50_000), (9, "word " * 30_000), (6, "  "), (4, "a b")]
+    df = spark.createDataFrame([(i, t, "q", 1) for i, t in docs], "doc_id long, text string, anchors string, key int")
+    got = [(str(r.doc_id), r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in syncmers.op2(spark, df).collect()]
+    assert sorted(got) == fingerprints(docs)
     assert syncmers.op2(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = syncmers.op2(spark, spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")).first()
     assert one.near_next == 1.0
 
 
+def test_matching_goes_by_place(spark):
+    rnd = random.Random(1)
+    words = [f"w{i}" for i in range(400)]
+    shuffled = [" ".join(words[i : i + 5]) for i in range(0, 400, 5)]
+    rnd.shuffle(shuffled)
+    texts = [" ".join(words), "new start " + " ".join(words), " ".join(shuffled)]
+    a, b, c = (steps_of(anchors_of(t)) for t in texts)
+    assert share(a, b) > 0.95  # moved as a whole
+    plain = lambda t: {h for _, h in anchors_of(t)}
+    assert share(a, c) < 0.5 * share(plain(texts[0]), plain(texts[2]))
+
+
 def test_toxicity_cases(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     a = {r.doc_id: r for r in toxicity.op3(spark, docs, labels).collect()}
