@@ -1,4 +1,9 @@
-"""A corpus from ``documents``: toxic texts out, one of each group of near copies, benchmark passages out, encoded."""
+"""A corpus from ``documents``: toxic texts out, one of each group of near copies, benchmark passages out, encoded.
+
+Cases, for every stage: rows with a null id or text stay unless the stage's rule takes them; an empty text is not toxic by itself, in no group of near
+copies, and not contaminated, and encodes to no ids; very long texts are judged whole; no rows give no rows; columns beyond those of ``documents`` are ignored. Of repeated
+rows the second stage leaves one, if they hold words.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +18,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts that score below the threshold. The classifier is fitted to a bounded sample of labelled rows of ``docs``."""
+    """Keeps texts that score below the threshold. The classifier is fitted to a bounded sample of labelled rows of ``docs``; without labels of both classes it keeps all."""
     rows = docs.select(*COLUMNS)
     model = toxicity.fit(rows, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return toxicity.score(rows, model).where(F.col("score") < toxicity.THRESHOLD).select(*COLUMNS)
@@ -31,13 +36,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which benchmark passages cover a twentieth or more."""
+    """Drops documents of which benchmark passages cover a twentieth or more of the words; items that are null or repeat change nothing."""
     found = decontaminate.find_items(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
     return decontaminate.judge(found).where(~F.col("contaminated")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, token_ids) of each document."""
+    """(doc_id, n_tokens, token_ids) of each document; a null text has no ids."""
     rows = docs.select("doc_id", "text")
     return codec.encode(rows, load_pieces()).select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small
-from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, once, parts_of, units_of
+from .common import once, small
+from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, parts_of, units_of
 
 #: What a task remembers of units, in bytes; units of more characters than ``SHORT`` aren't remembered.
 MEMO_BYTES, SHORT = 48 << 20, 64
@@ -140,7 +140,7 @@ def encode(df: DataFrame, pieces: Pieces, text: str = "text", out: str = "token_
     shared = df.sparkSession.sparkContext.broadcast(pieces)
 
     def make():
-        encoder = once(Encoder, shared.value)
+        encoder = once("encoder", shared.value, lambda: Encoder(shared.value))
         return lambda texts: [_ids(encoder, texts.to_pylist())]
 
     return _mapped(df, text, [T.StructField(out, IDS)], make)
@@ -162,7 +162,8 @@ def round_trip(df: DataFrame, pieces: Pieces, text: str = "text") -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(pieces)
 
     def make():
-        encoder, raw = once(Encoder, shared.value), pa.array(shared.value.raw, pa.binary())
+        encoder = once("encoder", shared.value, lambda: Encoder(shared.value))
+        raw = pa.array(shared.value.raw, pa.binary())
 
         def f(column):
             texts = column.to_pylist()

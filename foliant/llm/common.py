@@ -61,3 +61,14 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Rec
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+
+
+_kept: dict = {}
+
+
+def once(key, of, make):
+    """``make()``, kept for the tasks that a worker process runs one after the other on the same object ``of``; one for each ``key``."""
+    held = _kept.get(key)
+    if held is None or held[0] is not of:
+        held = _kept[key] = (of, make())
+    return held[1]

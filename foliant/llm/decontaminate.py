@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keep, small
+from .common import keep, once, small
 
 WINDOW = 13
 #: A-Z to lower case, everything that is no part of a word to a space.
@@ -186,7 +186,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_wo
         shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            automaton = ItemAutomaton(shared.value, window)
+            automaton = once(("items", window), shared.value, lambda: ItemAutomaton(shared.value, window))
             for b in small(batches):
                 n_words, ranges, names = [], [], []
                 before = b.column("ranges").to_pylist() if "ranges" in b.schema.names else None

@@ -36,7 +36,7 @@ from .components import joined
 
 POOL, TREES, BASE, DEPTH, REGION = 96, 24, 4, 8, 64
 #: A region of more nodes is sorted in parts of about so many; neighbours across parts aren't needed, since step 3 is exact.
-PART = 100_000
+PART = 512
 
 _rng = np.random.RandomState(20240607)
 A = (_rng.randint(0, 2**63, POOL, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -286,3 +286,31 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark
 
 def op5(spark: SparkSession, documents: DataFrame) -> DataFrame:
     return near_duplicates(documents.select("doc_id", "text"), size=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+#: Exact components over all pairs: candidates share one of their rarest shingles, which a pair of similarity 0.8 must.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), f AS (
+  SELECT s, count(*) AS f FROM s GROUP BY 1
+), r AS (
+  SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY f, s) AS k FROM s JOIN f USING (s) JOIN n USING (doc_id)
+), p AS (
+  SELECT * FROM r WHERE k <= n - (80 * n + 99) // 100 + 1
+), c AS (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb FROM p a JOIN p b USING (s) WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), l AS (
+  SELECT c.a, c.b FROM c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b AND y.s = x.s GROUP BY c.a, c.b, na, nb HAVING 100 * count(*) >= 80 * (na + nb - count(*))
+), e AS (
+  SELECT a, b FROM l UNION SELECT b, a FROM l
+), reach(id, of) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT e.b, reach.of FROM reach JOIN e ON e.a = reach.id
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(of) AS c FROM reach GROUP BY 1) m ON m.id = d.doc_id
+"""

@@ -113,14 +113,3 @@ def parts_of(unit: str) -> list[str | None]:
     for i, x in enumerate(unit.split(SPACE)):
         out += [None] * (i > 0) + [x.replace(" ", SPACE)] * bool(x)
     return out
-
-
-_kept: dict = {}
-
-
-def once(maker, pieces: Pieces):
-    """``maker(pieces)``, kept for the tasks that a worker process runs one after the other."""
-    made = _kept.get(maker)
-    if made is None or made[0] is not pieces:
-        made = _kept[maker] = (pieces, maker(pieces))
-    return made[1]

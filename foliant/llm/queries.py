@@ -25,5 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
     "op4_decontaminate": decontaminate.OP4_SQL,
+    "op5_neardup": neardup.OP5_SQL,
     "op10_chat": chat.OP10_SQL,
 }

@@ -19,8 +19,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import small
-from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, once, parts_of, units_of
+from .common import once, small
+from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, parts_of, units_of
 
 #: Units of a stretch; what a task remembers of units, in bytes, of those of at most ``SHORT`` characters.
 STRETCH, MEMO_BYTES, SHORT = 100_000, 32 << 20, 64
@@ -125,7 +125,7 @@ def token_counts(df: DataFrame, pieces: Pieces) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = once(Counter, shared.value)
+        counter = once("counter", shared.value, lambda: Counter(shared.value))
         for b in small(batches):
             got = list(counter.counts(b.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(

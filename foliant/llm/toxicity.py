@@ -6,7 +6,7 @@ margin (squared hinge, lasso penalty) is fitted to the scaled features; its logi
 broadcast has a fixed size.
 
 The fit takes a bounded sample of labelled rows: at most ``PER_CLASS`` of each class, those of the smallest
-hash of their id, if they have ``TRAIN_CHARS`` characters or fewer. Scoring reads every whole text.
+hash of their id, if they have ``TRAIN_CHARS`` characters or fewer, one row of each id (that of the least text hash). Scoring reads every whole text.
 
 Cases: a null or empty text has the score of no features; a label that is null is none; of labels that
 repeat an id the larger counts; without labels of both classes every score is 0.5 times their
@@ -127,6 +127,8 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, tra
     spark = documents.sparkSession
     few = spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in drawn], "doc_id long, toxic int")  # 2 * per_class rows at most
     chosen = documents.where("doc_id is not null").select("doc_id", "text").join(F.broadcast(few), "doc_id").where(F.char_length(F.coalesce("text", F.lit(""))) <= train_chars)
+    # of rows that repeat an id one counts, so what comes to the driver is bounded
+    chosen = chosen.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):

@@ -35,7 +35,7 @@ def test_query_equals_sql(spark, name):
     cols = sorted(df.columns)
     got = sorted(str([r[c] for c in cols]) for r in df.collect())
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations"):
+    for t in ("documents", "pages", "benchmark", "conversations", "labels"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     rel = c.execute(queries.ORACLES[name])
     names = [d[0] for d in rel.description]
@@ -171,6 +171,49 @@ def test_toxicity_cases(spark):
     assert toxicity.op3(spark, odd(spark).where("false"), labels).count() == 0
 
 
+def test_scores_of_a_whole_table_by_plain_loops(spark):
+    """Every score again from the n-grams of the text, one by one, with the fitted weights."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.fit(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
+    got = {r.doc_id: r.score for r in toxicity.op3(spark, docs, labels).collect()}
+    m = 0xFFFFFFFF
+    assert len(got) == docs.count() and np.count_nonzero(model.weights) > 50
+    for r in docs.select("doc_id", "text").collect():
+        c = [ord(x) + 1 for x in f"\n{r.text.lower()}\n"] if r.text else []
+        bins = set()
+        for i in range(len(c)):
+            h = c[i]
+            for n in range(2, 6):
+                if i + n > len(c):
+                    break
+                h = (h * 0x01000193 & m) ^ (c[i + n - 1] * 0x85EBCA6B & m)
+                if n > 2:
+                    x = (h ^ h >> 15) * 0x2C1B3C6D & m
+                    bins.add((x ^ x >> 13) >> (32 - toxicity.BITS))
+        z = model.bias + sum(float(model.weights[b]) for b in bins)
+        assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-5)
+
+
+def test_toxicity_is_caught_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.op3(spark, docs, labels).join(labels, "doc_id").where("held_out").collect()
+    caught = [r.predicted for r in rows if r.toxic == 1]
+    assert sum(caught) >= 0.7 * len(caught) and sum(r.predicted for r in rows if r.toxic == 0) <= 1
+
+
+def test_toxicity_labels_that_repeat_or_lack(spark):
+    docs = spark.createDataFrame([(i, ("bad awful " if i % 2 else "good kind ") * 5) for i in range(40)] * 2 + [(None, "bad"), (3, None)], "doc_id long, text string")
+    marks = [(i, i % 2) for i in range(40)] + [(0, None), (None, 1), (2, 0), (2, 0), (7, 0), (9, 5)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    out = toxicity.op3(spark, docs, labels).collect()
+    assert len(out) == 82
+    scores = {}
+    for r in out:
+        scores.setdefault((r.doc_id or 0) % 2 if r.doc_id is not None else None, []).append(r.score)
+    assert min(x for x in scores[1]) > 0.5 or len([x for x in scores[1] if x < 0.5]) == 1  # the null text of id 3
+    assert max(scores[0]) < 0.5
+
+
 def test_decontamination_cases(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma", "k"), (2, "delta", "k"), (None, "zeta", "k"), (3, None, "k"), (4, "...", "k"), (2, "one", "k")], "item_id long, text string, ranges string")
     one = {r.doc_id: r for r in decontaminate.op4(spark, odd(spark), items).collect()}
@@ -482,6 +525,81 @@ def test_near_copies_leave_one_row_of_a_group(spark):
     assert sorted(got, key=str) == sorted([(1, "a0"), (None, "b0"), (5, "st"), (6, ""), (6, ""), (None, "")], key=str)
 
 
+def test_near_duplicates_of_a_whole_table(spark):
+    """All links of sf0.01 at five words, by all pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = sorted(str((r.doc_id, r.n_shingles, r.component_id, r.kept)) for r in neardup.near_duplicates(docs).collect())
+    assert got == exact_components(rows, 5)
+
+
+def write_tables(spark, path, docs, labels, items):
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int, quality int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+
+
+def test_pipeline_from_end_to_end(spark, tmp_path):
+    """run() against the stages in plain Python: what is toxic, a copy or of the benchmark goes; nulls, empties and long texts stay."""
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefghijklmno") for _ in range(6))
+    texts = [" ".join(word() for _ in range(rnd.randint(30, 60))) for _ in range(60)]
+    docs = [(i, t + (" idiot moron stupid" * 4 if i % 4 == 0 else "")) for i, t in enumerate(texts)]
+    item = " ".join(word() for _ in range(20))
+    docs += [(100, texts[1]), (101, texts[1] + " more"), (102, item + " a b c"), (103, None), (104, ""), (105, "word " * 40_000), (None, texts[2]), (3, texts[3])]
+    labels = [(i, int(i % 4 == 0), 1) for i in range(60)]
+    path = str(tmp_path / "in")
+    write_tables(spark, path, [(i, t, "en", "s", len(t or "")) for i, t in docs], labels, [(1, item), (2, None), (1, item)])
+    got = sorted(str((r.doc_id, r.n_tokens)) for r in corpus_pipeline.run(spark, path).collect())
+
+    table = spark.read.parquet(f"{path}/documents.parquet")
+    model = toxicity.fit(table, spark.read.parquet(f"{path}/labels.parquet").select("doc_id", "toxic"))
+    kept = [(i, t) for i, t in docs if model.scores([t])[0] < toxicity.THRESHOLD]
+    assert {i for i, _ in docs} - {i for i, _ in kept} >= {i for i in range(0, 60, 4) if zlib.crc32(str(i).encode()) % 3 != 1}
+    best = {}
+    for (i, t), c in zip(kept, components_by_row(kept), strict=True):
+        key = (i is None, i if i is not None else 0)
+        if c not in best or key < best[c][0]:
+            best[c] = (key, i, t)
+    window = set(zip(*[item.split()[k:] for k in range(13)], strict=False))
+    clean = []
+    for _, i, t in best.values():
+        w = decontaminate.words_of(t)
+        hit = set()
+        for k in range(len(w) - 12):
+            if tuple(x.decode() for x in w[k : k + 13]) in window:
+                hit.update(range(k, k + 13))
+        if not (hit and 20 * len(hit) >= len(w)):
+            clean.append((i, t))
+    encoder = codec.Encoder(load_pieces())
+    assert got == sorted(str((i, len(encoder.encode(t)) // 4)) for i, t in clean)
+    assert not {"100", "101", "102"} & {g.split(",")[0][1:] for g in got} and sum("None" in g for g in got) == 0
+
+
+def components_by_row(docs):
+    """A class for each row: rows of equal or linked five-word sets share one; rows without words are classes of their own."""
+    sets = []
+    for _, t in docs:
+        w = neardup.words_of(t)
+        n = min(5, len(w))
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set())
+    of = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and of[i] != of[j]:
+                old, new = of[i], of[j]
+                of = [new if x == old else x for x in of]
+    return of
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write_tables(spark, path, [], [], [])
+    out = corpus_pipeline.run(spark, path)
+    assert out.columns == ["doc_id", "n_tokens", "token_ids"] and out.count() == 0
+
+
 def test_pipeline_stages(spark):
     base = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
