@@ -427,7 +427,7 @@ def fit(pages: DataFrame, most: int = FIT_PAGES, chars: int = FIT_CHARS) -> np.n
     n = pages.count()
     share = min(1.0, 4 * most / max(n, 1))
     mark = F.xxhash64("html")
-    drawn = pages.where((mark <= int(-(2**63) + share * (2**64 - 1))) & (F.length("html") <= chars)).select(mark.alias("mark"), "html").dropDuplicates(["mark"]).orderBy("mark").limit(most)
+    drawn = pages.where((mark <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))) & (F.length("html") <= chars)).select(mark.alias("mark"), "html").dropDuplicates(["mark"]).orderBy("mark").limit(most)
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
