@@ -441,6 +441,18 @@ def test_html_cases(spark):
     assert htmltext.op9(spark, rows.where("false")).count() == 0
 
 
+def test_very_long_texts_of_archive_and_benchmark(spark):
+    body = "<p>é</p>" * 400_000
+    pages = spark.createDataFrame([(1, "u", body), (2, "u", body), (3, "v", body + "!")], "page_id long, url string, html string")
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.op1(spark, pages).collect()}
+    n = len(body.encode())
+    assert got == {1: (n, "revisit", 2), 2: (n, "response", None), 3: (n + 1, "response", None)}
+    item = " ".join(f"i{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, "w " * 300_000 + item), (2, item + " w" * 100)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in decontaminate.op4(spark, docs, spark.createDataFrame([(5, item)], "item_id long, text string")).collect()}
+    assert (rows[1].n_words, rows[1].n_hit, rows[1].contaminated) == (300_030, 30, False) and (rows[2].n_hit, rows[2].contaminated) == (30, True)
+
+
 class ArticleText(html.parser.HTMLParser):
     """The text of a page's article, apart from adverts: another parser than the operator's."""
 
