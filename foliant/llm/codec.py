@@ -26,7 +26,7 @@ from .common import once, small
 from .pieces import MODEL, SPACE, Junctions, Pieces, load_pieces, parts_of, units_of
 
 #: What a task remembers of units, in bytes; units of more characters than ``SHORT`` aren't remembered.
-MEMO_BYTES, SHORT = 48 << 20, 64
+MEMO_BYTES, SHORT = 96 << 20, 64
 #: About what a remembered unit takes besides its characters and ids.
 ENTRY = 200
 
@@ -66,17 +66,23 @@ class Encoder(dict):
 
     def last_pieces(self, part: str) -> list[int]:
         """Last piece of the best segmentation of each prefix, -1 for bytes."""
-        may, count, floor, n, done = self.may, self.may.count, self.pieces.floor, len(part), 0
-        last, score = [-1] * (n + 1), [0.0] * (n + 1)
+        may, count, floor, n = self.may, self.may.count, self.pieces.floor, len(part)
+        score, last, row = [0.0], [-1], [0]  # by position; row is where the junctions of the last piece begin
+        done = 0
         for end, (i, length, s) in self.automaton.iter(part):
-            while done <= end:  # positions that are reached for the first time
+            while done <= end:  # positions that are reached for the first time, by bytes
+                score.append(score[done] + floor)
+                last.append(-1)
+                row.append(0)
                 done += 1
-                score[done] = score[done - 1] + floor
             end += 1
             start = end - length
             s += score[start]
-            if s > score[end] and may[(last[start] + 1) * count + i]:
-                score[end], last[end] = s, i
+            if s > score[end] and may[row[start] + i]:
+                score[end] = s
+                last[end] = i
+                row[end] = (i + 1) * count
+        last += [-1] * (n - done)
         return last
 
     def best(self, part: str) -> list[int]:

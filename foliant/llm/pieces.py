@@ -64,7 +64,7 @@ class Junctions(dict):
     """Whether a piece may follow another, by (id of the first + 1) * number of pieces + id of the second; the first
     is -1 after bytes and at the start. Those of the last ``MOST`` new ones are remembered (about 100 bytes each, twice)."""
 
-    MOST = 300_000
+    MOST = 600_000
 
     def __init__(self, pieces: Pieces):
         super().__init__()
