@@ -26,7 +26,9 @@ def _opened(root: str):
     """(file system, path in it) of a folder."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+    if root.startswith("file:"):  # Hadoop writes such paths with one slash
+        root = "/" + root[5:].lstrip("/")
+    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
 
 
 def _listed(root: str, deep: bool):
