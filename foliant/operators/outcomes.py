@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import matches_pattern, output_path_of
 from ..functions.times import iso_utc
+from ..shared import kept
 from .batches import number_rows
 
 TRANSIENT, PERMANENT, FATAL = "Transient", "Permanent", "Fatal"
@@ -148,12 +149,12 @@ def resolve_collisions(moves: DataFrame, taken: DataFrame, destination: str = "d
     new = number_rows(moves.withColumn("_name", F.lower(destination)), [order], within="_name", out="_k")
     new = new.join(used.withColumn("_used", F.lit(1)), "_name", "left")
     # how many numbered names a newcomer of this name needs: the first may have the name itself if it is free
-    new = new.withColumn("_need", F.when(F.col("_used").isNull(), F.col("_k") - 1).otherwise(F.col("_k")))
+    new = kept(new.withColumn("_need", F.when(F.col("_used").isNull(), F.col("_k") - 1).otherwise(F.col("_k"))), "newcomers")
     names = used.unionByName(moves.select(F.lower(destination).alias("_name"))).distinct().where(number(F.col("_name")) != "")
     blocked = names.select(base(F.col("_name")).alias("_name"), number(F.col("_name")).cast("long").alias("_b")).distinct().join(new.select("_name").distinct(), "_name", "left_semi")
-    blocked = number_rows(blocked, ["_b"], within="_name", out="_rank").select("_name", (F.col("_b") - F.col("_rank")).alias("_at"), F.lit(1).alias("_kind"), F.col("_b").alias("_own"))
+    blocked = number_rows(kept(blocked, "numbers"), ["_b"], within="_name", out="_rank").select("_name", (F.col("_b") - F.col("_rank")).alias("_at"), F.lit(1).alias("_kind"), F.col("_b").alias("_own"))
     wanted = new.where("_need > 0").select("_name", F.col("_need").alias("_at"), F.lit(0).alias("_kind"), F.col("_need").alias("_own"))
-    placed = number_rows(wanted.unionByName(blocked), ["_at", "_kind", "_own"], within="_name", out="_place").where("_kind = 0")
+    placed = number_rows(kept(wanted.unionByName(blocked), "places"), ["_at", "_kind", "_own"], within="_name", out="_place").where("_kind = 0")
     # a newcomer of need k is the k-th of its name, so its place says how many numbers in use come before it
     free = placed.select("_name", F.col("_own").alias("_need"), F.col("_place").alias("_free"))
     stem_as_is = F.regexp_replace(F.col(destination), "\\.[^./]*$", "")

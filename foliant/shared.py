@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: dict[str, str] = {}
 
@@ -37,3 +37,10 @@ def delete(spark: SparkSession, path: str) -> None:
 def exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back, so that what is used several times is computed once."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
