@@ -1,8 +1,8 @@
 """Numbering of documents: batches within a folder, and rows across all parts of a report.
 
-A window over a whole folder, or over everything, would put all of it on one task. So rows are numbered in two
-steps: by range partition first, then each partition adds what lies before it, which is one small row for each
-partition and folder.
+A window over a whole folder, or over everything, would put all of it on one task. So numbers are prefix sums over sorted
+runs: rows are written once, sorted, each with its run (range partition) and its place in it, and what lies before a run is
+one small row for each run, and for each group in it.
 """
 
 from __future__ import annotations
@@ -11,38 +11,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..shared import kept
+
+#: Places in a run are the low bits of monotonically_increasing_id, runs the high ones.
+PLACE_BITS = 33
+
 
 def number_rows(df: DataFrame, order: list[str], within: str | None = None, out: str = "row") -> DataFrame:
     """Adds ``out``: 1, 2, ... by ``order``, for each value of ``within`` or over all rows.
 
-    ``order`` should be unique (in each ``within``). Counts for each range are taken from the same ranges: the
-    numbered frame holds its range as a column, and offsets are windows over those counts.
+    ``order`` should be unique (in each ``within``). The sorted runs are written, so numbers stay the same whatever is lost
+    later. A value of ``within`` may span any number of runs. No rows give no rows; nulls come first, and null is a group like others.
     """
     keys = ([within] if within else []) + order
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # bounds come from a sample of about 100 keys a partition, and are literals: the same in every job
-    first = F.struct(*[F.col(c) for c in keys])
-    share = min(1.0, 100 * parts / max(1, df.count()))
-    seen = sorted((r[0] for r in df.select(first.alias("k")).sample(False, share, 7).collect()), key=lambda k: [(v is not None, v) for v in k]) if parts > 1 else []
-    step = max(1, len(seen) // (parts * 4))
-    cuts = seen[step::step]
-    if not cuts:
-        by = W.partitionBy(within).orderBy(*order) if within else W.orderBy(*order)
-        small = F.lit(0).alias("_range")
-        return df.select("*", small).withColumn(out, F.row_number().over(by).cast("long")).drop("_range")
-    ranges = spark.createDataFrame([(r,) for r in cuts], df.select(first.alias("cut")).schema)
-    all_cuts = ranges.agg(F.sort_array(F.collect_list("cut")).alias("cuts"))  # 4 * parts keys at most
-    at = F.size(F.filter("cuts", lambda c: c <= first))
-    placed = df.crossJoin(F.broadcast(all_cuts)).withColumn("_range", at).drop("cuts")
-    group = (["_range"] + ([within] if within else []))
-    local = placed.withColumn("_n", F.row_number().over(W.partitionBy(*group).orderBy(*order)))
-    counts = placed.groupBy(*group).agg(F.count("*").alias("_c"))
-    before = W.partitionBy(within).orderBy("_range") if within else W.orderBy("_range")
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_c").over(before.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_c")
-    joined = local.join(offsets, (local["_range"] == offsets["_range"]) & (local[within].eqNullSafe(offsets[within]) if within else F.lit(True)))
-    keep = [local[c] for c in df.columns]
-    return joined.select(*keep, (F.col("_n") + F.col("_before")).cast("long").alias(out))
+    runs = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
+    runs = kept(runs, "runs").withColumns({"_run": F.shiftright("_id", PLACE_BITS), "_at": F.col("_id").bitwiseAND((1 << PLACE_BITS) - 1)})
+    group = ["_run"] + ([within] if within else [])
+    starts = runs.groupBy(*group).agg(F.min("_at").alias("_first"), F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(_before(within)), F.lit(0))
+    shift = starts.select(F.col("_run").alias("_of"), *([F.col(within).alias("_in")] if within else []), (before - F.col("_first") + 1).alias("_shift"))
+    if within:
+        joined = runs.join(shift, (F.col("_run") == F.col("_of")) & runs[within].eqNullSafe(F.col("_in")))
+    else:
+        joined = runs.join(F.broadcast(shift), F.col("_run") == F.col("_of"))  # a row for each run
+    return joined.select(*df.columns, (F.col("_at") + F.col("_shift")).cast("long").alias(out))
+
+
+def _before(within: str | None):
+    """The runs before a run; a group has at most as many rows here as there are runs."""
+    by = W.partitionBy(within).orderBy("_run") if within else W.orderBy("_run")
+    return by.rowsBetween(W.unboundedPreceding, -1)
 
 
 def assign_batches(manifest: DataFrame, size: int = 1000, order: list[str] | None = None) -> DataFrame:
@@ -76,7 +74,11 @@ def batch_progress(trace: DataFrame, run: str | None = None) -> DataFrame:
 
 
 def batch_barrier_check(trace: DataFrame) -> DataFrame:
-    """(date_folder, batch_id, holds): whether a batch starts only once the one before it, in its folder, has ended."""
+    """(date_folder, batch_id, holds): whether a batch starts only once the one before it, in its folder, has ended.
+
+    Batches go by their number, the digits at the end of the id; ids without one come first, by text.
+    """
     by = trace.groupBy("date_folder", "batch_id").agg(F.min("start_utc").alias("first"), F.max("end_utc").alias("last"))
-    before = F.lag("last").over(W.partitionBy("date_folder").orderBy("batch_id"))
+    number = F.nullif(F.regexp_extract("batch_id", "([0-9]{1,18})$", 1), F.lit("")).cast("long")
+    before = F.lag("last").over(W.partitionBy("date_folder").orderBy(number.asc_nulls_first(), "batch_id"))
     return by.select("date_folder", "batch_id", F.coalesce(F.col("first") >= before, F.lit(True)).alias("holds"))

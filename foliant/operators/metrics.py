@@ -62,7 +62,7 @@ def run_totals(trace: DataFrame, found: int | Column) -> DataFrame:
 
 
 def worker_breakdown(trace: DataFrame, run_ms: float | None = None) -> DataFrame:
-    """Documents (abandoned ones too), busy time, and rates of each worker; ``run_ms`` is the length of the run, else first start to last end."""
+    """Documents (abandoned ones too), busy time, and rates of each worker: files_per_s is of its busy time; ``run_ms`` is the length of the run, else first start to last end."""
     n = F.count("*")
     by = trace.groupBy("worker_slot").agg(
         n.alias("processed"), succeeded().alias("succeeded"), failed().alias("failed"), (n - succeeded() - failed()).alias("abandoned"), F.sum("duration_ms").alias("busy_ms")
@@ -73,7 +73,7 @@ def worker_breakdown(trace: DataFrame, run_ms: float | None = None) -> DataFrame
         "worker_slot", "processed", "succeeded", "failed", "abandoned", "busy_ms",
         (ratio(F.col("busy_ms"), F.col("run_ms")) * 100).alias("busy_pct"),
         ratio(F.col("busy_ms"), F.col("processed")).alias("avg_ms"),
-        ratio(F.col("processed"), F.col("run_ms") / 1000).alias("files_per_s"),
+        ratio(F.col("processed"), F.col("busy_ms") / 1000).alias("files_per_s"),
     )
 
 
@@ -94,13 +94,14 @@ def phase_breakdown(trace: DataFrame) -> DataFrame:
 def cpu_disk_split(trace: DataFrame, processed: int | None = None) -> DataFrame:
     """(kind, total_s, avg_ms): CPU and Disk over successes, and Overhead: busy time that no phase claims, if there is any.
 
-    Busy time is the average service time times the documents processed, quarantined ones included.
+    Busy time is the average service time of all documents, abandoned ones among them, times the documents processed, which are those that succeeded
+    or failed; ``processed`` gives their number where the trace lacks some, as quarantined files.
     """
     by = _phase_rows(trace).groupBy("kind").agg(F.sum("ms").alias("ms"))
     run = trace.agg(
         F.count_if(F.col("outcome") == OK).alias("ok"),
         ratio(F.sum("duration_ms"), F.count("*")).alias("service"),
-        F.greatest(F.lit(1), F.count("*") if processed is None else F.lit(processed)).alias("n"),
+        F.greatest(F.lit(1), succeeded() + failed() if processed is None else F.lit(processed)).alias("n"),
     )  # one row
     measured = by.agg(F.coalesce(F.sum("ms"), F.lit(0.0)).alias("measured"))
     both = run.crossJoin(F.broadcast(measured))

@@ -389,7 +389,7 @@ def archived_vs_rtf(s, d):
 
 # --- orders and line items as a trace ------------------------------------------------------------------------------
 
-TRACE_SQL = """WITH trace AS (SELECT l_suppkey % 8 AS worker_slot, strftime(l_shipdate, '%Y-%m') AS date_folder, strftime(l_shipdate, '%Y-%m') || '#' || lpad((l_orderkey % 20)::VARCHAR, 4, '0') AS batch_id,
+TRACE_SQL = """WITH trace AS (SELECT l_suppkey % 8 AS worker_slot, strftime(l_shipdate, '%Y-%m') AS date_folder, strftime(l_shipdate, '%Y-%m') || '#' || printf('%04d', 9990 + l_orderkey % 20) AS batch_id,
   l_orderkey::VARCHAR AS sub_folder, 'doc_' || l_partkey || '.xhtml' AS file_name, epoch_us(l_shipdate) + l_orderkey * 1000 AS s, epoch_us(l_shipdate) + l_orderkey * 1000 + l_quantity::BIGINT * 10000 AS e,
   l_quantity * 10 AS duration_ms, l_linenumber AS attempts, CASE WHEN l_returnflag = 'R' THEN 'Failed:Permanent' WHEN l_returnflag = 'A' AND l_linenumber = 7 THEN 'Fatal' WHEN l_returnflag = 'A' AND l_linenumber = 6 THEN 'Cancelled' ELSE 'Succeeded' END AS outcome, l_linestatus AS run_id,
   l_linenumber * 1000 AS bytes_in, l_quantity AS read_ms, l_linenumber::DOUBLE AS decode_ms, 1.0::DOUBLE AS validate_ms, l_quantity * 2 AS import_ms, l_quantity * 3 AS export_ms, 2.0::DOUBLE AS write_ms, 1.0::DOUBLE AS archive_ms FROM lineitem) """
@@ -406,7 +406,7 @@ def line_trace(s, d) -> DataFrame:
     rows = l.select(
         (F.col("l_suppkey") % 8).alias("worker_slot"),
         month.alias("date_folder"),
-        F.format_string("%s#%04d", month, F.col("l_orderkey") % 20).alias("batch_id"),
+        F.format_string("%s#%04d", month, 9990 + F.col("l_orderkey") % 20).alias("batch_id"),
         F.col("l_orderkey").cast("string").alias("sub_folder"),
         F.concat(F.lit("doc_"), F.col("l_partkey").cast("string"), F.lit(".xhtml")).alias("file_name"),
         F.timestamp_micros(start).alias("start_utc"),
@@ -439,7 +439,7 @@ def run_totals(s, d):
 
 @query(TRACE_SQL + """, r AS (SELECT (max(e) - min(s)) / 1000 AS run_ms FROM trace) SELECT worker_slot, count(*) AS processed, count(*) FILTER (outcome = 'Succeeded') AS succeeded,
   count(*) FILTER (outcome LIKE 'Failed%') AS failed, count(*) FILTER (outcome IN ('Fatal', 'Cancelled')) AS abandoned, sum(duration_ms) AS busy_ms, sum(duration_ms) / any_value(run_ms) * 100 AS busy_pct,
-  sum(duration_ms) / count(*) AS avg_ms, count(*) / (any_value(run_ms) / 1000) AS files_per_s FROM trace, r GROUP BY 1""")
+  sum(duration_ms) / count(*) AS avg_ms, count(*) / (sum(duration_ms) / 1000) AS files_per_s FROM trace, r GROUP BY 1""")
 def worker_breakdown(s, d):
     return metrics.worker_breakdown(line_trace(s, d))
 
@@ -453,7 +453,8 @@ def phase_breakdown(s, d):
     return metrics.phase_breakdown(line_trace(s, d))
 
 
-@query(PHASES_SQL + """, t AS (SELECT count(*) FILTER (outcome = 'Succeeded') AS ok, sum(duration_ms) AS busy FROM trace), k AS (SELECT kind, sum(ms) AS ms FROM p GROUP BY 1
+@query(PHASES_SQL + """, t AS (SELECT count(*) FILTER (outcome = 'Succeeded') AS ok,
+  sum(duration_ms) / count(*) * greatest(1, count(*) FILTER (outcome = 'Succeeded' OR outcome LIKE 'Failed%')) AS busy FROM trace), k AS (SELECT kind, sum(ms) AS ms FROM p GROUP BY 1
   UNION ALL SELECT 'Overhead', busy - (SELECT sum(ms) FROM p) FROM t WHERE busy - (SELECT sum(ms) FROM p) > 0) SELECT kind, round(ms / 1000, 6) AS total_s, round(ms / ok, 6) AS avg_ms FROM k, t""")
 def cpu_disk_split(s, d):
     return metrics.cpu_disk_split(line_trace(s, d)).select("kind", F.round("total_s", 6).alias("total_s"), F.round("avg_ms", 6).alias("avg_ms"))
@@ -477,7 +478,7 @@ def batch_progress(s, d):
 
 
 @query(TRACE_SQL + """, b AS (SELECT date_folder, batch_id, min(s) AS f, max(e) AS t FROM trace GROUP BY 1, 2)
-  SELECT date_folder, batch_id, coalesce(f >= lag(t) OVER (PARTITION BY date_folder ORDER BY batch_id), true) AS holds FROM b""")
+  SELECT date_folder, batch_id, coalesce(f >= lag(t) OVER (PARTITION BY date_folder ORDER BY regexp_extract(batch_id, '([0-9]+)$', 1)::BIGINT), true) AS holds FROM b""")
 def batch_barrier_check(s, d):
     return batches.batch_barrier_check(line_trace(s, d))
 

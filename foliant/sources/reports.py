@@ -259,8 +259,8 @@ def summary_sections(trace: DataFrame) -> DataFrame:
     number = lambda c, places: F.format_string(f"%.{places}f", F.col(c))
     folders = folder_breakdown(trace)
     out = _lines(folders, "1", "Per-Folder Breakdown", FOLDER_HEADER, ["date_folder"], F.col("date_folder"), F.col("total"), F.col("succeeded"), F.col("failed"), hms(F.col("elapsed_ms")))
-    workers = worker_breakdown(trace).withColumns({"slot": F.lpad(F.col("worker_slot").cast("string"), 12, "0"), "rate": F.coalesce(F.try_divide(F.col("processed"), F.col("busy_ms") / 1000), F.lit(0.0))})
-    cells = [F.col("worker_slot"), F.col("processed"), F.col("succeeded"), F.col("failed"), F.col("abandoned"), hms(F.col("busy_ms")), number("busy_pct", 1), number("avg_ms", 1), number("rate", 2)]
+    workers = worker_breakdown(trace).withColumn("slot", F.lpad(F.col("worker_slot").cast("string"), 12, "0"))
+    cells = [F.col("worker_slot"), F.col("processed"), F.col("succeeded"), F.col("failed"), F.col("abandoned"), hms(F.col("busy_ms")), number("busy_pct", 1), number("avg_ms", 1), number("files_per_s", 2)]
     out = out.unionByName(_lines(workers, "2", "Per-Worker Breakdown", WORKER_HEADER, ["slot"], *cells))
     names, place = F.col("phase"), F.lit("9")
     for i, (p, _) in enumerate(PHASES):

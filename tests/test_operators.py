@@ -72,6 +72,54 @@ def test_numbering_is_dense_and_the_same_at_any_partitioning(spark):
     assert numbers == list(range(1, 3001))
 
 
+def test_numbering_of_hot_groups_and_nulls(spark):
+    rows = [("big" if i % 3 else None if i % 2 else f"s{i}", i % 7, i) for i in range(4000)]
+    got = batches.number_rows(spark.createDataFrame(rows, "g string, a int, b int").repartition(7), ["a", "b"], within="g").collect()
+    want = {}
+    for g, a, b in sorted(rows, key=lambda r: r[1:]):
+        want[b] = want.get(("n", g), 0) + 1
+        want["n", g] = want[b]
+    assert {r.b: r.row for r in got} == {k: v for k, v in want.items() if not isinstance(k, tuple)}
+    assert batches.number_rows(spark.createDataFrame([], "g string, a int"), ["a"], within="g").count() == 0
+
+
+def test_numbering_costs_no_more_at_more_partitions(spark):
+    import time
+
+    df = spark.range(100_000).select(F.concat(F.lit("r"), F.xxhash64("id").cast("string")).alias("k"))
+
+    def seconds(n):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        began = time.time()
+        assert batches.number_rows(df, ["k"]).agg(F.max("row")).first()[0] == 100_000
+        return time.time() - began
+
+    try:
+        seconds(4)
+        few, many = seconds(4), seconds(1000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert many < 2 * few + 10  # the range shuffle itself opens 1000 partitions
+
+
+def test_workers_and_overhead_with_abandoned_documents(spark):
+    """A worker's rate is of its busy time; documents that were abandoned have a service time, but aren't processed."""
+    when = dt.datetime(2026, 8, 1)
+    names = ("read", "decode", "validate", "import", "export", "write", "archive")
+    rows = [(1, o, when, when + dt.timedelta(seconds=10), 1000.0, *[200.0] * 7) for o in ("Succeeded", "Succeeded", "Fatal", "Cancelled")]
+    trace = spark.createDataFrame(rows, "worker_slot int, outcome string, start_utc timestamp, end_utc timestamp, duration_ms double, " + ", ".join(f"{n}_ms double" for n in names))
+    assert metrics.worker_breakdown(trace).first().files_per_s == 1.0
+    assert "Overhead" not in {r.kind for r in metrics.cpu_disk_split(trace).collect()}  # 2 x 1000 ms of 2 x 1400 measured
+    split = metrics.cpu_disk_split(trace.withColumn("duration_ms", F.lit(1700.0)))
+    assert {r.kind: round(r.total_s, 6) for r in split.collect()} == {"CPU": 1.6, "Disk": 1.2, "Overhead": 0.6}
+
+
+def test_barrier_goes_by_number(spark):
+    at = lambda x: dt.datetime(2026, 8, 1) + dt.timedelta(seconds=x)
+    trace = spark.createDataFrame([("f", f"f#{n:04d}", at(i), at(i + 1)) for i, n in enumerate(range(9995, 10005))], "date_folder string, batch_id string, start_utc timestamp, end_utc timestamp")
+    assert batches.batch_barrier_check(trace).where("not holds").count() == 0
+
+
 def test_attempts(spark):
     log = [("a", 1, "IOException", "Transient"), ("a", 2, "IOException", "Transient"), ("a", 3, None, None), ("b", 1, "IOException", "Transient"), ("b", 2, "IOException", "Transient")]
     log += [("b", 3, "IOException", "Transient"), ("b", 4, None, None), ("c", 1, "XmlException", "Permanent"), ("c", 2, None, None), ("d", 1, "SecurityException", "Fatal")]
