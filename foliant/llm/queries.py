@@ -1,4 +1,4 @@
-"""Queries of the ten operators, and the SQL that gives the same rows where there is one."""
+"""Queries of the operators, and the SQL that gives the same rows where there is one."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, codec, decontaminate, htmltext, neardup, syncmers, tokencount, toxicity, urlfilter, warc
+from . import chat, codec, decontaminate, htmltext, lemp, neardup, syncmers, tokencount, toxicity, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": lambda s, d: codec.op8(s, table(s, d, "documents")),
     "op9_html": lambda s, d: htmltext.op9(s, table(s, d, "pages")),
     "op10_chat": lambda s, d: chat.op10(s, table(s, d, "conversations")),
+    "op11_lemp": lambda s, d: lemp.op11(s, table(s, d, "documents"), table(s, d, "benchmark")),
 }
 
 ORACLES: dict[str, str] = {
@@ -27,4 +28,5 @@ ORACLES: dict[str, str] = {
     "op4_decontaminate": decontaminate.OP4_SQL,
     "op5_neardup": neardup.OP5_SQL,
     "op10_chat": chat.OP10_SQL,
+    "op11_lemp": lemp.OP11_SQL,
 }
