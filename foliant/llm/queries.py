@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, codec, decontaminate, htmltext, lemp, neardup, repair, syncmers, tokencount, toxicity, urlfilter, warc
+from . import chat, codec, decontaminate, htmltext, langid, lemp, neardup, repair, syncmers, tokencount, toxicity, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": lambda s, d: chat.op10(s, table(s, d, "conversations")),
     "op11_lemp": lambda s, d: lemp.op11(s, table(s, d, "documents"), table(s, d, "benchmark")),
     "op12_repair": lambda s, d: repair.op12(s, table(s, d, "conversations")),
+    "op13_langid": lambda s, d: langid.op13(s, table(s, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {
