@@ -255,7 +255,7 @@ def top_documents(documents: DataFrame, items: DataFrame, most: int = 50, block_
             named = ranked.join(F.broadcast(marked), "item").join(asked.select("mark", "item_id"), "mark")
             found.append(scratch.keep(named.select("item_id", F.col("rank").cast("int"), "doc_id", "score"), "ranked"))
         if not found:
-            return spark.createDataFrame([], asked.select("item_id").schema.add("rank", "int").add("doc_id", "long").add("score", "long"))
+            return items.select("item_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).limit(0)
         out = found[0]
         for more in found[1:]:
             out = out.unionByName(more)
