@@ -1,19 +1,22 @@
 """Main text of web pages by a minimum cut over their blocks.
 
 A page is cut into blocks (runs of text between block-level tags). A linear classifier over features of a block
-(link share, length, end mark, heading, list of links, names in class and id) gives the cost of calling it content or
+(length, link share, end mark, heading, list of links, names in class and role) gives the cost of calling it content or
 boilerplate; these are the capacities to source and sink. Blocks that follow each other, and blocks of one parent,
-are joined by smoothness edges that are stronger the closer they are in the DOM. The maximum flow separates content
-from boilerplate.
+are joined by smoothness edges that are stronger the closer they are in the DOM; the container that a page has for its text joins each block in
+it with the source, and each other block with the sink, by a capacity of its own. The maximum flow separates content from boilerplate.
+
+A container's capacity is finite: ``ARTICLE`` for a page with an article, ``MAIN`` for one with a main element or an element named as content. It holds what looks
+like no text (short blocks, lists, tables, links), unless all of a block's features speak against it. On other pages blocks are content
+unless they look like boilerplate, by links and names.
 
 The weights are fitted on pages that label their own blocks, those with a single ``article``: at most ``FIT_PAGES`` of them, of at
 most ``FIT_CHARS`` characters. The fit is a logistic regression that is drawn towards ``PRIOR``, so that features which the
 sample doesn't show keep a sensible weight.
 
 What is no text by definition isn't left to the weights: elements of scripts, styles and form controls are left out, and
-what lies in nav, header, footer, aside or form, or in an element named as advert, menu, sidebar, notice or reader comments, has a
-cost that no smoothness outweighs. On a page with an article its blocks are content and all others are not. Other
-names (related, discussion, tags, share, ...) only count as a feature, and hidden text is text.
+what lies in nav, header, footer, aside or form, in an element whose class is, as a whole, one of ``OUT_CLASSES``, or, outside of an article, whose id is one of
+``OUT_IDS``, has a cost that no edge outweighs. All other names (parts of classes, ids of a div or a list) only count as features, and hidden text is text.
 
 Parsing and cutting take time in proportion to the page.
 
@@ -58,19 +61,25 @@ BOUNDS = frozenset("article section main div table ul ol dl body html nav aside
 
 #: Containers that hold no article text.
 OUTSIDE = frozenset("nav header footer aside menu dialog".split())
-#: Words in class, id or role of what is never article text. Those of the second pattern also name states of a whole page; an
-#: article or a content name inside takes precedence over them. Those of the third are only a feature.
-NAMES_OUT = re.compile(
-    r"(?:^|[\s_-])(?:ad(?:s|box|slot|unit|wrap|banner|space)?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|promotions?|sidebars?|side-?bar|breadcrumbs?|"
-    r"footer|comments?|commentlist|replies|respond|disqus|cookies?|consent|gdpr|notices?|notifications?|popup|newsletter|"
-    r"subscribe|subscription|signup|pagination|pager|complementary|contentinfo)\d*(?=$|[\s_-])",
+#: Classes, roles and ids that name, as a whole, what the contract leaves out.
+OUT_CLASSES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising ad-banner ad-container ad-slot ad-unit comments comment-list commentlist comment-section comments-area reader-comments "
+    "user-comments sidebar side-bar notice notices cookie-notice cookie-banner cookie-consent".split()
+)
+OUT_ROLES = frozenset("navigation complementary contentinfo banner search".split())
+OUT_IDS = frozenset("ad ads comments commentlist disqus_thread respond sidebar".split())
+#: Words in class, role or id that boilerplate often has, and others that it shares with text.
+NAMED = re.compile(
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|promotions?|side-?bars?|breadcrumbs?|footer|foot|comments?|replies|respond|cookies?|consent|gdpr|notices?|"
+    r"notifications?|popup|newsletter|subscribe|subscription|signup|pagination|pager|nav|navbar|navigation|menus?|header|masthead|topbar|banner|login|toolbar|skip-?link)\d*(?=$|[\s_-])",
     re.I,
 )
-NAMES_WEAK = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menus?|header|masthead|topbar|banner|foot|login|toolbar|skip-?link)\d*(?=$|[\s_-])", re.I)
 NAMES_SOFT = re.compile(
     r"(?:^|[\s_-])(?:copyright|legal|discussion|alerts?|modal|overlay|search|tags?|share|sharing|social|related|recommended|recommendations|widgets?)\d*(?=$|[\s_-])", re.I
 )
 STATES = re.compile(r"(?:^|(?<=[\s_-]))(?:with|has|no|without|show|hide|is)-[\w-]+", re.I)
+#: Elements whose id counts as a name; ids of headings and sections are made from their titles.
+WITH_ID = frozenset("div ul ol table".split())
 #: Names of elements that hold the article where no article or main element does.
 NAMES_IN = frozenset(
     "article main content post entry story main-content maincontent article-body article-content article-text post-body post-content entry-content story-body story-content page-content articlebody".split()
@@ -78,6 +87,7 @@ NAMES_IN = frozenset(
 FREE, HARD, HEADER, WEAK = 0, 1, 2, 3
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+UNENDED = re.compile(r"<(?:/?[a-zA-Z]|[!?])")
 ATTR = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: HTML's white space; no-break spaces are text.
 WHITE = re.compile("[ \t\n\r\f]+")
@@ -85,9 +95,9 @@ WHITE = re.compile("[ \t\n\r\f]+")
 #: Bounds of the sample that the weights are fitted on.
 FIT_PAGES, FIT_CHARS = 300, 50_000
 #: Weights of ``features`` before any page is seen, and how many blocks they count for.
-PRIOR, PRIOR_BLOCKS = np.array([-0.6, 1.2, -4.0, 0.8, 1.0, -2.0, -1.5]), 50
-#: Costs that decide: of blocks inside and outside of the article, and of a container of boilerplate; of main or an element named as content.
-ARTICLE, BOILERPLATE, MAIN = 10.0, 100.0, 3.0
+PRIOR, PRIOR_BLOCKS = np.array([-0.6, 1.2, -4.0, 0.8, 1.0, -2.0, -1.5, -2.5]), 50
+#: Capacities of a page's container of text; what a block has for it on pages without one; and of a container of boilerplate.
+ARTICLE, MAIN, PLAIN, BOILERPLATE = 9.0, 3.0, 0.5, 100.0
 
 
 @dataclass
@@ -101,15 +111,16 @@ class Block:
     head: bool
     in_list: bool
     soft: bool  # in an element with a name of NAMES_SOFT
+    named: bool  # in an element with a name of NAMED, and in no article or content inside of that
     linked: int  # characters inside links
 
 
 class Element:
-    __slots__ = ("name", "number", "block", "hidden", "outside", "inside", "soft", "alive")
+    __slots__ = ("name", "number", "block", "hidden", "outside", "inside", "soft", "named", "alive")
 
     def __init__(self, name: str, number: int, block: bool, of: Element | None):
         self.name, self.number, self.block, self.alive = name, number, block, True
-        self.hidden, self.outside, self.inside, self.soft = (of.hidden, of.outside, of.inside, of.soft) if of else (False, FREE, 0, False)
+        self.hidden, self.outside, self.inside, self.soft, self.named = (of.hidden, of.outside, of.inside, of.soft, of.named) if of else (False, FREE, 0, False, False)
 
 
 class Page:
@@ -131,10 +142,8 @@ class Page:
         while at < n:
             m = TOKEN.search(html, at, last) if at < last else None
             if not m:
-                if html.startswith("<!--", at) or (cut := html.find("<!--", max(at, last))) < 0:
-                    self.text(html[at:])
-                else:
-                    self.text(html[at:cut])
+                open_tag = UNENDED.search(html, max(at, last))  # a tag or comment that the page ends in is no text
+                self.text(html[at : open_tag.start() if open_tag else n])
                 break
             if m.start() > at:
                 self.text(html[at : m.start()])
@@ -169,7 +178,7 @@ class Page:
                 top, head = self.open[self.tops[-1]], self.count["heads"] > 0
                 # of an article's own header, the headings are text
                 outside = top.outside in (HARD, WEAK) or top.outside == HEADER and not head
-                self.blocks.append(Block(text, top.number, len(self.tops), self.low, outside, top.inside, head, self.count["items"] > 0, top.soft, min(self.linked, len(text))))
+                self.blocks.append(Block(text, top.number, len(self.tops), self.low, outside, top.inside, head, self.count["items"] > 0, top.soft, top.named, min(self.linked, len(text))))
                 self.low = len(self.tops)
             self.parts, self.linked = [], 0
 
@@ -229,24 +238,27 @@ class Page:
 
     def judge(self, e: Element, attrs: str) -> None:
         """What the element's name and attributes say of the text in it."""
-        name, names, content = e.name, "", False
-        words = [a or b or c for _, a, b, c in ATTR.findall(attrs)] if "=" in attrs else []
-        if words:
-            names = STATES.sub("", re.sub("([a-z])([A-Z])", r"\1-\2", " ".join(words)))
-            content = not NAMES_IN.isdisjoint(" ".join(words).lower().split())
+        name = e.name
         if name in ("html", "body"):
             return
-        e.soft = e.soft or bool(names and NAMES_SOFT.search(names))
-        if names and NAMES_OUT.search(names):
+        said = {k.lower(): a or b or c for k, a, b, c in ATTR.findall(attrs)} if "=" in attrs else {}
+        classes, ids, roles = ((said.get(k) or "").split() for k in ("class", "id", "role"))
+        content = bool(said) and not NAMES_IN.isdisjoint(" ".join(said.values()).lower().split())
+        names = " ".join([*classes, *roles, *(ids if name in WITH_ID else ())])
+        out = not OUT_CLASSES.isdisjoint(c.lower() for c in classes) or not OUT_ROLES.isdisjoint(roles) or e.inside < 2 and not OUT_IDS.isdisjoint(ids)
+        if names:
+            names = STATES.sub("", re.sub("([a-z])([A-Z])", r"\1-\2", names))
+            e.soft, e.named = e.soft or bool(NAMES_SOFT.search(names)), e.named or bool(NAMED.search(names))
+        if out:
             e.outside = HARD
         elif e.outside != HARD:
             if name in ("article", "main") or content and name not in OUTSIDE and name != "form":
-                e.inside, e.outside = 2 if name == "article" else max(e.inside, 1), FREE
+                e.inside, e.outside, e.named = 2 if name == "article" else max(e.inside, 1), FREE, False
             elif name == "header" and e.inside:
                 e.outside = e.outside or HEADER
             elif name in OUTSIDE or name == "form" and e.inside:
                 e.outside = HARD
-            elif name == "form" or names and NAMES_WEAK.search(names):  # a form may hold the whole page
+            elif name == "form":  # a form may hold the whole page
                 e.outside = e.outside or WEAK
 
     def close_within(self, name: str, bounds: list[int]) -> None:
@@ -276,7 +288,7 @@ class Page:
 
 def features(b: Block) -> tuple[float, ...]:
     link = b.linked / max(1, len(b.text))
-    return (1.0, min(len(b.text), 200) / 100, link, float(b.text[-1] in ".!?…。！？\"”»"), float(b.head), float(b.in_list and link > 0.5), float(b.soft))
+    return (1.0, min(len(b.text), 200) / 100, link, float(b.text[-1] in ".!?…。！？\"”»"), float(b.head), float(b.in_list and link > 0.5), float(b.soft), float(b.named))
 
 
 def own_labels(html: str | None) -> list[tuple[float, ...]]:
@@ -303,22 +315,33 @@ def fit_weights(rows: np.ndarray) -> np.ndarray:
     return w
 
 
-def costs(b: Block, level: int, weights: tuple[float, ...]) -> tuple[float, float]:
-    """(cost of calling the block boilerplate, cost of calling it content); ``level`` is the page's largest ``inside``."""
-    z = sum(w * f for w, f in zip(weights, features(b), strict=True))
-    if level == 2:
-        z = max(z, 0.0) + ARTICLE if b.inside == 2 else min(z, 0.0) - ARTICLE
-    elif level:
-        z += MAIN if b.inside else -MAIN
-    if b.outside:
-        z = min(z, 0.0) - BOILERPLATE
-    return (z, 0.0) if z > 0 else (0.0, -z)
+#: Which features may speak for a block, and which against it, on a page without a container for its text.
+FOR, AGAINST = np.array([0, 1, 0, 1, 1, 0, 0, 0], bool), np.array([0, 0, 1, 0, 0, 1, 1, 1], bool)
+BY_NAME = np.array([0, 0, 0, 0, 0, 0, 1, 1], bool)
+
+
+def leaning(b: Block, level: int, weights: np.ndarray) -> float:
+    """What a block's own features say: above 0 for content. ``level`` is the page's largest ``inside``."""
+    if not level:
+        weights = np.where(FOR, np.maximum(weights, 0), np.where(AGAINST, np.minimum(weights, 0), 0))
+    return float(np.dot(weights, features(b))) + (0.0 if level else PLAIN)
+
+
+def costs(b: Block, level: int, weights: np.ndarray) -> tuple[float, float]:
+    """Capacities to the source (the cost of calling the block boilerplate) and to the sink."""
+    z = leaning(b, level, weights)
+    source, sink = max(z, 0.0), max(-z, 0.0)
+    if level:
+        # an article outweighs all that can speak against a block but names
+        held = max(ARTICLE, 0.5 - float(np.minimum(weights[~BY_NAME], 0).sum())) if level == 2 else MAIN
+        source, sink = (source + held, sink) if b.inside >= level else (source, sink + held)
+    return (source, sink + BOILERPLATE) if b.outside else (source, sink)
 
 
 def smoothness(a: Block, b: Block) -> float:
     """Capacity between neighbours: larger for a deeper common container and a common parent; none across
-    the edge of a container of boilerplate."""
-    if a.outside != b.outside:
+    the edge of an article, of a container of boilerplate, or of an element with one of its names."""
+    if a.outside != b.outside or a.named != b.named or (a.inside == 2) != (b.inside == 2):
         return 0.0
     return 1.5 if a.parent == b.parent else 1.2 * b.common / max(a.depth, b.depth)
 
@@ -403,13 +426,10 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
     return [bool(x) for x in side]
 
 
-def main_text(html: str | None, weights: np.ndarray | None = None) -> str:
-    blocks = Page(html).blocks if html else []
-    if not blocks:
-        return ""
-    w = tuple(map(float, PRIOR if weights is None else weights))
+def sides(blocks: list[Block], weights: np.ndarray) -> list[bool]:
+    """Whether each block is content, by the minimum cut."""
     level = max((b.inside for b in blocks if not b.outside), default=0)
-    source, sink = map(list, zip(*(costs(b, level, w) for b in blocks), strict=True))
+    source, sink = map(list, zip(*(costs(b, level, weights) for b in blocks), strict=True))
     edges = [(i, i + 1, smoothness(blocks[i], blocks[i + 1])) for i in range(len(blocks) - 1)]
     last: dict[int, int] = {}
     for i, b in enumerate(blocks):  # the last block of the same parent, where it isn't the neighbour
@@ -417,8 +437,14 @@ def main_text(html: str | None, weights: np.ndarray | None = None) -> str:
         if j is not None and j < i - 1 and blocks[j].outside == b.outside:
             edges.append((j, i, 0.8))
         last[b.parent] = i
-    side = minimum_cut(source, sink, edges)
-    return "\n".join(b.text for b, content in zip(blocks, side, strict=True) if content)
+    return minimum_cut(source, sink, edges)
+
+
+def main_text(html: str | None, weights: np.ndarray | None = None) -> str:
+    blocks = Page(html).blocks if html else []
+    if not blocks:
+        return ""
+    return "\n".join(b.text for b, content in zip(blocks, sides(blocks, PRIOR if weights is None else weights), strict=True) if content)
 
 
 def fit(pages: DataFrame, most: int = FIT_PAGES, chars: int = FIT_CHARS) -> np.ndarray:

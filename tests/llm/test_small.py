@@ -122,6 +122,54 @@ def test_names_and_hidden_text_inside_an_article():
     assert htmltext.main_text("<head><title>T</title><body><p>No end of the head, and yet a text.</p>") == "No end of the head, and yet a text."
 
 
+def test_names_lose_no_text_of_an_article():
+    """Ids made from headings, and classes that only hold a word of boilerplate."""
+    inside = [
+        ('<section id="notifications"><h2>Notifications</h2><p>How to set them.</p></section>', "Notifications\nHow to set them."),
+        ('<h2 id="cookies">Cookies</h2><p>Bake them.</p>', "Cookies\nBake them."),
+        ('<div class="subscription"><p>A subscription costs 5.</p></div>', "A subscription costs 5."),
+        ('<section class="comments-on-keynes"><p>He wrote much.</p></section>', "He wrote much."),
+        ('<p class="sponsor">The sponsor of the bill spoke.</p>', "The sponsor of the bill spoke."),
+        ('<ul><li><a href="x">One source</a></li><li><a href="y">Another</a></li></ul>', "One source\nAnother"),
+        ("<p>No 5</p>", "No 5"),
+    ]
+    for w in (None, np.array([-3.0, 2.0, -5.0, 1.0, 0.5, -3.0, -1.5, -2.5])):
+        for part, want in inside:
+            assert htmltext.main_text(f"<nav><a href=x>Menu</a></nav><article>{part}</article><footer>f</footer>", w) == want
+            assert htmltext.main_text(f"<article><p>Words before it, of the text.</p>{part}<p>Words after it.</p></article>", w) == f"Words before it, of the text.\n{want}\nWords after it."
+
+
+def test_pages_without_an_article_keep_what_is_no_boilerplate():
+    for w in (None, np.array([-3.0, 2.0, -5.0, 1.0, 0.5, -3.0, -1.5, -2.5])):
+        for html, want in {
+            "<body><div>hello</div></body>": "hello",
+            "<p>No 5</p>": "No 5",
+            "plain words": "plain words",
+            "<h1>Bread</h1><ul><li>flour<li>water<li>salt</ul>": "Bread\nflour\nwater\nsalt",
+            "<p>A table follows, as it may.</p><table><tr><td>1<td>2</table>": "A table follows, as it may.\n1\n2",
+            '<div class="menu"><a href="/">Home</a> <a href="/b">More</a></div><div>hello</div><div class="page-footer">c 2020</div>': "hello",
+        }.items():
+            assert htmltext.main_text(html, w) == want, html
+
+
+def test_the_cut_decides_against_single_blocks():
+    """Pages where the cut's result is another than that of each block by its own features, in both directions."""
+    text = "<p>" + "Words of a paragraph. " * 12 + "</p>"
+    pages = {
+        f"<article>{text}<p>So</p><ul><li><a href=x>a</a></ul></article>": (1, 0),  # held by the article
+        f'<div>{text}<p><a href="/x">a link</a> or some more words</p>{text}</div>': (1, 0),  # held by its neighbours
+        "<div>" + '<p><a href="/x">some words</a></p>' * 3 + "<p>Ok then</p>" + '<p><a href="/x">some words</a></p>' * 3 + "</div>": (0, 1),  # drawn away by them
+        f'<article>{text}<p class="share"><a class="menu" href="/x">x</a></p></article>': (0, 0),  # neighbours overturn what all features speak against, or not
+    }
+    for html, (more, less) in pages.items():
+        blocks = htmltext.Page(html).blocks
+        level = max(b.inside for b in blocks)
+        alone = [htmltext.leaning(b, level, htmltext.PRIOR) > 0 for b in blocks]
+        cut = htmltext.sides(blocks, htmltext.PRIOR)
+        assert (more > 0) == any(c and not a for a, c in zip(alone, cut, strict=True)) or not more + less, html
+        assert (less > 0) == any(a and not c for a, c in zip(alone, cut, strict=True)) or not more + less, html
+
+
 @pytest.mark.parametrize("part", ["<tr><td>some cell text here and<td>more of it all.\n", "<div>x y z. ", "<b><div>a long enough text.", "<p>a<b>", "<b <b ", "<div><p>a text</p><ul><li><a href=x>link</a></ul></div>", "<!-- ", "<a '"])
 def test_time_grows_with_the_page(part):
     def seconds(n):
