@@ -1,16 +1,17 @@
 """Near duplicates: an LSH forest over MinHash signatures, and exact confirmation on full shingle sets.
 
 A node is a distinct shingle set (128-bit digest); copies share their node. A forest of ``TREES`` sorted signature orders
-gives each node a key of its first ``BASE`` values and the next values as a tail to sort by.
+gives each node a key of its first ``BASE`` values and the next values, up to ``DEPTH``, as a tail to sort by.
 
 1. In every region (equal key) the longest-common-prefix neighbours of its sorted order are candidates. Confirmed links
    give components.
-2. Regions of at most ``REGION`` nodes that still hold several components: all their pairs of different components are
-   candidates, and are confirmed on full sets.
-3. Larger regions share hubs. All links between different components of a hub's nodes are found exactly from what these
-   differ in from the hub (``_apart``), so a large group of near copies never becomes a set of pairs.
+2. The depth of a region adapts to its nodes: one of at most ``REGION`` nodes keeps the depth ``BASE``; of a larger one, each node goes as deep, up
+   to ``DEPTH``, as it must so that at most ``REGION`` nodes share its prefix. All pairs of different components in such a
+   region are candidates, and are confirmed on full sets.
+3. What a deeper region parts may still be linked. So the nodes of larger regions that still hold several components share hubs, and all links between different
+   components of a hub's nodes are found exactly from what these differ in from the hub (``_apart``); a large group of near copies never becomes a set of pairs.
 
-So nodes that share a region are compared whatever the region's size, and a pair is missed only if it shares no key. The
+So nodes that share a key are compared whatever the region's size, and a pair is missed only if it shares no key. The
 trees share no value of their keys, so at similarity 0.8 that has the probability (1 - 0.8**4)**24 = 3.2e-6. Confirmed
 links are exact: 64-bit hashes of shingles are compared, all of them.
 
@@ -172,15 +173,35 @@ def _compare(percent: int):
     return run
 
 
-def _stars(region: DataFrame, root_of: DataFrame, sets: DataFrame, percent: int, keep) -> DataFrame:
-    """(node, hub, n, linked, only) for each node of a crowded region and the hub of that region.
+def _leaves(region: DataFrame, keep) -> DataFrame:
+    """(key, depth, prefix, node, n): regions of 2 to ``REGION`` nodes, each node at the least depth where it is in one.
+
+    ``prefix`` are the values after the key, 16 bits of each, as many as the region is deeper than ``BASE``.
+    """
+    small = region.where(F.col("count") <= REGION).select("key", F.lit(BASE).alias("depth"), F.lit(0).cast("long").alias("prefix"), "node", "n")
+    at = F.array(*[F.struct(F.lit(d).alias("depth"), F.shiftright("tail", 16 * (DEPTH - d)).alias("prefix")) for d in range(BASE + 1, DEPTH + 1)])
+    deep = region.where(F.col("count") > REGION).select("key", "node", "n", F.explode(at).alias("at")).select("key", "at.*", "node", "n")
+    fitting = keep(deep.groupBy("key", "depth", "prefix").agg(F.count("*").alias("count")).where((F.col("count") > 1) & (F.col("count") <= REGION)).drop("count"), "depths")
+    deep = keep(deep.join(fitting, ["key", "depth", "prefix"]), "deep")
+    first = deep.groupBy("key", "node").agg(F.min("depth").alias("depth"))
+    return small.unionByName(deep.join(first, ["key", "node", "depth"]).select(*small.columns))
+
+
+def _divided(members: DataFrame, root_of: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of ``members`` (node, ...) of groups ``by`` that hold several components, with their root."""
+    rooted = members.join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy(*by).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(*by)
+    return rooted.join(several, by)
+
+
+def _stars(crowd: DataFrame, region: DataFrame, sets: DataFrame, percent: int, keep) -> DataFrame:
+    """(node, hub, n, linked, only) for each node of ``crowd`` (key, node, n, root), crowded regions of several components, and the hub of that region.
 
     The hub is the most central node, which is the one that stands in the most crowded regions; regions whose central
     nodes are of one component take the most central of these for their common hub.
     """
-    crowd = keep(region.where(F.col("count") > REGION).select("key", "node", "n"), "crowds")
     central = region.groupBy("node").agg(F.sum("count").alias("central"))
-    named = crowd.select("key", "node").join(central, "node").join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = crowd.select("key", "node", "root").join(central, "node")
     hub = keep(named.groupBy("key").agg(F.max(F.struct("central", "node", "root")).alias("hub")).select("key", "hub.*"), "hubs")
     best = hub.groupBy("root").agg(F.max_by("node", F.struct("central", "node")).alias("hub"))
     hub = keep(hub.join(best, "root").select("key", "hub"), "hubs")
@@ -199,8 +220,7 @@ def _apart(stars: DataFrame, root_of: DataFrame, percent: int, keep) -> DataFram
     differences from the hub in common. Of two components one at least isn't the hub's, and the nodes of such a
     component, the far ones, aren't linked with the hub. The least that a far node can add to that number bounds how
     many of its differences a node may miss, so each goes by a prefix of its differences, in an order that puts what the hub
-    lacks first, since that is rare. Elements that only one component has are dropped; of the others, the join itself
-    counts what two nodes have in common, so that only links leave it.
+    lacks first, since that is rare. Elements that only one component has are dropped.
     """
     c = (100 - percent) / (100 + percent)
     root = lambda col: root_of.select(F.col("node").alias(col), F.col("root").alias(f"root_{col}"))
@@ -218,16 +238,18 @@ def _apart(stars: DataFrame, root_of: DataFrame, percent: int, keep) -> DataFram
     first = each.join(stars.select("node", "hub", "only"), ["node", "hub"]).select("node", "hub", "n", "d", "root", "far", F.posexplode(F.slice("only", F.lit(1), F.col("prefix"))).alias("place", "element"))
     first = keep(first, "prefixes")
     met = first.groupBy("hub", "element").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("hub", "element")
-    rare = first.join(keep(met, "elements"), ["hub", "element"]).join(stars.select("node", "hub", "only"), ["node", "hub"])
-    rare = keep(rare, "rare")
-    side = lambda x: rare.select("hub", "element", F.col("node").alias(x), *[F.col(f).alias(f"{f}_{x}") for f in ("n", "d", "root", "far", "place", "only")])
+    # the join is of ids and numbers; what two nodes have in common is read for the pairs that are left
+    rare = keep(first.join(keep(met, "elements"), ["hub", "element"]), "rare")
+    side = lambda x: rare.select("hub", "element", F.col("node").alias(x), *[F.col(f).alias(f"{f}_{x}") for f in ("n", "d", "root", "far", "place")])
     sizes = F.col("n_x") + F.col("n_y")
     fit = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
     fit = fit & (F.least(F.col("d_x") - F.col("place_x"), F.col("d_y") - F.col("place_y")) >= (F.col("d_x") + F.col("d_y") - c * sizes) / 2 - 1e-6)
-    differ = F.col("d_x") + F.col("d_y") - 2 * F.size(F.array_intersect("only_x", "only_y"))
-    fit = fit & (100 * (sizes - differ) >= percent * (sizes + differ))
     pairs = side("x").where("far_x").join(side("y"), ["hub", "element"]).where((F.col("root_x") != F.col("root_y")) & (~F.col("far_y") | (F.col("x") < F.col("y"))) & fit)
-    return pairs.select(*_ordered("x", "y")).distinct()
+    pairs = keep(pairs.select("hub", "x", "y", "n_x", "n_y", "d_x", "d_y").distinct(), "met")
+    only = lambda x: stars.select("hub", F.col("node").alias(x), F.col("only").alias(f"only_{x}"))
+    differ = F.col("d_x") + F.col("d_y") - 2 * F.size(F.array_intersect("only_x", "only_y"))
+    linked = 100 * (sizes - differ) >= percent * (sizes + differ)
+    return pairs.join(only("x"), ["hub", "x"]).join(only("y"), ["hub", "y"]).where(linked).select(*_ordered("x", "y")).distinct()
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark: str | None = None) -> DataFrame:
@@ -260,20 +282,21 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark
         pairs = region.withColumn("part", part).withColumn("next", after).where(F.col("next").isNotNull() & fits(F.col("n"), F.col("next.n"))).withColumn("other", F.col("next.node"))
         root_of = joined(None, _confirmed(pairs.select(*_ordered("node", "other")).distinct(), sets, percent), keep_)
 
-        # 2. pairs of different components in the other regions
-        small = region.where(F.col("count") <= REGION).join(root_of, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        about = small.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        small = keep_(small.join(about.select("key"), "key"), "members")
-        x = small.select("key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-        y = small.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-        found = x.join(y, "key").where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & fits(F.col("nx"), F.col("ny")))
+        # 2. pairs of different components in regions as deep as they must be
+        by = ["key", "depth", "prefix"]
+        about = keep_(_divided(_leaves(region, keep_), root_of, by), "members")
+        x = about.select(*by, F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
+        y = about.select(*by, F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+        found = x.join(y, by).where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & fits(F.col("nx"), F.col("ny")))
         found = keep_(found.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "candidates")
-        links = _confirmed(found, sets, percent)
-
-        # 3. crowded regions
-        stars = _stars(region, root_of, sets, percent, keep_)
-        root_of = joined(root_of, links.unionByName(stars.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))), keep_)
-        root_of = joined(root_of, _apart(stars, root_of, percent, keep_), keep_)
+        root_of = joined(root_of, _confirmed(found, sets, percent), keep_)
+
+        # 3. crowded regions that still hold several components
+        crowd = keep_(_divided(region.where(F.col("count") > REGION).select("key", "node", "n"), root_of, ["key"]), "crowds")
+        if not crowd.isEmpty():
+            stars = _stars(crowd, region, sets, percent, keep_)
+            root_of = joined(root_of, stars.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")), keep_)
+            root_of = joined(root_of, _apart(stars, root_of, percent, keep_), keep_)
 
         least = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
         least = keep_(least, "least")

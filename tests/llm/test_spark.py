@@ -288,7 +288,7 @@ def test_crowded_region_of_many_sizes(spark):
     sets = spark.createDataFrame([(b, np.array(m, np.uint64).tobytes()) for b, m in rows], "node binary, members binary")
     region = spark.createDataFrame([(7, b, len(m), len(rows)) for b, m in rows], "key long, node binary, n long, count long")
     none = spark.createDataFrame([], "node binary, root binary")
-    stars = neardup._stars(region, none, sets, 80, keep)
+    stars = neardup._stars(region.withColumn("root", F.col("node")), region, sets, 80, keep)
     root_of = neardup.joined(none, stars.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     links = neardup._apart(stars, root_of, 80, keep)
     root = {r.node: r.root for r in neardup.joined(root_of, links).collect()}
@@ -303,6 +303,32 @@ def test_crowded_region_of_many_sizes(spark):
     assert classes(lambda k: root.get(k, k)) == classes(want.get) and len(set(want.values())) == 1 + 7
 
 
+def test_depth_adapts_to_the_region(spark):
+    """Each node lies in the largest region of at most ``REGION`` nodes round it, or in none if there is none of two or more."""
+    rnd = random.Random(11)
+    rows = []
+    for key, size in ((1, 5), (2, 64), (3, 65), (4, 700)):
+        for i in range(size):
+            values = [rnd.choice([1, 1, 1, 2]) for _ in range(4)] if key != 3 else [9, 9, 9, i % 2]
+            rows.append((key, sum(v << 16 * (3 - j) for j, v in enumerate(values)), bytes([key, i // 256, i % 256]), 10, size))
+    region = spark.createDataFrame(rows, "key long, tail long, node binary, n long, count long")
+    got = {}
+    for r in neardup._leaves(region, keep).collect():
+        assert (r.key, r.node) not in got
+        got[r.key, r.node] = (r.depth, r.prefix)
+    for key, tail, node, _, size in rows:
+        want = None
+        for depth in range(neardup.BASE, neardup.DEPTH + 1):
+            cut = tail >> 16 * (neardup.DEPTH - depth) if depth > neardup.BASE else 0
+            n = size if depth == neardup.BASE else sum(k == key and t >> 16 * (neardup.DEPTH - depth) == cut for k, t, *_ in rows)
+            if n <= neardup.REGION:
+                want = (depth, cut) if n > 1 else None
+                if n > 1:
+                    break
+        assert got.get((key, node)) == want
+    assert {d for d, _ in got.values()} >= {4, 6, 8}
+
+
 def test_one_hub_against_all_pairs(spark):
     """Sets that stray from one text by edits of a small stock, so that differences are shared and few pairs are linked with the hub."""
     rnd = random.Random(4)
@@ -313,7 +339,7 @@ def test_one_hub_against_all_pairs(spark):
     sets = spark.createDataFrame([(b, np.array(m, np.uint64).tobytes()) for b, m in rows], "node binary, members binary")
     region = spark.createDataFrame([(7, b, len(m), len(rows)) for b, m in rows], "key long, node binary, n long, count long")
     none = spark.createDataFrame([], "node binary, root binary")
-    stars = neardup._stars(region, none, sets, 80, keep)
+    stars = neardup._stars(region.withColumn("root", F.col("node")), region, sets, 80, keep)
     root_of = neardup.joined(none, stars.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     root = {r.node: r.root for r in root_of.collect()}
     got = {(r.a, r.b) for r in neardup._apart(stars, root_of, 80, keep).collect()}
