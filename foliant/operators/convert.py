@@ -11,7 +11,7 @@ from ..functions.decode import error_of, read_documents, staged
 from ..functions.gate import content_error
 from ..functions.markup_tree import CleanUp, normalize
 from ..functions.rtf import render_rtf
-from .outcomes import classify_error, describe_reason
+from .outcomes import classify_error, describe_reason, outcome_of
 
 
 def convert(df: DataFrame, fn: Callable[[Column], Column] = render_rtf, text: str = "text") -> DataFrame:
@@ -37,7 +37,7 @@ def convert_files(files: DataFrame, options: CleanUp | None = None, fn: Callable
     return rows.withColumns(
         {
             "reason": F.when(F.col("error").isNotNull(), describe_reason(F.col("error.type"), F.col("category"))),
-            "outcome": F.when(F.col("error").isNull(), "Succeeded").otherwise(F.concat(F.lit("Failed:"), "category")),
+            "outcome": outcome_of(F.col("category")),
             "output_bytes": F.octet_length("rtf").cast("long"),
         }
     )

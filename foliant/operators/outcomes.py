@@ -59,6 +59,11 @@ def describe_reason(error_type: Column, category: Column) -> Column:
     return known.when(io & (category == FATAL), FULL_REASON).when(io, LOCKED_REASON).otherwise(F.concat(F.lit("Conversion failed ("), error_type, F.lit(")")))
 
 
+def outcome_of(category: Column) -> Column:
+    """Succeeded without a category; a fatal error abandons its document."""
+    return F.when(category.isNull(), "Succeeded").when(category == FATAL, "Fatal").otherwise(F.concat(F.lit("Failed:"), category))
+
+
 def resolve_attempts(log: DataFrame, key: str, most: int = 3, delay_ms: int = 500) -> DataFrame:
     """(key, attempts, retries, backoff_ms, category, error_type, outcome) from an attempt log with key,
     attempt, error_type (null: success) and category.
@@ -201,6 +206,7 @@ def error_log_text(failures: DataFrame, most: int = 1000) -> DataFrame:
     A line for the place stands only where a move failed.
     """
     text = lambda c, none="": F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(none)) if c in failures.columns else F.lit(none)
+    # fixed values: the labels of the log's lines
     fields = [
         ("File", F.when(text("actual_file_name") != "", text("actual_file_name")).otherwise(text("file_name"))), ("Original File", text("file_name")), ("Date Folder", text("date_folder")),
         ("Sub Folder", text("sub_folder", "(none)")), ("Batch", text("batch_id")), ("Error Time", F.coalesce(iso_utc(F.col("error_time_utc")), F.lit(""))), ("Source", text("source")),

@@ -357,3 +357,88 @@ def archive_source(s, d):
     gone = files.list_files(s, moved).select(F.regexp_extract("rel", "(arrivals-[^/]*)/(.*)$", 2).alias("rel"))
     both = split_path(left.unionByName(gone).distinct().withColumnRenamed("rel", "rel_path"))
     return both.groupBy(F.substring_index("sub_folder", "/", 1).alias("date_folder")).agg(F.count("*").alias("documents"))
+
+
+# --- whole runs ------------------------------------------------------------------------------------------------------
+
+RUN_SQL = """WITH t AS (SELECT page_id, 'd' || page_id % 4 AS date_folder, CASE WHEN page_id % 3 = 0 THEN 'p' || page_id % 5 ELSE '' END AS sub_folder, 'n' || page_id || CASE WHEN page_id % 10 = 7 THEN '.pdf' ELSE '.xhtml' END AS file_name,
+  CASE WHEN page_id % 10 = 7 THEN 'odd' WHEN page_id % 11 = 4 THEN 'empty' WHEN page_id % 7 = 3 THEN 'raw' WHEN page_id % 13 = 6 THEN 'plain' ELSE 'ok' END AS kind FROM pages)"""
+RUN_REASON_SQL = "CASE kind WHEN 'odd' THEN 'File name does not match *.xhtml' WHEN 'plain' THEN 'The file holds no XHTML document' ELSE 'The file is not a decodable Base64 envelope' END"
+
+
+def envelope_tree(s, d) -> str:
+    """Pages as enveloped files with planted faults: names that fit no pattern, empty files, raw markup, texts without markup."""
+    i = F.col("page_id")
+    n = i.cast("string")
+    line = lambda c: decode.base64_line(F.encode(c, "UTF-8")).cast("binary")
+    content = F.when(i % 11 == 4, F.lit(b"")).when(i % 7 == 3, F.encode(F.concat(F.lit("<"), F.coalesce("html", F.lit(""))), "UTF-8")).when(i % 13 == 6, line(F.concat(F.lit("no markup "), n)))
+    content = content.otherwise(line(F.concat(F.lit("<p>"), n, F.lit("</p>"), F.coalesce("html", F.lit("")))))
+    folder, sub = F.concat(F.lit("d"), (i % 4).cast("string")), F.when(i % 3 == 0, F.concat(F.lit("p"), (i % 5).cast("string")))
+    name = F.concat(F.lit("n"), n, F.when(i % 10 == 7, ".pdf").otherwise(".xhtml"))
+    root = new_path(s, "envelopes")
+    files.write_files(table(s, d, "pages").select(F.concat_ws("/", folder, sub, name).alias("rel"), content.alias("content")), root)
+    return root
+
+
+@query(RUN_SQL + """, c AS (SELECT count(*) AS n, count(*) FILTER (kind = 'ok') AS ok, count(*) FILTER (kind <> 'odd') AS worked FROM t)
+  SELECT unnest(['found', 'succeeded', 'failed', 'abandoned', 'outputs', 'archived', 'in error', 'logs', 'left', 'error report', 'trace', 'completed folders', 'reported found', 'reported failed', 'first rows']) AS name,
+  unnest([n, ok, n - ok, 0, ok, ok, n - ok, n - ok, 0, n - ok, worked, (SELECT count(DISTINCT date_folder) FROM t), n, n - ok, n - ok]) AS n FROM c""")
+def run_folder(s, d):
+    """One run from an input folder to outputs, moves, reports and checkpoint; each report against the others."""
+    from ..operators.run import RunOptions
+    from ..operators.run import run_folder as run_all
+
+    root, out = envelope_tree(s, d), new_path(s, "run")
+    run = run_all(s, root, out, RunOptions(batch=25, error_logs=0, part_rows=20))
+    at = f"{out}/reports/{run.run_id}"
+    there = files.list_files(s, root).select("rel")
+    in_error = there.where("rel like '%/error/%'")
+    errors = reports.read_error_report(s, f"{at}/errors").select(F.col("row").cast("long").alias("row"))
+    lines = reports.read_summary_header(reports.report_lines(s, f"{at}/migration_report.csv")).where("name in ('Total Files Found', 'Total Files Failed')")
+    counts = {
+        "outputs": files.list_files(s, f"{out}/rtf"), "archived": there.where("rel like '%/archive/%'"), "in error": in_error.where("rel not like '%.log'"), "logs": in_error.where("rel like '%.log'"),
+        "left": there.where("rel not like '%/archive/%' and rel not like '%/error/%'"), "error report": errors, "trace": reports.read_trace(s, f"{at}/trace"), "completed folders": s.read.parquet(f"{out}/checkpoint/completed_folders"),
+    }
+    rows = s.createDataFrame([(k, getattr(run, k)) for k in ("found", "succeeded", "failed", "abandoned")], "name string, n long")
+    for name, df in counts.items():
+        rows = rows.unionByName(df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n"))
+    said = lines.select(F.when(F.col("name") == "Total Files Found", "reported found").otherwise("reported failed").alias("name"), F.col("value").cast("long").alias("n"))
+    last = errors.agg(F.coalesce(F.max("row"), F.lit(0)).alias("n")).select(F.lit("first rows").alias("name"), "n")  # rows are numbered through all parts
+    return rows.unionByName(said).unionByName(last)
+
+
+@query(RUN_SQL + f""", b AS (SELECT *, (row_number() OVER (PARTITION BY date_folder ORDER BY CASE WHEN sub_folder = '' THEN file_name ELSE sub_folder || '/' || file_name END) - 1) // 25 + 1 AS b FROM t WHERE kind <> 'odd')
+  SELECT date_folder, sub_folder, file_name, date_folder || '#' || printf('%04d', b) AS batch_id, CASE kind WHEN 'ok' THEN 'Succeeded' ELSE 'Failed:Permanent' END AS outcome, CASE WHEN kind <> 'ok' THEN {RUN_REASON_SQL} END AS reason, 1::BIGINT AS attempts,
+  true AS known, true AS in_order, true AS phases_fit, kind = 'ok' AS measured, true AS columns FROM b""")
+def traced_conversion(s, d):
+    """A measured trace of a real conversion: each document with its worker, times and phases, whose sum is within its duration (F9, B4, convert)."""
+    from ..operators.traced import PHASE_NAMES, Limits, convert_traced
+
+    docs = files.list_documents(s, envelope_tree(s, d)).where("file_name not like '%.pdf'")
+    trace = convert_traced(batches.assign_batches(docs, 25), Limits())
+    spent = sum((F.col(f"{p}_ms") for p in PHASE_NAMES), F.lit(0.0))
+    row = reports.trace_report(trace)
+    whole = F.lit(row.columns == reports.TRACE_COLUMNS)
+    return trace.select(
+        "date_folder", "sub_folder", "file_name", "batch_id", "outcome", "reason", "attempts", ((F.col("worker_slot") > 0) & (F.col("thread_id") > 0)).alias("known"), (F.col("end_utc") >= F.col("start_utc")).alias("in_order"),
+        (spent <= F.col("duration_ms") + 1e-6).alias("phases_fit"), (F.least(*[F.col(f"{p}_ms") for p in ("read", "decode", "validate", "import", "export", "write")]) > 0).alias("measured"), whole.alias("columns"),
+    )
+
+
+@query("""SELECT page_id, page_id % 3 = 0 AS was_there, CASE WHEN page_id % 3 = 0 THEN 'Failed:Transient' ELSE 'Succeeded' END AS outcome, CASE WHEN page_id % 3 = 0 THEN 4 ELSE 1 END::BIGINT AS attempts,
+  CASE WHEN page_id % 3 = 0 THEN 'The file is locked or the volume is unavailable' END AS reason, CASE WHEN page_id % 3 = 0 THEN 'old' ELSE 'new' END AS holds FROM pages""")
+def refused_outputs(s, d):
+    """With overwriting off, outputs that are there are refused: transient failures after all attempts, and the files stay as they were (B1)."""
+    from ..operators.traced import Limits, convert_traced, refuse_existing
+    from ..sources.corpus import documents_table
+
+    out = new_path(s, "refused")
+    n = F.col("page_id").cast("string")
+    docs = documents_table(table(s, d, "pages"), F.concat(F.lit("<p>"), n, F.lit("</p>")), F.lit("d"), F.lit(""), F.concat(F.lit("N"), n, F.lit(".xhtml")))
+    old = table(s, d, "pages").where("page_id % 3 = 0").select(F.concat(F.lit("d/N"), n, F.lit(".rtf")).alias("rel"), F.lit(b"old").alias("content"))
+    files.write_files(old, out)
+    there = files.list_files(s, out).select(F.col("rel").alias("output"))
+    done = convert_traced(refuse_existing(docs, there), Limits(attempts=4, out=out))
+    held = files.read_envelopes(files.list_files(s, out)).select(F.regexp_extract("rel", "N([0-9]+)", 1).cast("long").alias("page_id"), F.when(F.col("content") == F.lit(b"old"), "old").otherwise("new").alias("holds"))
+    rows = done.select(F.regexp_extract("file_name", "N([0-9]+)", 1).cast("long").alias("page_id"), F.col("refused").alias("was_there"), "outcome", "attempts", "reason")
+    return rows.join(held, "page_id")

@@ -116,26 +116,79 @@ def stranded_files(spark: SparkSession, root: str, pattern: str = "*.xhtml") ->
     return here if not exclude_reserved(top.where("is_folder").withColumn("date_folder", F.col("rel")), claim_folder=".claims").isEmpty() else here.where("false")
 
 
+class FileReader:
+    """Reads files one after the other, inside of a task; None for one that is gone."""
+
+    def __init__(self) -> None:
+        self.folder: str | None = None
+        self.at, self.base = None, ""
+
+    def __call__(self, path: str) -> bytes | None:
+        folder, _, name = path.rpartition("/")
+        if folder != self.folder:
+            self.folder, (self.at, self.base) = folder, _opened(folder)
+        try:
+            with self.at.open_input_stream(f"{self.base.rstrip('/')}/{name}") as f:
+                return f.read()
+        except FileNotFoundError:
+            return None
+
+
+def put_file(root: str, rel: str, content: bytes) -> None:
+    """Write one file below ``root``, under another name first, inside of a task."""
+    at, base = _opened(root)
+    path = f"{base.rstrip('/')}/{rel}"
+    at.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with at.open_output_stream(f"{path}.part") as f:
+        f.write(content)
+    at.move(f"{path}.part", path)
+
+
+def move_files(moves: DataFrame) -> DataFrame:
+    """(path, final, move_error) of files that are moved from ``path`` to ``final``, in tasks; null in ``final`` leaves a file where it is.
+
+    A file that can't be moved stays, with the kind of its error; one that a lost task has moved before counts as moved. The rows are written, so nothing moves twice.
+    """
+    from ..shared import kept
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for b in batches:
+            errors = []
+            for path, final in zip(b.column("path").to_pylist(), b.column("final").to_pylist(), strict=True):
+                error = None
+                if final is not None:
+                    folder, _, name = path.rpartition("/")
+                    to, _, new = final.rpartition("/")
+                    (at, base), (_, there) = _opened(folder), _opened(to)
+                    source, target = f"{base.rstrip('/')}/{name}", f"{there.rstrip('/')}/{new}"
+                    try:
+                        if at.get_file_info(source).type == fs.FileType.NotFound and at.get_file_info(target).type != fs.FileType.NotFound:
+                            pass
+                        else:
+                            at.create_dir(there, recursive=True)
+                            at.move(source, target)
+                    except OSError as e:
+                        error = type(e).__name__
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("final"), pa.array(errors, pa.string())], ["path", "final", "move_error"])
+
+    return kept(moves.select("path", "final").mapInArrow(run, "path string, final string, move_error string"), "moves")
+
+
 def read_envelopes(documents: DataFrame) -> DataFrame:
     """Adds ``content``, the bytes of the file ``path``; nothing is shuffled. A file that is gone by now has null content."""
     rows = documents.drop("content")
     names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened: dict[str, tuple] = {}
+        read = FileReader()
         for b in batches:
             first, content, size = 0, [], 0
             paths = b.column("path").to_pylist()
             for i, path in enumerate(paths):
-                folder = path.rsplit("/", 1)[0]
-                if folder not in opened:
-                    opened = {folder: _opened(folder)}
-                at, base = opened[folder]
-                try:
-                    with at.open_input_stream(f"{base.rstrip('/')}/{path[len(folder) + 1 :]}") as f:
-                        content.append(f.read())
-                except FileNotFoundError:
-                    content.append(None)
+                content.append(read(path))
                 size += len(content[-1] or b"")
                 if size > BATCH_BYTES or i == len(paths) - 1:
                     part = b.slice(first, i + 1 - first)
@@ -158,12 +211,10 @@ def write_files(df: DataFrame, root: str) -> int:
         for b in batches:
             n = 0
             for rel, content in zip(b.column("rel").to_pylist(), b.column("content").to_pylist(), strict=True):
-                path = f"{base.rstrip('/')}/{rel}"
-                at.create_dir(path if content is None else path.rsplit("/", 1)[0], recursive=True)
-                if content is not None:
-                    with at.open_output_stream(f"{path}.part") as f:
-                        f.write(content)
-                    at.move(f"{path}.part", path)
+                if content is None:
+                    at.create_dir(f"{base.rstrip('/')}/{rel}", recursive=True)
+                else:
+                    put_file(root, rel, content)
                     n += 1
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 

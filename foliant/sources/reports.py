@@ -211,6 +211,8 @@ PHASE_NAMES = {
 FOLDER_HEADER = "Date Folder,Total Files,Succeeded,Failed,Processing Time"
 WORKER_HEADER = "Worker Slot,Files Processed,Succeeded,Failed,Abandoned,Busy Time,Busy (% of run),Avg ms/File,Files Per Second"
 PHASE_HEADER = "Phase,Kind,Total Seconds,% of Measured,Avg ms/File"
+#: Section and place of the first line of totals.
+TOTALS = ("3", '{"o0":"a"}')
 
 
 def csv_cell(c: Column) -> Column:
@@ -230,34 +232,56 @@ def _lines(df: DataFrame, section: str, title: str, header: str, order: list, *c
     return head.unionByName(body).select(F.lit(section).alias("section"), "kind", F.to_json("place").alias("place"), "line")
 
 
-def summary_header(trace: DataFrame, settings: dict, found: int | None = None) -> list[tuple[str, str]]:
-    """The summary's header as (name, value): ``settings`` first, then the totals of the run; one row of sums comes to the driver."""
+def summary_header(trace: DataFrame, settings: dict, found: int | None = None, quarantined: int = 0) -> list[tuple[str, str]]:
+    """The summary's header as (name, value): ``settings`` first, then the totals of the run; two rows of sums come to the driver. Batch Size and Error Report Parts
+    among the settings stand where the report has them.
+
+    ``found`` are the documents found, else those of the trace; ``quarantined`` of them failed before they went to a worker.
+    """
     from ..operators.metrics import average_concurrency, peak_concurrency, run_totals, throughput
 
+    spans = trace.select(F.unix_micros("start_utc").alias("start_us"), F.unix_micros("end_utc").alias("end_us"))
     wall = ((F.unix_micros(F.max("end_utc")) - F.unix_micros(F.min("start_utc"))) / 1000).alias("ms")
-    extra = trace.agg(wall, F.coalesce(F.sum("duration_ms"), F.lit(0.0)).alias("service_ms"), F.count("*").alias("worked"), F.coalesce(F.sum(F.when(F.col("outcome") == "Succeeded", F.col("bytes_out"))), F.lit(0)).alias("bytes_out")).first()
-    totals = run_totals(trace, extra["worked"] if found is None else found)
-    t = totals.first()
-    both = totals.withColumns({"elapsed_s": F.lit((extra["ms"] or 0) / 1000.0), "service_ms": F.lit(float(extra["service_ms"])), "bytes_out": F.lit(int(extra["bytes_out"]))})
+    extra = trace.agg(wall, F.coalesce(F.sum("duration_ms"), F.lit(0.0)).alias("service_ms"), F.count("*").alias("worked"), F.coalesce(F.sum(F.when(F.col("outcome") == "Succeeded", F.col("bytes_out"))), F.lit(0)).alias("bytes_out"))
+    totals = run_totals(trace, 0).drop("remaining")
+    one = totals.crossJoin(extra).crossJoin(average_concurrency(trace, int(settings.get("Threads", 1)))).crossJoin(peak_concurrency(spans))  # a row each
+    extra = one.first()
+    found = extra["worked"] + quarantined if found is None else found
+    t = {c: extra[c] for c in totals.columns} | {"failed": extra["failed"] + quarantined, "processed": extra["processed"] + quarantined}
+    t["remaining"] = max(0, found - t["processed"])
+    spark = trace.sparkSession
+    both = spark.createDataFrame([(t["succeeded"], t["processed"], t["bytes_in"], int(extra["bytes_out"]), (extra["ms"] or 0) / 1000.0, float(extra["service_ms"]), t["remaining"])], "succeeded long, processed long, bytes_in long, bytes_out long, elapsed_s double, service_ms double, remaining long")
     rate = throughput(both).first()
-    use = average_concurrency(trace, int(settings.get("Threads", 1))).first()
-    spans = trace.select(F.unix_micros("start_utc").alias("start_us"), F.unix_micros("end_utc").alias("end_us"))
     ms = int(extra["ms"] or 0)
     time = f"{ms // 3_600_000 % 24:02d}:{ms // 60_000 % 60:02d}:{ms // 1000 % 60:02d}"
+    # fixed values: the names of the report's lines
     rows = [
-        ("Peak Concurrent Workers", peak_concurrency(spans).first()["peak"]), ("Average Concurrent Workers", f"{use['avg_workers']:.2f}"), ("Worker Utilisation (%)", f"{use['utilisation_pct']:.1f}"),
+        ("Peak Concurrent Workers", extra["peak"]), ("Average Concurrent Workers", f"{extra['avg_workers']:.2f}"), ("Worker Utilisation (%)", f"{extra['utilisation_pct']:.1f}"),
         ("Average Worker Service Time (ms)", f"{extra['service_ms'] / max(1, extra['worked']):.1f}"), ("Total Files Found", t["processed"] + t["remaining"]), ("Total Files Processed", t["processed"]),
         ("Total Files Succeeded", t["succeeded"]), ("Total Files Failed", t["failed"]), ("Total Retries", t["retries"]), ("Error Report Rows", t["failed"]), ("Total Processing Time", time),
         ("Average Files Per Second", f"{rate['files_per_s']:.2f}"), ("Average Files Per Minute", f"{rate['files_per_min']:.0f}"), ("Average Files Per Hour", f"{rate['files_per_hour']:.0f}"),
         ("Average File Size (MB)", f"{rate['avg_file_mb']:.2f}"), ("Total XHTML Read (GB)", f"{t['bytes_in'] / 1024**3:.2f}"), ("Total RTF Written (GB)", f"{extra['bytes_out'] / 1024**3:.2f}"),
     ]
-    return [(k, str(v)) for k, v in [*settings.items(), *rows]]
+    placed = {"Batch Size": "Average Worker Service Time (ms)", "Error Report Parts": "Error Report Rows"}
+    out = [(k, v) for k, v in settings.items() if k not in placed]
+    for k, v in rows:
+        out += [(k, v), *((name, settings[name]) for name, after in placed.items() if after == k and name in settings)]
+    return [(k, str(v)) for k, v in out]
+
 
+def summary_sections(trace: DataFrame, quarantined: DataFrame | None = None) -> DataFrame:
+    """(section, kind, place, line) of the breakdowns by folder, worker and phase, and the totals of CPU and disk; sorted by these, they are the report's body.
 
-def summary_sections(trace: DataFrame) -> DataFrame:
-    """(section, kind, place, line) of the breakdowns by folder, worker and phase, and the totals of CPU and disk; sorted by these, they are the report's body."""
+    ``quarantined`` (date_folder) has a row for each document that failed before it went to a worker: these count for their folder, and as processed.
+    """
     number = lambda c, places: F.format_string(f"%.{places}f", F.col(c))
-    folders = folder_breakdown(trace)
+    folders, processed = folder_breakdown(trace), None
+    if quarantined is not None:
+        odd = quarantined.groupBy("date_folder").agg(F.count("*").alias("odd"))
+        number_of = lambda c: F.coalesce(F.col(c), F.lit(0))
+        both = folders.join(odd, "date_folder", "full")
+        folders = both.select("date_folder", (number_of("total") + number_of("odd")).alias("total"), number_of("succeeded").alias("succeeded"), (number_of("failed") + number_of("odd")).alias("failed"), number_of("elapsed_ms").alias("elapsed_ms"))
+        processed = folders.agg(F.coalesce(F.sum(F.col("succeeded") + F.col("failed")), F.lit(0))).first()[0]
     out = _lines(folders, "1", "Per-Folder Breakdown", FOLDER_HEADER, ["date_folder"], F.col("date_folder"), F.col("total"), F.col("succeeded"), F.col("failed"), hms(F.col("elapsed_ms")))
     workers = worker_breakdown(trace).withColumn("slot", F.lpad(F.col("worker_slot").cast("string"), 12, "0"))
     cells = [F.col("worker_slot"), F.col("processed"), F.col("succeeded"), F.col("failed"), F.col("abandoned"), hms(F.col("busy_ms")), number("busy_pct", 1), number("avg_ms", 1), number("files_per_s", 2)]
@@ -266,7 +290,7 @@ def summary_sections(trace: DataFrame) -> DataFrame:
     for i, (p, _) in enumerate(PHASES):
         names, place = F.when(F.col("phase") == p, PHASE_NAMES[p]).otherwise(names), F.when(F.col("phase") == p, str(i)).otherwise(place)
     phases = phase_breakdown(trace).select(names.alias("name"), "kind", "total_s", "pct", "avg_ms", place.alias("place"))
-    split = cpu_disk_split(trace)
+    split = cpu_disk_split(trace, processed)
     measured = split.where("kind <> 'Overhead'").agg(F.sum("total_s").alias("all_s"))  # one row
     kinds = split.crossJoin(F.broadcast(measured)).withColumn("pct", F.coalesce(F.try_divide("total_s", "all_s"), F.lit(0.0)) * 100)
     name = F.when(F.col("kind") == "Overhead", "Unattributed").otherwise(F.concat("kind", F.lit(" total")))
@@ -280,7 +304,8 @@ def summary_text(header: list[tuple[str, str]], sections: DataFrame | None = Non
     cell = lambda v: f'"{v.replace(chr(34), chr(34) * 2)}"' if any(x in v for x in ',"\r\n') else v
     lines = [f"{k},{cell(str(v))}" for k, v in header]
     for r in sections.orderBy("section", "kind", "place").toLocalIterator() if sections is not None else ():
-        lines += ["", *r["line"].split("\n")] if r["kind"] == 0 else [r["line"]]
+        apart = r["kind"] == 0 or (r["section"], r["place"]) == TOTALS  # the phases' totals stand apart
+        lines += [*([""] if apart else []), *(r["line"].split("\n") if r["kind"] == 0 else [r["line"]])]
     return "\n".join(lines) + "\n"
 
 
