@@ -38,6 +38,8 @@ from .components import joined
 POOL, TREES, BASE, DEPTH, REGION = 96, 24, 4, 8, 64
 #: A region of more nodes is sorted in parts of about so many; neighbours across parts aren't needed, since step 3 is exact.
 PART = 512
+#: Words of a mask of differences.
+MASK = 8
 
 _rng = np.random.RandomState(20240607)
 A = (_rng.randint(0, 2**63, POOL, dtype=np.int64).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -154,44 +156,53 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def mask_of(elements: np.ndarray) -> np.ndarray:
+    """``MASK`` words with a bit for each element; a bit that another mask lacks is at least one element that the other set lacks."""
+    bit = (elements.view(np.uint64) >> np.uint64(5)) % np.uint64(64 * MASK)
+    out = np.zeros(MASK, np.uint64)
+    np.bitwise_or.at(out, (bit // np.uint64(64)).astype(np.int64), np.uint64(1) << bit % np.uint64(64))
+    return out.view(np.int64)
+
+
 def _compare(percent: int):
-    """Each node with its hub: whether they are linked, and the elements that only one of them has, the node's own first."""
+    """Each node with its hub: whether they are linked, the elements that only one of them has, the node's own first, and their mask."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
-            linked, only = [], []
+            linked, only, masks = [], [], []
             for x, h in zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist(), strict=True):
                 x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
                 own, missing = np.setdiff1d(x, h, assume_unique=True), np.setdiff1d(h, x, assume_unique=True)
                 common = len(x) - len(own)
                 linked.append(100 * common >= percent * (len(h) + len(own)))
                 only.append(np.concatenate((own, missing)).view(np.int64))
+                masks.append(mask_of(only[-1]))
             yield pa.RecordBatch.from_arrays(
-                [b.column("a"), b.column("b"), b.column("n"), pa.array(linked, pa.bool_()), pa.array(only, pa.list_(pa.int64()))], ["node", "hub", "n", "linked", "only"]
+                [b.column("a"), b.column("b"), b.column("n"), pa.array(linked, pa.bool_()), pa.array(only, pa.list_(pa.int64())), pa.array(masks, pa.list_(pa.int64()))],
+                ["node", "hub", "n", "linked", "only", "mask"],
             )
 
     return run
 
 
-def _leaves(region: DataFrame, keep) -> DataFrame:
-    """(key, depth, prefix, node, n): regions of 2 to ``REGION`` nodes, each node at the least depth where it is in one.
+def _divided(members: DataFrame, root_of: DataFrame, by: list[str], keep) -> DataFrame:
+    """The rows of ``members`` (node, ...) of groups ``by`` that hold several components, with their root. The groups are written first, so that few of them don't move the rows."""
+    rooted = members.join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy(*by).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(*by)
+    return rooted.join(keep(several, "divided"), by)
 
-    ``prefix`` are the values after the key, 16 bits of each, as many as the region is deeper than ``BASE``.
-    """
-    small = region.where(F.col("count") <= REGION).select("key", F.lit(BASE).alias("depth"), F.lit(0).cast("long").alias("prefix"), "node", "n")
-    at = F.array(*[F.struct(F.lit(d).alias("depth"), F.shiftright("tail", 16 * (DEPTH - d)).alias("prefix")) for d in range(BASE + 1, DEPTH + 1)])
-    deep = region.where(F.col("count") > REGION).select("key", "node", "n", F.explode(at).alias("at")).select("key", "at.*", "node", "n")
-    fitting = keep(deep.groupBy("key", "depth", "prefix").agg(F.count("*").alias("count")).where((F.col("count") > 1) & (F.col("count") <= REGION)).drop("count"), "depths")
-    deep = keep(deep.join(fitting, ["key", "depth", "prefix"]), "deep")
-    first = deep.groupBy("key", "node").agg(F.min("depth").alias("depth"))
-    return small.unionByName(deep.join(first, ["key", "node", "depth"]).select(*small.columns))
 
+def _leaves(crowd: DataFrame, keep) -> DataFrame:
+    """(key, depth, prefix, node, n, root): the nodes of crowded regions (key, tail, node, n, root), each at the least depth where 2 to ``REGION`` nodes share its prefix.
 
-def _divided(members: DataFrame, root_of: DataFrame, by: list[str]) -> DataFrame:
-    """The rows of ``members`` (node, ...) of groups ``by`` that hold several components, with their root."""
-    rooted = members.join(root_of, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rooted.groupBy(*by).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(*by)
-    return rooted.join(several, by)
+    ``prefix`` are the values after the key, 16 bits of each, as many as the region is deeper than ``BASE``. Depths are chosen for each distinct tail, not for each node.
+    """
+    at = F.array(*[F.struct(F.lit(d).alias("depth"), F.shiftright("tail", 16 * (DEPTH - d)).alias("prefix")) for d in range(BASE + 1, DEPTH + 1)])
+    tails = crowd.groupBy("key", "tail").agg(F.count("*").alias("nodes")).select("key", "tail", "nodes", F.explode(at).alias("at")).select("key", "tail", "nodes", "at.*")
+    tails = keep(tails, "tails")
+    fitting = tails.groupBy("key", "depth", "prefix").agg(F.sum("nodes").alias("nodes")).where((F.col("nodes") > 1) & (F.col("nodes") <= REGION)).drop("nodes")
+    first = tails.join(fitting, ["key", "depth", "prefix"]).groupBy("key", "tail").agg(F.min(F.struct("depth", "prefix")).alias("at"))
+    return crowd.join(first, ["key", "tail"]).select("key", "at.*", "node", "n", "root")
 
 
 def _stars(crowd: DataFrame, region: DataFrame, sets: DataFrame, percent: int, keep) -> DataFrame:
@@ -209,7 +220,7 @@ def _stars(crowd: DataFrame, region: DataFrame, sets: DataFrame, percent: int, k
     a = sets.select("node", F.col("members").alias("set_a"))
     b = sets.select(F.col("node").alias("hub"), F.col("members").alias("set_b"))
     both = star.join(a, "node").join(b, "hub").select(F.col("node").alias("a"), F.col("hub").alias("b"), "n", "set_a", "set_b")
-    return keep(both.mapInArrow(_compare(percent), "node binary, hub binary, n long, linked boolean, only array<bigint>"), "stars")
+    return keep(both.mapInArrow(_compare(percent), "node binary, hub binary, n long, linked boolean, only array<bigint>, mask array<bigint>"), "stars")
 
 
 def _apart(stars: DataFrame, root_of: DataFrame, percent: int, keep) -> DataFrame:
@@ -238,18 +249,21 @@ def _apart(stars: DataFrame, root_of: DataFrame, percent: int, keep) -> DataFram
     first = each.join(stars.select("node", "hub", "only"), ["node", "hub"]).select("node", "hub", "n", "d", "root", "far", F.posexplode(F.slice("only", F.lit(1), F.col("prefix"))).alias("place", "element"))
     first = keep(first, "prefixes")
     met = first.groupBy("hub", "element").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("hub", "element")
-    # the join is of ids and numbers; what two nodes have in common is read for the pairs that are left
-    rare = keep(first.join(keep(met, "elements"), ["hub", "element"]), "rare")
-    side = lambda x: rare.select("hub", "element", F.col("node").alias(x), *[F.col(f).alias(f"{f}_{x}") for f in ("n", "d", "root", "far", "place")])
+    # the join is of ids, numbers and masks of a fixed size; what two nodes have in common is read for the pairs that are left
+    rare = first.join(keep(met, "elements"), ["hub", "element"]).join(stars.select("node", "hub", "mask"), ["node", "hub"])
+    rare = keep(rare, "rare")
+    side = lambda x: rare.select("hub", "element", F.col("node").alias(x), *[F.col(f).alias(f"{f}_{x}") for f in ("n", "d", "root", "far", "place", "mask")])
     sizes = F.col("n_x") + F.col("n_y")
+    linked = lambda common: 100 * (sizes - (F.col("d_x") + F.col("d_y") - 2 * common)) >= percent * (sizes + (F.col("d_x") + F.col("d_y") - 2 * common))
+    lacks = lambda x, y: sum((F.bit_count(F.element_at(f"mask_{x}", i + 1).bitwiseAND(F.bitwise_not(F.element_at(f"mask_{y}", i + 1)))) for i in range(MASK)), F.lit(0))
+    most = F.least(F.col("d_x") - lacks("x", "y"), F.col("d_y") - lacks("y", "x"))
     fit = 100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")
-    fit = fit & (F.least(F.col("d_x") - F.col("place_x"), F.col("d_y") - F.col("place_y")) >= (F.col("d_x") + F.col("d_y") - c * sizes) / 2 - 1e-6)
+    fit = fit & (F.least(F.col("d_x") - F.col("place_x"), F.col("d_y") - F.col("place_y")) >= (F.col("d_x") + F.col("d_y") - c * sizes) / 2 - 1e-6) & linked(most)
     pairs = side("x").where("far_x").join(side("y"), ["hub", "element"]).where((F.col("root_x") != F.col("root_y")) & (~F.col("far_y") | (F.col("x") < F.col("y"))) & fit)
     pairs = keep(pairs.select("hub", "x", "y", "n_x", "n_y", "d_x", "d_y").distinct(), "met")
     only = lambda x: stars.select("hub", F.col("node").alias(x), F.col("only").alias(f"only_{x}"))
-    differ = F.col("d_x") + F.col("d_y") - 2 * F.size(F.array_intersect("only_x", "only_y"))
-    linked = 100 * (sizes - differ) >= percent * (sizes + differ)
-    return pairs.join(only("x"), ["hub", "x"]).join(only("y"), ["hub", "y"]).where(linked).select(*_ordered("x", "y")).distinct()
+    common = F.size(F.array_intersect("only_x", "only_y"))
+    return pairs.join(only("x"), ["hub", "x"]).join(only("y"), ["hub", "y"]).where(linked(common)).select(*_ordered("x", "y")).distinct()
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark: str | None = None) -> DataFrame:
@@ -283,8 +297,11 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark
         root_of = joined(None, _confirmed(pairs.select(*_ordered("node", "other")).distinct(), sets, percent), keep_)
 
         # 2. pairs of different components in regions as deep as they must be
-        by = ["key", "depth", "prefix"]
-        about = keep_(_divided(_leaves(region, keep_), root_of, by), "members")
+        by, rows = ["key", "depth", "prefix"], region.select("key", "tail", "node", "n", "count")
+        shallow = _divided(rows.where(F.col("count") <= REGION).select("key", F.lit(BASE).alias("depth"), F.lit(0).cast("long").alias("prefix"), "node", "n"), root_of, by, keep_)
+        crowded = keep_(_divided(rows.where(F.col("count") > REGION).select("key", "tail", "node", "n"), root_of, ["key"], keep_), "crowded")
+        deep = _divided(_leaves(crowded, keep_).drop("root"), root_of, by, keep_)
+        about = keep_(shallow.unionByName(deep), "members")
         x = about.select(*by, F.col("node").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
         y = about.select(*by, F.col("node").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
         found = x.join(y, by).where((F.col("x") < F.col("y")) & (F.col("rx") != F.col("ry")) & fits(F.col("nx"), F.col("ny")))
@@ -292,7 +309,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80, mark
         root_of = joined(root_of, _confirmed(found, sets, percent), keep_)
 
         # 3. crowded regions that still hold several components
-        crowd = keep_(_divided(region.where(F.col("count") > REGION).select("key", "node", "n"), root_of, ["key"]), "crowds")
+        crowd = keep_(_divided(crowded.select("key", "node", "n"), root_of, ["key"], keep_), "crowds")
         if not crowd.isEmpty():
             stars = _stars(crowd, region, sets, percent, keep_)
             root_of = joined(root_of, stars.where("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")), keep_)
