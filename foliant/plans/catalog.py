@@ -216,6 +216,19 @@ def token_depth(s, d):
     return markup.token_depth(_tokens(s, d), "page_id").groupBy("page_id", "name").agg(F.max("depth").alias("deepest"))
 
 
+OFFSETS_SQL = TAGS_SQL.replace("AS pos FROM pages)", "AS pos, html FROM pages)") + """, o AS (SELECT page_id, pos, token, length(token) AS n, length(string_split_regex(html, '<!--[\\s\\S]*?-->|<![^>]*>|</?[A-Za-z][A-Za-z0-9:._-]*\\b(?:"[^"]*"|''[^'']*''|[^''">])*>')[pos + 1]) AS gap FROM t),
+  f AS (SELECT page_id, pos, n, sum(gap + n) OVER (PARTITION BY page_id ORDER BY pos) - n AS place FROM o), e AS (SELECT g.*, n, place, sum(CASE WHEN closing THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY pos) + CASE WHEN closing THEN 1 ELSE 0 END AS level
+  FROM g JOIN f USING (page_id, pos) WHERE closing OR NOT self_closing)"""
+
+
+@query(OFFSETS_SQL + """ SELECT page_id, name, a.pos::BIGINT AS open, c.pos::BIGINT AS close, a.place::BIGINT AS open_offset, a.n::BIGINT AS open_length, c.place::BIGINT AS close_offset, c.n::BIGINT AS close_length
+  FROM e a LEFT JOIN LATERAL (SELECT pos, place, n FROM e x WHERE x.page_id = a.page_id AND x.name = a.name AND x.level = a.level AND x.pos > a.pos AND x.closing ORDER BY pos LIMIT 1) c ON true WHERE NOT a.closing""")
+def matching_closes(s, d):
+    """Each opening tag of all pages with its close, and where both stand."""
+    rows = markup.matching_closes(markup.token_offsets(table(s, d, "pages"), "page_id", "html"), "page_id")
+    return rows.withColumns({"open": F.col("open").cast("long"), "close": F.col("close").cast("long")})
+
+
 @query(TAGS_SQL + f" SELECT page_id, name, sum({STEP_SQL})::BIGINT AS open FROM g GROUP BY 1, 2 HAVING sum({STEP_SQL}) <> 0")
 def unbalanced_tags(s, d):
     return markup.unbalanced_tags(_tokens(s, d), "page_id")

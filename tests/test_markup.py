@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import gate, markup, rtf
 from foliant.functions import markup_tree as t
+from foliant.functions.markup_tree import parse
 
 ITEM = '<div style="margin-left: 32px; text-indent: -17px;">{}&#160;{}</div>'
 STRIKE = '<span style="text-decoration: line-through;">{}</span>'
@@ -96,9 +97,34 @@ def test_gate(spark):
 
 
 def test_rtf():
-    out = rtf.to_rtf('<p>Dr Müller — 37°C, 5 µg {x}</p><ul><li>a</li></ul><a name="q"></a>')
+    out = rtf.to_rtf('<p>Übermorgen, {y}: 7½ £ — na gut.</p><ul><li>a</li></ul><a name="q"></a>')
     assert out.startswith("{\\rtf") and out.isascii()
-    assert "\\u252?" in out and "\\u176?" in out and "\\u181?" in out and "\\{x\\}" in out and "\\u8226?" in out
+    assert "\\u220?" in out and "\\u189?" in out and "\\u163?" in out and "\\{y\\}" in out and "\\u8226?" in out
     assert "HYPERLINK" not in out
     assert "\\strike " in rtf.to_rtf(STRIKE.format("x"))
     assert "\\u-10179?\\u-8704?" in rtf.to_rtf("😀")
+
+
+ODD_MARKUP = [
+    "<p>a<p>b</p>c</p></p><p>", "</b><b><i></b></i><b/><b>x</b>", "<!-- <p> --><p title='a>b'>\U0001f600<br/></p><![CDATA[<p>]]></p>", "no tags < at > all", "", "<a><b><a></a></b></a><a>", None, "<P></p\n><x:y></x:y><?pi <p> ?><p/></p>",
+]
+
+
+def test_closes_and_offsets_equal_the_parser(spark):
+    """Matching by running depths against the parser's stack, on odd markup and on documents for each pass."""
+    from foliant.plans import catalog
+
+    shaped = [r.text for r in catalog.faulty_documents(spark, "/root/testdata/sf0.001").collect()]
+    texts = ODD_MARKUP + shaped
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(5)
+    got: dict = {}
+    for r in markup.matching_closes(markup.token_offsets(df, "i"), "i").collect():
+        got.setdefault(r.i, {})[r.open] = (r.name, r.close, r.open_offset, r.open_length, r.close_offset, r.close_length)
+    for i, text in enumerate(texts):
+        tags = parse(text or "")
+        want = {}
+        for k, tag in enumerate(tags):
+            if tag.opens:
+                m = tags[tag.match] if tag.match >= 0 else None
+                want[k] = (tag.name, tag.match if m else None, tag.start, tag.end - tag.start, m and m.start, m and m.end - m.start)
+        assert got.get(i, {}) == want, text
