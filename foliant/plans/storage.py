@@ -344,6 +344,55 @@ def live_progress(s, d):
     return ingest.published(s, f"{path}/out")
 
 
+@query(ARRIVED_SQL.replace("SELECT lang", "SELECT CASE WHEN doc_id % 2 = 0 THEN 'completed' ELSE 'late' END AS event, lang") + " GROUP BY 1, 2")
+def folder_completion(s, d):
+    """Folders that stay quiet become complete while the stream runs; what arrives later is late, in the same run and after a restart."""
+    root, out = new_path(s, "arrivals"), new_path(s, "events")
+    halves = {r["k"]: r["n"] for r in table(s, d, "documents").groupBy((F.col("doc_id") % 4).alias("k")).agg(F.count("*").alias("n")).collect()}
+    parts = table(s, d, "documents").withColumn("k", F.col("doc_id") % 4)
+
+    def arrive(*k):
+        rows = parts.where(F.col("k").isin(*k))
+        text = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"))
+        files.write_files(rows.select(F.concat_ws("/", "lang", F.concat(F.lit("n"), F.col("doc_id").cast("string"))).alias("rel"), F.encode(text, "UTF-8").alias("content")), root)
+
+    start = lambda: ingest.write_events(ingest.folder_events(ingest.ingest_incremental(s, root, 1_000_000), 4_000), out, f"{out}-state")
+    arrive(0, 2)
+    run = start()
+    ingest.wait_for(s, run, out, "completed", halves.get(0, 0) + halves.get(2, 0))
+    arrive(1)
+    ingest.wait_for(s, run, out, "late", halves.get(1, 0))
+    run.stop()
+    run = start()
+    arrive(3)
+    ingest.wait_for(s, run, out, "late", halves.get(1, 0) + halves.get(3, 0))
+    run.stop()
+    return s.read.parquet(out).groupBy("event", "date_folder").agg(F.sum("documents").alias("documents"), F.sum("bytes").alias("bytes"))
+
+
+@query("""WITH r AS (SELECT lang AS date_folder, doc_id % 5 AS k, epoch_us(TIMESTAMP '2026-08-01') + doc_id * 1000000 AS a FROM documents), g AS (SELECT CASE WHEN grouping(date_folder) = 1 THEN 'TOTAL' ELSE date_folder END AS date_folder, count(*) + 100 * count(DISTINCT date_folder) AS found,
+  count(*) FILTER (k > 1) AS ok, count(*) FILTER (k = 0) AS bad, count(*) FILTER (k = 1) AS gone, (max(a) + 2000000 - min(a)) / 1000000.0::DOUBLE AS sec FROM r GROUP BY ROLLUP (date_folder))
+  SELECT date_folder, found, ok + bad AS processed, ok AS succeeded, bad AS failed, gone AS abandoned, round((ok + bad) / sec, 9) AS files_per_s, found - ok - bad AS remaining, round((found - ok - bad) / ((ok + bad) / sec), 6) AS eta_s FROM g""")
+def live_rates(s, d):
+    """Rate, remaining documents and ETA of folders and of the run, as they stand at the end of a stream over outcomes whose totals grow."""
+    path = new_path(s, "outcomes")
+    k, start = F.col("doc_id") % 5, F.timestamp_micros(F.unix_micros(F.lit("2026-08-01 00:00:00").cast("timestamp")) + F.col("doc_id") * 1_000_000)
+    outcome = F.when(k == 0, "Failed:Permanent").when(k == 1, "Fatal").otherwise("Succeeded")
+    rows = table(s, d, "documents").select(F.col("lang").alias("date_folder"), outcome.alias("outcome"), F.col("n_chars").alias("length"), start.alias("start_utc"))
+    rows = rows.withColumn("end_utc", F.timestamp_micros(F.unix_micros("start_utc") + 2_000_000))
+    rows.repartition(3).write.parquet(f"{path}/in")
+    stream = s.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    found = iter((10, 50, *[100] * 1000))  # documents that are found beyond those that are converted, at the end of each batch
+
+    def totals():
+        more = next(found)
+        return rows.groupBy("date_folder").agg((F.count("*") + more).alias("found"))
+
+    ingest.publish(ingest.live_progress(stream), f"{path}/out", f"{path}/state", totals).awaitTermination()
+    got = ingest.published_rates(s, f"{path}/out")
+    return got.withColumns({"files_per_s": F.round("files_per_s", 9), "eta_s": F.round("eta_s", 6)})
+
+
 @query("SELECT lang AS date_folder, count(*) AS documents FROM documents GROUP BY 1")
 def archive_source(s, d):
     """Files of finished batches move to an archive; with what is left in the folder they are all (S3)."""

@@ -7,11 +7,15 @@ so a run that must report them lists the folder once more at its end.
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from ..shared import exists
 
 
 def ingest_incremental(spark: SparkSession, path: str, files_per_batch: int = 1000, archive: str | None = None) -> DataFrame:
@@ -41,27 +45,134 @@ def resume(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], out:
 
 
 def live_progress(stream: DataFrame) -> DataFrame:
-    """Documents and bytes by folder and outcome so far, for update mode."""
-    return stream.groupBy("date_folder", "outcome").agg(F.count("*").alias("documents"), F.sum("length").alias("bytes"))
+    """Documents and bytes by folder and outcome so far, for update mode; with first_start and last_end where the stream has start_utc and end_utc."""
+    times = [F.min("start_utc").alias("first_start"), F.max("end_utc").alias("last_end")] if {"start_utc", "end_utc"} <= set(stream.columns) else []
+    return stream.groupBy("date_folder", "outcome").agg(F.count("*").alias("documents"), F.sum("length").alias("bytes"), *times)
+
 
+def publish(progress: DataFrame, out: str, checkpoint: str, totals: Callable[[], DataFrame] | None = None) -> StreamingQuery:
+    """Write the rows that change in each batch of ``live_progress``, keyed by batch; ``published`` has the last of each.
 
-def publish(progress: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Write the rows that change in each batch of ``live_progress``, keyed by batch; ``published`` has the last of each."""
+    ``totals`` gives (date_folder, found), the documents found so far; it is asked at the end of each batch, so totals may grow.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if totals:
+            totals().select("date_folder", F.col("found").cast("long").alias("found")).write.mode("overwrite").parquet(f"{out}-totals/batch={batch_id}")
 
     return progress.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def published(spark: SparkSession, out: str) -> DataFrame:
-    """The progress as of the last batch."""
+def published(spark: SparkSession, out: str, batch: int | None = None) -> DataFrame:
+    """The progress as of the end of a batch, the last by default."""
     rows = spark.read.parquet(out)
-    last = rows.groupBy("date_folder", "outcome").agg(F.max_by(F.struct("documents", "bytes"), "batch").alias("last"))
+    rows = rows if batch is None else rows.where(F.col("batch") <= batch)
+    held = [c for c in rows.columns if c not in ("date_folder", "outcome", "batch")]
+    last = rows.groupBy("date_folder", "outcome").agg(F.max_by(F.struct(*held), "batch").alias("last"))
     return last.select("date_folder", "outcome", "last.*")
 
 
+def published_rates(spark: SparkSession, out: str, batch: int | None = None) -> DataFrame:
+    """(date_folder, found, processed, succeeded, failed, abandoned, files_per_s, remaining, eta_s) as of the end of a batch, the last by default; TOTAL is the whole run.
+
+    Rates are of documents that succeeded or failed, from the first start to the last end. Folders of which nothing is processed have a rate of 0 and no ETA; where nothing remains, it is 0.
+    """
+    rows = published(spark, out, batch)
+    totals = spark.read.parquet(f"{out}-totals")
+    at = totals.agg(F.max("batch")).first()[0] if batch is None else batch
+    ok, bad = F.when(F.col("outcome") == "Succeeded", F.col("documents")), F.when(F.startswith("outcome", F.lit("Failed")), F.col("documents"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in (("succeeded", ok), ("failed", bad), ("all", F.col("documents")))]
+    by = rows.groupBy("date_folder").agg(*sums, F.min("first_start").alias("first_start"), F.max("last_end").alias("last_end"))
+    both = totals.where(F.col("batch") == at).select("date_folder", "found").join(by, "date_folder", "full").fillna(0, ["found", "succeeded", "failed", "all"])
+    both = both.unionByName(both.agg(F.lit("TOTAL").alias("date_folder"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("found", "succeeded", "failed", "all")], F.min("first_start").alias("first_start"), F.max("last_end").alias("last_end")))
+    done = F.col("succeeded") + F.col("failed")
+    seconds = (F.unix_micros("last_end") - F.unix_micros("first_start")) / 1e6
+    both = both.withColumns({"processed": done, "remaining": F.greatest(F.lit(0), F.col("found") - done), "files_per_s": F.coalesce(F.try_divide(done.cast("double"), seconds), F.lit(0.0))})
+    eta = F.when(F.col("remaining") == 0, 0.0).when(F.col("files_per_s") > 0, F.col("remaining") / F.col("files_per_s"))
+    return both.select("date_folder", "found", "processed", "succeeded", "failed", (F.col("all") - done).alias("abandoned"), "files_per_s", "remaining", eta.alias("eta_s"))
+
+
 def late_files(stream: DataFrame, completed: DataFrame) -> DataFrame:
     """Files that arrive in folders that are marked complete; a resumed run would not read them."""
     done = completed.select(F.lower("date_folder").alias("_done")).distinct()
     return stream.withColumn("_folder", F.lower("date_folder")).join(done, F.col("_folder") == F.col("_done"), "left_semi").drop("_folder")
+
+
+EVENTS = "date_folder string, event string, path string, documents long, bytes long, at_ms long"
+
+
+class FolderStates(StatefulProcessor):
+    """One state for each folder: what has arrived, and whether it is complete. A timer ends a folder that stays quiet."""
+
+    def __init__(self, quiet_ms: int):
+        self.quiet_ms = quiet_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("folder", "documents long, bytes long, due_ms long, complete boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        documents, size, due, complete = self.state.get() or (0, 0, 0, False)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        late = []
+        for part in rows:
+            documents, size = documents + len(part), size + int(part["length"].sum())
+            late += [(key[0], "late", path, 1, int(n), now) for path, n in zip(part["path"], part["length"], strict=True)] if complete else []
+        if not complete:
+            if due:
+                self.handle.deleteTimer(due)
+            due = now + self.quiet_ms
+            self.handle.registerTimer(due)
+        self.state.update((documents, size, due, complete))
+        yield pd.DataFrame(late, columns=EVENT_NAMES)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        documents, size, due, complete = self.state.get()
+        done = [] if complete else [(key[0], "completed", None, documents, size, timerValues.getCurrentProcessingTimeInMs())]
+        self.state.update((documents, size, due, True))
+        yield pd.DataFrame(done, columns=EVENT_NAMES)
+
+    def handleInitialState(self, key, initialState, timerValues):
+        self.state.update((0, 0, 0, True))
+
+    def close(self) -> None:
+        pass
+
+
+EVENT_NAMES = [c.split()[0] for c in EVENTS.split(", ")]
+
+
+def folder_events(stream: DataFrame, quiet_ms: int = 60_000, completed: DataFrame | None = None) -> DataFrame:
+    """A stream of (date_folder, event, path, documents, bytes, at_ms): ``completed`` once for each folder in which nothing arrives for ``quiet_ms``, with what it holds then, and ``late`` for
+    each file that arrives after that.
+
+    States are kept in the query's checkpoint, so a folder that was complete before a restart still is. ``completed`` (date_folder) are folders that are
+    complete from the start. State is a row for each folder; the files of a batch, which the source bounds, are all that a task holds.
+    """
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    rows = stream.select("date_folder", "path", "length").groupBy("date_folder")
+    first = None if completed is None else completed.select("date_folder").distinct().groupBy("date_folder")
+    return rows.transformWithStateInPandas(FolderStates(quiet_ms), EVENTS, "append", "processingTime", first)
+
+
+def write_events(events: DataFrame, out: str, checkpoint: str, every: str = "1 second") -> StreamingQuery:
+    """Write the events of each batch to its own folder, until the query is stopped."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return events.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+
+
+def wait_for(spark: SparkSession, query: StreamingQuery, out: str, event: str, documents: int, seconds: float = 120.0) -> bool:
+    """Waits until ``documents`` documents are in events of a kind; False where it takes too long or the query ends."""
+    end = time.time() + seconds
+    while time.time() < end and query.isActive:
+        if exists(spark, out):
+            rows = spark.read.schema(EVENTS).option("recursiveFileLookup", "true").parquet(out)
+            if (rows.where(F.col("event") == event).agg(F.sum("documents")).first()[0] or 0) >= documents:
+                return True
+        time.sleep(0.5)
+    return False
