@@ -102,3 +102,56 @@ def scaling_test(runs: DataFrame) -> DataFrame:
     order = W.orderBy("threads", "run")  # one row for each run
     first = F.first("service_ms").over(order)
     return runs.select("run", "threads", "service_ms", F.try_divide("service_ms", first).alias("vs_first"), F.try_divide(F.col("service_ms"), F.lag("service_ms").over(order)).alias("vs_before"))
+
+
+def scaling_verdict(runs: DataFrame, flat: float = 0.05, rising: float = 0.5, control: float = 0.15) -> DataFrame:
+    """(sweep, slope, control_ratio, verdict) of each sweep of runs (sweep, run, threads, service_ms, started).
+
+    The slope is the fitted growth of the service time for each further thread, as a share of that of the first run on the fewest threads; runs on more threads by one that
+    take as much longer as the threads are more have a slope of 1. ``control_ratio`` compares the last run on the fewest threads with the first, null where there is
+    only one. A sweep whose control differs by more than ``control`` is not reproducible, whatever its slope; otherwise it is flat up to ``flat``, rising from ``rising``, and unclear between. A
+    sweep of one number of threads, or without times, has no slope and is unclear. A sweep is a few runs, so its window is small.
+    """
+    order = W.partitionBy("sweep").orderBy("threads", "started", "run")
+    least = F.min("threads").over(W.partitionBy("sweep"))
+    rows = runs.where("threads is not null and service_ms is not null").withColumns({"_base": F.first("service_ms").over(order), "_same": F.col("threads") == least})
+    by = rows.groupBy("sweep").agg(
+        F.try_divide(F.regr_slope("service_ms", F.col("threads").cast("double")), F.first("_base")).alias("slope"),
+        F.when(F.count_if("_same") > 1, F.try_divide(F.max_by("service_ms", F.when(F.col("_same"), F.struct("started", "run"))), F.first("_base"))).alias("control_ratio"),
+    )
+    by = runs.select("sweep").distinct().join(by, "sweep", "left")
+    verdict = F.when(F.abs(F.col("control_ratio") - 1) > control, "not reproducible").when(F.col("slope") <= flat, "flat").when(F.col("slope") >= rising, "rising").otherwise("unclear")
+    return by.withColumn("verdict", verdict)
+
+
+def folder_digests(digests: DataFrame) -> DataFrame:
+    """(folder, files, digest) of each folder at any depth, from (rel_path, sha256) of the files below it; the root is the empty folder.
+
+    A digest is the exclusive or of the digests of its files' names and contents, in four parts, with their number: it needs no order, so a folder of any size is summed up in tasks.
+    """
+    parts = F.split("rel_path", "/")
+    above = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
+    rows = digests.select(F.explode(above).alias("folder"), "rel_path", "sha256")
+    mixed = F.sha2(F.concat(F.col("rel_path"), F.lit("\n"), F.coalesce("sha256", F.lit(""))).cast("binary"), 256)
+    lanes = [F.bit_xor(F.conv(F.substring("mixed", 1 + 15 * k, 15), 16, 10).cast("long")).alias(f"x{k}") for k in range(4)]
+    by = rows.withColumn("mixed", mixed).groupBy("folder").agg(F.count("*").alias("files"), *lanes)
+    return by.select("folder", "files", F.concat_ws("-", *[F.hex(f"x{k}") for k in range(4)]).alias("digest"))
+
+
+def tree_diff_folders(left: DataFrame, right: DataFrame, level: int = 1) -> DataFrame:
+    """``tree_diff`` of two trees (rel_path, sha256) that opens only folders that differ: those of ``level`` parts are compared by their digests first, and the rows of equal ones go no further."""
+    name = lambda df: df.withColumn("_folder", F.array_join(F.slice(F.split("rel_path", "/"), F.lit(1), F.least(F.lit(level), F.size(F.split("rel_path", "/")) - 1)), "/"))
+    summed = lambda df, tag: folder_digests(df.select(F.concat_ws("/", F.md5(F.col("_folder").cast("binary")), F.replace("rel_path", F.lit("/"), F.lit("\0"))).alias("rel_path"), "sha256")).where("folder <> ''").select(F.col("folder").alias("_key"), F.struct("files", "digest").alias(tag))
+    left, right = name(left), name(right)
+    both = summed(left, "_l").join(summed(right, "_r"), "_key", "full_outer").where(~F.col("_l").eqNullSafe(F.col("_r"))).select("_key")
+    opened = lambda df: df.withColumn("_key", F.md5(F.col("_folder").cast("binary"))).join(both, "_key", "left_semi").select("rel_path", "sha256")
+    return tree_diff(opened(left), opened(right))
+
+
+def manifest_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(rel_path, change, length, mtime) between two listings (rel_path, length, mtime): arrived, gone, or changed in size or time."""
+    a = before.select("rel_path", F.struct("length", "mtime").alias("_a"))
+    b = after.select("rel_path", F.struct("length", "mtime").alias("_b"))
+    both = a.join(b, "rel_path", "full_outer").where(~F.col("_a").eqNullSafe(F.col("_b")))
+    change = F.when(F.col("_a").isNull(), "arrived").when(F.col("_b").isNull(), "gone").otherwise("changed")
+    return both.select("rel_path", change.alias("change"), "_b.length", "_b.mtime")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import decode, markup, markup_tree, times
 from ..functions.paths import exclude_reserved, split_path
 from ..functions.rtf import HEAD
-from ..operators import batches, convert, outcomes
+from ..operators import batches, convert, outcomes, verify
 from ..shared import new_path
 from ..sources import files, reports
 from ..streaming import ingest
@@ -491,3 +491,63 @@ def refused_outputs(s, d):
     held = files.read_envelopes(files.list_files(s, out)).select(F.regexp_extract("rel", "N([0-9]+)", 1).cast("long").alias("page_id"), F.when(F.col("content") == F.lit(b"old"), "old").otherwise("new").alias("holds"))
     rows = done.select(F.regexp_extract("file_name", "N([0-9]+)", 1).cast("long").alias("page_id"), F.col("refused").alias("was_there"), "outcome", "attempts", "reason")
     return rows.join(held, "page_id")
+
+
+# --- trees of files compared, and listings over time -----------------------------------------------------------------
+
+
+def text_tree(s, d, name: str, rows: DataFrame) -> str:
+    """A tree of files from (rel, text); a null text is no file."""
+    root = new_path(s, name)
+    files.write_files(rows.where("text is not null").select("rel", F.encode("text", "UTF-8").alias("content")), root)
+    return root
+
+
+@query("""SELECT 'd' || doc_id % 8 || '/s/n' || doc_id AS rel_path, CASE WHEN doc_id % 8 <> 2 OR doc_id % 16 <> 10 THEN sha256('<' || coalesce(text, '')) END AS left_hash,
+  CASE WHEN doc_id % 8 = 5 AND doc_id % 3 = 0 THEN sha256('<' || coalesce(text, '') || '!') WHEN doc_id % 8 = 7 AND doc_id % 5 = 0 THEN NULL ELSE sha256('<' || coalesce(text, '')) END AS right_hash
+  FROM documents WHERE (doc_id % 8 = 2 AND doc_id % 16 = 10) OR (doc_id % 8 = 5 AND doc_id % 3 = 0) OR (doc_id % 8 = 7 AND doc_id % 5 = 0)""")
+def tree_file_diff(s, d):
+    """Two written trees: files that lack on either side or differ; equal folders are not opened (H2)."""
+    i = F.col("doc_id")
+    rows = table(s, d, "documents").select("doc_id", F.concat(F.lit("d"), (i % 8).cast("string"), F.lit("/s/n"), i.cast("string")).alias("rel"), F.concat(F.lit("<"), F.coalesce("text", F.lit(""))).alias("text"))
+    left = text_tree(s, d, "left", rows.withColumn("text", F.when((i % 8 == 2) & (i % 16 == 10), None).otherwise(F.col("text"))))
+    other = F.when((i % 8 == 5) & (i % 3 == 0), F.concat("text", F.lit("!"))).when((i % 8 == 7) & (i % 5 == 0), None).otherwise(F.col("text"))
+    right = text_tree(s, d, "right", rows.withColumn("text", other))
+    return verify.tree_diff_folders(files.tree_digests(s, left), files.tree_digests(s, right))
+
+
+@query("""WITH l AS (SELECT doc_id, lang, 2 AS n FROM documents), a AS (SELECT 1 AS run, lang AS date_folder, count(*) FILTER (doc_id % 3 <> 0) AS files, count(*) FILTER (doc_id % 3 <> 0) AS arrived, 0 AS gone, 0 AS changed FROM l GROUP BY ALL
+  UNION ALL SELECT 2, lang, count(*) FILTER (doc_id % 4 <> 1), count(*) FILTER (doc_id % 3 = 0 AND doc_id % 4 <> 1), count(*) FILTER (doc_id % 3 <> 0 AND doc_id % 4 = 1), 0 FROM l GROUP BY ALL
+  UNION ALL SELECT 3, lang, count(*) FILTER (doc_id % 4 <> 1), 0, 0, count(*) FILTER (doc_id % 4 = 2) FROM l GROUP BY ALL) SELECT run, date_folder, files, arrived, gone, changed FROM a""")
+def manifest_snapshots(s, d):
+    """Three scans of a changing tree: each run's listing, read from the log, and what arrived, went and changed (H7, A5)."""
+    i = F.col("doc_id")
+    rows = table(s, d, "documents").select("doc_id", F.concat_ws("/", "lang", i.cast("string")).alias("rel"), F.lit("x").alias("text"))
+    log = new_path(s, "manifests")
+    states = {1: F.when(i % 3 != 0, "x"), 2: F.when(i % 4 != 1, "x"), 3: F.when(i % 4 == 2, "xyz").when(i % 4 != 1, "x")}
+    for run, text in states.items():
+        listing = files.list_files(s, text_tree(s, d, f"scan{run}", rows.withColumn("text", text)))
+        files.save_manifest(listing.select(F.col("rel").alias("rel_path"), "length", F.lit("2026-08-01").cast("timestamp").alias("mtime")), log, run)
+    folder = F.substring_index("rel_path", "/", 1).alias("date_folder")
+    held = None
+    for run in states:
+        part = files.manifest_at(s, log, run).groupBy(folder).agg(F.count("*").alias("files")).withColumn("run", F.lit(run))
+        held = part if held is None else held.unionByName(part)
+    kinds = [F.count_if(F.col("change") == c).alias(c) for c in ("arrived", "gone", "changed")]
+    changes = files.manifest_changes_of(s, log).groupBy("run", folder).agg(*kinds)
+    return held.join(changes, ["run", "date_folder"], "left").fillna(0, ["arrived", "gone", "changed"]).select("run", "date_folder", "files", "arrived", "gone", "changed")
+
+
+@query("""WITH r AS (SELECT c_nationkey % 4 AS sweep, o_custkey % 7 AS k, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL), u AS (SELECT sweep, k AS run, CASE WHEN k = 6 THEN 1 ELSE k + 1 END AS threads, k AS started,
+  10 + CASE sweep WHEN 0 THEN 0 WHEN 1 THEN 10 * CASE WHEN k = 6 THEN 0 ELSE k END WHEN 2 THEN 2 * CASE WHEN k = 6 THEN 0 ELSE k END ELSE CASE WHEN k = 6 THEN 5 ELSE 0 END END + n * 0.0 AS service_ms FROM r),
+  b AS (SELECT sweep, max(service_ms) FILTER (run = 0) AS base, regr_slope(service_ms, threads) AS s, max(service_ms) FILTER (run = 6) AS c FROM u GROUP BY 1)
+  SELECT sweep, round(s / base, 9) AS slope, round(c / base, 9) AS control_ratio, CASE WHEN abs(c / base - 1) > 0.15 THEN 'not reproducible' WHEN s / base <= 0.05 THEN 'flat' WHEN s / base >= 0.5 THEN 'rising' ELSE 'unclear' END AS verdict FROM b""")
+def scaling_verdict(s, d):
+    """Sweeps of threads that are flat, rising, unclear, and not reproducible."""
+    both = table(s, d, "orders").join(table(s, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    rows = both.groupBy((F.col("c_nationkey") % 4).alias("sweep"), (F.col("o_custkey") % 7).alias("run")).agg(F.count("*").alias("n"))
+    k = F.col("run")
+    step = F.when(k == 6, 0).otherwise(k)
+    ms = F.when(F.col("sweep") == 0, 0).when(F.col("sweep") == 1, 10 * step).when(F.col("sweep") == 2, 2 * step).otherwise(F.when(k == 6, 5).otherwise(0))
+    rows = rows.select("sweep", "run", F.when(k == 6, 1).otherwise(k + 1).alias("threads"), k.alias("started"), (10 + ms + F.col("n") * 0.0).alias("service_ms"))
+    return verify.scaling_verdict(rows).withColumns({"slope": F.round("slope", 9), "control_ratio": F.round("control_ratio", 9)})

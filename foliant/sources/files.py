@@ -200,6 +200,29 @@ def read_envelopes(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("content", T.BinaryType())]))
 
 
+def tree_digests(spark: SparkSession, root: str, piece: int = 1 << 20) -> DataFrame:
+    """(rel_path, length, sha256) of all files below ``root``, read in pieces inside of tasks; null for one that is gone by now."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        at, base = _opened(root)
+        for b in batches:
+            out = []
+            for rel in b.column("rel").to_pylist():
+                digest = hashlib.sha256()
+                try:
+                    with at.open_input_stream(f"{base.rstrip('/')}/{rel}") as f:
+                        while data := f.read(piece):
+                            digest.update(data)
+                    out.append(digest.hexdigest())
+                except FileNotFoundError:
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([b.column("rel"), b.column("length"), pa.array(out, pa.string())], ["rel_path", "length", "sha256"])
+
+    return list_files(spark, root).select("rel", "length").mapInArrow(run, "rel_path string, length long, sha256 string")
+
+
 def write_files(df: DataFrame, root: str) -> int:
     """Write ``content`` of each row to the file ``rel`` below ``root``, each under another name first; null content makes a folder.
 
@@ -219,3 +242,26 @@ def write_files(df: DataFrame, root: str) -> int:
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
     return df.select("rel", F.col("content").cast("binary").alias("content")).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def save_manifest(listing: DataFrame, path: str, run: int) -> None:
+    """Append what changed since the last run to the log at ``path``; ``listing`` has rel_path, length and mtime. A run that is saved again replaces itself."""
+    from ..operators.verify import manifest_changes
+    from ..shared import exists
+
+    spark = listing.sparkSession
+    rows = listing.select("rel_path", "length", "mtime")
+    before = manifest_at(spark, path, run - 1) if exists(spark, path) else rows.where("false")
+    manifest_changes(before, rows).write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def manifest_changes_of(spark: SparkSession, path: str) -> DataFrame:
+    """(run, rel_path, change, length, mtime): the log of changes."""
+    return spark.read.schema("rel_path string, change string, length long, mtime timestamp, run int").parquet(path)
+
+
+def manifest_at(spark: SparkSession, path: str, run: int) -> DataFrame:
+    """The listing (rel_path, length, mtime) as it was at a run: the last change of each file up to it."""
+    rows = manifest_changes_of(spark, path).where(F.col("run") <= run)
+    last = rows.groupBy("rel_path").agg(F.max_by(F.struct("change", "length", "mtime"), "run").alias("last"))
+    return last.where("last.change <> 'gone'").select("rel_path", "last.length", "last.mtime")
