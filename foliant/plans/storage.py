@@ -169,6 +169,20 @@ def render_documents(s, d):
     return convert.convert(rows.select("doc_id", more.alias("text"))).select("doc_id", F.sha2("rtf", 256).alias("rtf_sha256"))
 
 
+TABLE_SQL = RTF_SQL[: RTF_SQL.rindex("SELECT doc_id, sha256")] + r"""SELECT doc_id, sha256('HEAD' || chr(10) || 'A\par' || chr(10) || '\trowd\trgaph108\cellx2250\cellx9000' || chr(10) || '\intbl {\b No}\cell' || chr(10) || '\intbl {\b Text}\cell' || chr(10) || '\row' || chr(10)
+  || '\trowd\trgaph108\cellx2250\cellx9000' || chr(10) || '\intbl ' || doc_id || '\cell' || chr(10) || '\intbl ' || r || '\cell' || chr(10) || '\row' || chr(10) || '\trowd\trgaph108\cellx9000' || chr(10) || '\intbl {\i a}\par' || chr(10) || 'b\cell' || chr(10) || '\row' || chr(10)
+  || '\pard' || chr(10) || 'B\par' || chr(10) || '}') AS rtf_sha256 FROM e"""
+
+
+@query(TABLE_SQL.replace("HEAD", HEAD))
+def render_tables(s, d):
+    """Tables with widths, a head and a span, byte for byte."""
+    n = F.col("doc_id").cast("string")
+    head = F.lit("<p>A</p><table><thead><tr><th width='25%'>No</th><th width='75%'>Text</th></tr></thead><tr><td>")
+    text = F.concat(head, n, F.lit("</td><td>"), "text", F.lit('</td></tr><tr><td colspan="2"><p><i>a</i></p><p>b</p></td></tr></table><p>B</p>'))
+    return convert.convert(_shaped(s, d, "{}").select("doc_id", text.alias("text"))).select("doc_id", F.sha2("rtf", 256).alias("rtf_sha256"))
+
+
 # --- reports of runs -------------------------------------------------------------------------------------------------
 
 

@@ -128,3 +128,19 @@ def test_closes_and_offsets_equal_the_parser(spark):
                 m = tags[tag.match] if tag.match >= 0 else None
                 want[k] = (tag.name, tag.match if m else None, tag.start, tag.end - tag.start, m and m.start, m and m.end - m.start)
         assert got.get(i, {}) == want, text
+
+
+def test_tables_as_rtf():
+    row = lambda *edges: "\\trowd\\trgaph108" + "".join(f"\\cellx{e}" for e in edges) + "\n"
+    body = lambda html: rtf.to_rtf(html)[len(rtf.HEAD) + 1 : -1]
+    assert body("<table><tr><td>a<td>b</table>") == "a\\tab b\\par\n"  # cells that aren't closed: no rows to be sure of
+    two = body("<table><tr><td>a</td><td><b>b</b></td></tr></table>x")
+    assert two == row(4500, 9000) + "\\intbl a\\cell\n\\intbl {\\b b}\\cell\n\\row\n\\pard\nx"
+    spans = body('<table><tr><td colspan="2">w</td><td>x</td></tr><tr><td>1</td><td>2</td><td></td></tr><tr></tr></table>')
+    assert spans.startswith(row(6000, 9000) + "\\intbl w\\cell") and row(3000, 6000, 9000) in spans and spans.count("\\row") == 2 and "\\intbl \\cell" in spans
+    assert "\\trowd" not in body("<table><tr><td>o<table><tr><td>i</td></tr></table></td></tr></table>").split("\\intbl i")[0].replace(row(9000), "", 1)
+    assert body("<table></table>") == "" and body("<table><tr><td colspan=9999999>x</td></tr></table>").count("\\cellx") == 1
+    styled = body('<table><tr><td style="color:#ff0000">r</td></tr></table>')
+    assert "\\intbl {\\cf1 r}\\cell" in styled
+    # elements that the table is in stay open behind it, those of a cell don't
+    assert body("<i>p<table><tr><td><u>c</td></tr></table>q</i>").endswith("\\intbl {\\ul c}\\cell\n\\row\n\\pard\nq}")
