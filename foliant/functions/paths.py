@@ -21,6 +21,11 @@ def matches_pattern(file_name: Column, pattern: str) -> Column:
     return F.coalesce(F.lower(file_name).rlike(glob_regex(pattern)), F.lit(False))
 
 
+def shortened(text: Column, width: int) -> Column:
+    """The text, or if it is longer than ``width`` characters, its first ones and ``~``."""
+    return F.when(F.char_length(text) <= width, text).when(text.isNotNull(), F.concat(F.substring(text, 1, width - 1), F.lit("~")))
+
+
 def file_name_of(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

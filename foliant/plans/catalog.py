@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import decode, gate, markup, markup_tree, rtf
-from ..functions.paths import classify_location, matches_pattern, split_path
+from ..functions.paths import classify_location, matches_pattern, split_path, shortened
 from ..operators import batches, convert, metrics, outcomes, verify
 from ..sources import corpus, reports
 from .registry import ORACLES, QUERIES, query, table
@@ -618,6 +618,12 @@ def folder_ownership(s, d):
     return verify.folder_ownership(o, o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'P'"))
 
 
+@query("""SELECT doc_id, CASE WHEN length(source || '/' || text) <= 24 THEN source || '/' || text ELSE left(source || '/' || text, 23) || '~' END AS shown FROM documents""")
+def shortened_names(s, d):
+    """Names that are too long for a column, cut with a tilde (§2.10)."""
+    return table(s, d, "documents").select("doc_id", shortened(F.concat("source", F.lit("/"), "text"), 24).alias("shown"))
+
+
 @query("""WITH d AS (SELECT strftime(o_orderdate, '%Y-%m') AS f, min('inst' || (o_custkey % 3)) AS i FROM orders GROUP BY 1)
   SELECT i AS instance, count(*) AS folders, string_agg(f, ', ' ORDER BY f) AS names FROM d GROUP BY 1""")
 def work_distribution(s, d):

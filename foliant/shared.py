@@ -24,8 +24,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The folder of this application's tables."""
+    return f"{shared_dir(spark)}/foliant/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/foliant/{name}-{uuid.uuid4().hex}"
+    return f"{own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that this application has kept. For the end of a run: results that are still lazy read them."""
+    delete(spark, own_dir(spark))
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -40,7 +50,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back, so that what is used several times is computed once."""
+    """Written to the shared folder and read back, so that what is used several times is computed once. It stays until ``clear``."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.times import ISO, hms
 from ..operators.batches import number_rows
 from ..operators.metrics import PHASES, cpu_disk_split, folder_breakdown, phase_breakdown, worker_breakdown
-from ..shared import exists
+from ..operators.outcomes import describe_reason
+from ..shared import exists, kept
 
 #: Column names of the reports, in their order.
 ERROR_COLUMNS = (
@@ -169,11 +170,12 @@ def last_checkpoints(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("run_id").agg(F.max_by(F.struct(*kept), F.struct("saved_at", "total_processed")).alias("last")).select("run_id", "last.*")
 
 
-def write_documents(converted: DataFrame, path: str, base64: bool = False, overwrite: bool = True) -> None:
-    """Rendered documents as a table by date folder and batch (``all`` without batch_id).
+def write_documents(converted: DataFrame, path: str, base64: bool = False, overwrite: bool = True, attempts: int = 3) -> DataFrame:
+    """Rendered documents as a table by date folder and batch (``all`` without batch_id); returns the documents that were refused.
 
     With ``overwrite`` the batches written replace what they held before, and all others stay; without, documents that are
-    there already are skipped. The writer's commit makes a batch appear as a whole.
+    there already are refused: each is a row (date_folder, batch_id, sub_folder, file_name, outcome, attempts, error_type, reason), a transient failure
+    after all attempts. The writer's commit makes a batch appear as a whole.
     """
     from ..functions.decode import base64_line
 
@@ -182,15 +184,22 @@ def write_documents(converted: DataFrame, path: str, base64: bool = False, overw
     name = F.concat(F.col("stem"), F.lit(".rtf"))
     batch = F.col("batch_id") if "batch_id" in converted.columns else F.lit("all")
     rows = converted.where("rtf is not null").select("date_folder", batch.alias("batch_id"), "sub_folder", name.alias("file_name"), rtf.alias("rtf"))
+    error = F.lit("IOException")
+    refused = [F.lit("Failed:Transient").alias("outcome"), F.lit(attempts).cast("long").alias("attempts"), error.alias("error_type"), describe_reason(error, F.lit("Transient")).alias("reason")]
+    keys = ("date_folder", "sub_folder", "file_name")
+    told = lambda df: df.select("date_folder", "batch_id", "sub_folder", "file_name", *refused)
     if overwrite:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_folder", "batch_id").parquet(path)
-        return
+        return told(rows.where("false"))
+    odd = rows.where("false")
     if exists(spark, path):
         key = lambda c: F.lower(F.concat_ws("/", *c))
-        keys = ("date_folder", "sub_folder", "file_name")
-        there = read_documents_table(spark, path).select(key(keys).alias("_there")).distinct()
+        there = kept(read_documents_table(spark, path).select(key(keys).alias("_there")).distinct(), "there")  # as it was before this write
+        odd = rows.join(there, key(keys) == F.col("_there"), "left_semi")
         rows = rows.join(there, key(keys) == F.col("_there"), "left_anti")
+    odd = kept(told(odd), "refused")
     rows.write.mode("append").partitionBy("date_folder", "batch_id").parquet(path)
+    return odd
 
 
 def read_documents_table(spark: SparkSession, path: str) -> DataFrame:

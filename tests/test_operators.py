@@ -306,7 +306,8 @@ def test_documents_of_two_writes_stay(spark, tmp_path):
     reports.write_documents(rows(("d1", "", "a", "1", "d1#0001")), path)
     reports.write_documents(rows(("d2", "p", "b", "1", "d2#0001"), ("d1", "", "c", "1", "d1#0002")), path)
     reports.write_documents(rows(("d1", "", "a", "2", "d1#0001")), path)
-    reports.write_documents(rows(("d1", "", "A", "3", "d1#0001"), ("d1", "", "e", "3", "d1#0001"), ("d3", "", "f", None, "d3#0001")), path, overwrite=False)
+    refused = reports.write_documents(rows(("d1", "", "A", "3", "d1#0001"), ("d1", "", "e", "3", "d1#0001"), ("d3", "", "f", None, "d3#0001")), path, overwrite=False)
+    assert [(r.file_name, r.outcome, r.attempts, r.reason) for r in refused.collect()] == [("A.rtf", "Failed:Transient", 3, "The file is locked or the volume is unavailable")]
     got = sorted((r.date_folder, r.sub_folder, r.file_name, r.rtf) for r in reports.read_documents_table(spark, path).collect())
     assert got == [("d1", "", "a.rtf", "2"), ("d1", "", "c.rtf", "1"), ("d1", "", "e.rtf", "3"), ("d2", "p", "b.rtf", "1")]
 
@@ -351,3 +352,13 @@ def test_stream_progress(spark, tmp_path):
 def test_capacity(spark, free):
     one = metrics.capacity_estimate(spark.createDataFrame([("a", 1, 1000)], "date_folder string, files long, bytes long"), free).first()
     assert one.needed_bytes == 1200 and one.short == (free == 0)
+
+
+def test_kept_tables_go_at_the_end(spark):
+    from foliant import shared
+
+    path = shared.new_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert shared.exists(spark, path)
+    shared.clear(spark)
+    assert not shared.exists(spark, path)
