@@ -14,7 +14,7 @@ def keep(df: DataFrame, name: str, compression: str = "zstd", path: str | None =
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage so that a lost executor costs no recomputation of what was kept. A result that is
-    still lazy reads such tables, so they stay until whoever runs the job deletes ``shared_dir/foliant``.
+    still lazy reads such tables, so they stay until whoever runs the job calls ``shared.clear``.
     """
     spark = df.sparkSession
     path = path or new_path(spark, name)
