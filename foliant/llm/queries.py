@@ -31,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op5_neardup": neardup.OP5_SQL,
     "op10_chat": chat.OP10_SQL,
     "op11_lemp": lemp.OP11_SQL,
+    "op12_repair": repair.OP12_SQL,
 }

@@ -319,3 +319,49 @@ def op12(spark: SparkSession, conversations: DataFrame) -> DataFrame:
         "conv_id", *[number(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
     )
+
+
+def _edits(state: int) -> str:
+    """SQL for the ways to treat a row in a state, as structs of cost, audit and lines; null where a way is not open."""
+    to = {1: (2, "user"), 0: (2, "user"), 2: (3, "assistant"), 3: (2, "user")}[state]
+    keep = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[state]
+    ways = [f"{{'c': s{state}.c + 4, 'a': 'D' || s{state}.a, 'r': s{state}.r}}"]
+    ways.append(f"CASE WHEN fault < 2 THEN {{'c': s{to[0]}.c + 3 + 3 * fault, 'a': 'R' || s{to[0]}.a, 'r': list_prepend('{to[1]}:' || text, s{to[0]}.r)}} END")
+    ways += [f"CASE WHEN fault < 2 AND letter = '{x}' THEN {{'c': s{t}.c + 3 * fault, 'a': 'K' || s{t}.a, 'r': list_prepend(role || ':' || text, s{t}.r)}} END" for x, t in keep.items()]
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))[1] AS b{state}"
+
+
+def _inserted(state: str, of: str, role: str) -> str:
+    return f"list_sort([{state}, {{'c': {of}.c + 3, 'a': 'I' || {of}.a, 'r': list_prepend('{role}:', {of}.r)}}])[1]"
+
+
+#: The dynamic program over whole strings, a row at a time from the end.
+OP12_SQL = rf"""
+WITH RECURSIVE m AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS m
+), o AS (
+  SELECT conv_id, turn, coalesce(conv_id::VARCHAR, '') AS conv, coalesce(role, ' ') AS role0, coalesce(text, ' ') AS text0, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place FROM conversations
+), k AS (
+  SELECT o.*, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(place, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, m[(xor(c, b) & 255) + 1]))) % 20 AS kind FROM o, m
+), d AS (
+  SELECT conv, turn, role0, md5(text0) AS tie, CASE WHEN kind = 4 THEN 'user' ELSE role0 END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text0, '[.!?]', '', 'g') ELSE text0 END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM k WHERE kind <> 0
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role0, tie, copy) AS pos, right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last FROM d
+), f AS (
+  SELECT *, left(role, 1) AS letter, CASE WHEN last = '' THEN 2 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 THEN 3 WHEN last NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault FROM p
+), w AS (
+  SELECT conv, max(pos) + 1 AS i, {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS s0, {{'c': 6::BIGINT, 'a': 'II', 'r': ['user:', 'assistant:']}} AS s1, {{'c': 3::BIGINT, 'a': 'I', 'r': ['assistant:']}} AS s2, {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS s3
+  FROM f GROUP BY conv
+  UNION ALL
+  SELECT conv, i, {_inserted("b0", "t2", "user")}, {_inserted("b1", "t2", "user")}, t2, t3 FROM (
+    SELECT *, {_inserted("b2", "b3", "assistant")} AS t2, {_inserted("b3", "b2", "user")} AS t3 FROM (
+      SELECT w.conv, pos AS i, {", ".join(_edits(q) for q in range(4))} FROM w JOIN f ON f.conv = w.conv AND f.pos = w.i - 1))
+), a AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 2) AS blank, count(*) FILTER (fault = 3) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+    count(*) FILTER (pos > 1 AND (before || letter) NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT *, lag(letter) OVER (PARTITION BY conv ORDER BY pos) AS before FROM f) GROUP BY conv
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(w.s0.c, 0)::BIGINT AS cost, coalesce(w.s0.a, '') AS audit, sha256(coalesce(array_to_string(w.s0.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM o) c LEFT JOIN a USING (conv) LEFT JOIN w ON w.conv = c.conv AND w.i = 1
+"""
