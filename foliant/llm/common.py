@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -63,6 +64,15 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Rec
             yield b.slice(i, rows)
 
 
+def release() -> None:
+    """Give memory that this process no longer uses back to the system; what follows on the driver needs it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 _kept: dict = {}
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small
+from .common import release, small
 
 #: Large, so that long texts don't fill the bins of others by chance.
 BITS = 21
@@ -137,7 +137,10 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, tra
 
     got = chosen.select("doc_id", "text", "toxic").mapInArrow(featured, "doc_id long, toxic int, bins binary").toArrow().sort_by("doc_id")
     rows = [(y, np.frombuffer(b.as_buffer(), np.int32)) for y, b in zip(got["toxic"].to_pylist(), got["bins"], strict=True)]  # views, not copies
-    return fit_rows(rows)
+    model = fit_rows(rows)
+    del rows, got
+    release()
+    return model
 
 
 def score(documents: DataFrame, model: Model, out: str = "score") -> DataFrame:
