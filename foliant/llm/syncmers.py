@@ -14,19 +14,27 @@ Sliding minima and k-mer hashes are made by doubling, so the cost of a word grow
 Cases: a text of fewer than ``k`` words, or without an anchor, has the hashes of its words
 for anchors; a text of white space only has the hash of the text; an empty or null text has no
 anchor. A single anchor is a step by itself. Two texts without anchors have likeness 1, with one of them 0. The next document is the next row by
-(doc_id, text), nulls first, so repeated ids are documents of their own; a single document is its own next. Further
+doc_id, nulls first, then by the first ``HEAD`` characters and the text's hash, so repeated ids are documents of their own; a single document is its own next. Further
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.batches import number_rows
 from .common import text_of
 
 K, S = 5, 2
+#: Ranges of ids: at most so many, from so many sampled ids for each. Ids of fewer rows than the last aren't divided.
+MOST_RANGES, SAMPLED, LEAST_HOT = 1 << 16, 20, 256
+#: Rows of one id go by so many first characters, then by the text's hash.
+HEAD = 200
 SIGNS = "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsHangul}\\p{IsThai}"
 WORD = f"[^\\s{SIGNS}]{{1,16}}|[{SIGNS}]"
 
@@ -91,46 +99,88 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _count_up_to(values: list[int], c: Column) -> Column:
-    """How many of the sorted ``values`` are at most c, by rows of about the square root of their number."""
+    """How many of the sorted ``values`` are at most c, by rows of about the square root of their number. The values are one literal, whatever their number."""
     if not values:
         return F.lit(0)
     rows = max(1, round(len(values) ** 0.5))
     table = [values[i : i + rows] for i in range(0, len(values), rows)]
-    arr = lambda v: F.array(*[F.lit(x).cast("long") for x in v])
-    at = F.size(F.filter(arr([t[0] for t in table]), lambda x: x <= c))
-    inside = F.size(F.filter(F.element_at(F.array(*[arr(t) for t in table]), F.greatest(at, F.lit(1))), lambda x: x <= c))
+    literal = lambda v, kind: F.from_json(F.lit(json.dumps(v)), kind)
+    at = F.size(F.filter(literal([t[0] for t in table], "array<long>"), lambda x: x <= c))
+    inside = F.size(F.filter(F.element_at(literal(table, "array<array<long>>"), F.greatest(at, F.lit(1))), lambda x: x <= c))
     return F.when(at == 0, F.lit(0)).otherwise((at - 1) * rows + inside)
 
 
+def _ranges(ids: DataFrame, parts: int) -> tuple[list[int], list[int], int]:
+    """Bounds that divide the keys of ``ids`` about evenly, the keys that fill more than a task's share, and the rows of a range.
+
+    There are many ranges for a task, so that tasks come out alike, and at most ``MOST_RANGES``. The bounds are of a sample, since they decide only where a
+    document is compared, never with what; keys are counted over all rows.
+    """
+    total, n = ids.count(), min(parts * 24, MOST_RANGES)
+    if not total:
+        return [], [], 1
+    some = ids.sample(min(1.0, SAMPLED * n / total), 7)
+    found = some.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 10 * n)).first()[0] or []
+    often = [k for k, times in Counter(found).items() if times >= max(2, n // parts // 2)]  # at most two a partition
+    hot = []
+    if often:
+        counted = ids.join(F.broadcast(_keys(ids.sparkSession, often)), "key", "left_semi").groupBy("key").count()
+        hot = [r["key"] for r in counted.where((F.col("count") >= LEAST_HOT) & (F.col("count") * parts > total)).collect()]
+    return sorted(set(found)), hot, -(-total // n)
+
+
+def _keys(spark: SparkSession, keys: list[int]) -> DataFrame:
+    return spark.createDataFrame([(k,) for k in keys], "key long")
+
+
+def _tie() -> tuple[Column, Column]:
+    """The order of rows of one id: short values, since bounds of ranges of them come to the driver."""
+    return F.left("text", F.lit(HEAD)), F.xxhash64("text")
+
+
+def _placed(rows: DataFrame, first: Column, before: Column) -> DataFrame:
+    """Each row in its range ``b``; those that are ``first`` in the range ``before`` it too, as ghosts."""
+    at = lambda x, ghost: F.struct(x.alias("b"), F.lit(ghost).alias("ghost"))
+    places = F.array_compact(F.array(at(F.col("b"), False), F.when(first, at(before, True))))
+    return rows.withColumn("_p", F.explode(places)).select("doc_id", "text", "key", "nth", "shown", "of", F.col("_p.b").alias("b"), F.col("_p.ghost").alias("ghost"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, anchors, steps, next_text, next_steps): each document beside the next by doc_id.
+    """(doc_id, text, anchors, steps, next_text, next_steps): each document beside the next by doc_id, then ``_tie``.
 
     Documents are shuffled once, into ranges of doc_id; the first of each range goes to the range
-    before it too, so that no range needs to look into another.
+    before it too, so that no range needs to look into another. What begins a range is a row for each in a table of at most ``MOST_RANGES`` rows.
+    The rows of an id that fills more than a task's share are numbered by text in sorted runs and go by blocks of these numbers; among the ranges their
+    first one stands for them, and their last one finds what comes after them.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce("doc_id", F.lit(-(2**63)))
-    ids = docs.select(key.alias("key"))
-    n = parts * 24  # many ranges for a task, so that tasks come out alike
-    bounds = ids.agg(F.percentile_approx("key", [i / n for i in range(1, n)], max(10_000, 10 * n))).first()[0]
-    bounds = sorted(set(bounds or []))
-    b = _count_up_to(bounds, F.col("key"))
-    firsts = {r["b"]: r["first"] for r in ids.groupBy(b.alias("b")).agg(F.min("key").alias("first")).collect()}  # a row for each range
-    there = sorted(firsts)
-    before = {x: there[i - 1] for i, x in enumerate(there)}
-    longs = lambda v: F.array(*[F.lit(x).cast("long") for x in v])
-    all_b = range(len(bounds) + 1)
-    rows = docs.select("doc_id", text_of("text").alias("text"), key.alias("key")).withColumn("b", b.cast("long"))
-    is_first = F.element_at(longs([firsts.get(x) for x in all_b]), (F.col("b") + 1).cast("int")) == F.col("key")
-    other = F.element_at(longs([before.get(x) for x in all_b]), (F.col("b") + 1).cast("int"))
-    at = lambda x, ghost: F.struct(x.alias("b"), F.lit(ghost).alias("ghost"))
-    places = F.array_compact(F.array(at(F.col("b"), False), F.when(is_first, at(other, True))))
-    rows = rows.select("doc_id", "text", "key", F.explode(places).alias("p")).select("doc_id", "text", "key", F.col("p.b").alias("b"), F.col("p.ghost").alias("ghost"))
-    rows = with_steps(with_anchors(rows.repartition(parts, "b"), "text", "anchors"), "anchors", "steps").drop("anchors_at")
-    order = W.partitionBy("b").orderBy("ghost", "key", "text")
+    rows = docs.select("doc_id", text_of("text").alias("text"), F.coalesce("doc_id", F.lit(-(2**63))).alias("key"))
+    ids = rows.select("key")
+    bounds, hot, size = _ranges(ids, parts)
+    b = _count_up_to(bounds, F.col("key")).cast("long")
+    firsts = ids.groupBy(b.alias("b")).agg(F.min("key").alias("first"))
+    firsts = firsts.withColumn("before", F.coalesce(F.lag("b").over(W.orderBy("b")), F.max("b").over(W.partitionBy(F.lit(0)))))
+    none = F.lit(None).cast("long")
+    apart = rows.join(F.broadcast(_keys(spark, hot)), "key", "left_anti") if hot else rows
+    apart = apart.select("doc_id", "text", "key", F.lit(0).cast("long").alias("nth"), F.lit(True).alias("shown"))
+    if hot:
+        same = rows.join(F.broadcast(_keys(spark, hot)), "key", "left_semi").withColumns(dict(zip(("head", "hash"), _tie(), strict=True)))
+        same = same.withColumn("salt", F.rand(7))  # rows that repeat are divided too
+        same = number_rows(same, ["head", "hash", "salt"], within="key", out="nth").select("doc_id", "text", "key", "nth")
+        same = same.join(F.broadcast(same.groupBy("key").agg(F.max("nth").alias("last"))), "key")
+        ends = same.where("nth = 1 or nth = last").select("doc_id", "text", "key", F.when(F.col("nth") == 1, 0).otherwise(1).cast("long").alias("nth"), (F.col("nth") == F.col("last")).alias("shown"))
+        apart = apart.unionByName(ends)
+    placed = apart.withColumns({"of": none, "b": b}).join(F.broadcast(firsts), "b")
+    placed = _placed(placed, F.col("first") == F.col("key"), F.col("before"))
+    if hot:
+        block, begins = F.floor((F.col("nth") - 1) / size), ((F.col("nth") - 1) % size == 0) & (F.col("nth") > 1)
+        inner = same.withColumns({"of": F.col("key"), "b": block, "shown": F.col("nth") < F.col("last")})
+        placed = placed.unionByName(_placed(inner, begins, block - 1))
+    placed = with_steps(with_anchors(placed.repartition(parts, "of", "b"), "text", "anchors"), "anchors", "steps").drop("anchors_at")
+    order = W.partitionBy("of", "b").orderBy("ghost", "key", *_tie(), "text", "nth")
     both = F.lead(F.struct("text", "steps")).over(order)
-    return rows.withColumn("next", both).where(~F.col("ghost")).select("doc_id", "text", "anchors", "steps", F.col("next.text").alias("next_text"), F.col("next.steps").alias("next_steps"))
+    return placed.withColumn("next", both).where("shown and not ghost").select("doc_id", "text", "anchors", "steps", F.col("next.text").alias("next_text"), F.col("next.steps").alias("next_steps"))
 
 
 def op2(spark: SparkSession, documents: DataFrame) -> DataFrame:

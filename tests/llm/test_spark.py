@@ -148,6 +148,55 @@ def test_op2_edits_and_neighbours(spark):
     assert one.near_next == 1.0
 
 
+def digest_rows(df):
+    return sorted((str(r.doc_id), r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in df.collect())
+
+
+@pytest.mark.parametrize("hot", [500, None, 0])
+def test_op2_of_an_id_that_repeats(spark, hot):
+    """One id, or none, in a third of the rows, some of them alike, among, before or after the others."""
+    docs = [(i, f"{i} apart {i % 7} from the {i % 5} others as it is") for i in range(1, 1001)]
+    docs += [(hot, f"{i * 37 % 450:03d} of the same id {i % 3} in a third of the rows") for i in range(450)] + [(hot, "same text in many rows")] * 90
+    random.Random(3).shuffle(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert digest_rows(syncmers.op2(spark, df)) == fingerprints(docs)
+    ids = df.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("key"))
+    bounds, many, size = syncmers._ranges(ids, 4)
+    assert many == [-(2**63) if hot is None else hot] and len(bounds) > 40 and size == 17
+
+
+def test_op2_of_one_id_only(spark):
+    docs = [(4, f"{i:03d} words of one id and no other") for i in range(300)]
+    assert digest_rows(syncmers.op2(spark, spark.createDataFrame(docs, "doc_id long, text string"))) == fingerprints(docs)
+    same = [(None, "one text")] * 300
+    assert digest_rows(syncmers.op2(spark, spark.createDataFrame(same, "doc_id long, text string"))) == fingerprints(same)
+
+
+def test_op2_gives_no_task_more_than_its_share(spark):
+    """Most rows that share a range or a block, where one id has half of all rows."""
+    docs = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, 77).otherwise(F.col("id")).alias("doc_id"), F.concat(F.sha1(F.col("id").cast("string")), F.lit(" a b")).alias("text"))
+    seen = []
+    whole = syncmers.with_anchors
+    try:
+        syncmers.with_anchors = lambda df, *a: seen.append(df) or whole(df, *a)
+        syncmers.with_next(docs)
+    finally:
+        syncmers.with_anchors = whole
+    sizes = seen[0].groupBy("of", "b").count().agg(F.max("count"), F.sum("count"), F.count("*")).first()
+    assert sizes[0] < 40_000 / 96 * 3 and sizes[1] < 40_000 + 3 * sizes[2] and sizes[2] > 80
+
+
+def test_op2_plan_does_not_grow_with_partitions(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    plan = lambda: len(syncmers.with_next(docs)._jdf.queryExecution().analyzed().toString().replace("\n", " ").split("from_json"))
+    few = plan()
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert plan() == few
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_matching_goes_by_place(spark):
     rnd = random.Random(1)
     words = [f"w{i}" for i in range(400)]
