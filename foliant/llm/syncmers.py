@@ -177,8 +177,9 @@ def with_next(docs: DataFrame) -> DataFrame:
         block, begins = F.floor((F.col("nth") - 1) / size), ((F.col("nth") - 1) % size == 0) & (F.col("nth") > 1)
         inner = same.withColumns({"of": F.col("key"), "b": block, "shown": F.col("nth") < F.col("last")})
         placed = placed.unionByName(_placed(inner, begins, block - 1))
-    placed = with_steps(with_anchors(placed.repartition(parts, "of", "b"), "text", "anchors"), "anchors", "steps").drop("anchors_at")
-    order = W.partitionBy("of", "b").orderBy("ghost", "key", *_tie(), "text", "nth")
+    place = ["of", "b"] if hot else ["b"]  # a column that is null everywhere would cost a second shuffle
+    placed = with_steps(with_anchors(placed.repartition(parts, *place), "text", "anchors"), "anchors", "steps").drop("anchors_at")
+    order = W.partitionBy(*place).orderBy("ghost", "key", *_tie(), "text", "nth")
     both = F.lead(F.struct("text", "steps")).over(order)
     return placed.withColumn("next", both).where("shown and not ghost").select("doc_id", "text", "anchors", "steps", F.col("next.text").alias("next_text"), F.col("next.steps").alias("next_steps"))
 

@@ -186,6 +186,14 @@ def test_op2_gives_no_task_more_than_its_share(spark):
     assert sizes[0] < 40_000 / 96 * 3 and sizes[1] < 40_000 + 3 * sizes[2] and sizes[2] > 80
 
 
+def test_op2_shuffles_texts_once(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    plan = syncmers.op2(spark, docs)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(b#\d+L, 4\), REPARTITION", plan)) == 1
+    window = plan.index("Window [lead(")  # from here down to the sort, no other shuffle of what the window reads
+    assert "Exchange" not in plan[window : plan.index("Exchange hashpartitioning(b#")]
+
+
 def test_op2_plan_does_not_grow_with_partitions(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
     plan = lambda: len(syncmers.with_next(docs)._jdf.queryExecution().analyzed().toString().replace("\n", " ").split("from_json"))
