@@ -6,16 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .batches import number_rows
+
 
 def failures_by_reason(failures: DataFrame) -> DataFrame:
     return failures.groupBy("reason").agg(F.count("*").alias("failures")).orderBy(F.desc("failures"), "reason")
 
 
 def work_distribution(done: DataFrame) -> DataFrame:
-    """(instance, folders, names): what each instance completed."""
+    """(instance, folders, names): what each instance completed, its folders in one text for the report; ``folders_of_instances`` has them as rows."""
     return done.groupBy("instance").agg(F.count("*").alias("folders"), F.array_join(F.sort_array(F.collect_list("date_folder")), ", ").alias("names"))
 
 
+def folders_of_instances(done: DataFrame) -> DataFrame:
+    """(instance, nth, date_folder, first_taken): the folders that each instance completed, numbered in order, and whether no earlier instance had the same.
+
+    A row for each (instance, date_folder), however often it was reported; null instances and folders go like others. Numbers are
+    prefix sums, so an instance may have completed any number of folders.
+    """
+    rows = done.groupBy("instance", "date_folder").agg(F.lit(1).alias("_one")).drop("_one")
+    numbered = number_rows(rows, ["date_folder"], within="instance", out="nth")
+    owner = rows.groupBy("date_folder").agg(F.min("instance").alias("_owner"))
+    both = numbered.join(owner.withColumnRenamed("date_folder", "_of"), F.col("date_folder").eqNullSafe(F.col("_of")))
+    return both.select("instance", "nth", "date_folder", F.coalesce(F.col("instance") == F.col("_owner"), F.col("_owner").isNull()).alias("first_taken"))
+
+
 def duplicate_documents(trace: DataFrame, most: int = 10) -> DataFrame:
     """The first documents (by key) that were traced more than once."""
     keys = ["date_folder", "sub_folder", "file_name"]

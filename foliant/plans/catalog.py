@@ -631,6 +631,14 @@ def work_distribution(s, d):
     return verify.work_distribution(o.groupBy("date_folder").agg(F.min("instance").alias("instance")))
 
 
+@query("""WITH d AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS f, 'inst' || (o_custkey % 3) AS i FROM orders)
+  SELECT i AS instance, row_number() OVER (PARTITION BY i ORDER BY f) AS nth, f AS date_folder, i = min(i) OVER (PARTITION BY f) AS first_taken FROM d""")
+def folders_of_instances(s, d):
+    """Customers as instances, order dates as folders that several of them report (G10, as rows)."""
+    o = table(s, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_folder"), F.concat(F.lit("inst"), (F.col("o_custkey") % 3).cast("string")).alias("instance"))
+    return verify.folders_of_instances(o)
+
+
 @query("""WITH d AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS f, min('inst' || (o_custkey % 3)) AS i FROM orders GROUP BY 1), t AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS f, 'inst' || (o_custkey % 3) AS i FROM orders)
   SELECT d.f AS date_folder, d.i AS owner, t.i AS instance FROM d JOIN t USING (f) WHERE d.i <> t.i""")
 def ownership_agreement(s, d):

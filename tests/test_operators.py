@@ -362,3 +362,10 @@ def test_kept_tables_go_at_the_end(spark):
     assert shared.exists(spark, path)
     shared.clear(spark)
     assert not shared.exists(spark, path)
+
+
+def test_folders_of_instances(spark):
+    rows = [("a", "f2"), ("a", "f1"), ("a", "f1"), ("b", "f1"), (None, "f3"), ("b", None), ("a", "f10")]
+    got = {(r.instance, r.date_folder): (r.nth, r.first_taken) for r in verify.folders_of_instances(spark.createDataFrame([(*r, 1) for r in rows], "instance string, date_folder string, nth int")).collect()}
+    assert got == {("a", "f1"): (1, True), ("a", "f10"): (2, True), ("a", "f2"): (3, True), ("b", None): (1, True), ("b", "f1"): (2, False), (None, "f3"): (1, True)}
+    assert verify.folders_of_instances(spark.createDataFrame([], "instance string, date_folder string")).count() == 0
