@@ -253,6 +253,8 @@ def test_summary_is_read_back(spark, tmp_path):
     m = verify.thread_sweep_matrix(reports.read_summary_header(lines), ["Threads", "Status"])
     assert {r.report: r.Threads for r in m.collect()} == {"run_1.csv": "6", "run_2.csv": ""}
     assert reports.summary_sections(trace.where("false")).where("section <> '3'").count() == 0
+    few = dict(reports.summary_header(trace, {"Threads": 6}, found=4))  # fewer than are processed
+    assert (few["Total Files Found"], few["Total Files Processed"]) == ("4", "6")
 
 
 def test_claims_and_checkpoint(spark, tmp_path):
