@@ -60,6 +60,18 @@ def test_files_of_folders_that_are_complete_from_the_start(spark, tmp_path):
     assert not ingest.wait_for(spark, run, out, "completed", 1)  # it has ended
 
 
+def test_batches_stay_few_however_many_files_wait(spark, tmp_path):
+    root, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    (root / "d").mkdir(parents=True)
+    for i in range(90):
+        (root / "d" / f"n{i}").write_text("x")
+    stream = ingest.ingest_incremental(spark, str(root), 1)
+    ingest.resume(stream, lambda b: b.select("date_folder", "path", "length"), out, state).awaitTermination()
+    rows = spark.read.parquet(out)
+    assert rows.select("path").distinct().count() == rows.count() == 90
+    assert 1 < rows.select("batch").distinct().count() <= ingest.MOST_BATCHES
+
+
 def test_equal_folders_are_not_compared_further(spark, tmp_path):
     rnd = random.Random(7)
     left = {f"d{i % 6}/{'s/' if i % 4 else ''}n{i}": f"h{i}" for i in range(60)} | {"top": "t"}
