@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import codecs
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,22 +102,18 @@ def known_charset(name: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf(T.StringType())
-def decode_rare(payload: pd.Series, charset: pd.Series) -> pd.Series:
+@F.udf(T.StringType(), useArrow=False)  # a hundred rows at a time, see rtf.render
+def decode_rare(data: bytearray | None, name: str | None) -> str | None:
     """Text in a code page that the JVM expression doesn't offer; null where the name is unknown."""
-
-    def one(data, name):
-        codec = known_charset(name)
-        if data is None or codec is None:
-            return None
-        if codec == "cp1252":
-            return bytes(data).decode("latin-1").translate(dict(enumerate(CP1252)))
-        try:
-            return bytes(data).decode(codec, "replace")
-        except (LookupError, UnicodeError, TypeError, ValueError):
-            return None
-
-    return pd.Series([one(d, n) for d, n in zip(payload, charset, strict=True)], dtype=object)
+    codec = known_charset(name)
+    if data is None or codec is None:
+        return None
+    if codec == "cp1252":
+        return bytes(data).decode("latin-1").translate(dict(enumerate(CP1252)))
+    try:
+        return bytes(data).decode(codec, "replace")
+    except (LookupError, UnicodeError, TypeError, ValueError):
+        return None
 
 
 #: Charset names that are decoded without leaving the JVM.

@@ -144,3 +144,12 @@ def test_tables_as_rtf():
     assert "\\intbl {\\cf1 r}\\cell" in styled
     # elements that the table is in stay open behind it, those of a cell don't
     assert body("<i>p<table><tr><td><u>c</td></tr></table>q</i>").endswith("\\intbl {\\ul c}\\cell\n\\row\n\\pard\nq}")
+
+
+def test_long_documents_are_not_handed_over_by_thousands(spark):
+    """Arrow batches hold ten thousand documents, whatever their length."""
+    rows = spark.createDataFrame([("<p style='text-decoration: line-through'>a</p>",)], "text string")
+    chain, pass_, rtf_ = t.normalize(F.col("text"))["text"], t.apply_pass(F.col("text"), "keep_ancestor_strike"), rtf.render_rtf(F.col("text"))["rtf"]
+    for column in (chain, pass_, rtf_):
+        plan = rows.select(column)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
