@@ -37,6 +37,9 @@ THRESHOLD = 0.7
 #: Logit of a text on the margin, where the fit aims at -1 and 1.
 SLOPE = 4.0
 
+#: Bins that a step of the fit holds weights for at a time.
+BLOCK = 1 << 20
+
 
 def bins_of(text: str | None) -> np.ndarray:
     """Bin of each n-gram of the text, with repeats; a line feed stands before and after it."""
@@ -84,11 +87,33 @@ def fit_rows(rows: list[tuple[int, np.ndarray]], lasso: float = 5e-5, steps: int
     used = np.flatnonzero(df >= least_df)
     place = np.full(BINS, -1, np.int32)
     place[used] = np.arange(len(used))
-    cols = [place[b] for _, b in rows]
-    cols = [c[c >= 0] for c in cols]
-    flat, row = np.concatenate(cols), np.repeat(np.arange(len(y), dtype=np.int32), [len(c) for c in cols])
-    del cols
-    count = lambda m: np.bincount(flat, weights=m[row], minlength=len(used)) + 1.0
+    sizes = np.array([np.count_nonzero(df[b] >= least_df) for _, b in rows], np.int64)
+    ends = np.cumsum(sizes)
+    flat = np.empty(ends[-1], np.int32)
+    for (_, b), n, end in zip(rows, sizes, ends, strict=True):
+        c = place[b]
+        flat[end - n : end] = c[c >= 0]
+    # whole texts in blocks, so that no weights are held for all bins of all texts at once; sums run in the same order as without blocks
+    cuts = np.unique(np.concatenate([[0, len(y)], np.searchsorted(ends, np.arange(BLOCK, ends[-1], BLOCK))])).tolist()
+
+    def blocks():
+        for i, j in zip(cuts, cuts[1:]):
+            first = int(ends[i] - sizes[i])
+            yield i, j, flat[first : int(ends[j - 1])].astype(np.intp), np.repeat(np.arange(j - i), sizes[i:j])
+
+    def by_text(v):
+        out = np.empty(len(y))
+        for i, j, bins, row in blocks():
+            out[i:j] = np.bincount(row, weights=v[bins], minlength=j - i)
+        return out
+
+    def by_bin(m):
+        out = np.zeros(len(used))
+        for i, j, bins, row in blocks():
+            np.add.at(out, bins, m[i:j][row])
+        return out
+
+    count = lambda m: by_bin(m) + 1.0
     p, q = count(y), count(1 - y)
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     norm = np.sqrt(np.sum(ratio**2 * df[used]) / len(y))  # one scale for all texts keeps the steps stable
@@ -100,9 +125,9 @@ def fit_rows(rows: list[tuple[int, np.ndarray]], lasso: float = 5e-5, steps: int
     w, b, rate = np.zeros(len(used)), 0.0, 1.5
     vw, vb = w.copy(), 0.0
     for k in range(steps):
-        z = np.bincount(row, weights=(scale * vw)[flat], minlength=len(y)) + vb
+        z = by_text(scale * vw) + vb
         g = -2 * mass * side * np.maximum(0, 1 - side * z)
-        nw = vw - rate * scale * np.bincount(flat, weights=g[row], minlength=len(used))
+        nw = vw - rate * scale * by_bin(g)
         nw = np.sign(nw) * np.maximum(np.abs(nw) - rate * lasso, 0)
         nb = vb - rate * g.sum()
         push = k / (k + 3)
