@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import file_name_of, matches_pattern, stem_of
 from ..functions.rtf import to_rtf
-from ..shared import exists, kept
+from ..shared import exists, kept, spread
 from ..sources import files, reports
 from .batches import assign_batches, number_rows
 from .outcomes import error_log_text, error_row_projection, output_name_clashes, plan_disposition, quarantine_unmatched, resolve_collisions, skip_completed_folders, union_failures
@@ -114,7 +114,7 @@ def run_folder(spark: SparkSession, root: str, out: str, options: RunOptions | N
     rows = kept(rows.drop("final", "error_log_name", "reason_text"), "error-rows")
     logs = error_log_text(rows, options.error_logs).where("log_text is not null")
     folder = F.concat_ws("/", F.replace("folder_path", F.lit(root.rstrip("/") + "/"), F.lit("")), F.lit("error"), F.when(F.col("sub_folder") != "", F.col("sub_folder")), "error_log_file")
-    files.write_files(logs.select(folder.alias("rel"), F.encode("log_text", "UTF-8").alias("content")), root)
+    files.write_files(spread(logs.select(folder.alias("rel"), F.encode("log_text", "UTF-8").alias("content")), "rel"), root)
 
     at = f"{out}/reports/{run_id}"
     reports.write_error_report(rows, f"{at}/errors", options.part_rows)

@@ -25,7 +25,7 @@ from ..functions import document
 from ..functions.markup_tree import CleanUp
 from ..functions.paths import output_path_of
 from ..functions.rtf import to_rtf
-from ..shared import kept
+from ..shared import kept, spread
 from ..sources.files import BATCH_BYTES, FileReader, put_file
 from .metrics import PHASES
 from .outcomes import IO_TYPES, TRANSIENT_TYPES, classify_error, describe_reason, outcome_of
@@ -144,6 +144,7 @@ def convert_traced(documents: DataFrame, limits: Limits | None = None, fn: Calla
     """
     limits = limits or Limits()
     rows = documents.drop(*ADDED.fieldNames()).withColumn("output_rel", output_path_of(F.col("date_folder"), F.col("sub_folder"), F.col("stem")))
+    rows = spread(rows, "path") if "path" in rows.columns and "content" not in rows.columns else rows  # content isn't shuffled
     names, plain = rows.columns, [c for c in rows.columns if c not in ("content", "output_rel")]
     need = [c for c in ("path", "content", "refused", "output_rel") if c in names]
 

@@ -172,6 +172,14 @@ def test_no_documents_and_clashing_outputs(spark, tmp_path):
         run.run_folder(spark, root, str(tmp_path / "out"))
 
 
+def test_work_on_files_is_dealt_over_tasks(spark, tmp_path):
+    root = tree(spark, tmp_path, {f"a/n{i}.xhtml": None for i in range(60)})
+    rows = traced.convert_traced(files.list_documents(spark, root).coalesce(1), traced.Limits(out=str(tmp_path / "out")))
+    assert rows.where("outcome = 'Succeeded'").count() == 60 and rows.select("task").distinct().count() > 4
+    moves = spark.createDataFrame([(f"{tmp_path}/none{i}", None) for i in range(60)], "path string, final string").coalesce(1)
+    assert files.move_files(moves).select("_metadata.file_path").distinct().count() > 4
+
+
 def test_moves_that_fail_are_told(spark, tmp_path):
     (tmp_path / "a").write_text("x")
     moves = spark.createDataFrame([(f"{tmp_path}/a", f"{tmp_path}/to/a"), (f"{tmp_path}/none", f"{tmp_path}/to/none"), (f"{tmp_path}/stays", None)], "path string, final string")
