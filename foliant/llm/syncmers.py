@@ -20,14 +20,13 @@ columns are ignored.
 
 from __future__ import annotations
 
-import json
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.batches import number_rows
+from ..operators.batches import count_up_to, number_rows
 from .common import text_of
 
 K, S = 5, 2
@@ -98,18 +97,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
 
 
-def _count_up_to(values: list[int], c: Column) -> Column:
-    """How many of the sorted ``values`` are at most c, by rows of about the square root of their number. The values are one literal, whatever their number."""
-    if not values:
-        return F.lit(0)
-    rows = max(1, round(len(values) ** 0.5))
-    table = [values[i : i + rows] for i in range(0, len(values), rows)]
-    literal = lambda v, kind: F.from_json(F.lit(json.dumps(v)), kind)
-    at = F.size(F.filter(literal([t[0] for t in table], "array<long>"), lambda x: x <= c))
-    inside = F.size(F.filter(F.element_at(literal(table, "array<array<long>>"), F.greatest(at, F.lit(1))), lambda x: x <= c))
-    return F.when(at == 0, F.lit(0)).otherwise((at - 1) * rows + inside)
-
-
 def _ranges(ids: DataFrame, parts: int) -> tuple[list[int], list[int], int]:
     """Bounds that divide the keys of ``ids`` about evenly, the keys that fill more than a task's share, and the rows of a range.
 
@@ -158,7 +145,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", text_of("text").alias("text"), F.coalesce("doc_id", F.lit(-(2**63))).alias("key"))
     ids = rows.select("key")
     bounds, hot, size = _ranges(ids, parts)
-    b = _count_up_to(bounds, F.col("key")).cast("long")
+    b = count_up_to(bounds, F.col("key")).cast("long")
     firsts = ids.groupBy(b.alias("b")).agg(F.min("key").alias("first"))
     firsts = firsts.withColumn("before", F.coalesce(F.lag("b").over(W.orderBy("b")), F.max("b").over(W.partitionBy(F.lit(0)))))
     none = F.lit(None).cast("long")

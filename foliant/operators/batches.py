@@ -7,14 +7,18 @@ one small row for each run, and for each group in it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..shared import kept
+from ..shared import file_tasks, kept
 
 #: Places in a run are the low bits of monotonically_increasing_id, runs the high ones.
 PLACE_BITS = 33
+#: Ranges of a task, and their number at most.
+RANGES_A_TASK, MOST_RANGES = 16, 4096
 
 
 def number_rows(df: DataFrame, order: list[str], within: str | None = None, out: str = "row") -> DataFrame:
@@ -43,6 +47,54 @@ def _before(within: str | None):
     return by.rowsBetween(W.unboundedPreceding, -1)
 
 
+def count_up_to(values: list[int], c: Column) -> Column:
+    """How many of the sorted ``values`` are at most c, by rows of about the square root of their number. The values are one literal, whatever their number."""
+    if not values:
+        return F.lit(0)
+    rows = max(1, round(len(values) ** 0.5))
+    table = [values[i : i + rows] for i in range(0, len(values), rows)]
+    literal = lambda v, kind: F.from_json(F.lit(json.dumps(v)), kind)
+    at = F.size(F.filter(literal([t[0] for t in table], "array<long>"), lambda x: x <= c))
+    inside = F.size(F.filter(F.element_at(literal(table, "array<array<long>>"), F.greatest(at, F.lit(1))), lambda x: x <= c))
+    return F.when(at == 0, F.lit(0)).otherwise((at - 1) * rows + inside)
+
+
+def deal_parts(df: DataFrame, key: Column, order: list[Column], size: int) -> DataFrame | None:
+    """Adds ``part`` (1, 2, ...) and ``_n``, the number of each row by ``order``: parts are of ``size`` rows, and each is in one task. None where too many rows share a key.
+
+    ``key`` is a long that ``order`` starts with; further ties go by all columns. Rows are shuffled once and never written: they go by ranges of the key, of which
+    a sample gives the bounds and a count over all rows says what lies before each. A range that holds the border of two tasks goes to both, and each keeps what is in its own parts.
+    So ``df`` has to give the same rows whenever it is read. At most ``MOST_RANGES`` counts come to the driver.
+    """
+    columns, spark = df.columns, df.sparkSession
+    total = df.count()
+    parts = -(-total // size)
+    tasks = min(file_tasks(spark), max(1, parts))
+    m = min(RANGES_A_TASK * tasks, MOST_RANGES)
+    keyed = df.withColumn("_key", F.coalesce(key, F.lit(-(2**63))))
+    some = keyed.select("_key").sample(min(1.0, 50 * m / max(1, total)), 7)
+    bounds = some.agg(F.percentile_approx("_key", [i / m for i in range(1, m)], 10 * m)).first()[0] or [] if m > 1 else []
+    b = count_up_to(sorted(set(bounds)), F.col("_key")).cast("int")
+    of = lambda row: row // size * tasks // parts  # noqa: E731  the task of a row's part
+    places, base, before = [], {}, 0
+    for r in sorted(keyed.groupBy(b.alias("b")).count().collect(), key=lambda r: r["b"]):
+        first, last = of(before), of(before + r["count"] - 1)
+        if last - first > 2:
+            return None
+        places.append((r["b"], first, last))
+        for t in range(first, last + 1):
+            base.setdefault(t, before)
+        before += r["count"]
+    places = F.broadcast(spark.createDataFrame(places, "_b int, _first int, _last int"))
+    bases = F.broadcast(spark.createDataFrame(sorted(base.items()), "_t int, _base long"))
+    dealt = keyed.withColumn("_b", b).join(places, "_b").select(*columns, "_key", F.explode(F.sequence("_first", "_last")).alias("_t"))
+    runs = dealt.repartitionById(tasks, F.col("_t")).sortWithinPartitions("_key", *order, *columns).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << PLACE_BITS) - 1))
+    numbered = runs.join(bases, "_t").withColumn("_n", F.col("_base") + F.col("_at") + 1)
+    own = F.floor((F.col("_n") - 1) / size)
+    mine = F.floor(own * tasks / parts) == F.col("_t")
+    return numbered.where(mine).select(*columns, (own + 1).alias("part"), "_n")
+
+
 def assign_batches(manifest: DataFrame, size: int = 1000, order: list[str] | None = None) -> DataFrame:
     """Adds batch_no and batch_id (``folder#0001``): chunks of ``size`` in each date folder, by relative path."""
     if size < 1:

@@ -1,4 +1,7 @@
+import csv
 import datetime as dt
+import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +9,7 @@ from pyspark.sql import functions as F
 from foliant.functions import decode
 from foliant.functions.paths import glob_regex, split_path
 from foliant.operators import batches, convert, metrics, outcomes, verify
+from foliant.shared import own_dir
 from foliant.sources import corpus, files, reports
 from foliant.streaming import ingest
 
@@ -371,3 +375,18 @@ def test_folders_of_instances(spark):
     got = {(r.instance, r.date_folder): (r.nth, r.first_taken) for r in verify.folders_of_instances(spark.createDataFrame([(*r, 1) for r in rows], "instance string, date_folder string, nth int")).collect()}
     assert got == {("a", "f1"): (1, True), ("a", "f10"): (2, True), ("a", "f2"): (3, True), ("b", None): (1, True), ("b", "f1"): (2, False), (None, "f3"): (1, True)}
     assert verify.folders_of_instances(spark.createDataFrame([], "instance string, date_folder string")).count() == 0
+
+
+@pytest.mark.parametrize("distinct", [1000, 90, 1])
+def test_trace_parts_take_one_shuffle(spark, tmp_path, distinct):
+    """Parts are full and in order, whatever starts tie; nothing is written on the way unless most of them do."""
+    rows = spark.range(1000).select(F.timestamp_micros(F.col("id") * 7919 % 1000 % distinct).alias("start_utc"), (F.col("id") % 3).alias("worker_slot"), F.lit("f").alias("date_folder"), F.lit("").alias("sub_folder"), F.format_string("n%04d", "id").alias("file_name"))
+    rows = rows.withColumn("start_utc", F.when(F.col("file_name") != "n0500", F.col("start_utc")))
+    before = set(glob.glob(f"{own_dir(spark)}/runs-*"))
+    assert reports.write_trace(rows.repartition(5), str(tmp_path / "t"), 60)
+    assert (set(glob.glob(f"{own_dir(spark)}/runs-*")) == before) == (distinct > 1)
+    got = [[r for r in csv.reader(open(f))][1:] for p in sorted(os.listdir(tmp_path / "t")) if p.startswith("part=") for f in glob.glob(f"{tmp_path}/t/{p}/*.csv")]
+    assert [len(p) for p in got] == [60] * 16 + [40]
+    key = [(r[6], r[0], r[5]) for p in got for r in p]
+    assert key == sorted(key) and len({k[2] for k in key}) == 1000 and key[0][2] == "n0500"
+    assert not reports.write_trace(rows.where("false"), str(tmp_path / "none"), 60)
