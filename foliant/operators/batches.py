@@ -87,7 +87,8 @@ def deal_parts(df: DataFrame, key: Column, order: list[Column], size: int) -> Da
         before += r["count"]
     places = F.broadcast(spark.createDataFrame(places, "_b int, _first int, _last int"))
     bases = F.broadcast(spark.createDataFrame(sorted(base.items()), "_t int, _base long"))
-    dealt = keyed.withColumn("_b", b).join(places, "_b").select(*columns, "_key", F.explode(F.sequence("_first", "_last")).alias("_t"))
+    # every range has its place; an inner join would find each row's range twice, to see that it isn't null
+    dealt = keyed.withColumn("_b", b).join(places, "_b", "left").select(*columns, "_key", F.explode(F.sequence("_first", "_last")).alias("_t"))
     runs = dealt.repartitionById(tasks, F.col("_t")).sortWithinPartitions("_key", *order, *columns).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << PLACE_BITS) - 1))
     numbered = runs.join(bases, "_t").withColumn("_n", F.col("_base") + F.col("_at") + 1)
     own = F.floor((F.col("_n") - 1) / size)
