@@ -106,6 +106,41 @@ def test_files_that_are_being_written_are_hidden(tmp_path, monkeypatch):
     assert seen[0].startswith(".") and [p.name for p in (tmp_path / "d").iterdir()] == ["n1"]
 
 
+def test_new_trees_change_a_folder_once_a_file(tmp_path, monkeypatch):
+    seen = []
+
+    class Store(files_at.LocalFileSystem):
+        def open_output_stream(self, path):
+            seen.append(("open", path.rsplit("/", 1)[1]))
+            return super().open_output_stream(path)
+
+        def create_dir(self, path, recursive=True):
+            seen.append(("folder", path.rsplit("/", 1)[1]))
+            super().create_dir(path, recursive=recursive)
+
+        def move(self, src, dest):
+            seen.append(("move", dest))
+            super().move(src, dest)
+
+    monkeypatch.setattr(files, "_opened", lambda root: (Store(), root))
+    write = files.FileWriter(str(tmp_path / "tree"), fresh=True)
+    for rel in ("d/s/n1", "d/s/n2", "n3", "d/s/n1"):
+        write(rel, rel.encode())
+    assert seen == [("open", "n1"), ("folder", "s"), ("open", "n1"), ("open", "n2"), ("open", "n3"), ("open", "n1")]
+    assert {str(p.relative_to(tmp_path / "tree")): p.read_text() for p in (tmp_path / "tree").rglob("*") if p.is_file()} == {r: r for r in ("d/s/n1", "d/s/n2", "n3")}
+
+
+def test_listing_opens_each_folder_once(spark, tmp_path):
+    for rel in ("top", "a/x", "a/b/y", "a/b/c/d/z", "e/.h"):
+        (tmp_path / rel).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / rel).write_text(rel)
+    (tmp_path / "e/none").mkdir()
+    found = files.list_entries(spark, str(tmp_path))
+    assert sorted((r.rel, r.is_folder, r.length) for r in found.collect()) == sorted([(r, True, 0) for r in ("a", "a/b", "a/b/c", "a/b/c/d", "e", "e/none")] + [(r, False, len(r)) for r in ("top", "a/x", "a/b/y", "a/b/c/d/z", "e/.h")])
+    assert all(r.mtime for r in found.collect()) and files.list_entries(spark, str(tmp_path / "missing")).count() == 0
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 3  # a level each
+
+
 def test_equal_folders_are_not_compared_further(spark, tmp_path):
     rnd = random.Random(7)
     left = {f"d{i % 6}/{'s/' if i % 4 else ''}n{i}": f"h{i}" for i in range(60)} | {"top": "t"}
