@@ -1,6 +1,7 @@
 """Streams: rates at each batch's end against a batch recomputation, folders that complete, and trees and listings over time."""
 
 import datetime as dt
+import os
 import random
 import time
 
@@ -187,3 +188,40 @@ def test_verdicts_of_odd_sweeps(spark):
     got = {r.sweep: (r.slope and round(r.slope, 6), r.control_ratio, r.verdict) for r in verify.scaling_verdict(spark.createDataFrame(rows, "sweep string, run int, threads int, service_ms double, started int")).collect()}
     assert got == {"one": (None, None, "unclear"), "none": (None, None, "unclear"), "zero": (None, None, "unclear"), "same": (None, 3.0, "not reproducible"), "down": (-0.2, None, "flat")}
     assert verify.scaling_verdict(spark.createDataFrame(rows, "sweep string, run int, threads int, service_ms double, started int").where(F.lit(False))).count() == 0
+
+
+def known_to_the_driver(state, *names):
+    """Which names are in what the source and the engine log of a checkpoint."""
+    texts = [p.read_text() for part in ("sources", "offsets", "commits") for p in (state / part).rglob("*") if p.is_file() and not p.name.endswith(".crc")]
+    assert texts
+    return [n for n in names if any(n in t for t in texts)]
+
+
+def test_folders_complete_once_over_several_batches_without_names_at_the_driver(spark, tmp_path):
+    root, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    for i in range(12):  # times go to and fro between the folders; the batches must not, or a folder that is quiet for one would be complete too soon
+        file = root / ("a" if i // 2 % 2 else "b") / f"name{i:02}"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("xx")
+        os.utime(file, (1_785_000_000 + i, 1_785_000_000 + i))
+    run = ingest.write_events(ingest.folder_events(ingest.ingest_incremental(spark, str(root), 2), 1), out, str(state))
+    try:
+        assert ingest.wait_for(spark, run, out, "completed", 12)
+        (root / "b/name99").write_text("yyy")  # found by the running query
+        assert ingest.wait_for(spark, run, out, "late", 1)
+    finally:
+        run.stop()
+    got = sorted((r.date_folder, r.event, r.documents, r.bytes) for r in spark.read.parquet(out).collect())
+    assert got == [("a", "completed", 6, 12), ("b", "completed", 6, 12), ("b", "late", 1, 3)]
+    assert not known_to_the_driver(state, "name")
+
+
+def test_waiting_ends_while_looks_bring_nothing(spark, tmp_path):
+    (tmp_path / "in/d").mkdir(parents=True)
+    (tmp_path / "in/d/n").write_text("x")
+    out = str(tmp_path / "out")
+    run = ingest.write_events(ingest.folder_events(ingest.ingest_incremental(spark, str(tmp_path / "in"), 10), 600_000), out, str(tmp_path / "state"))
+    try:
+        assert not ingest.wait_for(spark, run, out, "late", 1, seconds=3) and run.isActive
+    finally:
+        run.stop()
