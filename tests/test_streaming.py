@@ -5,9 +5,12 @@ import os
 import random
 import time
 
+import pytest
 from pyarrow import fs as files_at
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from foliant import shared
 from foliant.operators import verify
 from foliant.sources import files
 from foliant.streaming import ingest
@@ -225,3 +228,35 @@ def test_waiting_ends_while_looks_bring_nothing(spark, tmp_path):
         assert not ingest.wait_for(spark, run, out, "late", 1, seconds=3) and run.isActive
     finally:
         run.stop()
+
+
+def test_resume_after_a_failure_without_names_at_the_driver(spark, tmp_path, monkeypatch):
+    root, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    for rel in ("d 1/name%20a", "d 1/s/name b", "d 1/x=_name", "e/_k=v/namec", "named", "e/namee", "e/.name", "e/_name", "_e/name", "e/s/.s/name", "e/name._COPYING_", "e/nameempty"):
+        (root / rel).parent.mkdir(parents=True, exist_ok=True)
+        (root / rel).write_text("" if "empty" in rel else f"<{rel}>")
+    parts, new_path = [], ingest.new_path
+    monkeypatch.setattr(ingest, "new_path", lambda s, name: parts.append(new_path(s, name)) or parts[-1])
+    calls = []
+
+    def transform(batch):
+        calls.append(batch)
+        if len(calls) == 2:
+            raise ValueError("the second batch fails")
+        return batch.selectExpr("date_folder", "path", "length", "string(content) as text")
+
+    run = lambda: ingest.resume(ingest.ingest_incremental(spark, str(root), 2), transform, out, str(state)).awaitTermination()
+    with pytest.raises(StreamingQueryException):
+        run()
+    shared.delete(spark, parts[0])  # another application's, which has cleared its tables
+    run()
+    (root / "e/nameempty").write_text("now")
+    (root / "e/namee").write_text("another text")
+    run()
+    rows = [(r.date_folder, r.path, r.length, r.text) for r in spark.read.parquet(out).collect()]
+    kept = {"d 1/name%20a": "d 1", "d 1/s/name b": "d 1", "d 1/x=_name": "d 1", "e/_k=v/namec": "e", "named": "", "e/namee": "e"}
+    want = [(folder, f"file:{root}/{rel}", len(rel) + 2, f"<{rel}>") for rel, folder in kept.items()] + [("e", f"file:{root}/e/nameempty", 3, "now")]
+    assert sorted(rows) == sorted(want)
+    assert not known_to_the_driver(state, "name")
+    with pytest.raises(FileNotFoundError):
+        ingest.ingest_incremental(spark, str(tmp_path / "missing"))
