@@ -260,3 +260,37 @@ def test_resume_after_a_failure_without_names_at_the_driver(spark, tmp_path, mon
     assert not known_to_the_driver(state, "name")
     with pytest.raises(FileNotFoundError):
         ingest.ingest_incremental(spark, str(tmp_path / "missing"))
+
+
+def test_archive_takes_files_of_finished_batches_only(spark, tmp_path):
+    root, out, state, archive = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state", tmp_path / "old"
+    (root / "d/s").mkdir(parents=True)
+    names = [f"{'s/' if i % 2 else ''}name{i}" for i in range(6)]
+    for name in names:
+        (root / "d" / name).write_text(name)
+    moved = lambda: {str(p.relative_to(f"{archive}{root}/d")) for p in archive.rglob("*") if p.is_file()}
+    left = lambda: {str(p.relative_to(root / "d")) for p in root.rglob("*") if p.is_file()}
+    seen = []
+
+    def transform(batch):
+        seen.append(left())
+        if len(seen) == 3:
+            raise ValueError("the third batch fails")
+        if len(seen) == 1:
+            (root / "d/name8").write_text("name8")  # after the batch's paths are on record, so it belongs to a later run
+        return batch.selectExpr("string(content) as text")
+
+    run = lambda: ingest.resume(ingest.ingest_incremental(spark, str(root), 2, str(archive)), transform, out, str(state)).awaitTermination()
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert seen[0] == set(names) and [len(s) for s in seen] == [6, 5, 3]  # each batch begins when the one before it is finished and has moved
+    assert len(moved()) == 4 and len(left()) == 3
+    run()
+    assert moved() == {*names, "name8"} and not left()
+    (root / "d/name9").write_text("name9")
+    run()
+    assert moved() == {*names, "name8", "name9"} and not left()
+    assert sorted(r.text for r in spark.read.parquet(out).collect()) == sorted([*names, "name8", "name9"])
+    assert not known_to_the_driver(state, "name")
+    with pytest.raises(ValueError):
+        ingest.ingest_incremental(spark, str(root), archive=str(root / "d/old"))
