@@ -294,3 +294,18 @@ def test_archive_takes_files_of_finished_batches_only(spark, tmp_path):
     assert not known_to_the_driver(state, "name")
     with pytest.raises(ValueError):
         ingest.ingest_incremental(spark, str(root), archive=str(root / "d/old"))
+
+
+def test_late_files_without_names_at_the_driver(spark, tmp_path):
+    root, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    done = spark.createDataFrame([("OLD",)], "date_folder string")
+    for k in range(2):
+        for folder in ("old", "new"):
+            (root / folder).mkdir(parents=True, exist_ok=True)
+            for i in range(2):
+                (root / folder / f"name{k}{i}").write_text("x" * (k + 1))
+        stream = ingest.late_files(ingest.ingest_incremental(spark, str(root), 3), done)
+        ingest.resume(stream, lambda b: b.select("date_folder", "path", "length"), out, str(state)).awaitTermination()
+    got = sorted((r.date_folder, r.path.rsplit("/", 1)[1], r.length) for r in spark.read.parquet(out).collect())
+    assert got == [("old", "name00", 1), ("old", "name01", 1), ("old", "name10", 2), ("old", "name11", 2)]
+    assert not known_to_the_driver(state, "name")
